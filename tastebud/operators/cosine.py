@@ -10,7 +10,7 @@ ratings (USER_ID, PRODUCT_CODE, SCORE), one row per (user, item)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import columns as C
@@ -26,15 +26,18 @@ BLOCK_ROWS = 2048
 def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
     """Rating minus the user's mean rating, plus the user's block count.
 
-    Deviations are rounded to 9 decimals so that a user whose ratings all
-    equal the mean contributes exact zeros (the zero-denominator rule).
+    Mean and count come from one window over the user, so the ratings are
+    shuffled once by user; a user holds at most one row per item, so a
+    window partition is bounded by the catalogue.  Deviations are rounded to
+    9 decimals so that a user whose ratings all equal the mean contributes
+    exact zeros (the zero-denominator rule).
     """
-    stats = ratings.groupBy(C.USER_ID).agg(F.avg(C.SCORE).alias("_mean"), F.count(F.lit(1)).alias("_n"))
-    return ratings.join(stats, C.USER_ID).select(
+    w = Window.partitionBy(C.USER_ID)
+    return ratings.select(
         C.USER_ID,
         C.PRODUCT_CODE,
-        F.round(F.col(C.SCORE) - F.col("_mean"), 9).alias("_d"),
-        F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias("_blocks"),
+        F.round(F.col(C.SCORE) - F.avg(C.SCORE).over(w), 9).alias("_d"),
+        F.ceil(F.count(F.lit(1)).over(w) / F.lit(block_rows)).cast("int").alias("_blocks"),
     )
 
 
@@ -49,19 +52,36 @@ def corated_pairs(
     -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
        j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
 
-    The self-join key is (user, a, b): the left copy of a rating sits in
-    block a = hash(i) mod blocks and is repeated for every b, the right copy
-    sits in block b = hash(j) mod blocks and is repeated for every a.  For
-    ordinary users blocks = 1 (no repetition); a hot user is spread over
-    blocks^2 tasks.  Each pair is emitted once (i < j) and the four sums
-    combine map-side before the shuffle on (i, j).
+    Users with at most ``block_rows`` ratings self-join on the user.  A
+    heavier user is cut into blocks = ceil(n / block_rows) blocks per side and
+    joins on (user, a, b): the left copy of a rating sits in block
+    a = hash(i) mod blocks and is repeated for every b, the right copy sits in
+    block b = hash(j) mod blocks and is repeated for every a, so the user's
+    pairs spread over blocks^2 tasks of at most block_rows^2 pairs each.
+    Each pair is emitted once (i < j) and the four sums combine map-side
+    before the shuffle on (i, j).
     """
     dev = _deviations(ratings, block_rows)
+    # Ordinary users: self-join on the user, reusing the window's partitioning
+    # (no further exchange).
+    light = dev.filter(F.col("_blocks") <= 1)
+    light_pairs = (
+        light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"))
+        .join(light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj")), C.USER_ID)
+        .filter(F.col("_i") < F.col("_j"))
+    )
+    # Heavy users: blocked self-join on (user, a, b).
+    heavy = dev.filter(F.col("_blocks") > 1)
     home = F.pmod(F.xxhash64(C.PRODUCT_CODE), F.col("_blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = dev.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"), home.alias("_a"), every.alias("_b"))
-    right = dev.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"), every.alias("_a"), home.alias("_b"))
-    pairs = left.join(right, [C.USER_ID, "_a", "_b"]).filter(F.col("_i") < F.col("_j"))
+    left = heavy.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"), home.alias("_a"), every.alias("_b"))
+    right = heavy.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"), every.alias("_a"), home.alias("_b"))
+    heavy_pairs = (
+        left.join(right, [C.USER_ID, "_a", "_b"])
+        .filter(F.col("_i") < F.col("_j"))
+        .select(C.USER_ID, "_i", "_di", "_j", "_dj")
+    )
+    pairs = light_pairs.unionByName(heavy_pairs)
     sums = pairs.groupBy("_i", "_j").agg(
         F.sum(F.col("_di") * F.col("_dj")).alias("cross"),
         F.sum(F.col("_di") * F.col("_di")).alias("i_sq"),
@@ -83,11 +103,12 @@ def adjusted_cosine(ratings: DataFrame, *, min_commons: int = 5, block_rows: int
     pairs = corated_pairs(ratings, min_commons=min_commons, block_rows=block_rows)
     denom = F.sqrt("i_sq") * F.sqrt("j_sq")
     sim = fixed(F.when((F.col("i_sq") * F.col("j_sq")) == 0, F.lit(0.0)).otherwise(F.col("cross") / denom), 6)
-    half = pairs.select(C.PRODUCT_CODE, C.J_PRODUCT_CODE, sim.alias(C.SIMILARITY))
-    mirror = half.select(
-        F.col(C.J_PRODUCT_CODE).alias(C.PRODUCT_CODE), F.col(C.PRODUCT_CODE).alias(C.J_PRODUCT_CODE), C.SIMILARITY
+    both = F.array(
+        F.struct(F.col(C.PRODUCT_CODE).alias("a"), F.col(C.J_PRODUCT_CODE).alias("b")),
+        F.struct(F.col(C.J_PRODUCT_CODE).alias("a"), F.col(C.PRODUCT_CODE).alias("b")),
     )
-    return half.unionByName(mirror)
+    directed = pairs.select(F.explode(both).alias("_p"), sim.alias(C.SIMILARITY))
+    return directed.select(F.col("_p.a").alias(C.PRODUCT_CODE), F.col("_p.b").alias(C.J_PRODUCT_CODE), C.SIMILARITY)
 
 
 def top_similar_items(sims: DataFrame, *, min_sim: float = 0.7, top_sim: int = 20) -> DataFrame:
