@@ -12,12 +12,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import columns as C
 from .operators.cosine import adjusted_cosine, corated_pairs, cosine_recommendations, predict_ratings, top_similar_items
+from .operators.behavior import behavior_union, positive_preferences, user_baskets
+from .operators.evaluate import catalog_coverage, precision_recall
 from .operators.ratings import avg_ratings
+from .operators.rules import association_rules, contained_sets, fit_itemsets, frequent_itemsets, rule_matches, rule_recommendations
+from .operators.timewin import Season, bucket_events, parse_event_time, seasonal_future, seasonal_history, seasonal_window
 from .plans.cosine_run import run_cosine
-from .plans.params import CosineParams
+from . import oracle as SQL
+from .plans.rules_run import run_rules, time_window_parts
 from .sources import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-COSINE = CosineParams(min_sim=0.7, top_sim=20, min_commons=5, min_rating=2, top_n=10)
+COSINE = SQL.COSINE_PARAMS
 
 
 def register(name: str, sql: str | None = None):
@@ -38,79 +44,6 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-# ---------------------------------------------------------------- SQL pieces
-
-SQL_PURCHASE_RATINGS = """
-purchase_ratings AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID,
-         CAST(l.l_partkey AS VARCHAR) AS PRODUCT_CODE,
-         AVG(1 + FLOOR((l.l_quantity - 1) / 10)) AS SCORE
-  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-  GROUP BY 1, 2
-)"""
-
-
-def sql_cosine(r: str, p: CosineParams) -> str:
-    """CTEs dev, pairs, sims, top, pred_unrated, pred_rated, recs over ratings view ``r``."""
-    return f"""
-cs_mean AS (SELECT USER_ID, AVG(SCORE) AS m FROM {r} GROUP BY USER_ID),
-cs_dev AS (
-  SELECT x.USER_ID, x.PRODUCT_CODE, ROUND(x.SCORE - s.m, 9) AS d
-  FROM {r} x JOIN cs_mean s ON x.USER_ID = s.USER_ID
-),
-cs_pairs AS (
-  SELECT a.PRODUCT_CODE AS PRODUCT_CODE, b.PRODUCT_CODE AS j_PRODUCT_CODE,
-         SUM(a.d * b.d) AS "cross", SUM(a.d * a.d) AS i_sq, SUM(b.d * b.d) AS j_sq, COUNT(*) AS n_commons
-  FROM cs_dev a JOIN cs_dev b ON a.USER_ID = b.USER_ID AND a.PRODUCT_CODE < b.PRODUCT_CODE
-  GROUP BY 1, 2
-  HAVING COUNT(*) >= {p.min_commons}
-),
-cs_half AS (
-  SELECT PRODUCT_CODE, j_PRODUCT_CODE,
-         ROUND(CASE WHEN i_sq * j_sq = 0 THEN 0.0 ELSE "cross" / (SQRT(i_sq) * SQRT(j_sq)) END, 6) + 0.0 AS simularity
-  FROM cs_pairs
-),
-cs_sims AS (
-  SELECT PRODUCT_CODE, j_PRODUCT_CODE, simularity FROM cs_half
-  UNION ALL
-  SELECT j_PRODUCT_CODE, PRODUCT_CODE, simularity FROM cs_half
-),
-cs_top AS (
-  SELECT PRODUCT_CODE, j_PRODUCT_CODE, simularity FROM (
-    SELECT *, RANK() OVER (PARTITION BY PRODUCT_CODE ORDER BY simularity DESC, j_PRODUCT_CODE) AS rk
-    FROM cs_sims WHERE simularity >= {p.min_sim}
-  ) WHERE rk <= {p.top_sim}
-),
-cs_contrib AS (
-  SELECT s.USER_ID, t.j_PRODUCT_CODE AS PRODUCT_CODE,
-         SUM(s.SCORE * t.simularity) AS num, SUM(ABS(t.simularity)) AS den
-  FROM {r} s JOIN cs_top t ON s.PRODUCT_CODE = t.PRODUCT_CODE
-  WHERE s.SCORE >= {p.min_rating}
-  GROUP BY 1, 2
-),
-cs_pred AS (
-  SELECT c.USER_ID, c.PRODUCT_CODE,
-         ROUND(CASE WHEN den = 0 THEN -1.0 ELSE num / den END, 6) + 0.0 AS prediction,
-         EXISTS (SELECT 1 FROM {r} x WHERE x.USER_ID = c.USER_ID AND x.PRODUCT_CODE = c.PRODUCT_CODE) AS is_rated
-  FROM cs_contrib c
-),
-cs_pred_unrated AS (SELECT USER_ID, PRODUCT_CODE, prediction FROM cs_pred WHERE NOT is_rated),
-cs_pred_rated AS (SELECT USER_ID, PRODUCT_CODE, prediction FROM cs_pred WHERE is_rated),
-cs_recs AS (
-  SELECT USER_ID, PRODUCT_CODE, prediction, CAST(RANK AS INTEGER) AS RANK FROM (
-    SELECT *, RANK() OVER (PARTITION BY USER_ID ORDER BY prediction DESC, PRODUCT_CODE) AS RANK
-    FROM cs_pred_unrated WHERE prediction >= {p.min_rating}
-  ) WHERE RANK <= {p.top_n}
-)"""
-
-
-def _with(*ctes: str) -> str:
-    return "WITH " + ",".join(c.strip("\n") for c in ctes)
-
-
-_COSINE_SQL = _with(SQL_PURCHASE_RATINGS, sql_cosine("purchase_ratings", COSINE))
-
-
 def purchase_ratings(spark: SparkSession, d: str) -> DataFrame:
     return avg_ratings(B.purchase_log(spark, d))
 
@@ -118,26 +51,26 @@ def purchase_ratings(spark: SparkSession, d: str) -> DataFrame:
 # ------------------------------------------------------------ cosine family
 
 
-@register("avg_ratings_plain", _with(SQL_PURCHASE_RATINGS) + " SELECT * FROM purchase_ratings")
+@register("avg_ratings_plain", SQL.with_(SQL.PURCHASE_RATINGS) + " SELECT * FROM purchase_ratings")
 def q_avg_ratings_plain(spark: SparkSession, d: str) -> DataFrame:
     return purchase_ratings(spark, d)
 
 
 @register(
     "corated_pairs",
-    _COSINE_SQL + " SELECT PRODUCT_CODE, j_PRODUCT_CODE, n_commons FROM cs_pairs",
+    SQL.COSINE + " SELECT PRODUCT_CODE, j_PRODUCT_CODE, n_commons FROM cs_pairs",
 )
 def q_corated_pairs(spark: SparkSession, d: str) -> DataFrame:
     pairs = corated_pairs(purchase_ratings(spark, d), min_commons=COSINE.min_commons)
     return pairs.select(C.PRODUCT_CODE, C.J_PRODUCT_CODE, "n_commons")
 
 
-@register("adjusted_cosine", _COSINE_SQL + " SELECT * FROM cs_sims")
+@register("adjusted_cosine", SQL.COSINE + " SELECT * FROM cs_sims")
 def q_adjusted_cosine(spark: SparkSession, d: str) -> DataFrame:
     return adjusted_cosine(purchase_ratings(spark, d), min_commons=COSINE.min_commons)
 
 
-@register("top_similar_items", _COSINE_SQL + " SELECT * FROM cs_top")
+@register("top_similar_items", SQL.COSINE + " SELECT * FROM cs_top")
 def q_top_similar_items(spark: SparkSession, d: str) -> DataFrame:
     sims = adjusted_cosine(purchase_ratings(spark, d), min_commons=COSINE.min_commons)
     return top_similar_items(sims, min_sim=COSINE.min_sim, top_sim=COSINE.top_sim)
@@ -149,51 +82,214 @@ def _cosine_top(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return ratings, top_similar_items(sims, min_sim=COSINE.min_sim, top_sim=COSINE.top_sim)
 
 
-@register("predict_unrated", _COSINE_SQL + " SELECT * FROM cs_pred_unrated")
+@register("predict_unrated", SQL.COSINE + " SELECT * FROM cs_pred_unrated")
 def q_predict_unrated(spark: SparkSession, d: str) -> DataFrame:
     ratings, top = _cosine_top(spark, d)
     return predict_ratings(ratings, top, min_rating=COSINE.min_rating, unrated=True)
 
 
-@register("predict_rated", _COSINE_SQL + " SELECT * FROM cs_pred_rated")
+@register("predict_rated", SQL.COSINE + " SELECT * FROM cs_pred_rated")
 def q_predict_rated(spark: SparkSession, d: str) -> DataFrame:
     ratings, top = _cosine_top(spark, d)
     return predict_ratings(ratings, top, min_rating=COSINE.min_rating, unrated=False)
 
 
-@register("cosine_recommendations", _COSINE_SQL + " SELECT * FROM cs_recs")
+@register("cosine_recommendations", SQL.COSINE + " SELECT * FROM cs_recs")
 def q_cosine_recommendations(spark: SparkSession, d: str) -> DataFrame:
     ratings, top = _cosine_top(spark, d)
     preds = predict_ratings(ratings, top, min_rating=COSINE.min_rating, unrated=True)
     return cosine_recommendations(preds, min_rating=COSINE.min_rating, top_n=COSINE.top_n)
 
 
-_COSINE_METRICS_SQL = (
-    _COSINE_SQL
-    + f""",
-cs_checked AS (SELECT (p.prediction - x.SCORE) * (p.prediction - x.SCORE) AS e2
-               FROM cs_pred_rated p JOIN purchase_ratings x USING (USER_ID, PRODUCT_CODE)),
-cs_stats AS (
-  SELECT (SELECT COUNT(*) FROM purchase_ratings) AS n_ratings,
-         (SELECT COUNT(DISTINCT USER_ID) FROM purchase_ratings) AS n_users,
-         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM purchase_ratings) AS n_items,
-         (SELECT COUNT(DISTINCT USER_ID) FROM cs_recs) AS n_reco_users,
-         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM cs_recs) AS n_reco_items,
-         (SELECT SQRT(AVG(e2)) FROM cs_checked) AS rmse
+@register("cosine_run", SQL.COSINE_METRICS)
+def q_cosine_run(spark: SparkSession, d: str) -> DataFrame:
+    return run_cosine(purchase_ratings(spark, d), COSINE)["Recommendation-metrics"]
+
+
+# ------------------------------------------------- seasonal split and rules
+
+SEASON = SQL.SEASON_PARAMS
+FULL = SQL.FULL_PARAMS
+_SEASON = Season.of(SEASON.end_time, SEASON.months)
+
+
+def _shop_behaviour(spark: SparkSession, d: str) -> DataFrame:
+    return time_window_parts([B.shopping_log(spark, d)], SEASON)["processed"]
+
+
+def _season_model(spark: SparkSession, d: str):
+    parts = time_window_parts([B.shopping_log(spark, d)], SEASON)
+    model = fit_itemsets(
+        parts["baskets"], min_support=SEASON.min_support, min_confidence=SEASON.min_confidence,
+        num_partitions=SEASON.num_partitions,
+    )
+    return parts, model
+
+
+_EVENTS_PARSED_SQL = """
+SELECT CAST(user_id AS VARCHAR) AS USER_ID, json_extract_string(props, '$.k') AS PRODUCT_CODE,
+       epoch_us(ts) // 1000 AS CREATE_TIME, epoch_ms(epoch_us(ts) // 1000) AS event_time,
+       strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%d %H:%M:%S') AS DATE
+FROM events WHERE event_type = 'click'"""
+
+
+@register("parse_event_time", _EVENTS_PARSED_SQL)
+def q_parse_event_time(spark: SparkSession, d: str) -> DataFrame:
+    raw = B.event_log(spark, d, "click").select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
+    return parse_event_time(raw)
+
+
+@register("seasonal_window", SQL.SEASON_BASE + " SELECT USER_ID, PRODUCT_CODE, event_time FROM win")
+def q_seasonal_window(spark: SparkSession, d: str) -> DataFrame:
+    log = B.shopping_log(spark, d)
+    return seasonal_window(log, _SEASON).select(C.USER_ID, C.PRODUCT_CODE, C.EVENT_TIME)
+
+
+@register("seasonal_history", SQL.SEASON_BASE + " SELECT USER_ID, PRODUCT_CODE, event_time FROM hist")
+def q_seasonal_history(spark: SparkSession, d: str) -> DataFrame:
+    return seasonal_history(_shop_behaviour(spark, d), _SEASON)
+
+
+@register("seasonal_future", SQL.SEASON_BASE + " SELECT USER_ID, PRODUCT_CODE, event_time FROM fut")
+def q_seasonal_future(spark: SparkSession, d: str) -> DataFrame:
+    return seasonal_future(_shop_behaviour(spark, d), _SEASON)
+
+
+@register("bucket_events", SQL.SEASON_BASE + " SELECT USER_ID, PRODUCT_CODE, event_time, BUCKET FROM bk")
+def q_bucket_events(spark: SparkSession, d: str) -> DataFrame:
+    return bucket_events(_shop_behaviour(spark, d), days=SEASON.tran_days)
+
+
+@register(
+    "bucket_baskets",
+    SQL.SEASON_BASE
+    + """ SELECT k.USER_ID, k.BUCKET, array_to_string(list_sort(list(b.PRODUCT_CODE)), ',') AS ITEMS, k.N_ROWS
+    FROM bk_kept k JOIN basket_items b USING (USER_ID, BUCKET) GROUP BY k.USER_ID, k.BUCKET, k.N_ROWS""",
+)
+def q_bucket_baskets(spark: SparkSession, d: str) -> DataFrame:
+    baskets = time_window_parts([B.shopping_log(spark, d)], SEASON)["baskets"]
+    return baskets.select(C.USER_ID, "BUCKET", F.array_join("ITEMS", ",").alias("ITEMS"), "N_ROWS")
+
+
+@register("frequent_itemsets", SQL.SEASON_BASE + " SELECT ITEMS, LENGTH, FREQ FROM freq")
+def q_frequent_itemsets(spark: SparkSession, d: str) -> DataFrame:
+    _, model = _season_model(spark, d)
+    sets = frequent_itemsets(model, max_len=10)
+    return sets.select(F.array_join("ITEMS", ",").alias("ITEMS"), "LENGTH", "FREQ")
+
+
+@register("association_rules", SQL.SEASON_BASE + " SELECT ANTECEDENT, CONSEQUENT, CONFIDENCE FROM rules_txt")
+def q_association_rules(spark: SparkSession, d: str) -> DataFrame:
+    _, model = _season_model(spark, d)
+    rules = association_rules(model)
+    return rules.select(F.array_join(C.ANTECEDENT, ",").alias(C.ANTECEDENT), C.CONSEQUENT, C.CONFIDENCE)
+
+
+@register("user_frequent_priors", SQL.SEASON_BASE + " SELECT USER_ID, ITEMS FROM priors")
+def q_user_frequent_priors(spark: SparkSession, d: str) -> DataFrame:
+    parts, model = _season_model(spark, d)
+    priors = contained_sets(frequent_itemsets(model).select("ITEMS"), parts["history"], set_col="ITEMS", max_size=3)
+    return priors.select(C.USER_ID, F.array_join("ITEMS", ",").alias("ITEMS"))
+
+
+@register("rule_matches", SQL.SEASON_BASE + " SELECT USER_ID, ANTECEDENT, CONSEQUENT, CONFIDENCE FROM matches")
+def q_rule_matches(spark: SparkSession, d: str) -> DataFrame:
+    parts, model = _season_model(spark, d)
+    m = rule_matches(association_rules(model), parts["history"], max_antecedent=3)
+    return m.select(C.USER_ID, F.array_join(C.ANTECEDENT, ",").alias(C.ANTECEDENT), C.CONSEQUENT, C.CONFIDENCE)
+
+
+@register("rule_recommendations", SQL.SEASON_BASE + " SELECT USER_ID, PRODUCT_CODE, CONFIDENCE, RANK FROM recs")
+def q_rule_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    parts, model = _season_model(spark, d)
+    return rule_recommendations(association_rules(model), parts["history"], top_n=SEASON.top_n)
+
+
+@register(
+    "precision_recall",
+    SQL.SEASON_BASE
+    + """, actual AS (SELECT DISTINCT USER_ID, PRODUCT_CODE FROM fut),
+    c AS (SELECT (SELECT COUNT(*) FROM recs r WHERE EXISTS (SELECT 1 FROM actual a
+                  WHERE a.USER_ID = r.USER_ID AND a.PRODUCT_CODE = r.PRODUCT_CODE)) AS TP,
+                 (SELECT COUNT(*) FROM recs) AS NUM_RECOMMENDED, (SELECT COUNT(*) FROM actual) AS NUM_HOLDOUT)
+    SELECT TP, NUM_RECOMMENDED, NUM_HOLDOUT,
+           CASE WHEN NUM_RECOMMENDED = 0 THEN NULL ELSE CAST(TP AS DOUBLE) / NUM_RECOMMENDED END AS PRECISION,
+           CASE WHEN NUM_HOLDOUT = 0 THEN NULL ELSE CAST(TP AS DOUBLE) / NUM_HOLDOUT END AS RECALL FROM c""",
 )
-SELECT metric, value FROM (
-  SELECT 0 AS pos, 'OP_TIME' AS metric, '{COSINE.op_time}' AS value FROM cs_stats
-  UNION ALL SELECT 1, 'ARGUMENTS', '{COSINE.arguments()}' FROM cs_stats
-  UNION ALL SELECT 2, 'NUM_PROCESSED_LOG', CAST(n_ratings AS VARCHAR) FROM cs_stats
-  UNION ALL SELECT 3, 'NUM_ALL_USERS', CAST(n_users AS VARCHAR) FROM cs_stats
-  UNION ALL SELECT 4, 'NUM_POSSIBLE_USERS', CAST(n_reco_users AS VARCHAR) FROM cs_stats
-  UNION ALL SELECT 5, 'NUM_RECOMMEND_ITEMS', CAST(n_reco_items AS VARCHAR) FROM cs_stats
-  UNION ALL SELECT 6, 'COVERAGE', COALESCE(printf('%.9f', ROUND(n_reco_items / n_items, 9)), 'NaN') FROM cs_stats
-  UNION ALL SELECT 7, 'RMSE', COALESCE(printf('%.9f', ROUND(rmse, 9)), 'NaN') FROM cs_stats
-) ORDER BY pos"""
+def q_precision_recall(spark: SparkSession, d: str) -> DataFrame:
+    parts, model = _season_model(spark, d)
+    recs = rule_recommendations(association_rules(model), parts["history"], top_n=SEASON.top_n)
+    return precision_recall(recs, parts["future"])
+
+
+@register(
+    "catalog_coverage",
+    SQL.SEASON_BASE
+    + """, c AS (SELECT (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM recs) AS NUM_RECOMMEND_ITEMS,
+                       (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM beh) AS NUM_ITEMS)
+    SELECT NUM_RECOMMEND_ITEMS, NUM_ITEMS,
+           CASE WHEN NUM_ITEMS = 0 THEN NULL ELSE CAST(NUM_RECOMMEND_ITEMS AS DOUBLE) / NUM_ITEMS END AS COVERAGE FROM c""",
 )
+def q_catalog_coverage(spark: SparkSession, d: str) -> DataFrame:
+    parts, model = _season_model(spark, d)
+    recs = rule_recommendations(association_rules(model), parts["history"], top_n=SEASON.top_n)
+    return catalog_coverage(recs, parts["processed"])
 
 
-@register("cosine_run", _COSINE_METRICS_SQL)
-def q_cosine_run(spark: SparkSession, d: str) -> DataFrame:
-    return run_cosine(purchase_ratings(spark, d), COSINE)["Recommendation-metrics"]
+@register("rules_time_window", SQL.SEASON_METRICS)
+def q_rules_time_window(spark: SparkSession, d: str) -> DataFrame:
+    return run_rules([B.shopping_log(spark, d)], SEASON, time_window=True)["Recommendation-metrics"]
+
+
+def _event_behaviour_logs(spark: SparkSession, d: str) -> list[DataFrame]:
+    return [B.event_log(spark, d, "click"), B.event_log(spark, d, "view")]
+
+
+@register("rules_full_history", SQL.FULL_METRICS)
+def q_rules_full_history(spark: SparkSession, d: str) -> DataFrame:
+    return run_rules(_event_behaviour_logs(spark, d), FULL, time_window=False)["Recommendation-metrics"]
+
+
+@register("behavior_union", SQL.FULL_BASE + " SELECT USER_ID, PRODUCT_CODE FROM beh_full")
+def q_behavior_union(spark: SparkSession, d: str) -> DataFrame:
+    return behavior_union(_event_behaviour_logs(spark, d))
+
+
+@register(
+    "user_baskets",
+    SQL.FULL_BASE
+    + """ SELECT k.USER_ID, array_to_string(list_sort(list(u.PRODUCT_CODE)), ',') AS ITEMS, k.N_ITEMS
+    FROM ub_kept k JOIN user_items u USING (USER_ID) GROUP BY k.USER_ID, k.N_ITEMS""",
+)
+def q_user_baskets(spark: SparkSession, d: str) -> DataFrame:
+    baskets = user_baskets(behavior_union(_event_behaviour_logs(spark, d)), max_items=FULL.max_items)
+    return baskets.select(C.USER_ID, F.array_join("ITEMS", ",").alias("ITEMS"), "N_ITEMS")
+
+
+_POSITIVE_SQL = SQL.with_(
+    SQL.PURCHASES,
+    """
+pos AS (
+  SELECT p.USER_ID, p.PRODUCT_CODE, p.SCORE FROM purchases p
+  JOIN (SELECT USER_ID, AVG(SCORE) AS m FROM purchases GROUP BY 1) a ON a.USER_ID = p.USER_ID
+  WHERE p.SCORE > a.m AND p.USER_ID IS NOT NULL AND p.PRODUCT_CODE IS NOT NULL
+)""",
+)
+
+
+@register("positive_preferences", _POSITIVE_SQL + " SELECT USER_ID, PRODUCT_CODE, SCORE FROM pos")
+def q_positive_preferences(spark: SparkSession, d: str) -> DataFrame:
+    scores = B.event_score_log(spark, d, ("purchase",))
+    return positive_preferences(scores).select(C.USER_ID, C.PRODUCT_CODE, C.SCORE)
+
+
+@register(
+    "behavior_union_scored",
+    SQL.with_(SQL.CLICKS, SQL.VIEWS, _POSITIVE_SQL[len("WITH "):])
+    + """ SELECT DISTINCT USER_ID, PRODUCT_CODE FROM (
+        SELECT USER_ID, PRODUCT_CODE FROM clicks UNION ALL SELECT USER_ID, PRODUCT_CODE FROM views
+        UNION ALL SELECT USER_ID, PRODUCT_CODE FROM pos) WHERE USER_ID IS NOT NULL AND PRODUCT_CODE IS NOT NULL""",
+)
+def q_behavior_union_scored(spark: SparkSession, d: str) -> DataFrame:
+    scores = B.event_score_log(spark, d, ("purchase",))
+    return behavior_union(_event_behaviour_logs(spark, d), scores=scores, include_scores=True)
