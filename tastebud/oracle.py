@@ -369,3 +369,94 @@ stats AS (
     ("NUM_POSSIBLE_ITEMS", _txt("n_reco_items")),
     ("COVERAGE", _ratio("n_reco_items", "n_items")),
 ])
+
+
+# ------------------------------------------- cleansing, ratings, segments
+
+PURCHASE_RES = """
+plog AS (
+  SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID,
+         'R' || CAST(l.l_partkey AS VARCHAR) AS RES_ID,
+         CASE WHEN l.l_linenumber % 3 = 0 THEN NULL ELSE CAST(l.l_partkey AS VARCHAR) END AS PRODUCT_CODE,
+         1 + FLOOR((l.l_quantity - 1) / 10) AS SCORE,
+         epoch_us(o.o_orderdate) // 1000 AS SCORE_TIME,
+         o.o_orderdate AS event_time
+  FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+),
+rmap AS (
+  SELECT DISTINCT RES_ID, PRODUCT_CODE FROM (
+    SELECT 'R' || CAST(p_partkey AS VARCHAR) AS RES_ID, CAST(p_partkey AS VARCHAR) AS PRODUCT_CODE FROM part
+    UNION ALL
+    SELECT 'R' || CAST(p_partkey AS VARCHAR), CAST(p_partkey + 1 AS VARCHAR) FROM part WHERE p_partkey % 50 = 0
+  )
+),
+filled AS (
+  SELECT l.USER_ID, COALESCE(l.PRODUCT_CODE, m.PRODUCT_CODE) AS PRODUCT_CODE, l.SCORE
+  FROM plog l LEFT JOIN rmap m ON l.RES_ID = m.RES_ID
+  WHERE COALESCE(l.PRODUCT_CODE, m.PRODUCT_CODE) IS NOT NULL
+)"""
+
+SEGMENTS = """
+seg AS (SELECT CAST(c_custkey AS VARCHAR) AS USER_ID, c_mktsegment AS prediction FROM customer),
+asg AS (SELECT * FROM seg WHERE USER_ID IN (SELECT USER_ID FROM purchase_ratings)),
+seg_scores AS (
+  SELECT a.prediction, r.PRODUCT_CODE, ROUND(SUM(r.SCORE), 6) + 0.0 AS score_sum
+  FROM purchase_ratings r JOIN asg a ON a.USER_ID = r.USER_ID GROUP BY 1, 2
+),
+seg_top AS (
+  SELECT prediction, PRODUCT_CODE, score_sum, CAST(RANK AS INTEGER) AS RANK FROM (
+    SELECT *, RANK() OVER (PARTITION BY prediction ORDER BY score_sum DESC, PRODUCT_CODE) AS RANK
+    FROM seg_scores WHERE score_sum > 0
+  ) WHERE RANK <= 10
+),
+seg_recs AS (SELECT a.USER_ID, t.PRODUCT_CODE, t.RANK FROM asg a JOIN seg_top t ON t.prediction = a.prediction)"""
+
+SEGMENT_METRICS = with_(PURCHASE_RATINGS, SEGMENTS) + """,
+stats AS (
+  SELECT (SELECT COUNT(*) FROM purchase_ratings) AS n_scores,
+         (SELECT COUNT(DISTINCT USER_ID) FROM asg) AS n_users,
+         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM purchase_ratings) AS n_items,
+         (SELECT COUNT(DISTINCT USER_ID) FROM seg_recs) AS n_reco_users,
+         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM seg_recs) AS n_reco_items
+)
+""" + _metrics_sql([
+    ("OP_TIME", "'2000061500'"),
+    ("ARGUMENTS", "'5_10_10'"),
+    ("NUM_PROCESSED_LOG", _txt("n_scores")),
+    ("NUM_ALL_USERS", _txt("n_users")),
+    ("NUM_POSSIBLE_USERS", _txt("n_reco_users")),
+    ("NUM_RECOMMEND_ITEMS", _txt("n_reco_items")),
+    ("COVERAGE", _ratio("n_reco_items", "n_items")),
+])
+
+PREFERENCE = with_(CLICKS, VIEWS, PURCHASES) + """,
+expl AS (
+  SELECT USER_ID, PRODUCT_CODE, AVG(SCORE) AS SCORE FROM purchases
+  WHERE USER_ID IS NOT NULL AND PRODUCT_CODE IS NOT NULL AND SCORE IS NOT NULL GROUP BY 1, 2
+),
+umean AS (SELECT USER_ID, AVG(SCORE) AS m FROM expl GROUP BY 1),
+centered AS (SELECT e.USER_ID, e.PRODUCT_CODE, e.SCORE - u.m AS x FROM expl e JOIN umean u ON u.USER_ID = e.USER_ID),
+implicit AS (
+  SELECT USER_ID, PRODUCT_CODE,
+         CAST(0.3 AS DOUBLE) * COUNT(*) FILTER (WHERE src = 0) + CAST(0.6 AS DOUBLE) * COUNT(*) FILTER (WHERE src = 1) AS y
+  FROM (SELECT USER_ID, PRODUCT_CODE, 0 AS src FROM clicks UNION ALL SELECT USER_ID, PRODUCT_CODE, 1 FROM views)
+  WHERE USER_ID IS NOT NULL AND PRODUCT_CODE IS NOT NULL
+  GROUP BY 1, 2
+),
+pref AS (
+  SELECT COALESCE(c.USER_ID, i.USER_ID) AS USER_ID, COALESCE(c.PRODUCT_CODE, i.PRODUCT_CODE) AS PRODUCT_CODE,
+         ROUND(COALESCE(c.x, i.y), 9) + 0.0 AS SCORE
+  FROM centered c FULL OUTER JOIN implicit i ON c.USER_ID = i.USER_ID AND c.PRODUCT_CODE = i.PRODUCT_CODE
+)"""
+
+LOOKUP_USER = "Customer#000000124"
+
+PEOPLE = f"""
+people AS (
+  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS USER_ID, 'acct-' || CAST(c_custkey AS VARCHAR) AS ACCOUNT, c_name AS NAME
+  FROM customer
+),
+found AS (
+  SELECT * FROM people WHERE USER_ID = '{LOOKUP_USER}' OR NAME = '{LOOKUP_USER}' OR ACCOUNT = '{LOOKUP_USER}'
+),
+products AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS PRODUCT_CODE, p_name AS PRODUCT_NAME FROM part)"""

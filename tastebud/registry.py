@@ -9,6 +9,7 @@ ALS) have no SQL twin.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,21 @@ from .operators.rules import association_rules, contained_sets, fit_itemsets, fr
 from .operators.timewin import Season, bucket_events, parse_event_time, seasonal_future, seasonal_history, seasonal_window
 from .plans.cosine_run import run_cosine
 from . import oracle as SQL
+from .functions import fixed
+from .operators.cleansing import cast_columns, column_profile, fill_item_from_resource
+from .operators.compare import attach_names, find_user, model_history
+from .operators.evaluate import rating_rmse
+from .operators.factors import als_cross_validation
+from .operators.ratings import dense_index, preference_scores, user_vectors
+from .operators.segments import segment_item_scores
+from .plans.als_run import index_ratings, run_als
+from .plans.compare_run import run_compare
+from .plans.params import AlsParams, SegmentParams
 from .plans.rules_run import run_rules, time_window_parts
+from .plans.segments_run import run_clusters, run_given_segments
+from .session import shared_path
+from .sinks import run_folder, write_product
+from .sources import latest_snapshot, read_results, scan_log
 from .sources import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -293,3 +308,266 @@ def q_positive_preferences(spark: SparkSession, d: str) -> DataFrame:
 def q_behavior_union_scored(spark: SparkSession, d: str) -> DataFrame:
     scores = B.event_score_log(spark, d, ("purchase",))
     return behavior_union(_event_behaviour_logs(spark, d), scores=scores, include_scores=True)
+
+
+# ------------------------------------------------ sources, sinks, cleansing
+
+SEGMENT = SegmentParams(k=5, max_iter=10, top_n=10, seed=42)
+ALS_PARAMS = AlsParams(rank=10, reg=0.1, max_iter=10, top_n=10, blocks=10, min_score=3.0, seed=42)
+
+
+@register(
+    "scan_log",
+    """SELECT CAST(user_id AS VARCHAR) AS USER_ID, event_type, ts FROM events
+    WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'""",
+)
+def q_scan_log(spark: SparkSession, d: str) -> DataFrame:
+    df = scan_log(spark, f"{d}/events.parquet", time_col="ts", since="2024-01-08 00:00:00", until="2024-01-15 00:00:00")
+    return df.select(F.col("user_id").cast("string").alias(C.USER_ID), "event_type", "ts")
+
+
+@register(
+    "latest_snapshot",
+    """SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+    WHERE o_orderdate = (SELECT MAX(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '1998-08-02 00:00:00')""",
+)
+def q_latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    orders = B.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return latest_snapshot(orders, snapshot_col="o_orderdate", as_of="1998-08-02 00:00:00")
+
+
+def _written_cosine_recs(spark: SparkSession, d: str) -> str:
+    products = run_cosine(purchase_ratings(spark, d), COSINE)
+    root = shared_path(spark, "tastebud-results", uuid.uuid4().hex)
+    write_product(
+        products["User-recommendations"], root, model="CosSim", sub_type=None,
+        product="User-recommendations", op_time=COSINE.op_time,
+    )
+    return run_folder(root, "CosSim", None, COSINE.op_time)
+
+
+@register("read_results", SQL.COSINE + " SELECT USER_ID, PRODUCT_CODE, RANK FROM cs_recs")
+def q_read_results(spark: SparkSession, d: str) -> DataFrame:
+    folder = _written_cosine_recs(spark, d)
+    return read_results(
+        spark, f"{folder}/User-recommendations", [C.USER_ID, C.PRODUCT_CODE, C.RANK], types={C.RANK: "int"}
+    )
+
+
+@register(
+    "cast_columns",
+    """SELECT TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT) AS USER_ID,
+              TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS PRODUCT_CODE,
+              epoch_us(ts) // 1000 AS CREATE_TIME
+    FROM events WHERE event_type = 'click'""",
+)
+def q_cast_columns(spark: SparkSession, d: str) -> DataFrame:
+    log = B.event_log(spark, d, "click").select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
+    return cast_columns(log, [C.USER_ID, C.PRODUCT_CODE], "bigint")
+
+
+def _res_log(spark: SparkSession, d: str) -> DataFrame:
+    return B.purchase_log(spark, d, with_resources=True)
+
+
+@register("fill_item_from_resource", SQL.with_(SQL.PURCHASE_RES) + " SELECT USER_ID, PRODUCT_CODE, SCORE FROM filled")
+def q_fill_item_from_resource(spark: SparkSession, d: str) -> DataFrame:
+    log = _res_log(spark, d).select(C.USER_ID, C.RES_ID, C.PRODUCT_CODE, C.SCORE)
+    return fill_item_from_resource(log, B.resource_map(spark, d))
+
+
+_PROFILE_COLS = [C.USER_ID, C.RES_ID, C.PRODUCT_CODE, C.SCORE, C.SCORE_TIME, C.EVENT_TIME]
+_PROFILE_SQL = SQL.with_(SQL.PURCHASE_RES) + ",\nlg AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS cname, CAST({c} AS VARCHAR) AS v FROM plog" for c in _PROFILE_COLS
+) + """),
+pv AS (SELECT cname, v, COUNT(*) AS n FROM lg GROUP BY 1, 2),
+pc AS (
+  SELECT cname, SUM(n) AS total,
+         SUM(CASE WHEN v IS NOT NULL AND v <> '' THEN n ELSE 0 END) AS filled,
+         COUNT(CASE WHEN v IS NOT NULL AND v <> '' THEN 1 END) AS dispersion,
+         MAX(CASE WHEN v IS NOT NULL AND v <> '' THEN n END) AS top
+  FROM pv GROUP BY 1
+)
+SELECT cname, CAST(total - filled AS DOUBLE) / total AS nonePercent, dispersion,
+       COALESCE(CAST(top AS DOUBLE) / filled, 0.0) AS modePercent
+FROM pc"""
+
+
+@register("column_profile", _PROFILE_SQL)
+def q_column_profile(spark: SparkSession, d: str) -> DataFrame:
+    return column_profile(_res_log(spark, d).select(*_PROFILE_COLS))
+
+
+# ------------------------------------------------------------------ ratings
+
+
+@register(
+    "avg_ratings",
+    SQL.with_(SQL.PURCHASE_RES)
+    + " SELECT USER_ID, PRODUCT_CODE, AVG(SCORE) AS SCORE FROM filled WHERE USER_ID IS NOT NULL AND SCORE IS NOT NULL GROUP BY 1, 2",
+)
+def q_avg_ratings(spark: SparkSession, d: str) -> DataFrame:
+    return avg_ratings(_res_log(spark, d), B.resource_map(spark, d))
+
+
+@register(
+    "dense_index",
+    SQL.with_(SQL.PURCHASE_RATINGS)
+    + """ SELECT USER_ID, CAST(ROW_NUMBER() OVER (ORDER BY USER_ID) - 1 AS INTEGER) AS u
+    FROM (SELECT DISTINCT USER_ID FROM purchase_ratings)""",
+)
+def q_dense_index(spark: SparkSession, d: str) -> DataFrame:
+    return dense_index(purchase_ratings(spark, d), C.USER_ID, "u")
+
+
+def _event_preferences(spark: SparkSession, d: str) -> DataFrame:
+    return preference_scores(
+        B.event_score_log(spark, d, ("purchase",)),
+        [(B.event_log(spark, d, "click"), 0.3), (B.event_log(spark, d, "view"), 0.6)],
+    )
+
+
+@register("preference_scores", SQL.PREFERENCE + " SELECT * FROM pref")
+def q_preference_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _event_preferences(spark, d)
+
+
+@register("user_vectors")
+def q_user_vectors(spark: SparkSession, d: str) -> DataFrame:
+    scores = _event_preferences(spark, d)
+    users = dense_index(scores, C.USER_ID, "u")
+    items = dense_index(scores, C.PRODUCT_CODE, "i")
+    indexed = scores.join(users, C.USER_ID).join(items, C.PRODUCT_CODE)
+    return user_vectors(indexed, n_items=items.count())
+
+
+# ----------------------------------------------------------------- segments
+
+
+def _segments_given(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return run_given_segments(purchase_ratings(spark, d), B.segment_dim(spark, d), SEGMENT)
+
+
+@register("segment_item_scores", SQL.with_(SQL.PURCHASE_RATINGS, SQL.SEGMENTS) + " SELECT * FROM seg_scores")
+def q_segment_item_scores(spark: SparkSession, d: str) -> DataFrame:
+    return segment_item_scores(purchase_ratings(spark, d), B.segment_dim(spark, d))
+
+
+@register("segment_topn", SQL.with_(SQL.PURCHASE_RATINGS, SQL.SEGMENTS) + " SELECT * FROM seg_top")
+def q_segment_topn(spark: SparkSession, d: str) -> DataFrame:
+    return _segments_given(spark, d)["Cluster-recommendations"]
+
+
+@register("segment_recommendations", SQL.with_(SQL.PURCHASE_RATINGS, SQL.SEGMENTS) + " SELECT * FROM seg_recs")
+def q_segment_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return _segments_given(spark, d)["User-recommendations"]
+
+
+@register("run_metrics", SQL.SEGMENT_METRICS)
+def q_run_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return _segments_given(spark, d)["Recommendation-metrics"]
+
+
+@register("cluster_users")
+def q_cluster_users(spark: SparkSession, d: str) -> DataFrame:
+    return run_clusters(_event_preferences(spark, d), SEGMENT)["User-clusters"]
+
+
+@register("cluster_recommendations")
+def q_cluster_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return run_clusters(_event_preferences(spark, d), SEGMENT)["Recommendation-metrics"]
+
+
+# ---------------------------------------------------------------------- ALS
+
+
+def _event_ratings(spark: SparkSession, d: str) -> DataFrame:
+    return avg_ratings(B.event_score_log(spark, d, ("purchase", "view")))
+
+
+@register("als_factors")
+def q_als_factors(spark: SparkSession, d: str) -> DataFrame:
+    return run_als(_event_ratings(spark, d), ALS_PARAMS)["User-factors"]
+
+
+@register("als_predictions")
+def q_als_predictions(spark: SparkSession, d: str) -> DataFrame:
+    return run_als(_event_ratings(spark, d), ALS_PARAMS)["Rating-predictions"]
+
+
+@register("als_recommendations")
+def q_als_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return run_als(_event_ratings(spark, d), ALS_PARAMS)["User-recommendations"]
+
+
+@register("als_run")
+def q_als_run(spark: SparkSession, d: str) -> DataFrame:
+    return run_als(_event_ratings(spark, d), ALS_PARAMS)["Recommendation-metrics"]
+
+
+@register("als_cross_validation")
+def q_als_cross_validation(spark: SparkSession, d: str) -> DataFrame:
+    _, _, indexed = index_ratings(_event_ratings(spark, d))
+    return als_cross_validation(indexed, folds=5, rank=5, reg=1.0, max_iter=5, blocks=4, seed=42)
+
+
+@register(
+    "rating_rmse",
+    SQL.COSINE
+    + """ SELECT ROUND(SQRT(AVG((p.prediction - x.SCORE) * (p.prediction - x.SCORE))), 9) + 0.0 AS RMSE
+    FROM cs_pred_rated p JOIN purchase_ratings x USING (USER_ID, PRODUCT_CODE)""",
+)
+def q_rating_rmse(spark: SparkSession, d: str) -> DataFrame:
+    ratings, top = _cosine_top(spark, d)
+    rated = predict_ratings(ratings, top, min_rating=COSINE.min_rating, unrated=False)
+    rmse = rating_rmse(rated.join(ratings, [C.USER_ID, C.PRODUCT_CODE]))
+    return rmse.select(fixed("RMSE", 9).alias("RMSE"))
+
+
+# --------------------------------------------------------------- comparison
+
+
+@register("find_user", SQL.with_(SQL.PEOPLE) + " SELECT USER_ID, ACCOUNT, NAME FROM found")
+def q_find_user(spark: SparkSession, d: str) -> DataFrame:
+    return find_user(B.user_dim(spark, d), B.account_dim(spark, d), SQL.LOOKUP_USER).select(C.USER_ID, C.ACCOUNT, C.NAME)
+
+
+@register(
+    "user_history_named",
+    SQL.with_(SQL.PEOPLE)
+    + """ SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID, 1 + FLOOR((l.l_quantity - 1) / 10) AS SCORE,
+                 f.ACCOUNT, f.NAME, p.PRODUCT_NAME
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+    JOIN found f ON f.USER_ID = CAST(o.o_custkey AS VARCHAR)
+    JOIN products p ON p.PRODUCT_CODE = CAST(l.l_partkey AS VARCHAR)""",
+)
+def q_user_history_named(spark: SparkSession, d: str) -> DataFrame:
+    people = find_user(B.user_dim(spark, d), B.account_dim(spark, d), SQL.LOOKUP_USER)
+    history = model_history("CosSim", scores=B.purchase_log(spark, d))
+    return attach_names(history, people, B.product_dim(spark, d)).select(C.USER_ID, C.SCORE, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
+
+
+_NAMED_RECS_SQL = (
+    SQL.COSINE
+    + ","
+    + SQL.PEOPLE
+    + """ SELECT r.USER_ID, f.ACCOUNT, f.NAME, p.PRODUCT_NAME
+    FROM cs_recs r JOIN found f ON f.USER_ID = r.USER_ID JOIN products p ON p.PRODUCT_CODE = r.PRODUCT_CODE"""
+)
+
+
+@register("user_recommendations_named", _NAMED_RECS_SQL)
+def q_user_recommendations_named(spark: SparkSession, d: str) -> DataFrame:
+    people = find_user(B.user_dim(spark, d), B.account_dim(spark, d), SQL.LOOKUP_USER)
+    recs = run_cosine(purchase_ratings(spark, d), COSINE)["User-recommendations"].select(C.USER_ID, C.PRODUCT_CODE)
+    return attach_names(recs, people, B.product_dim(spark, d)).select(C.USER_ID, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
+
+
+@register("compare_run", _NAMED_RECS_SQL)
+def q_compare_run(spark: SparkSession, d: str) -> DataFrame:
+    folder = _written_cosine_recs(spark, d)
+    out = run_compare(
+        folder, model="CosSim", user=SQL.LOOKUP_USER, users=B.user_dim(spark, d), accounts=B.account_dim(spark, d),
+        items=B.product_dim(spark, d), scores=B.purchase_log(spark, d),
+    )
+    return out["User-recommendations"].select(C.USER_ID, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
