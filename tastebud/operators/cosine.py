@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..functions import fixed
+from .ratings import dense_index
 from .topn import ranked_top_n
 
 # Rows of one user that go into one join block of the self-join.  A user
@@ -41,6 +42,22 @@ def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
+def item_keys(ratings: DataFrame) -> tuple[DataFrame, bool]:
+    """A long surrogate key per item: (PRODUCT_CODE, _k), and whether it is a hash.
+
+    ``xxhash64`` of the id is used when it is collision-free on this item set
+    (checked with one aggregate), so keys cost no join; otherwise the dense
+    id index supplies them.  Pair shuffles then carry two longs instead of
+    two strings.
+    """
+    items = ratings.select(C.PRODUCT_CODE).distinct()
+    hashed = items.withColumn("_k", F.xxhash64(C.PRODUCT_CODE))
+    n_items, n_keys = hashed.agg(F.count(F.lit(1)), F.count_distinct("_k")).first()
+    if n_items == n_keys:
+        return hashed, True
+    return dense_index(items, C.PRODUCT_CODE, "_k").withColumn("_k", F.col("_k").cast("long")), False
+
+
 def corated_pairs(
     ratings: DataFrame,
     *,
@@ -52,18 +69,25 @@ def corated_pairs(
     -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
        j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
 
-    Users with at most ``block_rows`` ratings self-join on the user.  A
-    heavier user is cut into blocks = ceil(n / block_rows) blocks per side and
-    joins on (user, a, b): the left copy of a rating sits in block
-    a = hash(i) mod blocks and is repeated for every b, the right copy sits in
-    block b = hash(j) mod blocks and is repeated for every a, so the user's
-    pairs spread over blocks^2 tasks of at most block_rows^2 pairs each.
-    Each pair is emitted once (i < j) and the four sums combine map-side
-    before the shuffle on (i, j).
+    Items are replaced by long keys (``item_keys``) for the pair stage.
+    Users with at most ``block_rows`` ratings self-join on the user, reusing
+    the partitioning of the per-user window.  A heavier user is cut into
+    blocks = ceil(n / block_rows) blocks per side and joins on (user, a, b):
+    the left copy of a rating sits in block a = hash(i) mod blocks and is
+    repeated for every b, the right copy sits in block b = hash(j) mod blocks
+    and is repeated for every a, so the user's pairs spread over blocks^2
+    tasks of at most block_rows^2 pairs each.  Each pair is emitted once and
+    the four sums combine map-side before the shuffle on (i, j); only pairs
+    that reach ``min_commons`` are mapped back to item ids.
     """
-    dev = _deviations(ratings, block_rows)
-    # Ordinary users: self-join on the user, reusing the window's partitioning
-    # (no further exchange).
+    keys, hashed = item_keys(ratings)
+    keyed = (
+        ratings.withColumn("_k", F.xxhash64(C.PRODUCT_CODE))
+        if hashed
+        else ratings.join(keys, C.PRODUCT_CODE)
+    )
+    dev = _deviations(keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE), block_rows)
+    # Ordinary users: self-join on the user, reusing the window's partitioning.
     light = dev.filter(F.col("_blocks") <= 1)
     light_pairs = (
         light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"))
@@ -84,12 +108,22 @@ def corated_pairs(
     pairs = light_pairs.unionByName(heavy_pairs)
     sums = pairs.groupBy("_i", "_j").agg(
         F.sum(F.col("_di") * F.col("_dj")).alias("cross"),
-        F.sum(F.col("_di") * F.col("_di")).alias("i_sq"),
-        F.sum(F.col("_dj") * F.col("_dj")).alias("j_sq"),
+        F.sum(F.col("_di") * F.col("_di")).alias("_isq"),
+        F.sum(F.col("_dj") * F.col("_dj")).alias("_jsq"),
         F.count(F.lit(1)).alias("n_commons"),
-    )
-    return sums.filter(F.col("n_commons") >= min_commons).select(
-        F.col("_i").alias(C.PRODUCT_CODE), F.col("_j").alias(C.J_PRODUCT_CODE), "cross", "i_sq", "j_sq", "n_commons"
+    ).filter(F.col("n_commons") >= min_commons)
+    ki = keys.select(F.col("_k").alias("_i"), F.col(C.PRODUCT_CODE).alias("_si"))
+    kj = keys.select(F.col("_k").alias("_j"), F.col(C.PRODUCT_CODE).alias("_sj"))
+    named = sums.join(ki, "_i").join(kj, "_j")
+    # Present each pair with PRODUCT_CODE < j_PRODUCT_CODE (id order).
+    swap = F.col("_si") > F.col("_sj")
+    return named.select(
+        F.when(swap, F.col("_sj")).otherwise(F.col("_si")).alias(C.PRODUCT_CODE),
+        F.when(swap, F.col("_si")).otherwise(F.col("_sj")).alias(C.J_PRODUCT_CODE),
+        "cross",
+        F.when(swap, F.col("_jsq")).otherwise(F.col("_isq")).alias("i_sq"),
+        F.when(swap, F.col("_isq")).otherwise(F.col("_jsq")).alias("j_sq"),
+        "n_commons",
     )
 
 

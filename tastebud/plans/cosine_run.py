@@ -7,20 +7,37 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..operators.cosine import adjusted_cosine, cosine_recommendations, predict_ratings, top_similar_items
+from ..session import cut_lineage
 from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text, squared_error
 from .params import CosineParams
 
 
-def run_cosine(ratings: DataFrame, params: CosineParams = CosineParams()) -> dict[str, DataFrame]:
-    """All products of one run, as lazy DataFrames.
+def similar_items(ratings: DataFrame, params: CosineParams, *, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(ratings, top similar items), both checkpointed when ``materialize``.
 
-    ``ratings`` is (USER_ID, PRODUCT_CODE, SCORE), one row per pair (see
-    ``avg_ratings``).  Products: Item-cossimularities, Rating-predictions,
-    User-recommendations, Recommendation-metrics.
+    Both feed several consumers (pairs, two predictions, metrics); a reliable
+    checkpoint in the shared checkpoint folder computes each once and cuts
+    the lineage before the long pair stage, so a lost executor costs a
+    partition of the checkpoint, not the whole chain.
     """
+    if materialize:
+        ratings = cut_lineage(ratings)
     sims = top_similar_items(
         adjusted_cosine(ratings, min_commons=params.min_commons), min_sim=params.min_sim, top_sim=params.top_sim
     )
+    if materialize:
+        sims = cut_lineage(sims)
+    return ratings, sims
+
+
+def run_cosine(ratings: DataFrame, params: CosineParams = CosineParams(), *, materialize: bool = True) -> dict[str, DataFrame]:
+    """All products of one run.
+
+    ``ratings`` is (USER_ID, PRODUCT_CODE, SCORE), one row per pair (see
+    ``avg_ratings``).  Products: Item-cossimularities, Rating-predictions,
+    User-recommendations, Recommendation-metrics.
+    """
+    ratings, sims = similar_items(ratings, params, materialize=materialize)
     unrated = predict_ratings(ratings, sims, min_rating=params.min_rating, unrated=True)
     rated = predict_ratings(ratings, sims, min_rating=params.min_rating, unrated=False)
     recs = cosine_recommendations(unrated, min_rating=params.min_rating, top_n=params.top_n)

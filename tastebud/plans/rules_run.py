@@ -12,6 +12,7 @@ from ..operators.behavior import behavior_union, bucket_baskets, user_baskets
 from ..operators.evaluate import metrics_table, one_row, ratio_text
 from ..operators.rules import association_rules, contained_sets, fit_itemsets, frequent_itemsets, rule_recommendations
 from ..operators.timewin import Season, bucket_events, holdout_year_cap, seasonal_future, seasonal_history, seasonal_window
+from ..session import cut_lineage
 from .params import RulesParams, link_args
 
 
@@ -30,8 +31,13 @@ def time_window_parts(
     *,
     scores: DataFrame | None = None,
     resource_map: DataFrame | None = None,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
-    """Lazy intermediate frames of the time-window run (no action)."""
+    """Intermediate frames of the time-window run.
+
+    With ``materialize`` the behaviour set (read by baskets, history, hold-out
+    and metrics) is checkpointed once; otherwise everything stays lazy.
+    """
     season = Season.of(params.end_time, params.months)
 
     def behaviour(cap: int | None) -> DataFrame:
@@ -42,6 +48,8 @@ def time_window_parts(
         )
 
     processed = behaviour(None)
+    if materialize:
+        processed = cut_lineage(processed)
     cap = holdout_year_cap(season)
     future = seasonal_future(processed if cap == season.year else behaviour(cap), season)
     baskets = bucket_baskets(bucket_events(processed, days=params.tran_days), max_items=params.max_items)
@@ -55,8 +63,11 @@ def full_history_parts(
     *,
     scores: DataFrame | None = None,
     resource_map: DataFrame | None = None,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
     processed = behavior_union(logs, resource_map, scores=scores, include_scores=params.include_scores)
+    if materialize:
+        processed = cut_lineage(processed)
     return {"processed": processed, "history": processed, "baskets": user_baskets(processed, max_items=params.max_items)}
 
 
@@ -77,7 +88,7 @@ def run_rules(
     history or hold-out, as the reference does.
     """
     build = time_window_parts if time_window else full_history_parts
-    parts = build(logs, params, scores=scores, resource_map=resource_map)
+    parts = build(logs, params, scores=scores, resource_map=resource_map, materialize=True)
     processed, history, baskets = parts["processed"], parts["history"], parts["baskets"]
     if check:
         _require(processed, "processed behaviour")

@@ -9,6 +9,7 @@ from .. import columns as C
 from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text
 from ..operators.ratings import dense_index, user_vectors
 from ..operators.segments import cluster_users, segment_item_scores, segment_recommendations, segment_topn
+from ..session import cut_lineage
 from .params import SegmentParams
 
 
@@ -69,13 +70,15 @@ def run_clusters(scores: DataFrame, params: SegmentParams = SegmentParams()) ->
     user, k-means assigns clusters; the k x N top-N table is broadcast
     (bounded by k and N).  Metrics add the WSSSE.
     """
+    scores = cut_lineage(scores)
     users = dense_index(scores, C.USER_ID, "u")
     items = dense_index(scores, C.PRODUCT_CODE, "i")
     n_items = items.count()
     indexed = scores.join(users, C.USER_ID).join(items, C.PRODUCT_CODE)
     vectors = user_vectors(indexed, n_items=int(n_items))
     model, labelled = cluster_users(vectors, k=params.k, max_iter=params.max_iter, seed=params.seed)
-    assignments = labelled.join(users, F.col("label") == F.col("u")).select(C.USER_ID, C.PREDICTION)
+    # One row per user, read by every product: computed once.
+    assignments = cut_lineage(labelled.join(users, F.col("label") == F.col("u")).select(C.USER_ID, C.PREDICTION))
     out = _segment_products(scores, assignments, params, bounded=True)
     out["User-clusters"] = assignments
     wssse = float(model.summary.trainingCost)

@@ -22,7 +22,7 @@ from .operators.evaluate import catalog_coverage, precision_recall
 from .operators.ratings import avg_ratings
 from .operators.rules import association_rules, contained_sets, fit_itemsets, frequent_itemsets, rule_matches, rule_recommendations
 from .operators.timewin import Season, bucket_events, parse_event_time, seasonal_future, seasonal_history, seasonal_window
-from .plans.cosine_run import run_cosine
+from .plans.cosine_run import run_cosine, similar_items
 from . import oracle as SQL
 from .functions import fixed
 from .operators.cleansing import cast_columns, column_profile, fill_item_from_resource
@@ -92,9 +92,7 @@ def q_top_similar_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cosine_top(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    ratings = purchase_ratings(spark, d)
-    sims = adjusted_cosine(ratings, min_commons=COSINE.min_commons)
-    return ratings, top_similar_items(sims, min_sim=COSINE.min_sim, top_sim=COSINE.top_sim)
+    return similar_items(purchase_ratings(spark, d), COSINE)
 
 
 @register("predict_unrated", SQL.COSINE + " SELECT * FROM cs_pred_unrated")
