@@ -28,7 +28,7 @@ from .functions import fixed
 from .operators.cleansing import cast_columns, column_profile, fill_item_from_resource
 from .operators.compare import attach_names, find_user, model_history
 from .operators.evaluate import rating_rmse
-from .operators.factors import als_cross_validation
+from .operators.factors import als_candidates, als_cross_validation, als_fit
 from .operators.ratings import dense_index, preference_scores, user_vectors
 from .operators.segments import segment_item_scores
 from .plans.als_run import index_ratings, run_als
@@ -339,7 +339,7 @@ def _written_cosine_recs(spark: SparkSession, d: str) -> str:
     root = shared_path(spark, "tastebud-results", uuid.uuid4().hex)
     write_product(
         products["User-recommendations"], root, model="CosSim", sub_type=None,
-        product="User-recommendations", op_time=COSINE.op_time,
+        product="User-recommendations", op_time=COSINE.op_time, stamp=False,
     )
     return run_folder(root, "CosSim", None, COSINE.op_time)
 
@@ -498,6 +498,16 @@ def q_als_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return run_als(_event_ratings(spark, d), ALS_PARAMS)["User-recommendations"]
 
 
+@register("als_candidates")
+def q_als_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Exact top-N candidate retrieval (unrated items only), by id."""
+    users, items, indexed = index_ratings(_event_ratings(spark, d))
+    model = als_fit(indexed, rank=ALS_PARAMS.rank, reg=ALS_PARAMS.reg, max_iter=ALS_PARAMS.max_iter,
+                    blocks=ALS_PARAMS.blocks, seed=ALS_PARAMS.seed)
+    cand = als_candidates(model, indexed, top_n=ALS_PARAMS.top_n)
+    return cand.join(users, "u").join(items, "i").select(C.USER_ID, C.PRODUCT_CODE, C.PREDICTION)
+
+
 @register("als_run")
 def q_als_run(spark: SparkSession, d: str) -> DataFrame:
     return run_als(_event_ratings(spark, d), ALS_PARAMS)["Recommendation-metrics"]

@@ -72,8 +72,16 @@ def write_product(
     op_time: str,
     fmt: str = "csv",
     sep: str = "#",
+    stamp: bool = True,
 ) -> str:
+    """Write one product under the run layout.
+
+    With ``stamp`` every product but the metrics gets the run stamp as a last
+    ``op_time`` column (a literal, no extra pass over the data).
+    """
     path = os.path.join(run_folder(root, model, sub_type, op_time), product)
+    if stamp and product not in SMALL_PRODUCTS and "op_time" not in df.columns:
+        df = df.withColumn("op_time", F.lit(op_time))
     if product in SMALL_PRODUCTS:
         # A handful of metric rows: one file.
         df = df.coalesce(1)
@@ -89,10 +97,17 @@ def write_product(
 
 
 def write_products(
-    products: Mapping[str, DataFrame], root: str, *, model: str, sub_type: str | None, op_time: str, fmt: str = "csv"
+    products: Mapping[str, DataFrame],
+    root: str,
+    *,
+    model: str,
+    sub_type: str | None,
+    op_time: str,
+    fmt: str = "csv",
+    stamp: bool = True,
 ) -> dict[str, str]:
     return {
-        name: write_product(df, root, model=model, sub_type=sub_type, product=name, op_time=op_time, fmt=fmt)
+        name: write_product(df, root, model=model, sub_type=sub_type, product=name, op_time=op_time, fmt=fmt, stamp=stamp)
         for name, df in products.items()
     }
 

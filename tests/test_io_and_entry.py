@@ -26,7 +26,7 @@ def test_delimited_round_trip_and_layout(spark):
         if f.startswith("part-"):
             with open(os.path.join(path, f)) as fh:
                 lines += [ln.strip() for ln in fh if ln.strip()]
-    assert sorted(lines) == ["u1#p1#1", "u1#p2#2"]
+    assert sorted(lines) == ["u1#p1#1#2017032000", "u1#p2#2#2017032000"]  # run stamp appended
 
 
 def test_partitioned_products_overwrite_one_run(spark):
