@@ -31,7 +31,7 @@ def avg_ratings(
     if resource_map is not None:
         base = fill_item_from_resource(base, resource_map, dedupe_map=dedupe_map)
     clean = (
-        base.filter(F.col(C.USER_ID).isNotNull() & present(C.SCORE))
+        base.filter(F.col(C.USER_ID).isNotNull() & F.col(C.PRODUCT_CODE).isNotNull() & present(C.SCORE))
         .withColumn(C.SCORE, F.col(C.SCORE).try_cast("double"))
         .filter(F.col(C.SCORE).isNotNull())
     )
