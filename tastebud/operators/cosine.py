@@ -89,11 +89,10 @@ def corated_pairs(
     dev = _deviations(keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE), block_rows)
     # Ordinary users: self-join on the user, reusing the window's partitioning.
     light = dev.filter(F.col("_blocks") <= 1)
-    light_pairs = (
-        light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"))
-        .join(light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj")), C.USER_ID)
-        .filter(F.col("_i") < F.col("_j"))
-    )
+    li = light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"))
+    lj = light.select(F.col(C.USER_ID).alias("_u"), F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"))
+    # i < j is part of the join condition, so rejected pairs are never built as rows.
+    light_pairs = li.join(lj, (F.col(C.USER_ID) == F.col("_u")) & (F.col("_i") < F.col("_j"))).drop("_u")
     # Heavy users: blocked self-join on (user, a, b).
     heavy = dev.filter(F.col("_blocks") > 1)
     home = F.pmod(F.xxhash64(C.PRODUCT_CODE), F.col("_blocks")).cast("int")

@@ -67,22 +67,38 @@ def als_predictions(model: ALSModel, pairs: DataFrame, *, min_score: float | Non
     return scored
 
 
-def als_candidates(model: ALSModel, ratings: DataFrame, *, top_n: int, light_rated: int = 256) -> DataFrame:
+def _tier_bounds(max_rated: int, first: int = 16, growth: int = 4) -> list[int]:
+    bounds = [first]
+    while bounds[-1] < max_rated:
+        bounds.append(bounds[-1] * growth)
+    return bounds
+
+
+def als_candidates(model: ALSModel, ratings: DataFrame, *, top_n: int, first_tier: int = 16) -> DataFrame:
     """Exact top-N candidate retrieval of unrated items, without a users x items product.
 
     A user who rated n items has its N best unrated items among its N + n
-    best items overall.  Users with n <= ``light_rated`` are served by one
-    blocked ``recommendForUserSubset(N + light_rated)``; the few heavier
-    users by a second call sized by their largest n.  Rated items are then
-    removed with an anti join.  -> u, i, prediction (unrated only).
+    best items overall.  Users are grouped into geometric tiers of n
+    (<= 16, <= 64, <= 256, ...); each tier is served by one blocked
+    ``recommendForUserSubset(N + tier bound)``, so a user receives fewer than
+    4 n + N + 16 candidates and a heavy user costs only its own tier.  Rated
+    items are then removed with an anti join.  Only the per-tier user counts
+    (a handful of rows) reach the driver.  -> u, i, prediction (unrated only).
     """
     rated = ratings.groupBy(USER_IDX).agg(F.count(F.lit(1)).alias("_n"))
-    light = rated.filter(F.col("_n") <= light_rated).select(USER_IDX)
-    heavy = rated.filter(F.col("_n") > light_rated)
-    parts = [model.recommendForUserSubset(light, top_n + light_rated)]
-    heaviest = heavy.agg(F.max("_n")).first()[0]
-    if heaviest is not None:
-        parts.append(model.recommendForUserSubset(heavy.select(USER_IDX), top_n + int(heaviest)))
+    max_rated = rated.agg(F.max("_n")).first()[0]
+    if max_rated is None:
+        return ratings.sparkSession.createDataFrame([], f"{USER_IDX} int, {ITEM_IDX} int, {C.PREDICTION} double")
+    bounds = _tier_bounds(int(max_rated), first=first_tier)
+    tier = F.lit(len(bounds) - 1)
+    for k in reversed(range(len(bounds))):
+        tier = F.when(F.col("_n") <= bounds[k], F.lit(k)).otherwise(tier)
+    tiered = rated.withColumn("_tier", tier)
+    present = [r["_tier"] for r in tiered.groupBy("_tier").count().collect()]
+    parts = [
+        model.recommendForUserSubset(tiered.filter(F.col("_tier") == k).select(USER_IDX), top_n + bounds[k])
+        for k in sorted(present)
+    ]
     recs = parts[0]
     for p in parts[1:]:
         recs = recs.unionByName(p)

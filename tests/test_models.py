@@ -96,8 +96,8 @@ def test_als_candidates_are_exact_top_n(spark):
     for r in ratings.collect():
         rated.setdefault(r["u"], set()).add(r["i"])
     top_n = 3
-    for light in (2, 1000):  # 2 forces the heavy-user path for most users
-        cand = als_candidates(model, ratings, top_n=top_n, light_rated=light)
+    for first in (2, 1000):  # 2 spreads users over several tiers
+        cand = als_candidates(model, ratings, top_n=top_n, first_tier=first)
         got = {}
         for r in cand.collect():
             got.setdefault(r["u"], []).append((r[C.PREDICTION], r["i"]))
