@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,18 @@ def fit_itemsets(
     """Parallel FP-growth on baskets (unique items per basket).
 
     The support threshold is ceil(min_support * baskets); ``num_partitions``
-    sets how many groups the conditional trees are split into.
+    sets how many groups the conditional trees are split into.  The model's
+    itemsets are a lazy lineage over the whole mining job; they are persisted
+    (memory and disk, recomputed from lineage if an executor is lost) so
+    itemsets, rules and every product derived from them mine once.
     """
     fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    return fp.fit(baskets.select(items_col))
+    model = fp.fit(baskets.select(items_col))
+    model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
+    model.associationRules.persist(StorageLevel.MEMORY_AND_DISK)
+    return model
 
 
 def frequent_itemsets(model: FPGrowthModel, *, max_len: int | None = None) -> DataFrame:
