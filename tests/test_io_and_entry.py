@@ -92,3 +92,43 @@ def test_every_oracle_has_a_query():
     assert set(o) <= set(q)
     assert len(q) >= 50
     assert not any(name.startswith("op") and name[2:3].isdigit() for name in q)
+
+
+def test_libsvm_and_text_sinks(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+
+    from tastebud.sinks import write_libsvm, write_text
+
+    root = tempfile.mkdtemp(prefix="tastebud-test-")
+    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+    df = spark.createDataFrame([(1.0, Vectors.sparse(4, [0, 3], [2.0, 5.0]))], schema)
+    write_libsvm(df, os.path.join(root, "svm"))
+    back = spark.read.format("libsvm").option("numFeatures", 4).load(os.path.join(root, "svm")).collect()
+    assert back[0]["label"] == 1.0 and back[0]["features"].toArray().tolist() == [2.0, 0.0, 0.0, 5.0]
+    write_text(spark.createDataFrame([("a : 1",)], "v string"), os.path.join(root, "txt"))
+    assert [r.value for r in spark.read.text(os.path.join(root, "txt")).collect()] == ["a : 1"]
+
+
+def test_scan_log_prunes_date_partitions(spark):
+    from pyspark.sql import functions as F
+
+    root = tempfile.mkdtemp(prefix="tastebud-test-")
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("day", F.to_date("ts"))
+    ev.write.partitionBy("day").parquet(os.path.join(root, "events"))
+    df = scan_log(spark, os.path.join(root, "events"), partition_filter=F.col("day") == F.lit("2024-01-03").cast("date"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert df.count() == ev.filter(F.col("day") == F.lit("2024-01-03").cast("date")).count() > 0
+
+
+def test_rules_run_refuses_empty_slices(spark):
+    from datetime import datetime
+
+    from tastebud.plans.params import RulesParams
+    from tastebud.plans.rules_run import run_rules
+    from tastebud.sources import bindings as B
+
+    log = B.shopping_log(spark, SF)
+    with pytest.raises(ValueError, match="empty"):
+        run_rules([log], RulesParams(end_time=datetime(1990, 6, 15), min_support=0.02, min_confidence=0.15))
