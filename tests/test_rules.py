@@ -95,3 +95,12 @@ def test_bucket_baskets_count_rows_not_items(spark):
     )
     got = {(r[C.USER_ID], r["BUCKET"], tuple(r["ITEMS"]), r["N_ROWS"]) for r in bucket_baskets(df, max_items=100).collect()}
     assert got == {("u1", 0, ("a",), 2), ("u1", 1, ("b", "c"), 2)}
+
+
+def test_behaviour_union_fills_items_from_resource_map(spark):
+    log = spark.createDataFrame(
+        [("u1", "r1", None), ("u1", "r2", "b"), ("u2", "r9", None)], "USER_ID string, RES_ID string, PRODUCT_CODE string"
+    )
+    rmap = spark.createDataFrame([("r1", "a"), ("r1", "c"), ("r2", "z")], "RES_ID string, PRODUCT_CODE string")
+    # r1 fans out to a and c; u1/r2 keeps its own item b; u2/r9 has no item and is dropped
+    assert rows(behavior_union([log], rmap)) == [("u1", "a"), ("u1", "b"), ("u1", "c")]
