@@ -86,7 +86,12 @@ def corated_pairs(
         if hashed
         else ratings.join(keys, C.PRODUCT_CODE)
     )
-    dev = _deviations(keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE), block_rows)
+    # The pair emission multiplies rows after this shuffle, so its input size
+    # says nothing about the work: an explicit partition count keeps AQE from
+    # coalescing it into a few tasks.  Window and light self-join reuse it.
+    parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_user = keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE).repartition(parts, C.USER_ID)
+    dev = _deviations(by_user, block_rows)
     # Ordinary users: self-join on the user, reusing the window's partitioning.
     light = dev.filter(F.col("_blocks") <= 1)
     li = light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"))
