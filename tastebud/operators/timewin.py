@@ -84,12 +84,15 @@ def seasonal_window(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME, ye
     return df.filter((F.col(ts) < _ntz(upper)) & seasonal_window_predicate(season, ts=ts, year_cap=year_cap))
 
 
-def seasonal_history(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME) -> DataFrame:
-    """Recent history slice (D2): [S, N] of year Y, or across the year start."""
+def seasonal_history(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME, half_open: bool = False) -> DataFrame:
+    """Recent history slice (D2): [S, N] of year Y, or across the year start.
+
+    ``half_open`` leaves day N to the hold-out: [S, N).
+    """
     y, (s, n, _) = season.year, season.bounds()
     day, year = _day(ts), _year(ts)
     if s < n:
-        pred = (year == y) & day.between(s, n)
+        pred = (year == y) & day.between(s, n - 1 if half_open else n)
     else:
         pred = ((year == y - 1) & (day > s)) | ((year == y) & (day < n))
     return df.filter(pred)

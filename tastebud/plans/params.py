@@ -22,6 +22,9 @@ class RulesParams:
     top_n: int = 10
     num_partitions: int = 10
     include_scores: bool = False
+    # True: rows at or after end_time do not train the rules, and day N
+    # belongs to the hold-out only (the reference lets both overlap).
+    holdout: bool = False
 
     @property
     def op_time(self) -> str:

@@ -52,8 +52,12 @@ def time_window_parts(
         processed = cut_lineage(processed)
     cap = holdout_year_cap(season)
     future = seasonal_future(processed if cap == season.year else behaviour(cap), season)
-    baskets = bucket_baskets(bucket_events(processed, days=params.tran_days), max_items=params.max_items)
-    history = seasonal_history(processed, season)
+    training = processed
+    if params.holdout:
+        end = F.lit(params.end_time.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+        training = processed.filter(F.col(C.EVENT_TIME) < end)
+    baskets = bucket_baskets(bucket_events(training, days=params.tran_days), max_items=params.max_items)
+    history = seasonal_history(processed, season, half_open=params.holdout)
     return {"processed": processed, "history": history, "future": future, "baskets": baskets}
 
 

@@ -101,3 +101,10 @@ def test_parse_event_time_and_buckets(spark):
     assert [r["BUCKET"] for r in out] == [0, 0, 1, 1_490_000_000_123 // (86_400_000 * 4)]
     assert out[0][C.DATE] == "1970-01-01 00:00:00"
     assert out[3][C.DATE] == "2017-03-20 08:53:20"
+
+
+def test_history_half_open_leaves_day_n_to_holdout(spark):
+    season = Season.of(datetime(2017, 3, 20), 1)
+    df = _times(spark, ["2017-03-05", "2017-03-19", "2017-03-20"])
+    hist = sorted(str(r[0].date()) for r in seasonal_history(df, season, half_open=True).collect())
+    assert hist == ["2017-03-05", "2017-03-19"]

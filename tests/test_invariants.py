@@ -44,3 +44,21 @@ def test_cosine_run_ignores_input_order(spark):
     b = run_cosine(ratings.repartition(5, F.rand(11)).sortWithinPartitions(F.rand(5)), p)
     for name in ("Item-cossimularities", "User-recommendations", "Recommendation-metrics"):
         assert rows(a[name]) == rows(b[name])
+
+
+def test_rules_holdout_mode_trains_before_end_time(spark):
+    from datetime import datetime
+
+    from tastebud.plans.params import RulesParams
+    from tastebud.plans.rules_run import time_window_parts
+
+    log = B.shopping_log(spark, SF)
+    base = RulesParams(end_time=datetime(2000, 6, 15), min_support=0.02, min_confidence=0.15)
+    shared = time_window_parts([log], base)
+    split = time_window_parts([log], RulesParams(**{**base.__dict__, "holdout": True}))
+    late = F.col(C.EVENT_TIME) >= F.lit("2000-06-15 00:00:00").cast("timestamp_ntz")
+    assert shared["processed"].filter(late).count() > 0
+    # baskets only from rows before end_time, history without day N; the hold-out is unchanged
+    assert split["baskets"].count() <= shared["baskets"].count()
+    assert split["history"].filter(F.dayofyear(C.EVENT_TIME) == 167).count() == 0
+    assert rows(split["future"]) == rows(shared["future"])
