@@ -17,7 +17,7 @@ def find_user(users: DataFrame, accounts: DataFrame, query: str) -> DataFrame:
     joined = accounts.select(C.PERSON_ID, C.ACCOUNT).join(users.select(C.PERSON_ID, C.NAME), C.PERSON_ID)
     people = joined.withColumnRenamed(C.PERSON_ID, C.USER_ID).distinct()
     q = F.lit(query)
-    return people.filter((F.col(C.USER_ID) == q) | (F.col(C.NAME) == q) | (F.col(C.ACCOUNT) == q))
+    return people.filter((F.col(C.USER_ID).cast("string") == q) | (F.col(C.NAME) == q) | (F.col(C.ACCOUNT) == q))
 
 
 def attach_names(df: DataFrame, people: DataFrame, items: DataFrame) -> DataFrame:

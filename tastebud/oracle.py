@@ -19,8 +19,8 @@ def with_(*ctes: str) -> str:
 
 PURCHASE_RATINGS = """
 purchase_ratings AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID,
-         CAST(l.l_partkey AS VARCHAR) AS PRODUCT_CODE,
+  SELECT o.o_custkey AS USER_ID,
+         l.l_partkey AS PRODUCT_CODE,
          AVG(1 + FLOOR((l.l_quantity - 1) / 10)) AS SCORE
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
   GROUP BY 1, 2
@@ -127,7 +127,7 @@ FULL_PARAMS = RulesParams(min_support=0.1, min_confidence=0.3, max_items=100, to
 
 SHOP = """
 shop AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID, p.p_brand AS PRODUCT_CODE, o.o_orderdate AS event_time
+  SELECT o.o_custkey AS USER_ID, p.p_brand AS PRODUCT_CODE, o.o_orderdate AS event_time
   FROM lineitem l
   JOIN orders o ON o.o_orderkey = l.l_orderkey
   JOIN part p ON p.p_partkey = l.l_partkey
@@ -137,7 +137,7 @@ shop AS (
 def _event_log(name: str, types: str) -> str:
     return f"""
 {name} AS (
-  SELECT CAST(user_id AS VARCHAR) AS USER_ID, json_extract_string(props, '$.k') AS PRODUCT_CODE,
+  SELECT user_id AS USER_ID, json_extract_string(props, '$.k') AS PRODUCT_CODE,
          LEAST(5, 1 + FLOOR(value / 25)) AS SCORE, ts AS event_time
   FROM events WHERE event_type IN ({types})
 )"""
@@ -375,9 +375,9 @@ stats AS (
 
 PURCHASE_RES = """
 plog AS (
-  SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID,
+  SELECT o.o_custkey AS USER_ID,
          'R' || CAST(l.l_partkey AS VARCHAR) AS RES_ID,
-         CASE WHEN l.l_linenumber % 3 = 0 THEN NULL ELSE CAST(l.l_partkey AS VARCHAR) END AS PRODUCT_CODE,
+         CASE WHEN l.l_linenumber % 3 = 0 THEN NULL ELSE l.l_partkey END AS PRODUCT_CODE,
          1 + FLOOR((l.l_quantity - 1) / 10) AS SCORE,
          epoch_us(o.o_orderdate) // 1000 AS SCORE_TIME,
          o.o_orderdate AS event_time
@@ -385,9 +385,9 @@ plog AS (
 ),
 rmap AS (
   SELECT DISTINCT RES_ID, PRODUCT_CODE FROM (
-    SELECT 'R' || CAST(p_partkey AS VARCHAR) AS RES_ID, CAST(p_partkey AS VARCHAR) AS PRODUCT_CODE FROM part
+    SELECT 'R' || CAST(p_partkey AS VARCHAR) AS RES_ID, p_partkey AS PRODUCT_CODE FROM part
     UNION ALL
-    SELECT 'R' || CAST(p_partkey AS VARCHAR), CAST(p_partkey + 1 AS VARCHAR) FROM part WHERE p_partkey % 50 = 0
+    SELECT 'R' || CAST(p_partkey AS VARCHAR), p_partkey + 1 FROM part WHERE p_partkey % 50 = 0
   )
 ),
 filled AS (
@@ -397,7 +397,7 @@ filled AS (
 )"""
 
 SEGMENTS = """
-seg AS (SELECT CAST(c_custkey AS VARCHAR) AS USER_ID, c_mktsegment AS prediction FROM customer),
+seg AS (SELECT c_custkey AS USER_ID, c_mktsegment AS prediction FROM customer),
 asg AS (SELECT * FROM seg WHERE USER_ID IN (SELECT USER_ID FROM purchase_ratings)),
 seg_scores AS (
   SELECT a.prediction, r.PRODUCT_CODE, ROUND(SUM(r.SCORE), 6) + 0.0 AS score_sum
@@ -453,10 +453,11 @@ LOOKUP_USER = "Customer#000000124"
 
 PEOPLE = f"""
 people AS (
-  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS USER_ID, 'acct-' || CAST(c_custkey AS VARCHAR) AS ACCOUNT, c_name AS NAME
+  SELECT DISTINCT c_custkey AS USER_ID, 'acct-' || CAST(c_custkey AS VARCHAR) AS ACCOUNT, c_name AS NAME
   FROM customer
 ),
 found AS (
-  SELECT * FROM people WHERE USER_ID = '{LOOKUP_USER}' OR NAME = '{LOOKUP_USER}' OR ACCOUNT = '{LOOKUP_USER}'
+  SELECT * FROM people
+  WHERE CAST(USER_ID AS VARCHAR) = '{LOOKUP_USER}' OR NAME = '{LOOKUP_USER}' OR ACCOUNT = '{LOOKUP_USER}'
 ),
-products AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS PRODUCT_CODE, p_name AS PRODUCT_NAME FROM part)"""
+products AS (SELECT DISTINCT p_partkey AS PRODUCT_CODE, p_name AS PRODUCT_NAME FROM part)"""

@@ -31,10 +31,12 @@ def run_compare(
     products: ``<save_to>/User-historys`` and ``<save_to>/User-recommendations``.
     """
     spark = users.sparkSession
-    recs = read_results(spark, os.path.join(run_folder, "User-recommendations"), [C.USER_ID, C.PRODUCT_CODE])
+    # Text products hold ids as text: read them back as the dimensions' id types.
+    types = {C.USER_ID: users.schema[C.PERSON_ID].dataType.simpleString(), C.PRODUCT_CODE: items.schema[C.PRODUCT_CODE].dataType.simpleString()}
+    recs = read_results(spark, os.path.join(run_folder, "User-recommendations"), [C.USER_ID, C.PRODUCT_CODE], types=types)
     saved = None
     if model == "Association":
-        saved = read_results(spark, os.path.join(run_folder, "User-history-logs"), [C.USER_ID, C.PRODUCT_CODE])
+        saved = read_results(spark, os.path.join(run_folder, "User-history-logs"), [C.USER_ID, C.PRODUCT_CODE], types=types)
     history = model_history(model, saved_history=saved, scores=scores, other_logs=other_logs)
     out = compare_user(history, recs, users, accounts, items, user=user)
     if save_to is not None:

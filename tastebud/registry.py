@@ -140,7 +140,7 @@ def _season_model(spark: SparkSession, d: str):
 
 
 _EVENTS_PARSED_SQL = """
-SELECT CAST(user_id AS VARCHAR) AS USER_ID, json_extract_string(props, '$.k') AS PRODUCT_CODE,
+SELECT user_id AS USER_ID, json_extract_string(props, '$.k') AS PRODUCT_CODE,
        epoch_us(ts) // 1000 AS CREATE_TIME, epoch_ms(epoch_us(ts) // 1000) AS event_time,
        strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%d %H:%M:%S') AS DATE
 FROM events WHERE event_type = 'click'"""
@@ -316,12 +316,12 @@ ALS_PARAMS = AlsParams(rank=10, reg=0.1, max_iter=10, top_n=10, blocks=10, min_s
 
 @register(
     "scan_log",
-    """SELECT CAST(user_id AS VARCHAR) AS USER_ID, event_type, ts FROM events
+    """SELECT user_id AS USER_ID, event_type, ts FROM events
     WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'""",
 )
 def q_scan_log(spark: SparkSession, d: str) -> DataFrame:
     df = scan_log(spark, f"{d}/events.parquet", time_col="ts", since="2024-01-08 00:00:00", until="2024-01-15 00:00:00")
-    return df.select(F.col("user_id").cast("string").alias(C.USER_ID), "event_type", "ts")
+    return df.select(F.col("user_id").alias(C.USER_ID), "event_type", "ts")
 
 
 @register(
@@ -348,20 +348,22 @@ def _written_cosine_recs(spark: SparkSession, d: str) -> str:
 def q_read_results(spark: SparkSession, d: str) -> DataFrame:
     folder = _written_cosine_recs(spark, d)
     return read_results(
-        spark, f"{folder}/User-recommendations", [C.USER_ID, C.PRODUCT_CODE, C.RANK], types={C.RANK: "int"}
+        spark, f"{folder}/User-recommendations", [C.USER_ID, C.PRODUCT_CODE, C.RANK],
+        types={C.USER_ID: "bigint", C.PRODUCT_CODE: "bigint", C.RANK: "int"},
     )
 
 
 @register(
     "cast_columns",
-    """SELECT TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT) AS USER_ID,
+    """SELECT CAST(user_id AS VARCHAR) AS USER_ID,
               TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS PRODUCT_CODE,
               epoch_us(ts) // 1000 AS CREATE_TIME
     FROM events WHERE event_type = 'click'""",
 )
 def q_cast_columns(spark: SparkSession, d: str) -> DataFrame:
     log = B.event_log(spark, d, "click").select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
-    return cast_columns(log, [C.USER_ID, C.PRODUCT_CODE], "bigint")
+    # JSON item text -> number, numeric user key -> text.
+    return cast_columns(cast_columns(log, [C.PRODUCT_CODE], "bigint"), [C.USER_ID], "string")
 
 
 def _res_log(spark: SparkSession, d: str) -> DataFrame:
@@ -543,11 +545,11 @@ def q_find_user(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "user_history_named",
     SQL.with_(SQL.PEOPLE)
-    + """ SELECT CAST(o.o_custkey AS VARCHAR) AS USER_ID, 1 + FLOOR((l.l_quantity - 1) / 10) AS SCORE,
+    + """ SELECT o.o_custkey AS USER_ID, 1 + FLOOR((l.l_quantity - 1) / 10) AS SCORE,
                  f.ACCOUNT, f.NAME, p.PRODUCT_NAME
     FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-    JOIN found f ON f.USER_ID = CAST(o.o_custkey AS VARCHAR)
-    JOIN products p ON p.PRODUCT_CODE = CAST(l.l_partkey AS VARCHAR)""",
+    JOIN found f ON f.USER_ID = o.o_custkey
+    JOIN products p ON p.PRODUCT_CODE = l.l_partkey""",
 )
 def q_user_history_named(spark: SparkSession, d: str) -> DataFrame:
     people = find_user(B.user_dim(spark, d), B.account_dim(spark, d), SQL.LOOKUP_USER)

@@ -10,6 +10,9 @@ Binding B  event ratings  events (purchase / view / click), item = props.k
 Binding C  purchase log   orders x lineitem, item = part key, score from quantity
 Binding D  dimensions     customer / part
 Binding E  resource map   part -> resource ids, with fan-out
+
+Ids keep their source types (bigint keys here; the operators only compare,
+hash and order ids), which keeps shuffle keys fixed-width.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ def shopping_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     rows = _order_lines(spark, sf_dir).join(part, F.col("l_partkey") == F.col("p_partkey"))
     return rows.select(
-        F.col("o_custkey").cast("string").alias(C.USER_ID),
+        F.col("o_custkey").alias(C.USER_ID),
         F.lit(None).cast("string").alias(C.RES_ID),
         F.col("p_brand").alias(C.PRODUCT_CODE),
         time_to_epoch_ms("o_orderdate").alias(C.CREATE_TIME),
@@ -54,11 +57,11 @@ def purchase_log(spark: SparkSession, sf_dir: str, *, with_resources: bool = Fal
     With ``with_resources`` every third line number loses its item, which the
     resource map (``resource_map``) has to fill back in.
     """
-    part_code = F.col("l_partkey").cast("string")
-    item = F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("string")).otherwise(part_code) if with_resources else part_code
+    part_code = F.col("l_partkey")
+    item = F.when(F.col("l_linenumber") % 3 == 0, F.lit(None).cast("long")).otherwise(part_code) if with_resources else part_code
     return _order_lines(spark, sf_dir).select(
-        F.col("o_custkey").cast("string").alias(C.USER_ID),
-        F.concat(F.lit("R"), part_code).alias(C.RES_ID),
+        F.col("o_custkey").alias(C.USER_ID),
+        F.concat(F.lit("R"), part_code.cast("string")).alias(C.RES_ID),
         item.alias(C.PRODUCT_CODE),
         _quantity_score().alias(C.SCORE),
         time_to_epoch_ms("o_orderdate").alias(C.SCORE_TIME),
@@ -70,10 +73,8 @@ def resource_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding E: resource id -> product; every 50th part maps to a second product too."""
     part = table(spark, sf_dir, "part").select("p_partkey")
     res = F.concat(F.lit("R"), F.col("p_partkey").cast("string"))
-    own = part.select(res.alias(C.RES_ID), F.col("p_partkey").cast("string").alias(C.PRODUCT_CODE))
-    extra = part.filter(F.col("p_partkey") % 50 == 0).select(
-        res.alias(C.RES_ID), (F.col("p_partkey") + 1).cast("string").alias(C.PRODUCT_CODE)
-    )
+    own = part.select(res.alias(C.RES_ID), F.col("p_partkey").alias(C.PRODUCT_CODE))
+    extra = part.filter(F.col("p_partkey") % 50 == 0).select(res.alias(C.RES_ID), (F.col("p_partkey") + 1).alias(C.PRODUCT_CODE))
     return own.unionByName(extra).distinct()
 
 
@@ -86,7 +87,7 @@ def event_score_log(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = (
     """Binding B: explicit 1-5 score per event, ``least(5, 1 + floor(value / 25))``."""
     score = F.least(F.lit(5), F.floor(F.col("value") / 25) + 1).cast("double")
     return _events(spark, sf_dir, types).select(
-        F.col("user_id").cast("string").alias(C.USER_ID),
+        F.col("user_id").alias(C.USER_ID),
         F.lit(None).cast("string").alias(C.RES_ID),
         F.get_json_object("props", "$.k").alias(C.PRODUCT_CODE),
         score.alias(C.SCORE),
@@ -98,7 +99,7 @@ def event_score_log(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = (
 def event_log(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
     """Binding B implicit logs: ``click`` plays the download log, ``view`` the collect log."""
     return _events(spark, sf_dir, (event_type,)).select(
-        F.col("user_id").cast("string").alias(C.USER_ID),
+        F.col("user_id").alias(C.USER_ID),
         F.lit(None).cast("string").alias(C.RES_ID),
         F.get_json_object("props", "$.k").alias(C.PRODUCT_CODE),
         time_to_epoch_ms("ts").alias(C.CREATE_TIME),
@@ -109,14 +110,14 @@ def event_log(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
 def user_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding D: PERSON_ID, NAME."""
     cust = table(spark, sf_dir, "customer")
-    return cust.select(F.col("c_custkey").cast("string").alias(C.PERSON_ID), F.col("c_name").alias(C.NAME))
+    return cust.select(F.col("c_custkey").alias(C.PERSON_ID), F.col("c_name").alias(C.NAME))
 
 
 def account_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding D: PERSON_ID, ACCOUNT."""
     cust = table(spark, sf_dir, "customer")
     return cust.select(
-        F.col("c_custkey").cast("string").alias(C.PERSON_ID),
+        F.col("c_custkey").alias(C.PERSON_ID),
         F.concat(F.lit("acct-"), F.col("c_custkey").cast("string")).alias(C.ACCOUNT),
     )
 
@@ -124,10 +125,10 @@ def account_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding D: PRODUCT_CODE, PRODUCT_NAME."""
     part = table(spark, sf_dir, "part")
-    return part.select(F.col("p_partkey").cast("string").alias(C.PRODUCT_CODE), F.col("p_name").alias(C.PRODUCT_NAME))
+    return part.select(F.col("p_partkey").alias(C.PRODUCT_CODE), F.col("p_name").alias(C.PRODUCT_NAME))
 
 
 def segment_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binding D: a given user segment (market segment) in the ``prediction`` column."""
     cust = table(spark, sf_dir, "customer")
-    return cust.select(F.col("c_custkey").cast("string").alias(C.USER_ID), F.col("c_mktsegment").alias(C.PREDICTION))
+    return cust.select(F.col("c_custkey").alias(C.USER_ID), F.col("c_mktsegment").alias(C.PREDICTION))
