@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import columns as C
-from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text
+from ..operators.evaluate import metrics_table, one_row, ratio_text
 from ..operators.ratings import dense_index, user_vectors
 from ..operators.segments import cluster_users, segment_item_scores, segment_recommendations, segment_topn
 from ..session import cut_lineage
@@ -93,7 +93,7 @@ def run_clusters(scores: DataFrame, params: SegmentParams = SegmentParams()) ->
             ("NUM_POSSIBLE_USERS", F.col("n_reco_users")),
             ("NUM_RECOMMEND_ITEMS", F.col("n_reco_items")),
             ("COVERAGE", ratio_text("n_reco_items", "n_items")),
-            ("WSSSE", number_text(F.lit(wssse), 8)),
+            ("WSSSE", F.format_string("%10.8f", F.lit(wssse))),
         ],
     )
     return out
