@@ -157,11 +157,11 @@ def season_window(src: str, name: str, season: Season) -> str:
     return f"\n{name} AS (SELECT * FROM {src} WHERE year(event_time) <= {y} AND {inside}{last})"
 
 
-def season_history(src: str, name: str, season: Season) -> str:
+def season_history(src: str, name: str, season: Season, *, half_open: bool = False) -> str:
     y, (s, n, _) = season.year, season.bounds()
     day = "dayofyear(event_time)"
     if s < n:
-        pred = f"year(event_time) = {y} AND {day} BETWEEN {s} AND {n}"
+        pred = f"year(event_time) = {y} AND {day} BETWEEN {s} AND {n - 1 if half_open else n}"
     else:
         pred = f"(year(event_time) = {y - 1} AND {day} > {s}) OR (year(event_time) = {y} AND {day} < {n})"
     return f"\n{name} AS (SELECT * FROM {src} WHERE {pred})"
@@ -264,26 +264,28 @@ recs AS (
 )"""
 
 
-_SEASON = Season.of(SEASON_PARAMS.end_time, SEASON_PARAMS.months)
-
-SEASON_BASE = with_(
-    SHOP,
-    season_window("shop", "win", _SEASON),
-    "\nbeh AS (SELECT DISTINCT USER_ID, PRODUCT_CODE, date_trunc('second', event_time) AS event_time FROM win)",
-    season_history("beh", "hist", _SEASON),
-    season_future("beh", "fut", _SEASON),
-    f"""
-bk AS (SELECT *, (epoch_us(event_time) // 86400000000) // {SEASON_PARAMS.tran_days} AS BUCKET FROM beh),
+def season_base(p: RulesParams) -> str:
+    """Binding A, time-window run: win, beh, hist, fut, bk, bk_kept, basket_items, itemsets, recs."""
+    season = Season.of(p.end_time, p.months)
+    train = f" WHERE event_time < TIMESTAMP '{p.end_time:%Y-%m-%d %H:%M:%S}'" if p.holdout else ""
+    return with_(
+        SHOP,
+        season_window("shop", "win", season),
+        "\nbeh AS (SELECT DISTINCT USER_ID, PRODUCT_CODE, date_trunc('second', event_time) AS event_time FROM win)",
+        season_history("beh", "hist", season, half_open=p.holdout),
+        season_future("beh", "fut", season),
+        f"""
+bk AS (SELECT *, (epoch_us(event_time) // 86400000000) // {p.tran_days} AS BUCKET FROM beh{train}),
 bk_kept AS (
   SELECT USER_ID, BUCKET, COUNT(*) AS N_ROWS FROM bk GROUP BY 1, 2
-  HAVING COUNT(*) > 1 AND COUNT(*) < {SEASON_PARAMS.max_items}
+  HAVING COUNT(*) > 1 AND COUNT(*) < {p.max_items}
 ),
 basket_items AS (
   SELECT DISTINCT b.USER_ID, b.BUCKET, b.PRODUCT_CODE FROM bk b JOIN bk_kept k USING (USER_ID, BUCKET)
 )""",
-    itemsets("basket_items", "USER_ID, BUCKET", SEASON_PARAMS),
-    rules_apply("hist", SEASON_PARAMS),
-)
+        itemsets("basket_items", "USER_ID, BUCKET", p),
+        rules_apply("hist", p),
+    )
 
 
 def _metrics_sql(rows: list[tuple[str, str]]) -> str:
@@ -299,7 +301,8 @@ def _txt(col: str) -> str:
     return f"CAST({col} AS VARCHAR)"
 
 
-SEASON_METRICS = SEASON_BASE + f""",
+def season_metrics(p: RulesParams) -> str:
+    return season_base(p) + """,
 actual AS (SELECT DISTINCT USER_ID, PRODUCT_CODE FROM fut),
 stats AS (
   SELECT (SELECT COUNT(*) FROM shop) AS n_raw,
@@ -314,19 +317,24 @@ stats AS (
          (SELECT COUNT(*) FROM recs r WHERE EXISTS (SELECT 1 FROM actual a WHERE a.USER_ID = r.USER_ID AND a.PRODUCT_CODE = r.PRODUCT_CODE)) AS n_hits
 )
 """ + _metrics_sql([
-    ("OP_TIME", f"'{SEASON_PARAMS.op_time}'"),
-    ("ARGUMENTS", "'" + link_args(SEASON_PARAMS.min_support, SEASON_PARAMS.min_confidence, SEASON_PARAMS.months,
-                                  SEASON_PARAMS.max_items, SEASON_PARAMS.top_n, SEASON_PARAMS.num_partitions) + "'"),
-    ("NUM_RAW_LOGS", _txt("n_raw")),
-    ("NUM_PROCESSED_LOG", _txt("n_processed")),
-    ("NUM_ACTION_TRANSACTIONS", _txt("n_baskets")),
-    ("NUM_ALL_USERS", _txt("n_users")),
-    ("NUM_POSSIBLE_USERS", _txt("n_reco_users")),
-    ("NUM_RECOMMEND_ITEMS", _txt("n_reco_items")),
-    ("PRECISION", _ratio("n_hits", "n_recs")),
-    ("RECALL", _ratio("n_hits", "n_actual")),
-    ("COVERAGE", _ratio("n_reco_items", "n_items")),
-])
+        ("OP_TIME", f"'{p.op_time}'"),
+        ("ARGUMENTS", "'" + link_args(p.min_support, p.min_confidence, p.months, p.max_items, p.top_n, p.num_partitions) + "'"),
+        ("NUM_RAW_LOGS", _txt("n_raw")),
+        ("NUM_PROCESSED_LOG", _txt("n_processed")),
+        ("NUM_ACTION_TRANSACTIONS", _txt("n_baskets")),
+        ("NUM_ALL_USERS", _txt("n_users")),
+        ("NUM_POSSIBLE_USERS", _txt("n_reco_users")),
+        ("NUM_RECOMMEND_ITEMS", _txt("n_reco_items")),
+        ("PRECISION", _ratio("n_hits", "n_recs")),
+        ("RECALL", _ratio("n_hits", "n_actual")),
+        ("COVERAGE", _ratio("n_reco_items", "n_items")),
+    ])
+
+
+HOLDOUT_PARAMS = RulesParams(**{**SEASON_PARAMS.__dict__, "holdout": True})
+SEASON_BASE = season_base(SEASON_PARAMS)
+SEASON_METRICS = season_metrics(SEASON_PARAMS)
+HOLDOUT_METRICS = season_metrics(HOLDOUT_PARAMS)
 
 FULL_BASE = with_(
     CLICKS,

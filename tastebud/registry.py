@@ -581,3 +581,36 @@ def q_compare_run(spark: SparkSession, d: str) -> DataFrame:
         items=B.product_dim(spark, d), scores=B.purchase_log(spark, d),
     )
     return out["User-recommendations"].select(C.USER_ID, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
+
+
+# ------------------------------------------------------ reference options
+
+
+@register(
+    "fill_item_dedupe_map",
+    SQL.with_(SQL.PURCHASE_RES)
+    + """, rmap_one AS (SELECT RES_ID, MIN(PRODUCT_CODE) AS PRODUCT_CODE FROM rmap GROUP BY RES_ID)
+    SELECT l.USER_ID, COALESCE(l.PRODUCT_CODE, m.PRODUCT_CODE) AS PRODUCT_CODE, l.SCORE
+    FROM plog l LEFT JOIN rmap_one m ON l.RES_ID = m.RES_ID
+    WHERE COALESCE(l.PRODUCT_CODE, m.PRODUCT_CODE) IS NOT NULL""",
+)
+def q_fill_item_dedupe_map(spark: SparkSession, d: str) -> DataFrame:
+    log = _res_log(spark, d).select(C.USER_ID, C.RES_ID, C.PRODUCT_CODE, C.SCORE)
+    return fill_item_from_resource(log, B.resource_map(spark, d), dedupe_map=True)
+
+
+@register(
+    "segment_recommendations_unseen",
+    SQL.with_(SQL.PURCHASE_RATINGS, SQL.SEGMENTS)
+    + """ SELECT s.USER_ID, s.PRODUCT_CODE, s.RANK FROM seg_recs s
+    WHERE NOT EXISTS (SELECT 1 FROM purchase_ratings r WHERE r.USER_ID = s.USER_ID AND r.PRODUCT_CODE = s.PRODUCT_CODE)""",
+)
+def q_segment_recommendations_unseen(spark: SparkSession, d: str) -> DataFrame:
+    params = SegmentParams(k=SEGMENT.k, max_iter=SEGMENT.max_iter, top_n=SEGMENT.top_n, seed=SEGMENT.seed, exclude_seen=True)
+    return run_given_segments(purchase_ratings(spark, d), B.segment_dim(spark, d), params)["User-recommendations"]
+
+
+@register("rules_time_window_holdout", SQL.HOLDOUT_METRICS)
+def q_rules_time_window_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """Time-window run with a strict hold-out: rules learn only from rows before end_time."""
+    return run_rules([B.shopping_log(spark, d)], SQL.HOLDOUT_PARAMS, time_window=True)["Recommendation-metrics"]
