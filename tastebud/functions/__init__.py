@@ -11,7 +11,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-MS_PER_DAY = 86_400_000
 
 
 def col_of(c: str | Column) -> Column:

@@ -80,7 +80,3 @@ def read_results(spark: SparkSession, path: str, names: Sequence[str], *, sep: s
     df = spark.read.schema(schema).option("sep", sep).option("header", "false").csv(path)
     return df.select(*[F.col(n).cast(types[n]).alias(n) if n in types else F.col(n) for n in names])
 
-
-def behavior_columns(with_time: bool = True) -> list[str]:
-    cols = [C.USER_ID, C.RES_ID, C.PRODUCT_CODE]
-    return cols + [C.EVENT_TIME] if with_time else cols

@@ -132,3 +132,20 @@ def test_rules_run_refuses_empty_slices(spark):
     log = B.shopping_log(spark, SF)
     with pytest.raises(ValueError, match="empty"):
         run_rules([log], RulesParams(end_time=datetime(1990, 6, 15), min_support=0.02, min_confidence=0.15))
+
+
+def test_raw_log_contract_scan_parse_and_rate(spark):
+    """Reference-style raw logs: text files, epoch-ms times, scores as text, read with the declared schema."""
+    from tastebud.columns import SCORE_LOG_SCHEMA
+    from tastebud.operators.ratings import avg_ratings
+    from tastebud.operators.timewin import parse_event_time
+
+    root = tempfile.mkdtemp(prefix="tastebud-test-")
+    path = os.path.join(root, "score")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.csv"), "w") as fh:
+        fh.write("u1,r1,p1,4,1490000000123\nu1,r1,p1,2,1490000001000\nu2,r2,,x,1490000002000\n")
+    raw = scan_log(spark, path, fmt="csv", schema=SCORE_LOG_SCHEMA)
+    parsed = parse_event_time(raw, time_col=C.SCORE_TIME)
+    assert [r[C.DATE] for r in parsed.orderBy(C.SCORE_TIME).collect()][0] == "2017-03-20 08:53:20"
+    assert rows(avg_ratings(raw)) == [("u1", "p1", 3.0)]
