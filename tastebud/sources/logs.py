@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 def scan_log(
     spark: SparkSession,
     path: str | Sequence[str],
