@@ -475,6 +475,11 @@ def q_cluster_users(spark: SparkSession, d: str) -> DataFrame:
 
 @register("cluster_recommendations")
 def q_cluster_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return run_clusters(_event_preferences(spark, d), SEGMENT)["User-recommendations"]
+
+
+@register("cluster_run")
+def q_cluster_run(spark: SparkSession, d: str) -> DataFrame:
     return run_clusters(_event_preferences(spark, d), SEGMENT)["Recommendation-metrics"]
 
 
