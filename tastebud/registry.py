@@ -584,6 +584,7 @@ def q_compare_run(spark: SparkSession, d: str) -> DataFrame:
     out = run_compare(
         folder, model="CosSim", user=SQL.LOOKUP_USER, users=B.user_dim(spark, d), accounts=B.account_dim(spark, d),
         items=B.product_dim(spark, d), scores=B.purchase_log(spark, d),
+        save_to=shared_path(spark, "tastebud-results", uuid.uuid4().hex, "Comparison", SQL.LOOKUP_USER, "CosSim"),
     )
     return out["User-recommendations"].select(C.USER_ID, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
 
