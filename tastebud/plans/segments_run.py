@@ -75,7 +75,8 @@ def run_clusters(scores: DataFrame, params: SegmentParams = SegmentParams()) ->
     items = dense_index(scores, C.PRODUCT_CODE, "i")
     n_items = items.count()
     indexed = scores.join(users, C.USER_ID).join(items, C.PRODUCT_CODE)
-    vectors = user_vectors(indexed, n_items=int(n_items))
+    # One row per user, read by the fit and by the assignment: built once.
+    vectors = cut_lineage(user_vectors(indexed, n_items=int(n_items)))
     model, labelled = cluster_users(vectors, k=params.k, max_iter=params.max_iter, seed=params.seed)
     # One row per user, read by every product: computed once.
     assignments = cut_lineage(labelled.join(users, F.col("label") == F.col("u")).select(C.USER_ID, C.PREDICTION))
