@@ -121,9 +121,9 @@ from .plans.params import RulesParams, link_args  # noqa: E402
 
 SEASON_PARAMS = RulesParams(
     end_time=datetime(2000, 6, 15), months=1, tran_days=4, max_items=100,
-    min_support=0.02, min_confidence=0.15, top_n=10, num_partitions=10,
+    min_support=0.02, min_confidence=0.15, top_n=10,
 )
-FULL_PARAMS = RulesParams(min_support=0.1, min_confidence=0.3, max_items=100, top_n=10, num_partitions=10)
+FULL_PARAMS = RulesParams(min_support=0.1, min_confidence=0.3, max_items=100, top_n=10)
 
 SHOP = """
 shop AS (

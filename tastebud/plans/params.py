@@ -7,8 +7,8 @@ from datetime import datetime
 
 
 def link_args(*args: object) -> str:
-    """The reference's argument echo: values joined with '_'."""
-    return "_".join(str(a) for a in args)
+    """The reference's argument echo: values joined with '_' (None prints as 'auto')."""
+    return "_".join("auto" if a is None else str(a) for a in args)
 
 
 @dataclass(frozen=True)
@@ -20,7 +20,10 @@ class RulesParams:
     min_support: float = 0.2
     min_confidence: float = 0.8
     top_n: int = 10
-    num_partitions: int = 10
+    # FP-growth groups; None follows the baskets' own partitioning, which
+    # adaptive execution sizes from the data (explicit small counts multiply
+    # the conditional transactions for nothing on small inputs).
+    num_partitions: int | None = None
     include_scores: bool = False
     # True: rows at or after end_time do not train the rules, and day N
     # belongs to the hold-out only (the reference lets both overlap).
