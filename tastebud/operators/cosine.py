@@ -11,6 +11,7 @@ ratings (USER_ID, PRODUCT_CODE, SCORE), one row per (user, item)
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from .. import columns as C
@@ -69,7 +70,8 @@ def corated_pairs(
     -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
        j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
 
-    Items are replaced by long keys (``item_keys``) for the pair stage.
+    Integer item ids are used as they are; other ids are replaced by long
+    keys (``item_keys``) for the pair stage and mapped back at the end.
     Users with at most ``block_rows`` ratings self-join on the user, reusing
     the partitioning of the per-user window.  A heavier user is cut into
     blocks = ceil(n / block_rows) blocks per side and joins on (user, a, b):
@@ -80,12 +82,17 @@ def corated_pairs(
     the four sums combine map-side before the shuffle on (i, j); only pairs
     that reach ``min_commons`` are mapped back to item ids.
     """
-    keys, hashed = item_keys(ratings)
-    keyed = (
-        ratings.withColumn("_k", F.xxhash64(C.PRODUCT_CODE))
-        if hashed
-        else ratings.join(keys, C.PRODUCT_CODE)
-    )
+    integral = isinstance(ratings.schema[C.PRODUCT_CODE].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    if integral:
+        # Integer ids already are fixed-width keys: no surrogate, no mapping back.
+        keyed, keys, hashed = ratings.withColumn("_k", F.col(C.PRODUCT_CODE).cast("long")), None, False
+    else:
+        keys, hashed = item_keys(ratings)
+        keyed = (
+            ratings.withColumn("_k", F.xxhash64(C.PRODUCT_CODE))
+            if hashed
+            else ratings.join(keys, C.PRODUCT_CODE)
+        )
     # The pair emission multiplies rows after this shuffle, so its input size
     # says nothing about the work: an explicit partition count keeps AQE from
     # coalescing it into a few tasks.  Window and light self-join reuse it.
@@ -116,6 +123,16 @@ def corated_pairs(
         F.sum(F.col("_dj") * F.col("_dj")).alias("_jsq"),
         F.count(F.lit(1)).alias("n_commons"),
     ).filter(F.col("n_commons") >= min_commons)
+    if integral:
+        item_type = ratings.schema[C.PRODUCT_CODE].dataType
+        return sums.select(
+            F.col("_i").cast(item_type).alias(C.PRODUCT_CODE),
+            F.col("_j").cast(item_type).alias(C.J_PRODUCT_CODE),
+            "cross",
+            F.col("_isq").alias("i_sq"),
+            F.col("_jsq").alias("j_sq"),
+            "n_commons",
+        )
     ki = keys.select(F.col("_k").alias("_i"), F.col(C.PRODUCT_CODE).alias("_si"))
     kj = keys.select(F.col("_k").alias("_j"), F.col(C.PRODUCT_CODE).alias("_sj"))
     named = sums.join(ki, "_i").join(kj, "_j")
