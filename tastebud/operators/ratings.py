@@ -104,17 +104,21 @@ def preference_scores(
     return merged.select(C.USER_ID, C.PRODUCT_CODE, fixed(score, 9).alias(C.SCORE))
 
 
-@F.udf(returnType=VectorUDT())
-def _sparse(size, entries):
+def _sparse_vector(size, entries):
     return SparseVector(size, [e[0] for e in entries], [float(e[1]) for e in entries])
 
 
+# Arrow-batched transfer; only the vector construction itself is Python.
+_sparse = F.udf(_sparse_vector, VectorUDT(), useArrow=True)
+
+
 def user_vectors(indexed: DataFrame, *, n_items: int, user_col: str = "u", item_col: str = "i", score_col: str = C.SCORE) -> DataFrame:
     """One sparse rating vector per user: (label, features).
 
     Entries are gathered per user with ``collect_list`` (a user has at most one
     entry per item, so a row is bounded by the catalogue size); only the final
-    array -> vector conversion is a small Python helper.  Explicit zeros stay.
+    array -> vector conversion is a small (Arrow-batched) Python helper.
+    Explicit zeros stay.
     """
     entries = F.sort_array(F.collect_list(F.struct(F.col(item_col), F.col(score_col))))
     grouped = indexed.groupBy(user_col).agg(entries.alias("_e"))
