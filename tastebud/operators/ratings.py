@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import columns as C
 from ..functions import fixed, present
@@ -61,6 +62,20 @@ def dense_index(df: DataFrame, id_col: str, index_col: str) -> DataFrame:
     )
 
 
+def id_index(df: DataFrame, id_col: str, index_col: str) -> DataFrame:
+    """(id, int index) for models that need int ids (ALS users / items, k-means labels).
+
+    Integer ids in [0, 2^31 - 1) are their own index (checked with one min/max
+    aggregate): no global sort, no checkpoint.  Other ids get ``dense_index``.
+    """
+    integral = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    if isinstance(df.schema[id_col].dataType, integral):
+        lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
+        if lo is None or (lo >= 0 and hi < 2**31 - 1):
+            return df.select(id_col).distinct().select(id_col, F.col(id_col).cast("int").alias(index_col))
+    return dense_index(df, id_col, index_col)
+
+
 def preference_scores(
     scores: DataFrame,
     implicit_logs: Sequence[tuple[DataFrame, float]],

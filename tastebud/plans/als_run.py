@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from .. import columns as C
 from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text
 from ..operators.factors import ITEM_IDX, USER_IDX, als_factors, als_fit, als_predictions, als_recommendations
-from ..operators.ratings import dense_index
+from ..operators.ratings import id_index
 from ..session import cut_lineage
 from .params import AlsParams
 
 
 def index_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Dense user / item indexes and the integer-keyed ratings (checkpointed: ALS iterates on them)."""
-    users = dense_index(ratings, C.USER_ID, USER_IDX)
-    items = dense_index(ratings, C.PRODUCT_CODE, ITEM_IDX)
+    """Int user / item indexes and the integer-keyed ratings (checkpointed: ALS iterates on them)."""
+    users = id_index(ratings, C.USER_ID, USER_IDX)
+    items = id_index(ratings, C.PRODUCT_CODE, ITEM_IDX)
     indexed = ratings.join(users, C.USER_ID).join(items, C.PRODUCT_CODE).select(USER_IDX, ITEM_IDX, C.SCORE)
     return users, items, cut_lineage(indexed)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..operators.evaluate import metrics_table, one_row, ratio_text
-from ..operators.ratings import dense_index, user_vectors
+from ..operators.ratings import dense_index, id_index, user_vectors
 from ..operators.segments import cluster_users, segment_item_scores, segment_recommendations, segment_topn
 from ..session import cut_lineage
 from .params import SegmentParams
@@ -71,8 +71,8 @@ def run_clusters(scores: DataFrame, params: SegmentParams = SegmentParams()) ->
     (bounded by k and N).  Metrics add the WSSSE.
     """
     scores = cut_lineage(scores)
-    users = dense_index(scores, C.USER_ID, "u")
-    items = dense_index(scores, C.PRODUCT_CODE, "i")
+    users = id_index(scores, C.USER_ID, "u")  # labels only: any int id will do
+    items = dense_index(scores, C.PRODUCT_CODE, "i")  # vector positions: must be 0..n-1
     n_items = items.count()
     indexed = scores.join(users, C.USER_ID).join(items, C.PRODUCT_CODE)
     # One row per user, read by the fit and by the assignment: built once.
