@@ -15,6 +15,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "cosine_run", "rules_time_window", "rules_full_history", "preference_scores", "column_profile",
     "fill_item_from_resource", "segment_recommendations", "user_frequent_priors", "dense_index", "read_results",
+    "fill_item_dedupe_map", "segment_recommendations_unseen", "rules_time_window_holdout", "compare_run",
 ]
 
 
