@@ -96,3 +96,8 @@ def ratio_text(num: str | Column, den: str | Column, digits: int = 9) -> Column:
 
 def number_text(c: str | Column, digits: int = 9) -> Column:
     return F.coalesce(fixed_text(c, digits), F.lit("NaN"))
+
+
+def metrics_lines(metrics: DataFrame) -> DataFrame:
+    """The metrics table as ``"label : value"`` text lines (for ``sinks.write_text``)."""
+    return metrics.select(F.concat_ws(" : ", F.col(C.METRIC), F.col(C.VALUE)).alias("value"))

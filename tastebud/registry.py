@@ -478,6 +478,12 @@ def q_cluster_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return run_clusters(_event_preferences(spark, d), SEGMENT)["User-recommendations"]
 
 
+@register("cluster_run_single_source")
+def q_cluster_run_single_source(spark: SparkSession, d: str) -> DataFrame:
+    """k-means segments on averaged explicit ratings (one score log) instead of the multi-source preference."""
+    return run_clusters(_event_ratings(spark, d), SEGMENT)["Recommendation-metrics"]
+
+
 @register("cluster_run")
 def q_cluster_run(spark: SparkSession, d: str) -> DataFrame:
     return run_clusters(_event_preferences(spark, d), SEGMENT)["Recommendation-metrics"]

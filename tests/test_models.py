@@ -130,3 +130,11 @@ def test_metrics_table_order_and_text(spark):
     stats = one_row(counts={"n": _log(spark, [("a", "b")] * 3)}, means={"m": (spark.range(4), F.col("id"))})
     out = metrics_table(stats, [("OP_TIME", "2017032000"), ("N", F.col("n")), ("M", F.col("m"))]).collect()
     assert [(r[C.METRIC], r[C.VALUE]) for r in out] == [("OP_TIME", "2017032000"), ("N", "3"), ("M", "1.5")]
+
+
+def test_metrics_as_text_lines(spark):
+    from tastebud.operators.evaluate import metrics_lines
+
+    stats = one_row(counts={"n": _log(spark, [("a", "b")] * 2)})
+    lines = metrics_lines(metrics_table(stats, [("OP_TIME", "2017032000"), ("N", F.col("n"))])).collect()
+    assert [r.value for r in lines] == ["OP_TIME : 2017032000", "N : 2"]
