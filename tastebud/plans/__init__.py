@@ -1 +1 @@
-
+"""Runs: compositions of operators returning a dict of named products."""
