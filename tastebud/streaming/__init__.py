@@ -24,7 +24,7 @@ from ..operators.cleansing import fill_item_from_resource
 def read_log_stream(
     spark: SparkSession,
     path: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     *,
     fmt: str = "parquet",
     file_glob: str | None = None,
