@@ -35,3 +35,36 @@ def test_ranked_top_n_matches_python(spark, data, n):
         rows = sorted(((-s, f"i{i:02d}") for gg, i, s in data if gg == g))
         want += [(g, item, k + 1) for k, (_, item) in enumerate(rows[:n])]
     assert got == sorted(want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    data=st.lists(
+        st.tuples(st.integers(0, 7), st.integers(0, 9), st.integers(1, 5)), min_size=4, max_size=60, unique_by=lambda t: (t[0], t[1])
+    ),
+    block_rows=st.sampled_from([2, 3, 10_000]),
+    min_commons=st.integers(1, 3),
+)
+def test_adjusted_cosine_matches_definition(spark, data, block_rows, min_commons):
+    from tastebud.operators.cosine import adjusted_cosine
+
+    df = spark.createDataFrame([(f"u{u}", f"i{i}", float(r)) for u, i, r in data], "USER_ID string, PRODUCT_CODE string, SCORE double")
+    got = {(r[0], r[1]): r[2] for r in adjusted_cosine(df, min_commons=min_commons, block_rows=block_rows).collect()}
+    by_user = {}
+    for u, i, r in data:
+        by_user.setdefault(f"u{u}", {})[f"i{i}"] = float(r)
+    dev = {u: {i: round(r - sum(v.values()) / len(v), 9) for i, r in v.items()} for u, v in by_user.items()}
+    items = sorted({f"i{i}" for _, i, _ in data})
+    want = {}
+    for a in items:
+        for b in items:
+            if a == b:
+                continue
+            common = [d for d in dev.values() if a in d and b in d]
+            if len(common) < min_commons:
+                continue
+            cross = sum(d[a] * d[b] for d in common)
+            sa, sb = sum(d[a] ** 2 for d in common), sum(d[b] ** 2 for d in common)
+            want[(a, b)] = 0.0 if sa * sb == 0 else cross / (sa ** 0.5 * sb ** 0.5)
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) <= 1e-6 for k in want)
