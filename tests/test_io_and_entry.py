@@ -149,3 +149,25 @@ def test_raw_log_contract_scan_parse_and_rate(spark):
     parsed = parse_event_time(raw, time_col=C.SCORE_TIME)
     assert [r[C.DATE] for r in parsed.orderBy(C.SCORE_TIME).collect()][0] == "2017-03-20 08:53:20"
     assert rows(avg_ratings(raw)) == [("u1", "p1", 3.0)]
+
+
+def test_write_all_products_of_two_runs(spark):
+    from datetime import datetime
+
+    from tastebud.operators.ratings import avg_ratings
+    from tastebud.plans.cosine_run import run_cosine
+    from tastebud.plans.params import CosineParams, RulesParams
+    from tastebud.plans.rules_run import run_rules
+    from tastebud.sinks import write_products
+    from tastebud.sources import bindings as B
+
+    root = tempfile.mkdtemp(prefix="tastebud-test-")
+    rules = run_rules([B.shopping_log(spark, SF)], RulesParams(end_time=datetime(2000, 6, 15), min_support=0.02, min_confidence=0.15))
+    cos = run_cosine(avg_ratings(B.purchase_log(spark, SF)), CosineParams())
+    paths = write_products(rules, root, model="Association", sub_type="Time_Window", op_time="2000061500")
+    paths.update(write_products(cos, root, model="CosSim", sub_type=None, op_time="2000061500"))
+    for name, path in paths.items():
+        assert os.path.isdir(path) and any(f.startswith("part-") for f in os.listdir(path)), name
+    metrics = read_results(spark, paths["Recommendation-metrics"], [C.METRIC, C.VALUE]).collect()
+    assert [r[C.METRIC] for r in metrics][:2] == ["OP_TIME", "ARGUMENTS"]
+    assert os.path.isdir(os.path.join(root, "Association", "Time_Window", "2000-06-15-00", "User-frequent-priors"))
