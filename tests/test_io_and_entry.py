@@ -171,3 +171,23 @@ def test_write_all_products_of_two_runs(spark):
     metrics = read_results(spark, paths["Recommendation-metrics"], [C.METRIC, C.VALUE]).collect()
     assert [r[C.METRIC] for r in metrics][:2] == ["OP_TIME", "ARGUMENTS"]
     assert os.path.isdir(os.path.join(root, "Association", "Time_Window", "2000-06-15-00", "User-frequent-priors"))
+
+
+def test_write_all_products_of_model_runs(spark):
+    from tastebud.operators.ratings import avg_ratings
+    from tastebud.plans.als_run import run_als
+    from tastebud.plans.params import AlsParams, SegmentParams
+    from tastebud.plans.segments_run import run_clusters
+    from tastebud.sinks import write_products
+    from tastebud.sources import bindings as B
+
+    root = tempfile.mkdtemp(prefix="tastebud-test-")
+    ratings = avg_ratings(B.event_score_log(spark, SF, ("purchase", "view")))
+    als = run_als(ratings, AlsParams(rank=4, reg=0.1, max_iter=3, blocks=2))
+    seg = run_clusters(ratings, SegmentParams(k=3, max_iter=5))
+    paths = write_products(als, root, model="ALS", sub_type=None, op_time="2000061500")
+    paths.update({f"c-{k}": v for k, v in write_products(seg, root, model="Cluster", sub_type=None, op_time="2000061500").items()})
+    for name, path in paths.items():
+        assert os.path.isdir(path) and any(f.startswith("part-") for f in os.listdir(path)), name
+    factors = read_results(spark, paths["User-factors"], [C.USER_ID, "factors", C.OP_TIME]).collect()
+    assert factors and all(len(r["factors"].split(",")) == 4 and r[C.OP_TIME] == "2000061500" for r in factors)
