@@ -68,3 +68,37 @@ def test_adjusted_cosine_matches_definition(spark, data, block_rows, min_commons
             want[(a, b)] = 0.0 if sa * sb == 0 else cross / (sa ** 0.5 * sb ** 0.5)
     assert set(got) == set(want)
     assert all(abs(got[k] - want[k]) <= 1e-6 for k in want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    scores=st.lists(st.tuples(st.sampled_from("ABC"), st.sampled_from("pqr"), st.integers(1, 5)), max_size=12),
+    downloads=st.lists(st.tuples(st.sampled_from("ABCD"), st.sampled_from("pqrs")), max_size=12),
+    collects=st.lists(st.tuples(st.sampled_from("ABCD"), st.sampled_from("pqrs")), max_size=12),
+)
+def test_preference_scores_match_definition(spark, scores, downloads, collects):
+    from tastebud.operators.ratings import preference_scores
+
+    s = spark.createDataFrame([(u, i, str(r)) for u, i, r in scores], "USER_ID string, PRODUCT_CODE string, SCORE string")
+    d = spark.createDataFrame(downloads, "USER_ID string, PRODUCT_CODE string")
+    c = spark.createDataFrame(collects, "USER_ID string, PRODUCT_CODE string")
+    got = {(r[0], r[1]): r[2] for r in preference_scores(s, [(d, 0.3), (c, 0.6)]).collect()}
+    explicit = {}
+    for u, i, r in scores:
+        explicit.setdefault((u, i), []).append(r)
+    explicit = {k: sum(v) / len(v) for k, v in explicit.items()}
+    means = {}
+    for (u, _), v in explicit.items():
+        means.setdefault(u, []).append(v)
+    implicit = {}
+    for log, w in ((downloads, 0.3), (collects, 0.6)):
+        for key in log:
+            implicit[key] = implicit.get(key, 0.0) + w
+    want = {}
+    for key in set(explicit) | set(implicit):
+        if key in explicit:
+            want[key] = explicit[key] - sum(means[key[0]]) / len(means[key[0]])
+        else:
+            want[key] = implicit[key]
+    assert set(got) == set(want)
+    assert all(abs(got[k] - want[k]) < 1e-8 for k in want)
