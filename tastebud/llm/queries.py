@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import chat, mixing, shards, urls
+from tastebud.llm import chat, jaccard, mixing, shards, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,3 +73,9 @@ def op7_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(extra)
     read = chat.digests(chat.format_branches(chat.conversation_trees(rows)))
     return read.select(F.col("tree").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are 85% alike."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, num=85)
