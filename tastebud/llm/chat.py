@@ -84,24 +84,27 @@ def tree_paths(messages: DataFrame, tree: str, node: str, parent: str) -> DataFr
         "t", F.col("n").alias("leaf"), "n"
     )
     paths = written(paths, "paths")
-    rounds = 0
-    while True:
-        step = jump.filter("up is not null").select(F.col("t").alias("jt"), F.col("n").alias("jn"), "up", F.col("depth").alias("hop"))
-        if step.isEmpty():
+    done = jump.filter("up is null").select("t", "n", "depth")
+    jump = jump.filter("up is not null")
+    for _ in range(40):  # only cycles still have pointers after so many doublings
+        if jump.isEmpty():
             break
+        step = jump.select(F.col("t").alias("jt"), F.col("n").alias("jn"), "up")
         met = F.col("t").eqNullSafe(F.col("jt")) & (F.col("n") == F.col("jn"))
         paths = written(paths.unionByName(paths.join(step, met).select("t", "leaf", F.col("up").alias("n"))), "paths")
-        far = step.select(F.col("jt").alias("t2"), F.col("jn").alias("n2"), F.col("up").alias("up2"), F.col("hop").alias("hop2"))
-        jump = written(
-            jump.join(far, F.col("t").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2")), "left").select(
-                "t", "n", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("hop2", F.lit(0))).alias("depth")
+        # a pointer to a message whose own root is known is settled by that message's depth
+        far = jump.unionByName(done.withColumn("up", F.lit(None).cast(jump.schema["up"].dataType))).select(
+            F.col("t").alias("t2"), F.col("n").alias("n2"), F.col("up").alias("up2"), F.col("depth").alias("hop2")
+        )
+        doubled = written(
+            jump.join(far, F.col("t").eqNullSafe(F.col("t2")) & (F.col("up") == F.col("n2"))).select(
+                "t", "n", F.col("up2").alias("up"), (F.col("depth") + F.col("hop2")).alias("depth")
             ),
             "jump",
         )
-        rounds += 1
-        if rounds > 40:  # only cycles still have pointers after so many doublings
-            break
-    rooted = jump.filter("up is null").select(F.col("t").alias("jt"), F.col("n").alias("jn"), "depth")
+        done = done.unionByName(doubled.filter("up is null").select("t", "n", "depth"))
+        jump = doubled.filter("up is not null")
+    rooted = done.select(F.col("t").alias("jt"), F.col("n").alias("jn"), "depth")
     met = F.col("t").eqNullSafe(F.col("jt")) & (F.col("n") == F.col("jn"))
     return paths.join(rooted, met).select(F.col("t").alias(tree), "leaf", F.col("n").alias("node"), "depth")
 

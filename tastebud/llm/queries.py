@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import chat, jaccard, mixing, shards, urls
+from tastebud.llm import chat, decontam, jaccard, mixing, shards, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,3 +79,9 @@ def op7_reply_tree_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets are 85% alike."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, num=85)
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that ten-word windows of benchmark items cover."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

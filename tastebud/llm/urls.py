@@ -125,9 +125,11 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], id_col: s
         bits = _bits(F.col("canonical"), w)
         hit = hit & (F.col(f"w{w}").bitwiseAND(bits) == bits)
     probed = base.join(F.broadcast(blocks), "block", "left").withColumn("maybe_listed", F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False)))
-    # rows that the filter turns away join on a null key, which meets nothing
     exact = wanted.select(F.col("canonical").alias("_hit"))
-    return probed.join(exact, F.when(F.col("maybe_listed"), F.col("canonical")) == F.col("_hit"), "left").select(
+    # only possible hits meet the list; the others are done
+    clear = probed.filter(~F.col("maybe_listed")).withColumn("_hit", F.lit(None).cast("string"))
+    suspects = probed.filter("maybe_listed").join(exact, F.col("canonical") == F.col("_hit"), "left")
+    return clear.unionByName(suspects).select(
         F.col("_id").alias(id_col),
         "host",
         "path",
