@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import chat, decontam, jaccard, mixing, shards, urls
+from tastebud.llm import chat, decontam, jaccard, langid, mixing, shards, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -85,3 +85,31 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that ten-word windows of benchmark items cover."""
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def id_hash(mod: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(mod))
+
+
+@query
+def op5_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"), id_hash(4) != 2)
+    held_out = F.coalesce(id_hash(4) == 2, F.lit(False))
+    return toxicity.score_documents(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the languages that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(id_hash(5) != 0))
+    held_out = F.coalesce(id_hash(5) == 0, F.lit(False))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op10_pq_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of cosine 0.95 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
