@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import chat, decontam, jaccard, langid, mixing, shards, toxicity, urls, vectors
+from tastebud.llm import chat, decontam, jaccard, langid, mixing, shards, tokens, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -113,3 +113,11 @@ def op8_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pq_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors of cosine 0.95 or more."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@query
+def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of the first line, the last line and the body of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = tokens.count_tokens(docs, tokens.line_sections(F.col("text")), "majority")
+    return found.withColumn("n_tokens", F.col("n_tokens").cast("long"))

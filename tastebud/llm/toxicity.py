@@ -170,7 +170,11 @@ def fit_machine(words: list[str], toxic: np.ndarray, clean: np.ndarray, ridge: f
     gain = toxic - clean
     half = LANDMARKS // 2
     marks = list(dict.fromkeys([*np.argsort(-gain, kind="stable")[:half], *np.argsort(-clean, kind="stable")[:half]]))
-    (_, _, symbols, _, starts, first) = next(word_streams([" ".join(words)]))
+    pieces, offset = [], 0
+    for _, _, letters, _, own, _ in word_streams(words):  # each word a text of its own
+        pieces.append((letters, own + offset))
+        offset += len(letters)
+    symbols, starts = np.concatenate([x for x, _ in pieces]), np.concatenate([y for _, y in pieces])
     if len(starts) != len(words):
         raise ValueError("each string must be one word")
     size = np.diff(np.append(starts, len(symbols)))
