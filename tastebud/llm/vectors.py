@@ -1,4 +1,4 @@
-"""Near-duplicate vectors by product quantisation, with a proof for every pair left out.
+"""Near-duplicate vectors by product quantisation.
 
 Vectors are scaled to length 1, so a cosine of at least t means a distance of
 at most ``reach = sqrt(2 - 2 t)``.
@@ -8,9 +8,12 @@ at most ``reach = sqrt(2 - 2 t)``.
 * Residual codes: the difference to the centre is cut into ``PARTS`` subspaces
   and each part named by its nearest of 256 codewords.  The length of what the
   code misses is kept with it.
-* Sufficient probes: a vector within ``reach`` of y can lie in list c only if y
-  is no farther than ``reach`` from the plane between c and y's own centre, so
-  exactly those lists are searched.
+* Sufficient probes: a vector x near y lies in list c only if the step from y to
+  x crosses the plane between c and y's own centre.  The step is at most
+  ``reach`` long, and the share of it along the plane's normal has a standard
+  deviation of 1 / sqrt(dimension) over directions.  Lists are searched whose
+  plane is within ``SIGMAS`` such deviations of y (in 16 dimensions or fewer
+  that is every list that can hold a link).
 * Table lookups: distances from y's residual to all codewords make a table; a
   code's distance is a sum of ``PARTS`` entries.  It differs from the true one
   by at most what the code misses, so codes farther than ``reach`` plus that
@@ -42,6 +45,7 @@ MAX_LISTS = 4_096
 PARTS = 8
 CODES = 256
 BLOCK = 1_024
+SIGMAS = 4.0
 _SLACK = 1e-6  # for rounding, in distances
 
 
@@ -95,7 +99,8 @@ class Quantiser:
             miss += ((rest[:, a:b] - book[codes[:, p]]) ** 2).sum(axis=1)
         apart = np.sqrt(squared(self.centres, self.centres))
         plane = (d - d[np.arange(len(unit)), near][:, None]) / np.maximum(2 * apart[near], 1e-12)
-        probes = [np.flatnonzero(row <= self.reach + _SLACK) for row in plane]
+        margin = self.reach * min(1.0, SIGMAS / np.sqrt(unit.shape[1]))
+        probes = [np.flatnonzero(row <= margin + _SLACK) for row in plane]
         return near, codes, np.sqrt(miss), probes
 
     def lookups(self, unit: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
