@@ -144,18 +144,19 @@ def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tag = TaskContext.get().partitionId() << 40
-        for b in batches:
-            ids, texts = b["doc_id"], b["text"].tolist()
-            n, k1, k2, pools = [], [], [], []
-            for s in shingle_sets(texts, width):
-                u = s.view(np.uint64)
-                n.append(len(s))
-                k1.append(int(mixed(u).sum(dtype=np.uint64).view(np.int64)))
-                k2.append(int(mixed(u ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
-                # a copy, so that the pool does not keep the whole set in memory
-                pools.append(s[: int(pool_length(np.int64(len(s)), num, den))].copy())
-            yield pd.DataFrame({"tag": np.arange(tag, tag + len(b)), "doc_id": ids, "n": n, "k1": k1, "k2": k2, "pool": pools})
-            tag += len(b)
+        for whole in batches:
+            for lo in range(0, len(whole), 1_000):
+                b = whole.iloc[lo : lo + 1_000]
+                n, k1, k2, pools = [], [], [], []
+                for s in shingle_sets(b["text"].tolist(), width):
+                    u = s.view(np.uint64)
+                    n.append(len(s))
+                    k1.append(int(mixed(u).sum(dtype=np.uint64).view(np.int64)))
+                    k2.append(int(mixed(u ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
+                    # a copy, so that the pool does not keep the whole set in memory
+                    pools.append(s[: int(pool_length(np.int64(len(s)), num, den))].copy())
+                yield pd.DataFrame({"tag": np.arange(tag, tag + len(b)), "doc_id": b["doc_id"].to_numpy(), "n": n, "k1": k1, "k2": k2, "pool": pools})
+                tag += len(b)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(sign, "tag long, doc_id long, n long, k1 long, k2 long, pool array<long>")
@@ -205,8 +206,10 @@ def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     )
 
     def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"id": b["doc_id"], "tokens": list(shingle_sets(b["text"].tolist(), width))})
+        for whole in batches:
+            for lo in range(0, len(whole), 1_000):
+                b = whole.iloc[lo : lo + 1_000]
+                yield pd.DataFrame({"id": b["doc_id"].to_numpy(), "tokens": list(shingle_sets(b["text"].tolist(), width))})
 
     return texts.mapInPandas(shingle, "id long, tokens array<long>")
 
@@ -249,7 +252,7 @@ def clump_links(clumps: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     )
     members = spread.join(sets, "id")
 
-    def compare(key, b: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         x, y = block_links(b["id"].to_numpy(), b["side"].to_numpy(), [np.asarray(t) for t in b["tokens"]], num, den)
         return pd.DataFrame({"a": x, "b": y})
 

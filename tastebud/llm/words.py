@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
