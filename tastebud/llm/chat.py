@@ -75,7 +75,7 @@ def tree_paths(messages: DataFrame, tree: str, node: str, parent: str) -> DataFr
     known = nodes.select(F.col("t").alias("kt"), F.col("n").alias("kn"))
     jump = written(
         nodes.join(known, F.col("t").eqNullSafe(F.col("kt")) & (F.col("p") == F.col("kn")), "left").select(
-            "t", "n", F.col("kn").alias("up"), F.when(F.col("kn").isNull(), 0).otherwise(1).alias("depth")
+            "t", "n", F.col("kn").alias("up"), F.when(F.col("kn").isNull(), 0).otherwise(1).cast("long").alias("depth")
         ),
         "jump",
     )
@@ -86,7 +86,8 @@ def tree_paths(messages: DataFrame, tree: str, node: str, parent: str) -> DataFr
     paths = written(paths, "paths")
     done = jump.filter("up is null").select("t", "n", "depth")
     jump = jump.filter("up is not null")
-    for _ in range(40):  # only cycles still have pointers after so many doublings
+    largest = nodes.groupBy("t").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    for _ in range(largest.bit_length() + 1):  # only cycles still have pointers after so many doublings
         if jump.isEmpty():
             break
         step = jump.select(F.col("t").alias("jt"), F.col("n").alias("jn"), "up")

@@ -68,7 +68,10 @@ def occurrences(docs: DataFrame, grams: DataFrame, sizes: list[int], n_grams: in
     for q in sizes:
         known = known.unionByName(grams.filter(F.col("q") == q).select(F.xxhash64(*[parts[k] for k in range(q)]).alias("h"), "gram", "q"))
     pos = F.pmod(F.col("p") - 1, F.size("w"))
-    same = F.when(F.col("p") == 0, F.col("gram").isNull()).otherwise(F.array_join(F.slice("w", pos + 1, F.col("q")), " ") == F.col("gram"))
+    # near the end of a text, a longer shingle's hash is that of the words left: its size must be the gram's
+    size = F.get(F.array(*[F.lit(q) for q in sizes]), F.floor((F.col("p") - 1) / F.size("w")).cast("int"))
+    text = F.array_join(F.slice("w", pos + 1, F.col("q")), " ")
+    same = F.when(F.col("p") == 0, F.col("gram").isNull()).otherwise((size == F.col("q")) & (text == F.col("gram")))
     met = places.join(_small(known, n_grams).withColumnRenamed("h", "gh"), (F.col("h") == F.col("gh")) & same)
     return met.select("row", "doc_id", F.size("w").alias("n_words"), F.when(F.col("p") > 0, pos).alias("pos"), "gram")
 
