@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import columns as C
 from ..functions import epoch_ms_to_time, time_to_epoch_ms
 from .cleansing import fill_item_from_resource
+from .skew import salted_join
 
 
 def _usable(log: DataFrame, keys: Sequence[str], resource_map: DataFrame | None) -> DataFrame:
@@ -25,15 +26,14 @@ def positive_preferences(scores: DataFrame, resource_map: DataFrame | None = Non
     """Score rows above the user's mean score (mean over rows, strict).
 
     -> USER_ID, PRODUCT_CODE, SCORE (+ event_time when present).  The mean is
-    a grouped aggregate (map-side combined) joined back on the user, so a hot
-    user's rows are split by adaptive skew handling instead of being held by
-    one window task.
+    a grouped aggregate (map-side combined), joined back with the user's rows
+    spread over parts, so no task holds a hot user as a whole.
     """
     extra = [C.EVENT_TIME] if C.EVENT_TIME in scores.columns else []
     rows = _usable(scores, [C.USER_ID, C.PRODUCT_CODE, C.SCORE] + extra, resource_map)
     rows = rows.withColumn(C.SCORE, F.col(C.SCORE).try_cast("double"))
     means = rows.groupBy(C.USER_ID).agg(F.avg(C.SCORE).alias("_mean"))
-    return rows.join(means, C.USER_ID).filter(F.col(C.SCORE) > F.col("_mean")).drop("_mean")
+    return salted_join(rows, means, [C.USER_ID], [C.PRODUCT_CODE, C.SCORE]).filter(F.col(C.SCORE) > F.col("_mean")).drop("_mean")
 
 
 def behavior_union(
@@ -64,15 +64,16 @@ def behavior_union(
     return out.distinct()
 
 
-def _bounded_groups(behavior: DataFrame, keys: Sequence[str], count_col: str, max_items: int) -> DataFrame:
-    """Groups whose row count n satisfies 1 < n < max_items.
+def _without_oversized(rows: DataFrame, keys: Sequence[str], max_items: int) -> DataFrame:
+    """Rows of the groups with fewer than ``max_items`` rows.
 
-    Counting is a grouped aggregate with map-side combine; only groups that
-    pass are collected afterwards, so an oversized (hot) group is never
-    gathered into one array.
+    Groups are counted by a map-side combined aggregate.  The oversized ones
+    are few (a table of n rows has at most n / max_items), and their rows leave
+    through an anti join that spreads them over parts, so a hot group's rows
+    never reach the shuffle that collects baskets.
     """
-    counts = behavior.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
-    return counts.filter((F.col(count_col) > 1) & (F.col(count_col) < max_items))
+    oversized = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= max_items).select(*keys)
+    return salted_join(rows, oversized, keys, [C.PRODUCT_CODE], "left_anti")
 
 
 def user_baskets(behavior: DataFrame, *, max_items: int = 100) -> DataFrame:
@@ -81,11 +82,10 @@ def user_baskets(behavior: DataFrame, *, max_items: int = 100) -> DataFrame:
     -> USER_ID, ITEMS (sorted array), N_ITEMS.
     """
     pairs = behavior.select(C.USER_ID, C.PRODUCT_CODE).distinct()
-    kept = _bounded_groups(pairs, [C.USER_ID], "N_ITEMS", max_items)
-    items = pairs.join(kept, C.USER_ID).groupBy(C.USER_ID, "N_ITEMS").agg(
-        F.array_sort(F.collect_set(C.PRODUCT_CODE)).alias("ITEMS")
+    items = _without_oversized(pairs, [C.USER_ID], max_items).groupBy(C.USER_ID).agg(
+        F.count(F.lit(1)).alias("N_ITEMS"), F.array_sort(F.collect_set(C.PRODUCT_CODE)).alias("ITEMS")
     )
-    return items.select(C.USER_ID, "ITEMS", "N_ITEMS")
+    return items.filter(F.col("N_ITEMS") > 1).select(C.USER_ID, "ITEMS", "N_ITEMS")
 
 
 def bucket_baskets(behavior: DataFrame, *, max_items: int = 100, bucket_col: str = "BUCKET") -> DataFrame:
@@ -96,8 +96,7 @@ def bucket_baskets(behavior: DataFrame, *, max_items: int = 100, bucket_col: str
     single item (as in the reference).  -> USER_ID, BUCKET, ITEMS, N_ROWS.
     """
     keys = [C.USER_ID, bucket_col]
-    kept = _bounded_groups(behavior, keys, "N_ROWS", max_items)
-    items = behavior.join(kept, keys).groupBy(*keys, "N_ROWS").agg(
-        F.array_sort(F.collect_set(C.PRODUCT_CODE)).alias("ITEMS")
+    items = _without_oversized(behavior, keys, max_items).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("N_ROWS"), F.array_sort(F.collect_set(C.PRODUCT_CODE)).alias("ITEMS")
     )
-    return items.select(C.USER_ID, bucket_col, "ITEMS", "N_ROWS")
+    return items.filter(F.col("N_ROWS") > 1).select(C.USER_ID, bucket_col, "ITEMS", "N_ROWS")

@@ -10,13 +10,14 @@ ratings (USER_ID, PRODUCT_CODE, SCORE), one row per (user, item)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..functions import fixed
 from .ratings import dense_index
+from .skew import salted_join
 from .topn import ranked_top_n
 
 # Rows of one user that go into one join block of the self-join.  A user
@@ -28,37 +29,20 @@ BLOCK_ROWS = 2048
 def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
     """Rating minus the user's mean rating, plus the user's block count.
 
-    Mean and count come from one window over the user, so the ratings are
-    shuffled once by user; a user holds at most one row per item, so a
-    window partition is bounded by the catalogue.  Deviations are rounded to
-    9 decimals so that a user whose ratings all equal the mean contributes
-    exact zeros (the zero-denominator rule).
+    Mean and count are map-side combined aggregates, joined back with a user's
+    ratings spread over parts.  Deviations are rounded to 9 decimals so that a
+    user whose ratings all equal the mean contributes exact zeros (the
+    zero-denominator rule).
     """
-    w = Window.partitionBy(C.USER_ID)
-    return ratings.select(
+    users = ratings.groupBy(C.USER_ID).agg(F.avg(C.SCORE).alias("_mean"), F.count(F.lit(1)).alias("_n"))
+    return salted_join(ratings, users, [C.USER_ID], [C.PRODUCT_CODE]).select(
         C.USER_ID,
         C.PRODUCT_CODE,
-        F.round(F.col(C.SCORE) - F.avg(C.SCORE).over(w), 9).alias("_d"),
-        F.ceil(F.count(F.lit(1)).over(w) / F.lit(block_rows)).cast("int").alias("_blocks"),
+        F.round(F.col(C.SCORE) - F.col("_mean"), 9).alias("_d"),
+        F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias("_blocks"),
     )
 
 
-def item_keys(ratings: DataFrame) -> tuple[DataFrame, bool]:
-    """A long surrogate key per item: (PRODUCT_CODE, _k), and whether it is a hash.
-
-    ``xxhash64`` of the id is used when it is collision-free on this item set
-    (checked with one aggregate), so keys cost no join; otherwise the dense
-    id index supplies them.  Pair shuffles then carry two longs instead of
-    two strings.
-    """
-    items = ratings.select(C.PRODUCT_CODE).distinct()
-    hashed = items.withColumn("_k", F.xxhash64(C.PRODUCT_CODE))
-    n_items, n_keys = hashed.agg(F.count(F.lit(1)), F.count_distinct("_k")).first()
-    if n_items == n_keys:
-        return hashed, True
-    return dense_index(items, C.PRODUCT_CODE, "_k").withColumn("_k", F.col("_k").cast("long")), False
-
-
 def corated_pairs(
     ratings: DataFrame,
     *,
@@ -70,53 +54,37 @@ def corated_pairs(
     -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
        j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
 
-    Integer item ids are used as they are; other ids are replaced by long
-    keys (``item_keys``) for the pair stage and mapped back at the end.
-    Users with at most ``block_rows`` ratings self-join on the user, reusing
-    the partitioning of the per-user window.  A heavier user is cut into
-    blocks = ceil(n / block_rows) blocks per side and joins on (user, a, b):
-    the left copy of a rating sits in block a = hash(i) mod blocks and is
-    repeated for every b, the right copy sits in block b = hash(j) mod blocks
-    and is repeated for every a, so the user's pairs spread over blocks^2
-    tasks of at most block_rows^2 pairs each.  Each pair is emitted once and
-    the four sums combine map-side before the shuffle on (i, j); only pairs
-    that reach ``min_commons`` are mapped back to item ids.
+    Integer item ids are used as they are; ids of other types are replaced by
+    their dense index for the pair stage and mapped back at the end.  A user of
+    n ratings has blocks = ceil(n / block_rows) and joins on (user, a, b): the
+    left copy of a rating sits in block a = hash(i) mod blocks and is repeated
+    for every b, the right copy sits in block b = hash(j) mod blocks and is
+    repeated for every a, so a user's pairs spread over blocks^2 joins of about
+    block_rows^2 pairs each (one join for an ordinary user).  Each pair is
+    emitted once and the four sums combine map-side before the shuffle on
+    (i, j); only pairs that reach ``min_commons`` are mapped back to item ids.
     """
     integral = isinstance(ratings.schema[C.PRODUCT_CODE].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     if integral:
         # Integer ids already are fixed-width keys: no surrogate, no mapping back.
-        keyed, keys, hashed = ratings.withColumn("_k", F.col(C.PRODUCT_CODE).cast("long")), None, False
+        keyed, keys = ratings.withColumn("_k", F.col(C.PRODUCT_CODE).cast("long")), None
     else:
-        keys, hashed = item_keys(ratings)
-        keyed = (
-            ratings.withColumn("_k", F.xxhash64(C.PRODUCT_CODE))
-            if hashed
-            else ratings.join(keys, C.PRODUCT_CODE)
-        )
+        keys = dense_index(ratings, C.PRODUCT_CODE, "_k")
+        keyed = ratings.join(keys, C.PRODUCT_CODE)
+    dev = _deviations(keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE), block_rows)
+    home = F.pmod(F.xxhash64(C.PRODUCT_CODE), F.col("_blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     # The pair emission multiplies rows after this shuffle, so its input size
     # says nothing about the work: an explicit partition count keeps AQE from
-    # coalescing it into a few tasks.  Window and light self-join reuse it.
+    # coalescing it into a few tasks.
     parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_user = keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE).repartition(parts, C.USER_ID)
-    dev = _deviations(by_user, block_rows)
-    # Ordinary users: self-join on the user, reusing the window's partitioning.
-    light = dev.filter(F.col("_blocks") <= 1)
-    li = light.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"))
-    lj = light.select(F.col(C.USER_ID).alias("_u"), F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"))
+    key = [C.USER_ID, "_a", "_b"]
+    left = dev.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"), home.alias("_a"), every.alias("_b")).repartition(parts, *key)
+    right = dev.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"), every.alias("_a"), home.alias("_b")).repartition(parts, *key)
+    right = right.select(*[F.col(c).alias(f"r{c}") for c in key], "_j", "_dj")
     # i < j is part of the join condition, so rejected pairs are never built as rows.
-    light_pairs = li.join(lj, (F.col(C.USER_ID) == F.col("_u")) & (F.col("_i") < F.col("_j"))).drop("_u")
-    # Heavy users: blocked self-join on (user, a, b).
-    heavy = dev.filter(F.col("_blocks") > 1)
-    home = F.pmod(F.xxhash64(C.PRODUCT_CODE), F.col("_blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    left = heavy.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"), home.alias("_a"), every.alias("_b"))
-    right = heavy.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"), every.alias("_a"), home.alias("_b"))
-    heavy_pairs = (
-        left.join(right, [C.USER_ID, "_a", "_b"])
-        .filter(F.col("_i") < F.col("_j"))
-        .select(C.USER_ID, "_i", "_di", "_j", "_dj")
-    )
-    pairs = light_pairs.unionByName(heavy_pairs)
+    same = [F.col(c) == F.col(f"r{c}") for c in key]
+    pairs = left.join(right, same[0] & same[1] & same[2] & (F.col("_i") < F.col("_j")))
     sums = pairs.groupBy("_i", "_j").agg(
         F.sum(F.col("_di") * F.col("_dj")).alias("cross"),
         F.sum(F.col("_di") * F.col("_di")).alias("_isq"),
@@ -152,12 +120,12 @@ def adjusted_cosine(ratings: DataFrame, *, min_commons: int = 5, block_rows: int
     """Directed similarities (both i->j and j->i) for pairs with enough co-raters.
 
     sim = sum(di*dj) / (sqrt(sum di^2) * sqrt(sum dj^2)), 0 when either sum is
-    0; rounded to 6 decimals before any threshold or ranking.  Mirroring
+    0; rounded to 12 decimals, below anything a threshold or ranking should see.  Mirroring
     happens after aggregation and filtering, so only half the pairs shuffle.
     """
     pairs = corated_pairs(ratings, min_commons=min_commons, block_rows=block_rows)
     denom = F.sqrt("i_sq") * F.sqrt("j_sq")
-    sim = fixed(F.when((F.col("i_sq") * F.col("j_sq")) == 0, F.lit(0.0)).otherwise(F.col("cross") / denom), 6)
+    sim = fixed(F.when((F.col("i_sq") * F.col("j_sq")) == 0, F.lit(0.0)).otherwise(F.col("cross") / denom), 12)
     both = F.array(
         F.struct(F.col(C.PRODUCT_CODE).alias("a"), F.col(C.J_PRODUCT_CODE).alias("b")),
         F.struct(F.col(C.J_PRODUCT_CODE).alias("a"), F.col(C.PRODUCT_CODE).alias("b")),
@@ -181,11 +149,20 @@ def predict_ratings(
 ) -> DataFrame:
     """Weighted-sum prediction for (user, j) from the user's ratings of items similar to j.
 
+    ``unrated`` keeps pairs the user has not rated (recommendation); otherwise
+    only rated pairs (validation).  See ``weighted_predictions``.
+    """
+    known = F.col(C.SCORE).isNull() if unrated else F.col(C.SCORE).isNotNull()
+    return weighted_predictions(ratings, top_sims, min_rating=min_rating).filter(known).drop(C.SCORE)
+
+
+def weighted_predictions(ratings: DataFrame, top_sims: DataFrame, *, min_rating: float = 2) -> DataFrame:
+    """Weighted-sum prediction of every (user, j) that some seed reaches, and the user's own SCORE of j (null if unrated).
+
     Seeds are ratings >= min_rating; each seed fans out to at most top_sim
     neighbours.  prediction = sum(r * sim) / sum(|sim|), -1 when the
-    denominator is 0, rounded to 6 decimals.  ``unrated`` keeps pairs the user
-    has not rated (recommendation); otherwise only rated pairs (validation).
-    The (user, j) sums combine map-side before the semi/anti join.
+    denominator is 0, rounded to 12 decimals.  The (user, j) sums combine
+    map-side before the one join with the ratings.
     """
     seeds = ratings.filter(F.col(C.SCORE) >= min_rating).select(C.USER_ID, C.PRODUCT_CODE, C.SCORE)
     contrib = seeds.join(top_sims, C.PRODUCT_CODE).select(
@@ -195,10 +172,9 @@ def predict_ratings(
         F.abs(F.col(C.SIMILARITY)).alias("_den"),
     )
     sums = contrib.groupBy(C.USER_ID, "_j").agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"))
-    rated = ratings.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"))
-    kept = sums.join(rated, [C.USER_ID, "_j"], "left_anti" if unrated else "left_semi")
-    pred = fixed(F.when(F.col("_den") == 0, F.lit(-1.0)).otherwise(F.col("_num") / F.col("_den")), 6)
-    return kept.select(C.USER_ID, F.col("_j").alias(C.PRODUCT_CODE), pred.alias(C.PREDICTION))
+    rated = ratings.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), C.SCORE)
+    pred = fixed(F.when(F.col("_den") == 0, F.lit(-1.0)).otherwise(F.col("_num") / F.col("_den")), 12)
+    return sums.join(rated, [C.USER_ID, "_j"], "left").select(C.USER_ID, F.col("_j").alias(C.PRODUCT_CODE), pred.alias(C.PREDICTION), C.SCORE)
 
 
 def cosine_recommendations(predictions: DataFrame, *, min_rating: float = 2, top_n: int = 10) -> DataFrame:

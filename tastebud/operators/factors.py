@@ -82,13 +82,18 @@ def als_candidates(model: ALSModel, ratings: DataFrame, *, top_n: int, first_tie
     (<= 16, <= 64, <= 256, ...); each tier is served by one blocked
     ``recommendForUserSubset(N + tier bound)``, so a user receives fewer than
     4 n + N + 16 candidates and a heavy user costs only its own tier.  Rated
-    items are then removed with an anti join.  Only the per-tier user counts
-    (a handful of rows) reach the driver.  -> u, i, prediction (unrated only).
+    items are then removed with an anti join and the rest is cut to exactly the
+    N best per user (prediction desc, item index asc), so the tiers' bounds
+    decide the cost and not the result.  Only the per-tier user counts (a
+    handful of rows) reach the driver.  The retrieval itself is the library's
+    blocked product of user and item factors: |users| x |items| x rank
+    operations, of which each user keeps the bounded list above.
+    -> u, i, prediction, RANK (unrated only).
     """
     rated = ratings.groupBy(USER_IDX).agg(F.count(F.lit(1)).alias("_n"))
     max_rated = rated.agg(F.max("_n")).first()[0]
     if max_rated is None:
-        return ratings.sparkSession.createDataFrame([], f"{USER_IDX} int, {ITEM_IDX} int, {C.PREDICTION} double")
+        return ratings.sparkSession.createDataFrame([], f"{USER_IDX} int, {ITEM_IDX} int, {C.PREDICTION} double, {C.RANK} int")
     bounds = _tier_bounds(int(max_rated), first=first_tier)
     tier = F.lit(len(bounds) - 1)
     for k in reversed(range(len(bounds))):
@@ -105,7 +110,8 @@ def als_candidates(model: ALSModel, ratings: DataFrame, *, top_n: int, first_tie
     flat = recs.select(USER_IDX, F.explode("recommendations").alias("_r")).select(
         USER_IDX, F.col(f"_r.{ITEM_IDX}").alias(ITEM_IDX), F.col("_r.rating").cast("double").alias(C.PREDICTION)
     )
-    return flat.join(ratings.select(USER_IDX, ITEM_IDX), [USER_IDX, ITEM_IDX], "left_anti")
+    unrated = flat.join(ratings.select(USER_IDX, ITEM_IDX), [USER_IDX, ITEM_IDX], "left_anti")
+    return ranked_top_n(unrated, by=USER_IDX, score=C.PREDICTION, tie=ITEM_IDX, n=top_n)
 
 
 def als_recommendations(
@@ -117,7 +123,7 @@ def als_recommendations(
     top_n: int = 10,
     min_score: float = 3.0,
 ) -> tuple[DataFrame, DataFrame]:
-    """-> (predictions above min_score among the candidates, top-N per user with RANK), by id."""
+    """-> (the N best unrated predictions above min_score of each user, the same ranked by id order on ties), by id."""
     cand = als_candidates(model, ratings, top_n=top_n).filter(~F.isnan(C.PREDICTION) & (F.col(C.PREDICTION) > min_score))
     named = cand.join(user_index, USER_IDX).join(item_index, ITEM_IDX).select(C.USER_ID, C.PRODUCT_CODE, C.PREDICTION)
     top = ranked_top_n(named, by=C.USER_ID, score=C.PREDICTION, tie=C.PRODUCT_CODE, n=top_n)

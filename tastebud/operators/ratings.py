@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import columns as C
 from ..functions import fixed, present
 from ..session import cut_lineage
 from .cleansing import fill_item_from_resource
+from .skew import salted_join
 
 
 def avg_ratings(
@@ -58,22 +58,19 @@ def dense_index(df: DataFrame, id_col: str, index_col: str) -> DataFrame:
         "_offset", F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     ).select("_part", "_first", F.coalesce(F.col("_offset"), F.lit(0)).alias("_offset"))
     return tagged.join(F.broadcast(offsets), "_part").select(
-        F.col(id_col), (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("int").alias(index_col)
+        F.col(id_col), (F.col("_offset") + F.col("_pos") - F.col("_first")).cast("long").alias(index_col)
     )
 
 
 def id_index(df: DataFrame, id_col: str, index_col: str) -> DataFrame:
     """(id, int index) for models that need int ids (ALS users / items, k-means labels).
 
-    Integer ids in [0, 2^31 - 1) are their own index (checked with one min/max
-    aggregate): no global sort, no checkpoint.  Other ids get ``dense_index``.
+    The dense index, narrowed to int; more than 2^31 - 1 distinct ids are an
+    error, as those models cannot take them.
     """
-    integral = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-    if isinstance(df.schema[id_col].dataType, integral):
-        lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
-        if lo is None or (lo >= 0 and hi < 2**31 - 1):
-            return df.select(id_col).distinct().select(id_col, F.col(id_col).cast("int").alias(index_col))
-    return dense_index(df, id_col, index_col)
+    index = dense_index(df, id_col, index_col)
+    too_many = F.raise_error(F.lit(f"{id_col}: more distinct ids than an int index holds"))
+    return index.select(id_col, F.when(F.col(index_col) < 2**31 - 1, F.col(index_col)).otherwise(too_many).cast("int").alias(index_col))
 
 
 def preference_scores(
@@ -91,7 +88,7 @@ def preference_scores(
     """
     explicit = avg_ratings(scores, resource_map)
     user_mean = explicit.groupBy(C.USER_ID).agg(F.avg(C.SCORE).alias("_mean"))
-    centered = explicit.join(user_mean, C.USER_ID).select(
+    centered = salted_join(explicit, user_mean, [C.USER_ID], [C.PRODUCT_CODE]).select(
         C.USER_ID, C.PRODUCT_CODE, (F.col(C.SCORE) - F.col("_mean")).alias("_explicit")
     )
     parts = []
@@ -123,7 +120,8 @@ def _sparse_vector(size, entries):
     return SparseVector(size, [e[0] for e in entries], [float(e[1]) for e in entries])
 
 
-# Arrow-batched transfer; only the vector construction itself is Python.
+# Spark SQL has no constructor of sparse vectors and pandas UDFs cannot return
+# one, so this is a plain function per user over Arrow-batched transfer.
 _sparse = F.udf(_sparse_vector, VectorUDT(), useArrow=True)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import columns as C
+from ..functions import present
 from .topn import ranked_top_n
 
 
@@ -36,6 +37,12 @@ def fit_itemsets(
     return model
 
 
+def release(model: FPGrowthModel) -> None:
+    """Give back what ``fit_itemsets`` keeps; itemsets and rules already written stay readable."""
+    model.freqItemsets.unpersist()
+    model.associationRules.unpersist()
+
+
 def frequent_itemsets(model: FPGrowthModel, *, max_len: int | None = None) -> DataFrame:
     """-> ITEMS (sorted array), LENGTH, FREQ; optionally only sets shorter than ``max_len``."""
     sets = model.freqItemsets.select(
@@ -71,22 +78,25 @@ def contained_sets(sets: DataFrame, history: DataFrame, *, set_col: str = "ITEMS
     if max_size is not None:
         chosen = chosen.filter(F.size(set_col) <= max_size)
     members = chosen.select(set_col, F.size(set_col).alias("_size"), F.explode(set_col).alias(C.PRODUCT_CODE))
-    owned = history.select(C.USER_ID, C.PRODUCT_CODE).distinct()
+    # the empty item is none: a set that holds it is contained by nobody
+    owned = history.select(C.USER_ID, C.PRODUCT_CODE).filter(present(C.PRODUCT_CODE)).distinct()
     hits = owned.join(members, C.PRODUCT_CODE).groupBy(C.USER_ID, set_col, "_size").agg(F.count(F.lit(1)).alias("_n"))
     return hits.filter(F.col("_n") == F.col("_size")).select(C.USER_ID, set_col)
 
 
-def rule_matches(rules: DataFrame, history: DataFrame, *, max_antecedent: int = 3) -> DataFrame:
+def rule_matches(rules: DataFrame, history: DataFrame, *, max_antecedent: int | None = 3) -> DataFrame:
     """Rules (antecedent size <= max_antecedent) whose antecedent the user's history contains.
 
     -> USER_ID, ANTECEDENT, CONSEQUENT, CONFIDENCE.
     """
-    usable = rules.filter(F.size(C.ANTECEDENT) <= max_antecedent).select(C.ANTECEDENT, C.CONSEQUENT, C.CONFIDENCE)
+    if max_antecedent is not None:
+        rules = rules.filter(F.size(C.ANTECEDENT) <= max_antecedent)
+    usable = rules.select(C.ANTECEDENT, C.CONSEQUENT, C.CONFIDENCE)
     priors = contained_sets(usable, history, set_col=C.ANTECEDENT, max_size=max_antecedent)
     return priors.join(usable, C.ANTECEDENT).select(C.USER_ID, C.ANTECEDENT, C.CONSEQUENT, C.CONFIDENCE)
 
 
-def rule_candidates(rules: DataFrame, history: DataFrame, *, max_antecedent: int = 3) -> DataFrame:
+def rule_candidates(rules: DataFrame, history: DataFrame, *, max_antecedent: int | None = 3) -> DataFrame:
     """Best confidence per (user, consequent) over matching rules, minus items the user already has.
 
     -> USER_ID, PRODUCT_CODE, CONFIDENCE.
@@ -97,7 +107,7 @@ def rule_candidates(rules: DataFrame, history: DataFrame, *, max_antecedent: int
     return best.join(owned, [C.USER_ID, C.PRODUCT_CODE], "left_anti")
 
 
-def rule_recommendations(rules: DataFrame, history: DataFrame, *, top_n: int = 10, max_antecedent: int = 3) -> DataFrame:
+def rule_recommendations(rules: DataFrame, history: DataFrame, *, top_n: int = 10, max_antecedent: int | None = 3) -> DataFrame:
     """Top-N new items per user by best rule confidence (desc), item (asc).
 
     -> USER_ID, PRODUCT_CODE, CONFIDENCE, RANK.

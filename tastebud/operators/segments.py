@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..functions import fixed
+from .skew import salted_join
 from .topn import ranked_top_n
 
+# Parts of one segment's members.
+SEGMENT_SALTS = 32
+
 
 def cluster_users(vectors: DataFrame, *, k: int, max_iter: int = 10, seed: int = 42) -> tuple[KMeansModel, DataFrame]:
     """K-means on user rating vectors (label, features) -> (model, label + prediction).
@@ -24,11 +28,12 @@ def segment_item_scores(scores: DataFrame, assignments: DataFrame, *, segment: s
     """Sum of member scores per (segment, item) -> segment, PRODUCT_CODE, score_sum.
 
     ``assignments`` maps USER_ID -> segment.  Sums combine map-side; the sum
-    is rounded to 6 decimals so the "> 0" test and the ranking are stable.
+    is rounded to 12 decimals, which takes away the noise of the summation
+    order and nothing that "> 0" or the ranking should see.
     """
     joined = scores.select(C.USER_ID, C.PRODUCT_CODE, C.SCORE).join(assignments.select(C.USER_ID, segment), C.USER_ID)
     sums = joined.groupBy(segment, C.PRODUCT_CODE).agg(F.sum(C.SCORE).alias(C.SCORE_SUM))
-    return sums.select(segment, C.PRODUCT_CODE, fixed(C.SCORE_SUM, 6).alias(C.SCORE_SUM))
+    return sums.select(segment, C.PRODUCT_CODE, fixed(C.SCORE_SUM, 12).alias(C.SCORE_SUM))
 
 
 def segment_topn(segment_scores: DataFrame, *, top_n: int = 10, segment: str = C.PREDICTION) -> DataFrame:
@@ -50,12 +55,16 @@ def segment_recommendations(
     As in the reference, items the user already has are kept unless
     ``exclude_seen`` (a USER_ID, PRODUCT_CODE frame) is given.  With
     ``bounded_topn`` (k segments x N rows, e.g. after k-means) the top-N side
-    is broadcast; otherwise the join is left to the adaptive planner.
+    is broadcast; otherwise a segment's members are spread over parts.
     """
     side = topn.select(segment, C.PRODUCT_CODE, C.RANK)
+    members = assignments.select(C.USER_ID, segment)
     if bounded_topn:
-        side = F.broadcast(side)
-    recs = assignments.select(C.USER_ID, segment).join(side, segment).select(C.USER_ID, C.PRODUCT_CODE, C.RANK)
+        recs = members.join(F.broadcast(side), segment)
+    else:
+        # few segments hold all users: members are spread, the top-N rows repeated
+        recs = salted_join(members, side, [segment], [C.USER_ID], salts=SEGMENT_SALTS)
+    recs = recs.select(C.USER_ID, C.PRODUCT_CODE, C.RANK)
     if exclude_seen is not None:
         recs = recs.join(exclude_seen.select(C.USER_ID, C.PRODUCT_CODE), [C.USER_ID, C.PRODUCT_CODE], "left_anti")
     return recs

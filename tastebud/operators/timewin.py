@@ -59,6 +59,20 @@ def _ntz(t: datetime) -> Column:
     return F.lit(t.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
+def epoch_ms(t: datetime) -> int:
+    """Epoch milliseconds of a wall-clock time in UTC."""
+    return (t - datetime(1970, 1, 1)) // timedelta(milliseconds=1)
+
+
+def _between(ts: str, first: datetime, last: datetime) -> Column:
+    """Time range of whole days, as a plain predicate on the column that a scan can use."""
+    return (F.col(ts) >= _ntz(first)) & (F.col(ts) < _ntz(last))
+
+
+def _day_start(year: int, day: int) -> datetime:
+    return datetime(year, 1, 1) + timedelta(days=day - 1)
+
+
 def seasonal_window_predicate(season: Season, *, ts: str = C.EVENT_TIME, year_cap: int | None = None) -> Column:
     """Rows of every year inside [S, E] day-of-year, up to the current season's end."""
     y, (s, n, e) = season.year, season.bounds()
@@ -93,9 +107,11 @@ def seasonal_history(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME, h
     day, year = _day(ts), _year(ts)
     if s < n:
         pred = (year == y) & day.between(s, n - 1 if half_open else n)
+        span = _between(ts, _day_start(y, s), _day_start(y, n + 1))
     else:
         pred = ((year == y - 1) & (day > s)) | ((year == y) & (day < n))
-    return df.filter(pred)
+        span = _between(ts, _day_start(y - 1, s), _day_start(y, n))
+    return df.filter(span & pred)
 
 
 def seasonal_future(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME) -> DataFrame:
@@ -104,9 +120,11 @@ def seasonal_future(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME) ->
     day, year = _day(ts), _year(ts)
     if n < e:
         pred = (year == y) & day.between(n, e)
+        span = _between(ts, _day_start(y, n), _day_start(y, e + 1))
     else:
         pred = ((year == y) & (day > n)) | ((year == y + 1) & (day < e))
-    return df.filter(pred)
+        span = _between(ts, _day_start(y, n), _day_start(y + 1, e))
+    return df.filter(span & pred)
 
 
 def holdout_year_cap(season: Season) -> int:

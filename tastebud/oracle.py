@@ -44,7 +44,7 @@ cs_pairs AS (
 ),
 cs_half AS (
   SELECT PRODUCT_CODE, j_PRODUCT_CODE,
-         ROUND(CASE WHEN i_sq * j_sq = 0 THEN 0.0 ELSE "cross" / (SQRT(i_sq) * SQRT(j_sq)) END, 6) + 0.0 AS simularity
+         ROUND(CASE WHEN i_sq * j_sq = 0 THEN 0.0 ELSE "cross" / (SQRT(i_sq) * SQRT(j_sq)) END, 12) + 0.0 AS simularity
   FROM cs_pairs
 ),
 cs_sims AS (
@@ -67,7 +67,7 @@ cs_contrib AS (
 ),
 cs_pred AS (
   SELECT c.USER_ID, c.PRODUCT_CODE,
-         ROUND(CASE WHEN den = 0 THEN -1.0 ELSE num / den END, 6) + 0.0 AS prediction,
+         ROUND(CASE WHEN den = 0 THEN -1.0 ELSE num / den END, 12) + 0.0 AS prediction,
          EXISTS (SELECT 1 FROM {r} x WHERE x.USER_ID = c.USER_ID AND x.PRODUCT_CODE = c.PRODUCT_CODE) AS is_rated
   FROM cs_contrib c
 ),
@@ -84,22 +84,22 @@ cs_recs AS (
 COSINE = with_(PURCHASE_RATINGS, sql_cosine("purchase_ratings", COSINE_PARAMS))
 
 
-COSINE_METRICS = (
-    COSINE
-    + f""",
+def cosine_metrics(ctes: str, r: str, p: CosineParams, arguments: str) -> str:
+    """Metrics of a cosine run over ratings view ``r``; ``ctes`` ends with ``sql_cosine``'s."""
+    return ctes + f""",
 cs_checked AS (SELECT (p.prediction - x.SCORE) * (p.prediction - x.SCORE) AS e2
-               FROM cs_pred_rated p JOIN purchase_ratings x USING (USER_ID, PRODUCT_CODE)),
+               FROM cs_pred_rated p JOIN {r} x USING (USER_ID, PRODUCT_CODE)),
 cs_stats AS (
-  SELECT (SELECT COUNT(*) FROM purchase_ratings) AS n_ratings,
-         (SELECT COUNT(DISTINCT USER_ID) FROM purchase_ratings) AS n_users,
-         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM purchase_ratings) AS n_items,
+  SELECT (SELECT COUNT(*) FROM {r}) AS n_ratings,
+         (SELECT COUNT(DISTINCT USER_ID) FROM {r}) AS n_users,
+         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM {r}) AS n_items,
          (SELECT COUNT(DISTINCT USER_ID) FROM cs_recs) AS n_reco_users,
          (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM cs_recs) AS n_reco_items,
          (SELECT SQRT(AVG(e2)) FROM cs_checked) AS rmse
 )
 SELECT metric, value FROM (
-  SELECT 0 AS pos, 'OP_TIME' AS metric, '{COSINE_PARAMS.op_time}' AS value FROM cs_stats
-  UNION ALL SELECT 1, 'ARGUMENTS', '{COSINE_PARAMS.arguments()}' FROM cs_stats
+  SELECT 0 AS pos, 'OP_TIME' AS metric, '{p.op_time}' AS value FROM cs_stats
+  UNION ALL SELECT 1, 'ARGUMENTS', '{arguments}' FROM cs_stats
   UNION ALL SELECT 2, 'NUM_PROCESSED_LOG', CAST(n_ratings AS VARCHAR) FROM cs_stats
   UNION ALL SELECT 3, 'NUM_ALL_USERS', CAST(n_users AS VARCHAR) FROM cs_stats
   UNION ALL SELECT 4, 'NUM_POSSIBLE_USERS', CAST(n_reco_users AS VARCHAR) FROM cs_stats
@@ -107,17 +107,20 @@ SELECT metric, value FROM (
   UNION ALL SELECT 6, 'COVERAGE', COALESCE(printf('%.9f', ROUND(n_reco_items / n_items, 9)), 'NaN') FROM cs_stats
   UNION ALL SELECT 7, 'RMSE', COALESCE(printf('%.9f', ROUND(rmse, 9)), 'NaN') FROM cs_stats
 ) ORDER BY pos"""
-)
 
 
+COSINE_METRICS = cosine_metrics(COSINE, "purchase_ratings", COSINE_PARAMS, "0.7_20_5_2_10")
 
 
 # ----------------------------------------------------------- time / rules
 
 from datetime import datetime  # noqa: E402
 
-from .operators.timewin import Season  # noqa: E402
-from .plans.params import RulesParams, link_args  # noqa: E402
+from .plans.params import RulesParams  # noqa: E402
+
+# Season numbers of the registered run, worked out by hand: 2000-06-15 is day
+# 167 of its year, 15 days before it is day 152, 15 days after it day 182.
+YEAR, FIRST_DAY, THIS_DAY, LAST_DAY = 2000, 152, 167, 182
 
 SEASON_PARAMS = RulesParams(
     end_time=datetime(2000, 6, 15), months=1, tran_days=4, max_items=100,
@@ -149,32 +152,20 @@ PURCHASES = _event_log("purchases", "'purchase'")
 EVENT_SCORES = _event_log("event_scores", "'purchase', 'view'")
 
 
-def season_window(src: str, name: str, season: Season) -> str:
-    y, (s, n, e) = season.year, season.bounds()
+def season_window(src: str, name: str) -> str:
     day = "dayofyear(event_time)"
-    inside = f"{day} BETWEEN {s} AND {e}" if s < e else f"({day} > {s} OR {day} < {e})"
-    last = f" AND (year(event_time) <> {y} OR {day} < {e})" if n < e else ""
-    return f"\n{name} AS (SELECT * FROM {src} WHERE year(event_time) <= {y} AND {inside}{last})"
+    return f"""
+{name} AS (SELECT * FROM {src} WHERE year(event_time) <= {YEAR} AND {day} BETWEEN {FIRST_DAY} AND {LAST_DAY}
+  AND (year(event_time) <> {YEAR} OR {day} < {LAST_DAY}))"""
 
 
-def season_history(src: str, name: str, season: Season, *, half_open: bool = False) -> str:
-    y, (s, n, _) = season.year, season.bounds()
-    day = "dayofyear(event_time)"
-    if s < n:
-        pred = f"year(event_time) = {y} AND {day} BETWEEN {s} AND {n - 1 if half_open else n}"
-    else:
-        pred = f"(year(event_time) = {y - 1} AND {day} > {s}) OR (year(event_time) = {y} AND {day} < {n})"
-    return f"\n{name} AS (SELECT * FROM {src} WHERE {pred})"
+def season_history(src: str, name: str, *, half_open: bool = False) -> str:
+    last = THIS_DAY - 1 if half_open else THIS_DAY
+    return f"\n{name} AS (SELECT * FROM {src} WHERE year(event_time) = {YEAR} AND dayofyear(event_time) BETWEEN {FIRST_DAY} AND {last})"
 
 
-def season_future(src: str, name: str, season: Season) -> str:
-    y, (_, n, e) = season.year, season.bounds()
-    day = "dayofyear(event_time)"
-    if n < e:
-        pred = f"year(event_time) = {y} AND {day} BETWEEN {n} AND {e}"
-    else:
-        pred = f"(year(event_time) = {y} AND {day} > {n}) OR (year(event_time) = {y + 1} AND {day} < {e})"
-    return f"\n{name} AS (SELECT * FROM {src} WHERE {pred})"
+def season_future(src: str, name: str) -> str:
+    return f"\n{name} AS (SELECT * FROM {src} WHERE year(event_time) = {YEAR} AND dayofyear(event_time) BETWEEN {THIS_DAY} AND {LAST_DAY})"
 
 
 def itemsets(baskets: str, basket_key: str, p: RulesParams) -> str:
@@ -266,14 +257,13 @@ recs AS (
 
 def season_base(p: RulesParams) -> str:
     """Binding A, time-window run: win, beh, hist, fut, bk, bk_kept, basket_items, itemsets, recs."""
-    season = Season.of(p.end_time, p.months)
     train = f" WHERE event_time < TIMESTAMP '{p.end_time:%Y-%m-%d %H:%M:%S}'" if p.holdout else ""
     return with_(
         SHOP,
-        season_window("shop", "win", season),
+        season_window("shop", "win"),
         "\nbeh AS (SELECT DISTINCT USER_ID, PRODUCT_CODE, date_trunc('second', event_time) AS event_time FROM win)",
-        season_history("beh", "hist", season, half_open=p.holdout),
-        season_future("beh", "fut", season),
+        season_history("beh", "hist", half_open=p.holdout),
+        season_future("beh", "fut"),
         f"""
 bk AS (SELECT *, (epoch_us(event_time) // 86400000000) // {p.tran_days} AS BUCKET FROM beh{train}),
 bk_kept AS (
@@ -318,7 +308,7 @@ stats AS (
 )
 """ + _metrics_sql([
         ("OP_TIME", f"'{p.op_time}'"),
-        ("ARGUMENTS", "'" + link_args(p.min_support, p.min_confidence, p.months, p.max_items, p.top_n, p.num_partitions) + "'"),
+        ("ARGUMENTS", "'0.02_0.15_1_100_10_auto'"),
         ("NUM_RAW_LOGS", _txt("n_raw")),
         ("NUM_PROCESSED_LOG", _txt("n_processed")),
         ("NUM_ACTION_TRANSACTIONS", _txt("n_baskets")),
@@ -367,8 +357,7 @@ stats AS (
 )
 """ + _metrics_sql([
     ("OP_TIME", f"'{FULL_PARAMS.op_time}'"),
-    ("ARGUMENTS", "'" + link_args(FULL_PARAMS.min_support, FULL_PARAMS.min_confidence, FULL_PARAMS.max_items,
-                                  FULL_PARAMS.top_n, FULL_PARAMS.num_partitions) + "'"),
+    ("ARGUMENTS", "'0.1_0.3_100_10_auto'"),
     ("NUM_RAW_LOGS", _txt("n_raw")),
     ("NUM_PROCESSED_LOG", _txt("n_processed")),
     ("NUM_ACTION_TRANSACTIONS", _txt("n_baskets")),
@@ -408,7 +397,7 @@ SEGMENTS = """
 seg AS (SELECT c_custkey AS USER_ID, c_mktsegment AS prediction FROM customer),
 asg AS (SELECT * FROM seg WHERE USER_ID IN (SELECT USER_ID FROM purchase_ratings)),
 seg_scores AS (
-  SELECT a.prediction, r.PRODUCT_CODE, ROUND(SUM(r.SCORE), 6) + 0.0 AS score_sum
+  SELECT a.prediction, r.PRODUCT_CODE, ROUND(SUM(r.SCORE), 12) + 0.0 AS score_sum
   FROM purchase_ratings r JOIN asg a ON a.USER_ID = r.USER_ID GROUP BY 1, 2
 ),
 seg_top AS (
@@ -469,3 +458,59 @@ found AS (
   WHERE CAST(USER_ID AS VARCHAR) = '{LOOKUP_USER}' OR NAME = '{LOOKUP_USER}' OR ACCOUNT = '{LOOKUP_USER}'
 ),
 products AS (SELECT DISTINCT p_partkey AS PRODUCT_CODE, p_name AS PRODUCT_NAME FROM part)"""
+
+# ----------------------------------------------- runs with a resource map, runs on event ratings
+
+RES_RATINGS = """
+res_ratings AS (
+  SELECT USER_ID, PRODUCT_CODE, AVG(SCORE) AS SCORE FROM filled
+  WHERE USER_ID IS NOT NULL AND SCORE IS NOT NULL GROUP BY 1, 2
+)"""
+COSINE_RESOURCE_METRICS = cosine_metrics(
+    with_(PURCHASE_RES, RES_RATINGS, sql_cosine("res_ratings", COSINE_PARAMS)), "res_ratings", COSINE_PARAMS, "0.7_20_5_2_10"
+)
+
+EVENT_COSINE = CosineParams(min_sim=0.3, top_sim=20, min_commons=5, min_rating=2, top_n=10)
+EVENT_RATINGS = """
+event_ratings AS (
+  SELECT USER_ID, PRODUCT_CODE, AVG(SCORE) AS SCORE FROM event_scores
+  WHERE USER_ID IS NOT NULL AND PRODUCT_CODE IS NOT NULL AND SCORE IS NOT NULL GROUP BY 1, 2
+)"""
+COSINE_EVENTS_METRICS = cosine_metrics(
+    with_(EVENT_SCORES, EVENT_RATINGS, sql_cosine("event_ratings", EVENT_COSINE)), "event_ratings", EVENT_COSINE, "0.3_20_5_2_10"
+)
+
+RESOURCE_RULES = RulesParams(min_support=0.002, min_confidence=0.3, max_items=60, top_n=10)
+FULL_RESOURCE_METRICS = with_(
+    PURCHASE_RES,
+    """
+rf_items AS (SELECT DISTINCT USER_ID, CAST(PRODUCT_CODE AS VARCHAR) AS PRODUCT_CODE FROM filled WHERE USER_ID IS NOT NULL)""",
+    f"""
+ub_kept AS (
+  SELECT USER_ID, COUNT(*) AS N_ITEMS FROM rf_items GROUP BY 1
+  HAVING COUNT(*) > 1 AND COUNT(*) < {RESOURCE_RULES.max_items}
+),
+user_items AS (SELECT b.USER_ID, b.PRODUCT_CODE FROM rf_items b JOIN ub_kept k USING (USER_ID))""",
+    itemsets("user_items", "USER_ID", RESOURCE_RULES),
+    rules_apply("rf_items", RESOURCE_RULES),
+) + """,
+stats AS (
+  SELECT (SELECT COUNT(*) FROM plog) AS n_raw,
+         (SELECT COUNT(*) FROM rf_items) AS n_processed,
+         (SELECT COUNT(*) FROM ub_kept) AS n_baskets,
+         (SELECT COUNT(DISTINCT USER_ID) FROM rf_items) AS n_users,
+         (SELECT COUNT(DISTINCT USER_ID) FROM recs) AS n_reco_users,
+         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM recs) AS n_reco_items,
+         (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM rf_items) AS n_items
+)
+""" + _metrics_sql([
+    ("OP_TIME", "'2000061500'"),
+    ("ARGUMENTS", "'0.002_0.3_60_10_auto'"),
+    ("NUM_RAW_LOGS", _txt("n_raw")),
+    ("NUM_PROCESSED_LOG", _txt("n_processed")),
+    ("NUM_ACTION_TRANSACTIONS", _txt("n_baskets")),
+    ("NUM_ALL_USERS", _txt("n_users")),
+    ("NUM_POSSIBLE_USERS", _txt("n_reco_users")),
+    ("NUM_POSSIBLE_ITEMS", _txt("n_reco_items")),
+    ("COVERAGE", _ratio("n_reco_items", "n_items")),
+])

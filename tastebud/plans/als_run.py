@@ -24,8 +24,8 @@ def index_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def run_als(ratings: DataFrame, params: AlsParams = AlsParams()) -> dict[str, DataFrame]:
     """Products: User-factors, Product-factors, Rating-predictions, User-recommendations, metrics.
 
-    Rating-predictions holds the scored candidates above ``min_score`` that
-    the exact top-N retrieval considers (not the full users x items product).
+    Rating-predictions holds the ``top_n`` best unrated items of each user that
+    score above ``min_score`` (not the full users x items product).
     """
     users, items, indexed = index_ratings(ratings)
     model = als_fit(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import columns as C
-from ..operators.cosine import adjusted_cosine, cosine_recommendations, predict_ratings, top_similar_items
+from ..operators.cosine import adjusted_cosine, cosine_recommendations, top_similar_items, weighted_predictions
 from ..session import cut_lineage
 from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text, squared_error
 from .params import CosineParams
@@ -38,10 +38,12 @@ def run_cosine(ratings: DataFrame, params: CosineParams = CosineParams(), *, mat
     User-recommendations, Recommendation-metrics.
     """
     ratings, sims = similar_items(ratings, params, materialize=materialize)
-    unrated = predict_ratings(ratings, sims, min_rating=params.min_rating, unrated=True)
-    rated = predict_ratings(ratings, sims, min_rating=params.min_rating, unrated=False)
+    predictions = weighted_predictions(ratings, sims, min_rating=params.min_rating)
+    if materialize:  # read by the products and the metrics: one pass over the sums
+        predictions = cut_lineage(predictions)
+    unrated = predictions.filter(F.col(C.SCORE).isNull()).drop(C.SCORE)
+    checked = predictions.filter(F.col(C.SCORE).isNotNull())
     recs = cosine_recommendations(unrated, min_rating=params.min_rating, top_n=params.top_n)
-    checked = rated.join(ratings, [C.USER_ID, C.PRODUCT_CODE])
     stats = one_row(
         counts={
             "n_ratings": ratings,

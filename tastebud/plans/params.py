@@ -28,6 +28,12 @@ class RulesParams:
     # True: rows at or after end_time do not train the rules, and day N
     # belongs to the hold-out only (the reference lets both overlap).
     holdout: bool = False
+    # Frequent sets shorter than this are a product; sets of at most
+    # ``max_prior`` items are matched against users, and rules of at most
+    # ``max_antecedent`` items applied.  None: no limit.
+    max_len: int | None = 10
+    max_prior: int | None = 3
+    max_antecedent: int | None = 3
 
     @property
     def op_time(self) -> str:
@@ -44,7 +50,7 @@ class CosineParams:
     op_time: str = "2000061500"
 
     def arguments(self) -> str:
-        return link_args(self.min_sim, self.top_sim, self.min_commons, int(self.min_rating), self.top_n)
+        return link_args(self.min_sim, self.top_sim, self.min_commons, f"{self.min_rating:g}", self.top_n)
 
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from .. import columns as C
 from ..operators.behavior import behavior_union, bucket_baskets, user_baskets
 from ..operators.evaluate import metrics_table, one_row, ratio_text
-from ..operators.rules import association_rules, contained_sets, fit_itemsets, frequent_itemsets, rule_recommendations
-from ..operators.timewin import Season, bucket_events, holdout_year_cap, seasonal_future, seasonal_history, seasonal_window
+from ..operators.rules import association_rules, contained_sets, fit_itemsets, frequent_itemsets, release, rule_recommendations
+from ..operators.timewin import Season, bucket_events, epoch_ms, holdout_year_cap, parse_event_time, seasonal_future, seasonal_history, seasonal_window
+from ..functions import format_datetime
 from ..session import cut_lineage
 from .params import RulesParams, link_args
 
@@ -25,6 +27,20 @@ def _raw_rows(logs: Sequence[DataFrame], scores: DataFrame | None) -> list[DataF
     return list(logs) + ([scores] if scores is not None else [])
 
 
+def _timed(log: DataFrame, season: Season) -> DataFrame:
+    """The log with ``event_time``: as it is, or parsed from its epoch-ms column.
+
+    The raw column gets the bound that no slice looks beyond, as a plain
+    predicate that reaches the scan.
+    """
+    if C.EVENT_TIME in log.columns:
+        return log
+    raw = next((c for c in (C.SCORE_TIME, C.CREATE_TIME) if c in log.columns), None)
+    if raw is None:
+        raise ValueError(f"a log needs {C.EVENT_TIME}, {C.CREATE_TIME} or {C.SCORE_TIME}")
+    return parse_event_time(log.filter(F.col(raw) < epoch_ms(datetime(holdout_year_cap(season) + 1, 1, 1))), time_col=raw, text=None)
+
+
 def time_window_parts(
     logs: Sequence[DataFrame],
     params: RulesParams,
@@ -39,6 +55,8 @@ def time_window_parts(
     and metrics) is checkpointed once; otherwise everything stays lazy.
     """
     season = Season.of(params.end_time, params.months)
+    logs = [_timed(log, season) for log in logs]
+    scores = _timed(scores, season) if scores is not None else None
 
     def behaviour(cap: int | None) -> DataFrame:
         windowed = [seasonal_window(log, season, year_cap=cap) for log in logs]
@@ -102,11 +120,14 @@ def run_rules(
     model = fit_itemsets(
         baskets, min_support=params.min_support, min_confidence=params.min_confidence, num_partitions=params.num_partitions
     )
-    frequents = frequent_itemsets(model, max_len=10)
-    rules = association_rules(model)
+    # written once, read by every product; the fit's own copies can go
+    frequents = cut_lineage(frequent_itemsets(model, max_len=params.max_len))
+    rules = cut_lineage(association_rules(model))
+    release(model)
     owned = history.select(C.USER_ID, C.PRODUCT_CODE)
-    priors = contained_sets(frequents.select("ITEMS"), owned, set_col="ITEMS", max_size=3)
-    recs = rule_recommendations(rules, owned, top_n=params.top_n)
+    priors = contained_sets(frequents.select("ITEMS"), owned, set_col="ITEMS", max_size=params.max_prior)
+    # at most top_n rows a user, read by four metrics and the product
+    recs = cut_lineage(rule_recommendations(rules, owned, top_n=params.top_n, max_antecedent=params.max_antecedent))
 
     counts = {
         "n_raw": _union_count_rows(_raw_rows(logs, scores)),
@@ -151,7 +172,7 @@ def run_rules(
     metrics = metrics_table(one_row(counts=counts), entries)
 
     op = F.lit(params.op_time).alias(C.OP_TIME)
-    history_cols = [C.USER_ID, C.PRODUCT_CODE] + ([F.col(C.EVENT_TIME)] if time_window else [])
+    history_cols = [C.USER_ID, C.PRODUCT_CODE] + ([format_datetime(C.EVENT_TIME).alias(C.DATE)] if time_window else [])
     products = {
         "User-history-logs": history.select(*history_cols),
         "Frequents": frequents.select(F.array_join("ITEMS", ",").alias("ITEMS"), "LENGTH", "FREQ", op),

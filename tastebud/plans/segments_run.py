@@ -45,6 +45,7 @@ def run_given_segments(scores: DataFrame, segments: DataFrame, params: SegmentPa
     ``scores`` is (USER_ID, PRODUCT_CODE, SCORE); only users that have scores
     are assigned.
     """
+    scores = cut_lineage(scores)  # read by the assignment, the sums and the metrics
     assignments = segments.join(scores.select(C.USER_ID).distinct(), C.USER_ID, "left_semi")
     out = _segment_products(scores, assignments, params, bounded=False)
     stats = _stats(scores, assignments, out["User-recommendations"])

@@ -24,7 +24,7 @@ from .operators.rules import association_rules, contained_sets, fit_itemsets, fr
 from .operators.timewin import Season, bucket_events, parse_event_time, seasonal_future, seasonal_history, seasonal_window
 from .plans.cosine_run import run_cosine, similar_items
 from . import oracle as SQL
-from .functions import fixed
+from .functions import fixed, time_to_epoch_ms
 from .operators.cleansing import cast_columns, column_profile, fill_item_from_resource
 from .operators.compare import attach_names, find_user, model_history
 from .operators.evaluate import rating_rmse
@@ -36,7 +36,7 @@ from .plans.compare_run import run_compare
 from .plans.params import AlsParams, SegmentParams
 from .plans.rules_run import run_rules, time_window_parts
 from .plans.segments_run import run_clusters, run_given_segments
-from .session import shared_path
+from .session import cut_lineage, shared_path
 from .sinks import run_folder, write_product
 from .sources import latest_snapshot, read_results, scan_log
 from .sources import bindings as B
@@ -143,12 +143,12 @@ _EVENTS_PARSED_SQL = """
 SELECT user_id AS USER_ID, json_extract_string(props, '$.k') AS PRODUCT_CODE,
        epoch_us(ts) // 1000 AS CREATE_TIME, epoch_ms(epoch_us(ts) // 1000) AS event_time,
        strftime(epoch_ms(epoch_us(ts) // 1000), '%Y-%m-%d %H:%M:%S') AS DATE
-FROM events WHERE event_type = 'click'"""
+FROM events"""
 
 
 @register("parse_event_time", _EVENTS_PARSED_SQL)
 def q_parse_event_time(spark: SparkSession, d: str) -> DataFrame:
-    raw = B.event_log(spark, d, "click").select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
+    raw = B.event_log(spark, d).select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
     return parse_event_time(raw)
 
 
@@ -358,10 +358,10 @@ def q_read_results(spark: SparkSession, d: str) -> DataFrame:
     """SELECT CAST(user_id AS VARCHAR) AS USER_ID,
               TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS PRODUCT_CODE,
               epoch_us(ts) // 1000 AS CREATE_TIME
-    FROM events WHERE event_type = 'click'""",
+    FROM events""",
 )
 def q_cast_columns(spark: SparkSession, d: str) -> DataFrame:
-    log = B.event_log(spark, d, "click").select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
+    log = B.event_log(spark, d).select(C.USER_ID, C.PRODUCT_CODE, C.CREATE_TIME)
     # JSON item text -> number, numeric user key -> text.
     return cast_columns(cast_columns(log, [C.PRODUCT_CODE], "bigint"), [C.USER_ID], "string")
 
@@ -626,3 +626,57 @@ def q_segment_recommendations_unseen(spark: SparkSession, d: str) -> DataFrame:
 def q_rules_time_window_holdout(spark: SparkSession, d: str) -> DataFrame:
     """Time-window run with a strict hold-out: rules learn only from rows before end_time."""
     return run_rules([B.shopping_log(spark, d)], SQL.HOLDOUT_PARAMS, time_window=True)["Recommendation-metrics"]
+
+
+@register("rules_time_window_raw", SQL.SEASON_METRICS)
+def q_rules_time_window_raw(spark: SparkSession, d: str) -> DataFrame:
+    """The time-window run on a log that holds epoch milliseconds only, as the log contract says."""
+    log = B.shopping_log(spark, d).withColumn(C.CREATE_TIME, time_to_epoch_ms(C.EVENT_TIME)).drop(C.EVENT_TIME)
+    return run_rules([log], SEASON, time_window=True)["Recommendation-metrics"]
+
+
+@register("cosine_run_resource", SQL.COSINE_RESOURCE_METRICS)
+def q_cosine_run_resource(spark: SparkSession, d: str) -> DataFrame:
+    """The cosine run on a score log whose missing items come from the resource map."""
+    ratings = avg_ratings(_res_log(spark, d), B.resource_map(spark, d))
+    return run_cosine(ratings, COSINE)["Recommendation-metrics"]
+
+
+@register("rules_full_history_resource", SQL.FULL_RESOURCE_METRICS)
+def q_rules_full_history_resource(spark: SparkSession, d: str) -> DataFrame:
+    """The full-history run on the purchase log, items filled from the resource map inside the run."""
+    run = run_rules([_res_log(spark, d)], SQL.RESOURCE_RULES, time_window=False, resource_map=B.resource_map(spark, d))
+    return run["Recommendation-metrics"]
+
+
+@register("cosine_run_events", SQL.COSINE_EVENTS_METRICS)
+def q_cosine_run_events(spark: SparkSession, d: str) -> DataFrame:
+    """The cosine run on the event ratings: text item ids, a small dense catalogue."""
+    return run_cosine(avg_ratings(B.event_score_log(spark, d)), SQL.EVENT_COSINE)["Recommendation-metrics"]
+
+
+@register(
+    "als_recommendation_checks",
+    "SELECT * FROM (VALUES ('rated', 0), ('beyond_n', 0), ('rank_gaps', 0), ('off_product', 0)) t(rule, broken)",
+)
+def q_als_recommendation_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What every ALS top-N must be: unrated items, at most N a user, ranks 1..n, scores equal to the factors' product."""
+    _, _, indexed = index_ratings(_event_ratings(spark, d))
+    model = als_fit(indexed, rank=ALS_PARAMS.rank, reg=ALS_PARAMS.reg, max_iter=ALS_PARAMS.max_iter, blocks=ALS_PARAMS.blocks, seed=ALS_PARAMS.seed)
+    recs = cut_lineage(als_candidates(model, indexed, top_n=ALS_PARAMS.top_n))
+    per_user = recs.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.max(C.RANK).alias("top"), F.count_distinct(C.RANK).alias("ranks"))
+    dot = F.aggregate(F.zip_with("uf", "vf", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
+    scored = recs.join(model.userFactors.select(F.col("id").alias("u"), F.col("features").alias("uf")), "u").join(
+        model.itemFactors.select(F.col("id").alias("i"), F.col("features").alias("vf")), "i"
+    )
+    broken = {
+        "rated": recs.join(indexed, ["u", "i"], "left_semi"),
+        "beyond_n": per_user.filter(F.col("n") > ALS_PARAMS.top_n),
+        "rank_gaps": per_user.filter((F.col("top") != F.col("n")) | (F.col("ranks") != F.col("n"))),
+        "off_product": scored.filter(F.abs(dot - F.col(C.PREDICTION)) > 1e-4),
+    }
+    out = None
+    for rule, rows in broken.items():
+        one = rows.agg(F.count(F.lit(1)).cast("int").alias("broken")).select(F.lit(rule).alias("rule"), "broken")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCRATCH: list[str] = []
+
 _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -39,7 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared filesystem folder and is used as
-    is.  Only when it is unset (unit tests) is a scratch folder created.
+    is.  Only a local master (unit tests) may go without: it gets a scratch
+    folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tastebud-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -58,6 +64,23 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write as Parquet into the shared checkpoint folder and read back.
+
+    Survives executor loss, and later reads take only the columns and rows
+    they need.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    _SCRATCH.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the tables written by ``cut_lineage``; frames that read them are no longer usable."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n

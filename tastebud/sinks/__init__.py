@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL_PRODUCTS = ("Recommendation-metrics",)
+# A handful of rows each: one file, no run stamp.
+SMALL_PRODUCTS = ("Recommendation-metrics", "cvResult")
+# Products whose columns are fixed without the stamp.
+UNSTAMPED = (*SMALL_PRODUCTS, "User-history-logs")
 
 
 def run_folder(root: str, model: str, sub_type: str | None, op_time: str) -> str:
@@ -50,16 +53,9 @@ def write_libsvm(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").format("libsvm").save(path)
 
 
-def write_avro(df: DataFrame, path: str) -> str:
-    """Avro when the external data source is deployed, parquet otherwise; returns the format used."""
-    try:
-        df.write.mode("overwrite").format("avro").save(path)
-        return "avro"
-    except Exception as exc:  # noqa: BLE001 - data source missing from the deployment
-        if "avro" not in str(exc).lower():
-            raise
-        df.write.mode("overwrite").parquet(path)
-        return "parquet"
+def write_avro(df: DataFrame, path: str) -> None:
+    """Avro; an error when the external data source is not deployed."""
+    df.write.mode("overwrite").format("avro").save(path)
 
 
 def write_product(
@@ -76,11 +72,11 @@ def write_product(
 ) -> str:
     """Write one product under the run layout.
 
-    With ``stamp`` every product but the metrics gets the run stamp as a last
+    With ``stamp`` every product but those in ``UNSTAMPED`` gets the run stamp as a last
     ``op_time`` column (a literal, no extra pass over the data).
     """
     path = os.path.join(run_folder(root, model, sub_type, op_time), product)
-    if stamp and product not in SMALL_PRODUCTS and "op_time" not in df.columns:
+    if stamp and product not in UNSTAMPED and "op_time" not in df.columns:
         df = df.withColumn("op_time", F.lit(op_time))
     if product in SMALL_PRODUCTS:
         # A handful of metric rows: one file.

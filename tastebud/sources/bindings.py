@@ -96,9 +96,10 @@ def event_score_log(spark: SparkSession, sf_dir: str, types: tuple[str, ...] = (
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str, event_type: str) -> DataFrame:
-    """Binding B implicit logs: ``click`` plays the download log, ``view`` the collect log."""
-    return _events(spark, sf_dir, (event_type,)).select(
+def event_log(spark: SparkSession, sf_dir: str, event_type: str | None = None) -> DataFrame:
+    """Binding B implicit logs: ``click`` plays the download log, ``view`` the collect log; all events without a type."""
+    rows = table(spark, sf_dir, "events") if event_type is None else _events(spark, sf_dir, (event_type,))
+    return rows.select(
         F.col("user_id").alias(C.USER_ID),
         F.lit(None).cast("string").alias(C.RES_ID),
         F.get_json_object("props", "$.k").alias(C.PRODUCT_CODE),

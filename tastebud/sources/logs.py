@@ -27,12 +27,16 @@ def scan_log(
     ``path`` may be a folder of a date-partitioned layout or a list of paths.
     The time range and ``partition_filter`` are plain predicates: Catalyst
     pushes them to the file scan (row-group statistics, partition pruning),
-    which replaces the reference's "read every hourly folder" wildcard.
+    which replaces the reference's "read every hourly folder" wildcard.  With
+    ``schema``, columns that the files lack or hold in another type are an
+    error (partition columns included), not silent nulls.
     """
     reader = spark.read.format(fmt)
+    paths = [path] if isinstance(path, str) else list(path)
     if schema is not None:
+        if fmt in ("parquet", "orc", "avro"):  # formats that name their columns
+            _check_schema(reader.load(paths).schema, schema)
         reader = reader.schema(schema)
-    paths = [path] if isinstance(path, str) else list(path)
     df = reader.load(paths)
     if partition_filter is not None:
         df = df.filter(partition_filter)
@@ -45,6 +49,17 @@ def scan_log(
     return df
 
 
+def _check_schema(found: T.StructType, wanted: T.StructType) -> None:
+    types = {f.name: f.dataType for f in found}
+    wrong = [
+        f"{f.name}: {types[f.name].simpleString()}, not {f.dataType.simpleString()}" if f.name in types else f"{f.name} is missing"
+        for f in wanted
+        if types.get(f.name) != f.dataType
+    ]
+    if wrong:
+        raise ValueError("the log does not have the expected columns: " + "; ".join(wrong))
+
+
 def _ntz(t: datetime | str) -> Column:
     text = t.strftime("%Y-%m-%d %H:%M:%S") if isinstance(t, datetime) else str(t)
     return F.lit(text).cast("timestamp_ntz")
@@ -54,14 +69,15 @@ def latest_snapshot(df: DataFrame, *, snapshot_col: str, as_of: datetime | str |
     """Rows of the newest snapshot (at or before ``as_of``).
 
     Full daily / hourly dumps are stored side by side; this keeps the last
-    one.  The maximum is a one-row aggregate, so the broadcast is bounded.
+    one.  The maximum is a scalar subquery, known before the second scan
+    starts, so it prunes there like a literal.
     """
     scoped = df
     if as_of is not None:
         bound = _ntz(as_of) if _is_time(df, snapshot_col) else F.lit(str(as_of))
         scoped = df.filter(F.col(snapshot_col) <= bound)
     newest = scoped.agg(F.max(snapshot_col).alias("_newest"))
-    return scoped.join(F.broadcast(newest), F.col(snapshot_col) == F.col("_newest")).drop("_newest")
+    return scoped.filter(F.col(snapshot_col) == newest.scalar())
 
 
 def _is_time(df: DataFrame, name: str) -> bool:

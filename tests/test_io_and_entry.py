@@ -5,10 +5,14 @@ import pytest
 from conftest import rows
 
 import __spark_entry__ as entry
+from pyspark.sql import types as T
+
 from tastebud import columns as C
 from tastebud.operators.compare import find_user, model_history
 from tastebud.plans.compare_run import run_compare
 from tastebud.sinks import run_folder, write_avro, write_partitioned, write_product
+from tastebud.registry import QUERIES
+from tastebud.session import cut_lineage, drop_scratch, ensure_checkpoint_dir
 from tastebud.sources import latest_snapshot, read_results, scan_log
 
 SF = "/root/testdata/sf0.001"
@@ -40,10 +44,52 @@ def test_partitioned_products_overwrite_one_run(spark):
     assert got == [("u1", "2017032100"), ("u2", "2017032000")]
 
 
-def test_avro_or_parquet_fallback(spark):
+def test_avro_never_becomes_another_format(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="tastebud-test-"), "avro")
+    try:
+        write_avro(spark.createDataFrame([("a",)], "x string"), path)
+    except Exception as e:  # the data source is not deployed here
+        assert "avro" in str(e).lower() and not os.path.exists(path)
+    else:
+        assert spark.read.format("avro").load(path).count() == 1
+
+
+def test_scan_log_checks_its_columns(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="tastebud-test-"), "log")
+    spark.createDataFrame([("u", 5)], "USER_ID string, CREATE_TIME int").write.parquet(path)
+    good = T.StructType([T.StructField("USER_ID", T.StringType()), T.StructField("CREATE_TIME", T.IntegerType())])
+    assert scan_log(spark, path, schema=good).count() == 1
+    for name, kind in (("PRODUCT_CODE", T.StringType()), ("CREATE_TIME", T.LongType())):
+        with pytest.raises(ValueError, match=name):
+            scan_log(spark, path, schema=T.StructType([*good.fields[:1], T.StructField(name, kind)]))
+
+
+def test_shared_folder_is_required_off_a_local_master():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    t = cut_lineage(spark.range(5))
+    assert t.count() == 5 and drop_scratch(spark) >= 1
+    assert not os.path.exists(t.inputFiles()[0].removeprefix("file://")) if t.inputFiles() else True
+
+
+def test_history_logs_hold_date_text_and_no_stamp(spark):
     root = tempfile.mkdtemp(prefix="tastebud-test-")
-    fmt = write_avro(spark.createDataFrame([("a",)], "x string"), os.path.join(root, "a"))
-    assert fmt in ("avro", "parquet")
+    df = spark.createDataFrame([("u1", "p1", "2000-06-14 00:00:00")], "USER_ID string, PRODUCT_CODE string, DATE string")
+    path = write_product(df, root, model="AR", sub_type="TimeWindow", product="User-history-logs", op_time="2000061500")
+    assert spark.read.text(path).first()[0] == "u1#p1#2000-06-14 00:00:00"
 
 
 def test_scan_and_latest_snapshot(spark):
@@ -91,7 +137,7 @@ def test_every_oracle_has_a_query():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
-    assert not any(name.startswith("op") and name[2:3].isdigit() for name in q)
+    assert not any(name.startswith("op") and name[2:3].isdigit() for name in QUERIES)
 
 
 def test_libsvm_and_text_sinks(spark):

@@ -1,10 +1,15 @@
 """Hot keys: one resource / user holds a third of all rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tastebud import columns as C
 from tastebud.operators.cleansing import fill_item_from_resource
+from tastebud.operators.behavior import bucket_baskets, positive_preferences, user_baskets
 from tastebud.operators.cosine import corated_pairs
+from tastebud.operators.ratings import preference_scores
+from tastebud.operators.segments import segment_recommendations
+from tastebud.operators.skew import SALTS, salted_join
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -66,3 +71,60 @@ def test_hot_user_pairs_spread_over_blocks(spark):
     a = {tuple(x[k] for k in key): (round(x["cross"], 9), x["n_commons"]) for x in plain.collect()}
     b = {tuple(x[k] for k in key): (round(x["cross"], 9), x["n_commons"]) for x in blocked.collect()}
     assert a == b and len(a) >= 60 * 59 // 2
+
+
+N = 12_000
+
+
+def _hot_scores(spark):
+    """A third of all rows on one user, every row another item."""
+    user = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string")))
+    return spark.range(N).select(user.alias(C.USER_ID), F.concat(F.lit("p"), "id").alias(C.PRODUCT_CODE), (F.col("id") % 5 + 1.0).alias(C.SCORE))
+
+
+def _segments(spark):
+    return _hot_scores(spark).select(F.col(C.PRODUCT_CODE).alias(C.USER_ID), F.col(C.USER_ID).alias(C.PREDICTION))
+
+
+OPERATORS = {
+    "positive_preferences": lambda s: positive_preferences(_hot_scores(s)),
+    "preference_scores": lambda s: preference_scores(_hot_scores(s), []),
+    "user_baskets": lambda s: user_baskets(_hot_scores(s), max_items=100),
+    "bucket_baskets": lambda s: bucket_baskets(_hot_scores(s).withColumn("BUCKET", F.lit(1)), max_items=100),
+    "corated_pairs": lambda s: corated_pairs(
+        _hot_scores(s).withColumn(C.PRODUCT_CODE, F.expr("cast(substr(PRODUCT_CODE, 2) as long)")).filter("PRODUCT_CODE < 1500"), block_rows=64
+    ),
+    "segment_recommendations": lambda s: segment_recommendations(
+        _segments(s), _segments(s).select(C.PREDICTION).distinct().select(C.PREDICTION, F.lit("x").alias(C.PRODUCT_CODE), F.lit(1).alias(C.RANK))
+    ),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_hot_key_rows_are_dealt_by_parts(spark, name):
+    """No shuffle join of the rows on the key alone and no window over a key; adaptive execution may split further."""
+    old = _with_conf(spark, SKEW_CONF)
+    try:
+        out = OPERATORS[name](spark)
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        _restore(spark, old)
+    joins = [line for line in final.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+    assert joins and "Window" not in final
+    for line in joins:
+        assert "_part" in line or "_a" in line or C.PRODUCT_CODE in line, line
+    assert any("_part" in line for line in joins)
+
+
+def test_largest_task_of_a_salted_join(spark):
+    """The hot user's rows spread over SALTS partitions even without adaptive execution."""
+    old = _with_conf(spark, SKEW_CONF | {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "64"})
+    try:
+        rows_ = _hot_scores(spark)
+        means = rows_.groupBy(C.USER_ID).agg(F.avg(C.SCORE).alias("m"))
+        out = salted_join(rows_, means, [C.USER_ID], [C.PRODUCT_CODE])
+        per_task = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    finally:
+        _restore(spark, old)
+    assert sum(per_task) == N and max(per_task) < 3 * (N // 3) / SALTS
