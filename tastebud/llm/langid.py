@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastebud.llm.rows import bounded_sample
 from tastebud.llm.words import chunks, code_points, mixed
 
 ORDER = 4
@@ -200,8 +201,7 @@ def train(labelled: DataFrame, order: int = ORDER) -> Model:
     """Fit on labelled rows (doc_id, text, lang): at most ``TRAIN_TEXTS`` of each language, those of the smallest id hashes."""
     spark = labelled.sparkSession
     usable = labelled.filter("text is not null and lang is not null").filter(F.col("text").rlike(r"\p{L}"))
-    pick = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").withColumn("r", F.row_number().over(pick)).filter(F.col("r") <= TRAIN_TEXTS)
+    ids = bounded_sample(usable.select("doc_id", "lang"), "lang", "doc_id", TRAIN_TEXTS).select("doc_id", "lang", "r")
     # at most TRAIN_TEXTS rows a language
     few = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
     few = few.persist()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MARKS = 1 << 20
@@ -24,3 +24,17 @@ def without(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     clear = own.join(F.broadcast(marks), "_mark", "left_anti")
     rest = own.join(F.broadcast(marks), "_mark", "left_semi").join(keys.select(F.col("key").alias("_key")), "_key", "left_anti")
     return clear.select(df.columns).unionByName(rest.select(df.columns))
+
+
+def bounded_sample(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """At most ``n`` rows of each ``group``, those of the smallest hashes of ``key``; adds their rank ``r`` and the group's count ``n``.
+
+    Groups are few (labels, languages): one row each is broadcast.  A threshold
+    on the hash lets about 1.2 n rows of a group through, and only these are
+    ranked, so no task holds a group as a whole.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    near = rows.join(F.broadcast(counts), group).filter(place < F.least(F.lit(1.0), F.lit(1.2 * n) / F.col("n")) * (1 << 30))
+    order = Window.partitionBy(group).orderBy(place, key)
+    return near.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= n)

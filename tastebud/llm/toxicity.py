@@ -24,9 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastebud.llm.rows import bounded_sample
 from tastebud.llm.words import chunks, code_points
 
 P, SPAN, DECAY = 3, 5, 0.6
@@ -238,14 +239,7 @@ def training_texts(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFr
     stands for.  A null label is none; of several labels of a text the largest holds.
     """
     marked = labels.filter("toxic is not null and doc_id is not null").filter(usable).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    pick = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    totals = marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
-    few = (
-        marked.withColumn("r", F.row_number().over(pick))
-        .filter(F.col("r") <= TRAIN_TEXTS)
-        .join(F.broadcast(totals), "toxic")  # two rows
-        .withColumn("share", F.col("n") / F.least(F.col("n"), F.lit(TRAIN_TEXTS)))
-    )
+    few = bounded_sample(marked, "toxic", "doc_id", TRAIN_TEXTS).withColumn("share", F.col("n") / F.least(F.col("n"), F.lit(TRAIN_TEXTS)))
     # at most 2 * TRAIN_TEXTS rows
     return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic", "r", "share")
 

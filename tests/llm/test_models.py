@@ -240,3 +240,15 @@ def test_pipeline_stages_match_brute_force(spark, tmp_path):
     for s in range(cp.SHARDS):
         slots = sorted(r.slot for r in placed if r.shard == s)
         assert slots == list(range(len(slots)))
+
+
+def test_bounded_sample(spark):
+    from tastebud.llm.rows import bounded_sample
+
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 10 == 0, "few").otherwise("many").alias("g"))
+    got = bounded_sample(rows, "g", "id", 400)
+    assert {r.g: r["count"] for r in got.groupBy("g").count().collect()} == {"few": 400, "many": 400}
+    assert {r.n for r in got.select("n").distinct().collect()} == {500, 4500}
+    assert sorted(r.r for r in got.filter("g = 'few'").collect()) == list(range(1, 401))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, bounded_sample(rows, "g", "id", 400).collect()))
+    assert bounded_sample(rows.limit(30), "g", "id", 400).count() == 30
