@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text
-from ..operators.factors import ITEM_IDX, USER_IDX, als_factors, als_fit, als_predictions, als_recommendations
+from ..operators.factors import ITEM_IDX, USER_IDX, als_cross_validation, als_factors, als_fit, als_predictions, als_recommendations
 from ..operators.ratings import id_index
 from ..session import cut_lineage
 from .params import AlsParams
@@ -21,9 +21,11 @@ def index_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return users, items, cut_lineage(indexed)
 
 
-def run_als(ratings: DataFrame, params: AlsParams = AlsParams()) -> dict[str, DataFrame]:
+def run_als(ratings: DataFrame, params: AlsParams = AlsParams(), *, folds: int | None = None) -> dict[str, DataFrame]:
     """Products: User-factors, Product-factors, Rating-predictions, User-recommendations, metrics.
 
+    With ``folds`` also cvResult (fold, train_rmse, test_rmse) of that many fits.
+
     Rating-predictions holds the ``top_n`` best unrated items of each user that
     score above ``min_score`` (not the full users x items product).
     """
@@ -57,10 +59,15 @@ def run_als(ratings: DataFrame, params: AlsParams = AlsParams()) -> dict[str, Da
             ("RMSE", number_text(F.sqrt("mse"))),
         ],
     )
-    return {
+    products = {
         "User-factors": user_factors,
         "Product-factors": item_factors,
         "Rating-predictions": predictions,
         "User-recommendations": top.select(C.USER_ID, C.PRODUCT_CODE, C.RANK),
         "Recommendation-metrics": metrics,
     }
+    if folds:
+        products["cvResult"] = als_cross_validation(
+            indexed, folds=folds, rank=params.rank, reg=params.reg, max_iter=params.max_iter, blocks=params.blocks, seed=params.seed
+        )
+    return products

@@ -680,3 +680,113 @@ def q_als_recommendation_checks(spark: SparkSession, d: str) -> DataFrame:
         one = rows.agg(F.count(F.lit(1)).cast("int").alias("broken")).select(F.lit(rule).alias("rule"), "broken")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@register(
+    "user_vector_entries",
+    SQL.PREFERENCE
+    + """, iu AS (SELECT USER_ID, ROW_NUMBER() OVER (ORDER BY USER_ID) - 1 AS u FROM (SELECT DISTINCT USER_ID FROM pref)),
+    ii AS (SELECT PRODUCT_CODE, ROW_NUMBER() OVER (ORDER BY PRODUCT_CODE) - 1 AS i FROM (SELECT DISTINCT PRODUCT_CODE FROM pref))
+    SELECT u, i, SCORE AS x FROM pref JOIN iu USING (USER_ID) JOIN ii USING (PRODUCT_CODE) WHERE SCORE <> 0""",
+)
+def q_user_vector_entries(spark: SparkSession, d: str) -> DataFrame:
+    """The non-zero entries of the user vectors, read back from the vectors."""
+    entries = F.udf(lambda v: list(zip(v.indices.tolist(), v.values.tolist())), "array<struct<i:bigint,x:double>>")
+    return q_user_vectors(spark, d).select(F.col("label").alias("u"), F.explode(entries("features")).alias("e")).select("u", "e.i", "e.x").filter("x <> 0")
+
+
+_KNOWN_METRICS = ["OP_TIME", "ARGUMENTS", "NUM_PROCESSED_LOG", "NUM_ALL_USERS"]
+
+
+def _known_metrics_sql(base: str, rows: str, arguments: str) -> str:
+    return base + f""" SELECT * FROM (
+      SELECT 'OP_TIME' AS metric, '2000061500' AS value UNION ALL SELECT 'ARGUMENTS', '{arguments}'
+      UNION ALL SELECT 'NUM_PROCESSED_LOG', (SELECT CAST(COUNT(*) AS VARCHAR) FROM {rows})
+      UNION ALL SELECT 'NUM_ALL_USERS', (SELECT CAST(COUNT(DISTINCT USER_ID) AS VARCHAR) FROM {rows}))"""
+
+
+@register("cluster_run_counts", _known_metrics_sql(SQL.PREFERENCE, "pref", "5_10_10"))
+def q_cluster_run_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The metrics of the k-means run that do not hang on the clusters found."""
+    return q_cluster_run(spark, d).filter(F.col("metric").isin(_KNOWN_METRICS))
+
+
+@register("als_run_counts", _known_metrics_sql(SQL.with_(SQL.EVENT_SCORES, SQL.EVENT_RATINGS), "event_ratings", "10_0.1_10_10_10"))
+def q_als_run_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The metrics of the ALS run that do not hang on the factors found."""
+    return q_als_run(spark, d).filter(F.col("metric").isin(_KNOWN_METRICS))
+
+
+@register(
+    "als_factor_counts",
+    SQL.with_(SQL.EVENT_SCORES, SQL.EVENT_RATINGS)
+    + """ SELECT 'User-factors' AS product, COUNT(DISTINCT USER_ID) AS n, 10 AS width FROM event_ratings
+    UNION ALL SELECT 'Product-factors', COUNT(DISTINCT PRODUCT_CODE), 10 FROM event_ratings""",
+)
+def q_als_factor_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and width of both factor products."""
+    run = run_als(_event_ratings(spark, d), ALS_PARAMS)
+    out = [
+        run[name].agg(F.count(F.lit(1)).alias("n"), F.max(F.size(F.split("factors", ","))).alias("width")).select(F.lit(name).alias("product"), "n", "width")
+        for name in ("User-factors", "Product-factors")
+    ]
+    return out[0].unionByName(out[1])
+
+
+@register(
+    "segment_sums_of_clusters",
+    "SELECT 0 AS unlike",
+)
+def q_segment_sums_of_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Rows on which the k-means run's segment sums and the sums over its own assignment differ."""
+    scores = cut_lineage(_event_preferences(spark, d))
+    run = run_clusters(scores, SEGMENT)
+    again = scores.join(run["User-clusters"], C.USER_ID).groupBy(C.PREDICTION, C.PRODUCT_CODE).agg(F.sum(C.SCORE).alias("again"))
+    both = run["Cluster-ratings"].join(again, [C.PREDICTION, C.PRODUCT_CODE], "full_outer")
+    unlike = F.coalesce(F.abs(F.col("again") - F.col(C.SCORE_SUM)) > 1e-9, F.lit(True))
+    return both.agg(F.coalesce(F.sum(unlike.cast("int")), F.lit(0)).cast("int").alias("unlike"))
+
+
+@register(
+    "cluster_history_named",
+    SQL.with_(SQL.PEOPLE)
+    + """ SELECT o.o_custkey AS USER_ID, f.ACCOUNT, f.NAME, p.PRODUCT_NAME
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+    JOIN found f ON f.USER_ID = o.o_custkey JOIN products p ON p.PRODUCT_CODE = l.l_partkey, (VALUES (1), (2)) twice(k)""",
+)
+def q_cluster_history_named(spark: SparkSession, d: str) -> DataFrame:
+    """The segment model's history: the rows of all logs, repeats kept (here the purchase log as two logs)."""
+    people = find_user(B.user_dim(spark, d), B.account_dim(spark, d), SQL.LOOKUP_USER)
+    log = B.purchase_log(spark, d)
+    history = model_history("Cluster", scores=log, other_logs=[log])
+    return attach_names(history, people, B.product_dim(spark, d)).select(C.USER_ID, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
+
+
+@register(
+    "association_history_read_back",
+    SQL.SEASON_BASE + " SELECT USER_ID, PRODUCT_CODE, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS DATE FROM hist",
+)
+def q_association_history_read_back(spark: SparkSession, d: str) -> DataFrame:
+    """The rules run's saved history product (user, item, date text, no run stamp), read back from its files."""
+    run = run_rules([B.shopping_log(spark, d)], SEASON, time_window=True)
+    root = shared_path(spark, "tastebud-results", uuid.uuid4().hex)
+    path = write_product(run["User-history-logs"], root, model="AR", sub_type="TimeWindow", product="User-history-logs", op_time=SEASON.op_time)
+    saved = read_results(spark, path, [C.USER_ID, C.PRODUCT_CODE, C.DATE], types={C.USER_ID: "bigint"})
+    model_history("Association", saved_history=saved)  # what the comparison takes of it
+    return saved
+
+
+@register(
+    "compare_run_history",
+    SQL.with_(SQL.PEOPLE)
+    + """ SELECT o.o_custkey AS USER_ID, 1 + FLOOR((l.l_quantity - 1) / 10) AS SCORE, f.ACCOUNT, f.NAME, p.PRODUCT_NAME
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+    JOIN found f ON f.USER_ID = o.o_custkey JOIN products p ON p.PRODUCT_CODE = l.l_partkey""",
+)
+def q_compare_run_history(spark: SparkSession, d: str) -> DataFrame:
+    """The history side of the comparison run."""
+    out = run_compare(
+        _written_cosine_recs(spark, d), model="CosSim", user=SQL.LOOKUP_USER, users=B.user_dim(spark, d), accounts=B.account_dim(spark, d),
+        items=B.product_dim(spark, d), scores=B.purchase_log(spark, d),
+    )
+    return out["User-historys"].select(C.USER_ID, C.SCORE, C.ACCOUNT, C.NAME, C.PRODUCT_NAME)
