@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
-from tastebud.session import shared_path
+from tastebud.session import cut_lineage
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -14,8 +12,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Every executor reads the files from the shared folder, so a lost executor
     costs a task and not the lineage above the table.
+    ``tastebud.session.drop_scratch`` removes them.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return cut_lineage(df, f"llm-{name}")
