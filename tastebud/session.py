@@ -63,14 +63,14 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     """Write as Parquet into the shared checkpoint folder and read back.
 
     Survives executor loss, and later reads take only the columns and rows
     they need.
     """
     spark = df.sparkSession
-    path = shared_path(spark, f"table-{uuid.uuid4().hex}")
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)
