@@ -8,9 +8,12 @@ spelled out as CTEs.  Column names and types match the Spark results.
 
 from __future__ import annotations
 
-from .plans.params import CosineParams
+from datetime import datetime
+from types import SimpleNamespace
 
-COSINE_PARAMS = CosineParams(min_sim=0.7, top_sim=20, min_commons=5, min_rating=2, top_n=10)
+# Parameters of the registered runs, as plain values: the engine builds its own from them.
+OP_TIME = "2000061500"
+COSINE_PARAMS = SimpleNamespace(min_sim=0.7, top_sim=20, min_commons=5, min_rating=2, top_n=10)
 
 
 def with_(*ctes: str) -> str:
@@ -27,7 +30,7 @@ purchase_ratings AS (
 )"""
 
 
-def sql_cosine(r: str, p: CosineParams) -> str:
+def sql_cosine(r: str, p: SimpleNamespace) -> str:
     """CTEs dev, pairs, sims, top, pred_unrated, pred_rated, recs over ratings view ``r``."""
     return f"""
 cs_mean AS (SELECT USER_ID, AVG(SCORE) AS m FROM {r} GROUP BY USER_ID),
@@ -84,7 +87,7 @@ cs_recs AS (
 COSINE = with_(PURCHASE_RATINGS, sql_cosine("purchase_ratings", COSINE_PARAMS))
 
 
-def cosine_metrics(ctes: str, r: str, p: CosineParams, arguments: str) -> str:
+def cosine_metrics(ctes: str, r: str, p: SimpleNamespace, arguments: str) -> str:
     """Metrics of a cosine run over ratings view ``r``; ``ctes`` ends with ``sql_cosine``'s."""
     return ctes + f""",
 cs_checked AS (SELECT (p.prediction - x.SCORE) * (p.prediction - x.SCORE) AS e2
@@ -98,7 +101,7 @@ cs_stats AS (
          (SELECT SQRT(AVG(e2)) FROM cs_checked) AS rmse
 )
 SELECT metric, value FROM (
-  SELECT 0 AS pos, 'OP_TIME' AS metric, '{p.op_time}' AS value FROM cs_stats
+  SELECT 0 AS pos, 'OP_TIME' AS metric, '{OP_TIME}' AS value FROM cs_stats
   UNION ALL SELECT 1, 'ARGUMENTS', '{arguments}' FROM cs_stats
   UNION ALL SELECT 2, 'NUM_PROCESSED_LOG', CAST(n_ratings AS VARCHAR) FROM cs_stats
   UNION ALL SELECT 3, 'NUM_ALL_USERS', CAST(n_users AS VARCHAR) FROM cs_stats
@@ -114,19 +117,15 @@ COSINE_METRICS = cosine_metrics(COSINE, "purchase_ratings", COSINE_PARAMS, "0.7_
 
 # ----------------------------------------------------------- time / rules
 
-from datetime import datetime  # noqa: E402
-
-from .plans.params import RulesParams  # noqa: E402
-
 # Season numbers of the registered run, worked out by hand: 2000-06-15 is day
 # 167 of its year, 15 days before it is day 152, 15 days after it day 182.
 YEAR, FIRST_DAY, THIS_DAY, LAST_DAY = 2000, 152, 167, 182
 
-SEASON_PARAMS = RulesParams(
+SEASON_PARAMS = SimpleNamespace(
     end_time=datetime(2000, 6, 15), months=1, tran_days=4, max_items=100,
-    min_support=0.02, min_confidence=0.15, top_n=10,
+    min_support=0.02, min_confidence=0.15, top_n=10, holdout=False,
 )
-FULL_PARAMS = RulesParams(min_support=0.1, min_confidence=0.3, max_items=100, top_n=10)
+FULL_PARAMS = SimpleNamespace(min_support=0.1, min_confidence=0.3, max_items=100, top_n=10)
 
 SHOP = """
 shop AS (
@@ -168,7 +167,7 @@ def season_future(src: str, name: str) -> str:
     return f"\n{name} AS (SELECT * FROM {src} WHERE year(event_time) = {YEAR} AND dayofyear(event_time) BETWEEN {THIS_DAY} AND {LAST_DAY})"
 
 
-def itemsets(baskets: str, basket_key: str, p: RulesParams) -> str:
+def itemsets(baskets: str, basket_key: str, p: SimpleNamespace) -> str:
     """Frequent itemsets of size 1-3 and single-consequent rules from them.
 
     ``baskets`` has one row per (basket key..., PRODUCT_CODE), distinct.
@@ -221,7 +220,7 @@ rules_txt AS (
 )"""
 
 
-def rules_apply(history: str, p: RulesParams) -> str:
+def rules_apply(history: str, p: SimpleNamespace) -> str:
     """Containment of frequent sets / rule antecedents in a (USER_ID, PRODUCT_CODE) history.
 
     CTEs: own, priors (USER_ID, ITEMS), matches, candidates, recs.
@@ -255,7 +254,7 @@ recs AS (
 )"""
 
 
-def season_base(p: RulesParams) -> str:
+def season_base(p: SimpleNamespace) -> str:
     """Binding A, time-window run: win, beh, hist, fut, bk, bk_kept, basket_items, itemsets, recs."""
     train = f" WHERE event_time < TIMESTAMP '{p.end_time:%Y-%m-%d %H:%M:%S}'" if p.holdout else ""
     return with_(
@@ -291,7 +290,7 @@ def _txt(col: str) -> str:
     return f"CAST({col} AS VARCHAR)"
 
 
-def season_metrics(p: RulesParams) -> str:
+def season_metrics(p: SimpleNamespace) -> str:
     return season_base(p) + """,
 actual AS (SELECT DISTINCT USER_ID, PRODUCT_CODE FROM fut),
 stats AS (
@@ -307,7 +306,7 @@ stats AS (
          (SELECT COUNT(*) FROM recs r WHERE EXISTS (SELECT 1 FROM actual a WHERE a.USER_ID = r.USER_ID AND a.PRODUCT_CODE = r.PRODUCT_CODE)) AS n_hits
 )
 """ + _metrics_sql([
-        ("OP_TIME", f"'{p.op_time}'"),
+        ("OP_TIME", f"'{OP_TIME}'"),
         ("ARGUMENTS", "'0.02_0.15_1_100_10_auto'"),
         ("NUM_RAW_LOGS", _txt("n_raw")),
         ("NUM_PROCESSED_LOG", _txt("n_processed")),
@@ -321,7 +320,7 @@ stats AS (
     ])
 
 
-HOLDOUT_PARAMS = RulesParams(**{**SEASON_PARAMS.__dict__, "holdout": True})
+HOLDOUT_PARAMS = SimpleNamespace(**{**vars(SEASON_PARAMS), "holdout": True})
 SEASON_BASE = season_base(SEASON_PARAMS)
 SEASON_METRICS = season_metrics(SEASON_PARAMS)
 HOLDOUT_METRICS = season_metrics(HOLDOUT_PARAMS)
@@ -356,7 +355,7 @@ stats AS (
          (SELECT COUNT(DISTINCT PRODUCT_CODE) FROM beh_full) AS n_items
 )
 """ + _metrics_sql([
-    ("OP_TIME", f"'{FULL_PARAMS.op_time}'"),
+    ("OP_TIME", f"'{OP_TIME}'"),
     ("ARGUMENTS", "'0.1_0.3_100_10_auto'"),
     ("NUM_RAW_LOGS", _txt("n_raw")),
     ("NUM_PROCESSED_LOG", _txt("n_processed")),
@@ -470,7 +469,7 @@ COSINE_RESOURCE_METRICS = cosine_metrics(
     with_(PURCHASE_RES, RES_RATINGS, sql_cosine("res_ratings", COSINE_PARAMS)), "res_ratings", COSINE_PARAMS, "0.7_20_5_2_10"
 )
 
-EVENT_COSINE = CosineParams(min_sim=0.3, top_sim=20, min_commons=5, min_rating=2, top_n=10)
+EVENT_COSINE = SimpleNamespace(min_sim=0.3, top_sim=20, min_commons=5, min_rating=2, top_n=10)
 EVENT_RATINGS = """
 event_ratings AS (
   SELECT USER_ID, PRODUCT_CODE, AVG(SCORE) AS SCORE FROM event_scores
@@ -480,7 +479,7 @@ COSINE_EVENTS_METRICS = cosine_metrics(
     with_(EVENT_SCORES, EVENT_RATINGS, sql_cosine("event_ratings", EVENT_COSINE)), "event_ratings", EVENT_COSINE, "0.3_20_5_2_10"
 )
 
-RESOURCE_RULES = RulesParams(min_support=0.002, min_confidence=0.3, max_items=60, top_n=10)
+RESOURCE_RULES = SimpleNamespace(min_support=0.002, min_confidence=0.3, max_items=60, top_n=10)
 FULL_RESOURCE_METRICS = with_(
     PURCHASE_RES,
     """

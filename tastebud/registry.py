@@ -33,7 +33,7 @@ from .operators.ratings import dense_index, preference_scores, user_vectors
 from .operators.segments import segment_item_scores
 from .plans.als_run import index_ratings, run_als
 from .plans.compare_run import run_compare
-from .plans.params import AlsParams, SegmentParams
+from .plans.params import AlsParams, CosineParams, RulesParams, SegmentParams
 from .plans.rules_run import run_rules, time_window_parts
 from .plans.segments_run import run_clusters, run_given_segments
 from .session import cut_lineage, shared_path
@@ -46,7 +46,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-COSINE = SQL.COSINE_PARAMS
+COSINE = CosineParams(**vars(SQL.COSINE_PARAMS))
 
 
 def register(name: str, sql: str | None = None):
@@ -121,8 +121,8 @@ def q_cosine_run(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------- seasonal split and rules
 
-SEASON = SQL.SEASON_PARAMS
-FULL = SQL.FULL_PARAMS
+SEASON = RulesParams(**vars(SQL.SEASON_PARAMS))
+FULL = RulesParams(**vars(SQL.FULL_PARAMS))
 _SEASON = Season.of(SEASON.end_time, SEASON.months)
 
 
@@ -625,7 +625,7 @@ def q_segment_recommendations_unseen(spark: SparkSession, d: str) -> DataFrame:
 @register("rules_time_window_holdout", SQL.HOLDOUT_METRICS)
 def q_rules_time_window_holdout(spark: SparkSession, d: str) -> DataFrame:
     """Time-window run with a strict hold-out: rules learn only from rows before end_time."""
-    return run_rules([B.shopping_log(spark, d)], SQL.HOLDOUT_PARAMS, time_window=True)["Recommendation-metrics"]
+    return run_rules([B.shopping_log(spark, d)], RulesParams(**vars(SQL.HOLDOUT_PARAMS)), time_window=True)["Recommendation-metrics"]
 
 
 @register("rules_time_window_raw", SQL.SEASON_METRICS)
@@ -645,14 +645,14 @@ def q_cosine_run_resource(spark: SparkSession, d: str) -> DataFrame:
 @register("rules_full_history_resource", SQL.FULL_RESOURCE_METRICS)
 def q_rules_full_history_resource(spark: SparkSession, d: str) -> DataFrame:
     """The full-history run on the purchase log, items filled from the resource map inside the run."""
-    run = run_rules([_res_log(spark, d)], SQL.RESOURCE_RULES, time_window=False, resource_map=B.resource_map(spark, d))
+    run = run_rules([_res_log(spark, d)], RulesParams(**vars(SQL.RESOURCE_RULES)), time_window=False, resource_map=B.resource_map(spark, d))
     return run["Recommendation-metrics"]
 
 
 @register("cosine_run_events", SQL.COSINE_EVENTS_METRICS)
 def q_cosine_run_events(spark: SparkSession, d: str) -> DataFrame:
     """The cosine run on the event ratings: text item ids, a small dense catalogue."""
-    return run_cosine(avg_ratings(B.event_score_log(spark, d)), SQL.EVENT_COSINE)["Recommendation-metrics"]
+    return run_cosine(avg_ratings(B.event_score_log(spark, d)), CosineParams(**vars(SQL.EVENT_COSINE)))["Recommendation-metrics"]
 
 
 @register(
