@@ -8,12 +8,12 @@ at most ``reach = sqrt(2 - 2 t)``.
 * Residual codes: the difference to the centre is cut into ``PARTS`` subspaces
   and each part named by its nearest of 256 codewords.  The length of what the
   code misses is kept with it.
-* Sufficient probes: a vector x near y lies in list c only if the step from y to
-  x crosses the plane between c and y's own centre.  The step is at most
-  ``reach`` long, and the share of it along the plane's normal has a standard
-  deviation of 1 / sqrt(dimension) over directions.  Lists are searched whose
-  plane is within ``SIGMAS`` such deviations of y (in 16 dimensions or fewer
-  that is every list that can hold a link).
+* Sufficient probes: take a link between y, of list b, and x, of list c.  Both are
+  on their own side of the plane between the two centres, and their distances to
+  it add up to their distance along its normal, at most ``reach``.  So one of the
+  two is within ``reach / 2`` of the plane, and each vector searches the lists
+  whose plane is that near: every link is found, from one end at least.  An end
+  that does not search the other's list is counted by the end that found it.
 * Table lookups: distances from y's residual to all codewords make a table; a
   code's distance is a sum of ``PARTS`` entries.  It differs from the true one
   by at most what the code misses, so codes farther than ``reach`` plus that
@@ -45,7 +45,6 @@ MAX_LISTS = 4_096
 PARTS = 8
 CODES = 256
 BLOCK = 1_024
-SIGMAS = 4.0
 _SLACK = 1e-6  # for rounding, in distances
 
 
@@ -99,8 +98,7 @@ class Quantiser:
             miss += ((rest[:, a:b] - book[codes[:, p]]) ** 2).sum(axis=1)
         apart = np.sqrt(squared(self.centres, self.centres))
         plane = (d - d[np.arange(len(unit)), near][:, None]) / np.maximum(2 * apart[near], 1e-12)
-        margin = self.reach * min(1.0, SIGMAS / np.sqrt(unit.shape[1]))
-        probes = [np.flatnonzero(row <= margin + _SLACK) for row in plane]
+        probes = [np.flatnonzero(row <= self.reach / 2 + _SLACK) for row in plane]
         return near, codes, np.sqrt(miss), probes
 
     def lookups(self, unit: np.ndarray, centre: int, codes: np.ndarray) -> np.ndarray:
@@ -126,9 +124,16 @@ def units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def link_counts(q: Quantiser, threshold: float, centre: int, ids: np.ndarray, unit: np.ndarray, weight: np.ndarray, codes: np.ndarray, miss: np.ndarray, seek_ids: np.ndarray, seek: np.ndarray):
-    """Of each seeking vector the weight of the list entries linked to it, and a spanning forest of the links."""
-    maybe = q.lookups(seek, centre, codes) <= q.reach + miss[None, :] + _SLACK
+def link_counts(q: Quantiser, threshold: float, centre: int, own: pd.DataFrame, ask: pd.DataFrame):
+    """Links between one list's entries and the vectors that search it, as weights to count, and a spanning forest.
+
+    Of each seeking vector, the weight of the entries linked to it; of each entry,
+    the weight of the seeking vectors linked to it whose lists it does not search.
+    """
+    ids, unit, weight = own["id"].to_numpy(), np.stack(own["unit"].tolist()), own["weight"].to_numpy()
+    seek_ids, seek, seek_weight, seek_list = ask["id"].to_numpy(), np.stack(ask["unit"].tolist()), ask["weight"].to_numpy(), ask["home"].to_numpy()
+    codes = np.frombuffer(b"".join(own["codes"]), dtype=np.uint8).reshape(len(own), -1)
+    maybe = q.lookups(seek, centre, codes) <= q.reach + own["miss"].to_numpy()[None, :] + _SLACK
     s, e = np.nonzero(maybe & (seek_ids[:, None] != ids[None, :]))
     keep = np.zeros(len(s), dtype=bool)
     for lo in range(0, len(s), 1 << 16):
@@ -136,8 +141,14 @@ def link_counts(q: Quantiser, threshold: float, centre: int, ids: np.ndarray, un
         keep[lo : lo + (1 << 16)] = np.einsum("ij,ij->i", x, y) >= threshold
     s, e = s[keep], e[keep]
     found = np.bincount(s, weights=weight[e], minlength=len(seek_ids)).astype(np.int64)
+    # pairs (entry, list that it searches) as sorted numbers; an entry always searches its own list
+    n, probes = len(q.centres), own["probes"].tolist()
+    searched = np.repeat(np.arange(len(ids)), [len(p) for p in probes]) * n + np.concatenate(probes)
+    pair = e * n + seek_list[s]
+    one_way = searched[np.minimum(np.searchsorted(searched, pair), len(searched) - 1)] != pair
+    back = np.bincount(e[one_way], weights=seek_weight[s[one_way]], minlength=len(ids)).astype(np.int64)
     nodes, place = np.unique(np.concatenate([seek_ids, ids]), return_inverse=True)
-    return found, forest(nodes, place[s], place[len(seek_ids) + e])
+    return found, back, forest(nodes, place[s], place[len(seek_ids) + e])
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -184,7 +195,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     coded = written(
         entries.select("id", "weight", "v").mapInPandas(encode, "id long, weight long, unit array<double>, list int, codes binary, miss double, probes array<int>"), "coded"
     )
-    seeks = coded.select("id", "unit", F.explode("probes").alias("list"))
+    seeks = coded.select("id", "weight", "unit", F.col("list").alias("home"), F.explode("probes").alias("list"))
     held = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("entry_blocks"))
     sought = seeks.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("seek_blocks"))
     blocks = held.join(sought, "list")
@@ -193,13 +204,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
         "list",
         F.pmod(turn, "entry_blocks").cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("seek_blocks") - 1)).alias("j"),
-        "id", "weight", "unit", "codes", "miss", F.lit(False).alias("seeks"),
+        "id", "weight", "unit", F.col("list").alias("home"), "codes", "miss", "probes", F.lit(False).alias("seeks"),
     )
     seek_rows = seeks.join(blocks, "list").select(
         "list",
         F.explode(F.sequence(F.lit(0), F.col("entry_blocks") - 1)).alias("i"),
         F.pmod(turn, "seek_blocks").cast("int").alias("j"),
-        "id", F.lit(0).cast("long").alias("weight"), "unit", F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("miss"), F.lit(True).alias("seeks"),
+        "id", "weight", "unit", "home", F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("miss"), F.lit(None).cast("array<int>").alias("probes"), F.lit(True).alias("seeks"),
     )
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
@@ -207,13 +218,15 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
         own, ask = b[~b["seeks"]], b[b["seeks"]]
         if not len(own) or not len(ask):
             return pd.DataFrame({"id": [], "links": [], "up": []}).astype({"id": "int64", "links": "int64", "up": "int64"})
-        codes = np.frombuffer(b"".join(own["codes"]), dtype=np.uint8).reshape(len(own), -1)
-        seek_ids = ask["id"].to_numpy()
-        found, (node, up) = link_counts(
-            q, threshold, int(key[0]), own["id"].to_numpy(), np.stack(own["unit"].tolist()), own["weight"].to_numpy(), codes, own["miss"].to_numpy(), seek_ids, np.stack(ask["unit"].tolist())
+        found, back, (node, up) = link_counts(q, threshold, int(key[0]), own, ask)
+        seek_ids, ids = ask["id"].to_numpy()[found > 0], own["id"].to_numpy()[back > 0]
+        return pd.DataFrame(
+            {
+                "id": np.concatenate([seek_ids, ids, node]),
+                "links": np.concatenate([found[found > 0], back[back > 0], np.zeros(len(node), np.int64)]),
+                "up": np.concatenate([seek_ids, ids, up]),
+            }
         )
-        hit = found > 0
-        return pd.DataFrame({"id": np.concatenate([seek_ids[hit], node]), "links": np.concatenate([found[hit], np.zeros(len(node), np.int64)]), "up": np.concatenate([seek_ids[hit], up])})
 
     out = written(entry_rows.unionByName(seek_rows).groupBy("list", "i", "j").applyInPandas(search, "id long, links long, up long"), "links")
     counts = out.groupBy("id").agg(F.sum("links").alias("links"))

@@ -153,6 +153,23 @@ def test_near_vectors_recall(spark):
     assert want > 1000 and 0.99 * want <= got <= want
 
 
+@pytest.mark.parametrize("dim", [12, 64, 256])
+def test_near_vectors_of_a_low_rank_group(spark, monkeypatch, dim):
+    """A group that varies in three directions and is spread over many lists: its links cross their borders at right angles."""
+    monkeypatch.setattr(vectors, "LIST_SIZE", 20)
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(900, dim))
+    span = np.linalg.qr(rng.normal(size=(dim, 3)))[0]
+    x[300:] = x[0] + rng.normal(size=(600, 3)) @ span.T * np.linalg.norm(x[0]) * 0.25
+    x[890:] = x[880]  # equal vectors: an entry with a weight
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    assert want.sum() > 10_000
+    assert [got[i] for i in range(len(x))] == want.tolist()
+
+
 GAP = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
