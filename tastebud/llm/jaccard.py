@@ -7,7 +7,7 @@ they share at least l.  Every set keeps the pool for its longest allowed
 prefix, ``LEVEL_SHARE`` of its size more, and picks its own l:
 
 1. Exact copies (equal shingle sets) are one class, and its row with the
-   smallest id stands for it.
+   smallest id stands for it, by the number of the row: ids may be repeated.
 2. Pools are counted against each other.  A set that shares fewer than its
    least level of pool shingles with all other sets together has no partner
    and leaves; a second count sees only the sets that are left.
@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastebud.llm.components import components
+from tastebud.llm.rows import among, row_key
 from tastebud.llm.scratch import written
 from tastebud.llm.words import mixed, shingle_sets
 
@@ -48,7 +49,6 @@ LEVEL_SHARE = 16  # a level is at most a sixteenth of the set, and 8 at least wh
 HEAVY = 24
 BLOCK = 256
 VERIFY_COST = 4.0  # joining one row against verifying one shingle of a candidate
-MARKS = 1 << 20  # buckets of the filter in front of the exact join that fetches texts
 
 
 def least_overlap(n, num: int, den: int):
@@ -140,7 +140,7 @@ def block_links(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], num:
 
 
 def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """``(tag, doc_id, n, k1, k2, pool)`` of every row: set size, a 128-bit hash of the set, its pool."""
+    """``(tag, key, doc_id, n, k1, k2, pool)`` of every row: its number, ``row_key`` of id and text, set size, a 128-bit hash of the set, its pool."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tag = TaskContext.get().partitionId() << 40
@@ -155,11 +155,11 @@ def signatures(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
                     k2.append(int(mixed(u ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
                     # a copy, so that the pool does not keep the whole set in memory
                     pools.append(s[: int(pool_length(np.int64(len(s)), num, den))].copy())
-                yield pd.DataFrame({"tag": np.arange(tag, tag + len(b)), "doc_id": b["doc_id"].to_numpy(), "n": n, "k1": k1, "k2": k2, "pool": pools})
+                yield pd.DataFrame({"tag": np.arange(tag, tag + len(b)), "key": b["key"].to_numpy(), "doc_id": b["doc_id"].to_numpy(), "n": n, "k1": k1, "k2": k2, "pool": pools})
                 tag += len(b)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(sign, "tag long, doc_id long, n long, k1 long, k2 long, pool array<long>")
+    rows = docs.select(row_key("doc_id", "text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInPandas(sign, "tag long, key string, doc_id long, n long, k1 long, k2 long, pool array<long>")
 
 
 def generators(live: DataFrame, num: int, den: int) -> DataFrame:
@@ -190,26 +190,14 @@ def shared_postings(postings: DataFrame, num: int, den: int, name: str) -> DataF
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``(id, tokens)``: whole shingle sets of the documents named in ``ids``, made again from their texts.
-
-    A filter of at most ``MARKS`` numbers, which may be broadcast, lets few
-    other texts into the exact join.
-    """
-    mark = F.pmod(F.xxhash64("doc_id"), F.lit(MARKS)).cast("int")
-    marks = ids.select(F.pmod(F.xxhash64("id"), F.lit(MARKS)).cast("int").alias("mark")).distinct()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("mark", mark)
-    texts = (
-        rows.join(F.broadcast(marks), "mark", "left_semi")
-        .join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        .select("doc_id", "text")
-        .dropDuplicates(["doc_id", "text"])
-    )
+    """``(id, tokens)``: whole shingle sets of the rows named in ``ids`` (id, key), made again from their texts."""
+    texts = among(docs.select("doc_id", "text"), ids, row_key("doc_id", "text")).select("id", F.col("text").cast("string").alias("text")).dropDuplicates(["id", "text"])
 
     def shingle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             for lo in range(0, len(whole), 1_000):
                 b = whole.iloc[lo : lo + 1_000]
-                yield pd.DataFrame({"id": b["doc_id"].to_numpy(), "tokens": list(shingle_sets(b["text"].tolist(), width))})
+                yield pd.DataFrame({"id": b["id"].to_numpy(), "tokens": list(shingle_sets(b["text"].tolist(), width))})
 
     return texts.mapInPandas(shingle, "id long, tokens array<long>")
 
@@ -271,14 +259,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     rows that repeat an id with another text go by their own text.  Columns
     other than the two are not read.
     """
+    return groups(docs, width, num, den).select("doc_id", "n_shingles", "component_id")
+
+
+def groups(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``near_duplicates`` with each row's ``key`` (``row_key`` of doc_id and text) and ``group``.
+
+    Rows are of one group exactly if links join them; groups may share a
+    component_id where rows repeat an id.  The group is null where the row
+    links with nothing by definition.
+    """
     sig = written(signatures(docs, width, num, den), "signatures")
-    named = sig.select("tag", "doc_id", "n", "k1", "k2").filter("n > 0 and doc_id is not null")
-    classes = written(named.groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "tag")).alias("first")).select("n", "k1", "k2", F.col("first.doc_id").alias("id"), F.col("first.tag").alias("tag")), "classes")
+    named = sig.select("tag", "key", "doc_id", "n", "k1", "k2").filter("n > 0 and doc_id is not null")
+    classes = written(named.groupBy("n", "k1", "k2").agg(F.min(F.struct("doc_id", "tag", "key")).alias("first")).select("n", "k1", "k2", F.col("first.doc_id").alias("doc_id"), F.col("first.tag").alias("tag"), F.col("first.key").alias("key")), "classes")
     copies = written(named.join(classes.select("tag"), "tag", "left_anti").select("tag"), "copies")
     postings = (
         sig.filter("n > 0 and doc_id is not null")
         .join(copies, "tag", "left_anti")
-        .select(F.col("doc_id").alias("id"), "n", F.posexplode("pool").alias("pos", "token"))
+        .select(F.col("tag").alias("id"), "n", F.posexplode("pool").alias("pos", "token"))
     )
     once = shared_postings(postings, num, den, "first")
     live = shared_postings(once.select("token", "id", "n", "pos"), num, den, "second")
@@ -287,10 +285,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     heavy = gens.filter(F.col("df") >= HEAVY).select("token", "id")
     hubs = heavy.groupBy("token").agg(F.min("id").alias("hub"))
     clumps = components(heavy.join(hubs, "token").select(F.col("id").alias("a"), F.col("hub").alias("b"))).select(F.col("node").alias("id"), F.col("component").alias("clump"))
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(clumps.select("id")).distinct(), "wanted")
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(clumps.select("id")).distinct().join(classes.select(F.col("tag").alias("id"), "key"), "id"), "wanted")
     sets = written(whole_sets(docs, wanted, width), "sets")
     links = verified(pairs, sets, num, den).union(clump_links(clumps, sets, num, den))
-    found = components(links).select(F.col("node").alias("id"), "component")
-    of_class = classes.join(found, "id", "left").select("n", "k1", "k2", F.coalesce("component", "id").alias("component"))
-    rows = sig.select("doc_id", "n", "k1", "k2").join(of_class, ["n", "k1", "k2"], "left")
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    found = components(links).select(F.col("node").alias("tag"), F.col("component").alias("group"))
+    joined = written(classes.join(found, "tag", "left").select("n", "k1", "k2", "doc_id", F.coalesce("group", "tag").alias("group"), F.col("group").isNotNull().alias("linked")), "joined")
+    low = written(joined.filter("linked").groupBy("group").agg(F.min("doc_id").alias("low")), "low")
+    linked = joined.filter("linked").join(low, "group").select("n", "k1", "k2", "group", F.col("low").alias("component"))
+    of_class = linked.union(joined.filter("not linked").select("n", "k1", "k2", "group", F.col("doc_id").alias("component")))
+    rows = sig.select("key", "doc_id", "n", "k1", "k2").join(of_class, ["n", "k1", "k2"], "left")
+    known = F.col("doc_id").isNotNull()
+    return rows.select("key", "doc_id", F.col("n").alias("n_shingles"), F.when(known, F.coalesce("component", "doc_id")).alias("component_id"), F.when(known, F.col("group")).alias("group"))

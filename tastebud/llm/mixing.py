@@ -112,21 +112,21 @@ def schedule(spark, sources: list[dict], block: int) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: dict | None = None, block: int = 256, seed: str = "mix") -> dict[str, DataFrame]:
+def mix(docs: DataFrame, weights: dict | None = None, block: int = 256, seed: str = "mix", keep: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Mix all rows of ``docs`` (doc_id, text, source).
 
-    Returns ``documents`` (doc_id, source, row, size, source_size, target, taken: one row
-    per input row), ``pieces`` (row, no, block, words, at: a row's words in its
+    Returns ``documents`` (doc_id, source, row, size, source_size, target, taken and
+    the columns ``keep``: one row per input row), ``pieces`` (row, no, block, words, at: a row's words in its
     source's blocks) and ``schedule`` (see above); joining the last two on (no,
     block) and ordering by slot gives the mixed stream.
 
     A null text or one without words has size 0 and is taken 0 times; a null
     source is a source of its own; repeated rows count each on its own; an
-    empty table gives empty results.  Other columns are not read.
+    empty table gives empty results.  Columns other than these and ``keep`` are not read.
     """
     spark = docs.sparkSession
     sized = written(
-        docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"))
+        docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("key"), *keep)
         .withColumn("row", F.monotonically_increasing_id()),
         "sized",
     )
@@ -158,5 +158,5 @@ def mix(docs: DataFrame, weights: dict | None = None, block: int = 256, seed: st
         .groupBy("row")
         .agg(F.sum(F.col("times") * F.greatest(F.lit(0), F.least(F.col("words"), F.col("take") - F.col("at")))).alias("taken"))
     )
-    documents = laid.join(taken, "row", "left").select("doc_id", "source", "row", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    documents = laid.join(taken, "row", "left").select("doc_id", "source", "row", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *keep)
     return {"documents": documents, "pieces": pieces, "schedule": slots}

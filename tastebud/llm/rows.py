@@ -9,8 +9,9 @@ MARKS = 1 << 20
 
 
 def row_key(*cols: str) -> Column:
-    """128 bits of the named columns' values, never null."""
-    return F.concat_ws(":", F.hex(F.xxhash64(*cols)), F.hex(F.xxhash64(F.lit("second"), *cols)))
+    """128 bits of the named columns' values, never null; which of them are null counts too."""
+    values = [*cols, *[F.col(c).isNull() for c in cols]]
+    return F.concat_ws(":", F.hex(F.xxhash64(*values)), F.hex(F.xxhash64(F.lit("second"), *values)))
 
 
 def without(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
@@ -26,6 +27,13 @@ def without(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     return clear.select(df.columns).unionByName(rest.select(df.columns))
 
 
+def among(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``keys`` (column ``key``, each once), with the columns of ``keys``."""
+    marks = keys.select(F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int").alias("_mark")).distinct()
+    own = df.withColumn("key", key).withColumn("_mark", F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int"))
+    return own.join(F.broadcast(marks), "_mark", "left_semi").drop("_mark").join(keys, "key")
+
+
 def bounded_sample(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
     """At most ``n`` rows of each ``group``, those of the smallest hashes of ``key``; adds their rank ``r`` and the group's count ``n``.
 

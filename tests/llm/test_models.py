@@ -242,6 +242,32 @@ def test_pipeline_stages_match_brute_force(spark, tmp_path):
         assert slots == list(range(len(slots)))
 
 
+def test_pipeline_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = random.Random(31)
+    text = lambda n: " ".join(rng.choice(CLEAN) + rng.choice("abcdefgh") for _ in range(n))
+    a, b, item = text(60), text(60), text(12)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def through(stage, rows):
+        docs = spark.createDataFrame(rows, schema)
+        return sorted(map(tuple, stage(spark, docs, str(tmp_path)).collect()), key=str)
+
+    row = lambda i, t, source="s": (i, t, "en", source, 1)
+    # (5, a) goes for (3, a x); its namesakes, of another text, none or no words, stay; of equal rows one stays
+    stay = [row(3, a + " x"), row(5, b), row(5, None), row(5, ""), row(None, a), row(None, a)]
+    got = through(cp.drop_near_duplicates, [*stay, row(5, a), row(3, a + " y"), row(6, b + " x"), row(5, b)])
+    assert got == sorted(stay, key=str)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stay = [row(None, a), row(None, None), row(4, b)]
+    assert through(cp.drop_contaminated, [*stay, row(None, f"{b} {item}"), row(4, item)]) == sorted(stay, key=str)
+    # a is of a source that comes three times; the row without words beside it once, equal rows each
+    rows = [row(None, a, "t"), row(None, a, "t"), row(None, "", "t"), row(None, "", "t"), (None, "", None, "t", 1), (None, "", "en", "t", None)]
+    got = through(cp.mix_sources, rows + [row(8, text(4000), "s")])
+    assert [sum(r == w for r in got) for w in rows] == [6, 6, 2, 2, 1, 1]
+
+
 def test_bounded_sample(spark):
     from tastebud.llm.rows import bounded_sample
 

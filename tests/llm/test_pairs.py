@@ -88,6 +88,15 @@ def test_jaccard_clumps_match_brute_force(spark, monkeypatch):
     assert got == reach(range(len(texts)), links)
 
 
+def test_jaccard_rows_that_repeat_an_id_go_by_their_own_text(spark):
+    rng = random.Random(21)
+    a, b = words(rng, 60), words(rng, 60)
+    near = lambda w: " ".join(w[:-1] + ["changed"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, near(a)), (3, near(b)), (9, "alone in the world"), (9, near(a)), (9, None)]
+    got = sorted(map(tuple, jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == [(3, 56, 3), (5, 56, 3), (5, 56, 5), (7, 56, 5), (9, 0, 9), (9, 1, 9), (9, 56, 5)]
+
+
 def test_jaccard_empty_table(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
