@@ -232,6 +232,17 @@ def word_shares(texts: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def strings(shares: DataFrame, n_toxic: int, n_clean: int) -> pd.DataFrame:
+    """The ``STRINGS`` words to learn from: half by how far toxic texts hold them more often than clean ones, the rest by number of texts."""
+    gain, texts = F.col("toxic") / n_toxic - F.col("clean") / n_clean, F.col("toxic") + F.col("clean")
+    typical = shares.orderBy(F.desc(gain), "word").limit(STRINGS // 2).toPandas()
+    frequent = shares.orderBy(F.desc(texts), "word").limit(STRINGS).toPandas()
+    frequent["at"] = np.arange(len(frequent))
+    both = pd.concat([typical, frequent.drop(columns="at")]).drop_duplicates("word").head(STRINGS)
+    at = both["word"].map(dict(zip(frequent["word"], frequent["at"]))).fillna(len(frequent))
+    return both.iloc[np.argsort(at.to_numpy(), kind="stable")]
+
+
 def training_texts(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     """``(text, toxic, r, share)``: the sample that is learned from, ``TRAIN_TEXTS`` of each label at most.
 
@@ -260,7 +271,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> M
             only = 0.0 if n_toxic == n_clean else (4.0 if n_toxic else -4.0)
             return Machine(np.zeros(SYMBOLS**P), 0.0, np.array([only, 0.0, 0.0, 0.0]))
         shares = word_shares(sample.filter("r % 3 <> 0")).filter("toxic + clean > 1")
-        best = shares.orderBy(F.desc(F.col("toxic") + F.col("clean")), "word").limit(STRINGS).toPandas()
+        best = strings(shares, n_toxic, n_clean)
         machine = fit_machine(best["word"].tolist(), best["toxic"].to_numpy() / n_toxic, best["clean"].to_numpy() / n_clean)
         state = spark.sparkContext.broadcast(vars(machine))
 

@@ -85,6 +85,18 @@ def test_toxicity_on_held_out_texts_and_gaps(spark):
     assert machine.scores(["river " * 200000])[0] < toxicity.THRESHOLD
 
 
+def test_toxicity_learns_insults_rarer_than_most_words(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "STRINGS", 60)
+    rng = random.Random(17)
+    pool = [a[:3] + b[:3] for a in CLEAN for b in CLEAN]
+    rows = [(i, " ".join([rng.choice(pool) for _ in range(30)] + [rng.choice(INSULTS)] * (i % 20 == 0)), int(i % 20 == 0)) for i in range(600)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    machine = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    bad = machine.scores([" ".join([rng.choice(pool) for _ in range(30)] + [w]) for w in INSULTS for _ in range(20)])
+    good = machine.scores([" ".join(rng.choice(pool) for _ in range(30)) for _ in range(60)])
+    assert (bad >= toxicity.THRESHOLD).mean() > 0.9 and (good < toxicity.THRESHOLD).mean() > 0.9
+
+
 def test_toxicity_without_both_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
