@@ -138,3 +138,38 @@ WITH RECURSIVE v AS (
 SELECT r.vec_id, coalesce(max(k.n), 0) AS n_links, min(r.c) AS component_id, r.vec_id = min(r.c) AS kept
 FROM r LEFT JOIN k ON k.vec_id = r.vec_id GROUP BY r.vec_id
 """
+
+ORACLE["op13_filter_interactions"] = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT doc_id, part, text, regexp_extract_all(text, '{_SPACED}') AS w FROM t
+), g AS (SELECT text, min(doc_id) AS first FROM t GROUP BY text
+), q AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, [
+    len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w),
+    100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 5 * length(w.text),
+    regexp_matches(w.text, '[#$%&*|]'), coalesce(w.doc_id > g.first, false)] AS fails
+  FROM w JOIN g ON g.text = w.text LEFT JOIN q ON q.doc_id = w.doc_id
+), l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 3, 4, 5]) AS i
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS line
+  FROM l a JOIN l b ON b.i <> a.i JOIN l c ON c.i NOT IN (a.i, b.i) JOIN l d ON d.i NOT IN (a.i, b.i, c.i) JOIN l e ON e.i NOT IN (a.i, b.i, c.i, d.i)
+), s AS (SELECT filter_order, line, CAST(step AS INTEGER) AS step, line[step] AS i FROM o, range(1, 6) r(step)
+), c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails
+), m AS (
+  SELECT c.*, s.*, len([j FOR j IN line[1:step - 1] IF fails[j]]) > 0 AS earlier, fails[s.i] AS now,
+    fails[s.i] AND len([j FOR j IN line IF fails[j]]) = 1 AS alone FROM c, s
+), r AS (
+  SELECT part, filter_order, step, any_value(i) AS i, sum(n) FILTER (NOT earlier AND NOT now) AS kept, sum(n) FILTER (NOT earlier AND now) AS removed,
+    sum(n) FILTER (earlier AND now) AS redundant, sum(n) FILTER (alone) AS unique_fails,
+    sum(good) FILTER (NOT earlier AND now) AS good_lost, sum(toxic) FILTER (NOT earlier AND now) AS toxic_lost
+  FROM m GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+  CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, i) AS BIGINT) AS shapley
+FROM r
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import chat, decontam, jaccard, langid, mixing, shards, tokens, toxicity, urls, vectors
+from tastebud.llm import audit, chat, decontam, jaccard, langid, mixing, shards, tokens, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -121,3 +121,9 @@ def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = tokens.count_tokens(docs, tokens.line_sections(F.col("text")), "majority")
     return found.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
+@query
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters on every document, in all 120 orders, per source."""
+    return audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
