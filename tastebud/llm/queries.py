@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import audit, chat, decontam, jaccard, langid, mixing, shards, tokens, toxicity, urls, vectors
+from tastebud.llm import audit, chat, decontam, jaccard, langid, mixing, packing, shards, tokens, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -123,6 +123,19 @@ def op6_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_tokens", F.col("n_tokens").cast("long"))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op11_deficit_round_robin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2,048 tokens, every sequence mixed as the whole table is."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source_queue")
+
+
 @query
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters on every document, in all 120 orders, per source."""
