@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastebud.llm import audit, chat, decontam, jaccard, langid, mixing, packing, shards, tokens, toxicity, urls, vectors
+from tastebud.llm import audit, chat, decontam, jaccard, langid, mixing, packing, periods, shards, tokens, toxicity, urls, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -136,6 +136,38 @@ def op11_deficit_round_robin_packing(spark: SparkSession, sf_dir: str) -> DataFr
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source_queue")
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, a tenth of them (by crc32 of the id) from some word on repeating a stretch of their own words."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("w"), F.floor(h / 10)
+    a = F.pmod(g, n).cast("int")
+    p = (F.floor((n - a) / (g % 8 + 3)) + 1).cast("int")
+    rest = F.flatten(F.array_repeat(F.slice("w", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    repeated = F.concat_ws(" ", F.slice(F.concat(F.slice("w", F.lit(1), a), rest), F.lit(1), n))
+    # only a chosen document's words are looked at
+    listed = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"))
+    return listed.select("doc_id", F.when(n > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_recompressed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents after planting, the strongest one, and digests of all runs and of the collapsed text."""
+    found = periods.find_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ended = F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n"))))
+
+    def better(best: Column, r: Column) -> Column:
+        # by exact length / period; runs come by start and period, so the first of equals stays
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    kind = "struct<start:bigint,length:bigint,period:bigint>"
+    best = F.aggregate("runs", F.lit(None).cast(kind), better)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(ended, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
 @query
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters on every document, in all 120 orders, per source."""
