@@ -19,6 +19,7 @@ files hold of each queue.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
@@ -35,52 +36,113 @@ MAX_QUEUES = 2_048
 #: Rows of (part, queue) offsets that are broadcast at most; more are joined by a shuffle.
 BROADCAST_OFFSETS = 200_000
 #: Words whose ids a task remembers, and the longest of them in bytes.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 64
-#: Bytes of ids that a task hands on at a time.
-BATCH_BYTES = 4_000_000
-
-
-def word_encoder(definition: str) -> Callable[[list[str]], list[bytes]]:
-    """Texts to ids (little-endian unsigned 32 bits) for a tokenizer that drops white space and never joins words over it.
-
-    ``definition`` is the tokenizer's JSON.  Words are encoded once and remembered.  A text that holds one of the
-    tokenizer's added tokens goes through the tokenizer as a whole.
+REMEMBERED, REMEMBERED_BYTES = 400_000, 64
+#: How the tokenizer parts words of ASCII without apostrophes, in lower case: fixed values.
+ASCII_PARTS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Bytes of texts, and of ids, that a task works on at a time.
+TEXT_BYTES, ID_BYTES = 8_000_000, 8_000_000
+
+
+def word_encoder(definition: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
+    """Texts to their ids, one after the other, and the number of each text's, for a tokenizer that ignores case, drops white space and never joins words over it.
+
+    ``definition`` is the tokenizer's JSON.  Words are encoded once and
+    remembered; a text that holds one of the tokenizer's added tokens goes
+    through the tokenizer as a whole.  New words of letters alone are encoded a
+    hundred at a time, side by side, and told apart by the tokenizer's end of
+    word; where that does not give one end a word, they are encoded singly.
+    Marks behind letters, and parts of ASCII words, are encoded apart, as the
+    tokenizer parts them.
     """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_str(definition)
     added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    ends = np.zeros(tokenizer.get_vocab_size() + 1, dtype=bool)
+    if suffix:
+        ends[[i for token, i in tokenizer.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
     known: dict[bytes, bytes] = {}
 
     def packed(ids: list[int]) -> bytes:
         return np.asarray(ids, dtype="<u4").tobytes()
 
-    def encode(texts: list[str]) -> list[bytes]:
+    def singly(words: list[str]) -> list[bytes]:
+        return [packed(e.ids) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def side_by_side(words: list[str]) -> list[bytes]:
+        out, chunks = [], [words[i : i + 100] for i in range(0, len(words), 100)]
+        for chunk, e in zip(chunks, tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)):
+            ids = np.asarray(e.ids, dtype="<u4")
+            last = np.flatnonzero(ends[ids])
+            if len(last) != len(chunk):
+                out += singly(chunk)
+                continue
+            raw, at = ids.tobytes(), 0
+            for end in (4 * (last + 1)).tolist():
+                out.append(raw[at:end])
+                at = end
+        return out
+
+    def learn(new: list[bytes]) -> None:
+        plain, composed, rest = {}, [], []
+        for word in new:
+            text = word.decode("utf-8")
+            if not suffix:
+                rest.append(word)
+            elif text.isalpha():
+                plain[word] = text
+            elif text[-1] in ".,;:!?" and text[:-1].lower().isalpha():
+                composed.append((word, (word[:-1], word[-1:])))
+            elif text.isascii() and "'" not in text:
+                composed.append((word, ASCII_PARTS.findall(word)))
+            else:
+                rest.append(word)
+        others = {}
+        for _, parts in composed:
+            for p in parts:
+                if p not in known:
+                    (plain if p[:1].isalpha() or p[0] > 127 else others)[p] = p.decode("utf-8")
+        known.update(zip(plain, side_by_side(list(plain.values()))))
+        known.update(zip(others, singly(list(others.values()))))
+        known.update((w, b"".join(map(known.__getitem__, parts))) for w, parts in composed)
+        known.update(zip(rest, singly([w.decode("utf-8") for w in rest])))
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(known) > REMEMBERED:
             known.clear()
-        own: dict[bytes, bytes] = {}
-        split = [None if any(a in t for a in added) else t.encode("utf-8").split() for t in texts]
-        new = list({w for words in split if words for w in words if w not in known})
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for word, e in zip(part, tokenizer.encode_batch([w.decode("utf-8") for w in part], add_special_tokens=False)):
-                (known if len(word) <= REMEMBERED_BYTES else own)[word] = packed(e.ids)
-        every = known if not own else {**known, **own} if len(known) < len(own) else _Either(known, own)
-        return [packed(tokenizer.encode(t, add_special_tokens=False).ids) if words is None else b"".join(map(every.__getitem__, words)) for t, words in zip(texts, split)]
+        special = np.zeros(len(texts), dtype=bool)
+        for token in added:
+            special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        split = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(pa.array(special), "", texts) if special.any() else texts))
+        every = split.flatten().dictionary_encode()
+        words = [w.encode("utf-8") for w in every.dictionary.to_pylist()]
+        known[b""] = b""  # before white space at a text's start
+        learn([w for w in words if w not in known])
+        own = [known[w] for w in words]
+        for word in words:
+            if len(word) > REMEMBERED_BYTES:
+                known.pop(word, None)
+        sizes = np.array([len(x) // 4 for x in own], dtype=np.int64)
+        table, at = np.frombuffer(b"".join(own), dtype="<u4"), np.cumsum(sizes) - sizes
+        index, edges = every.indices.to_numpy(), split.offsets.to_numpy() - split.offsets[0].as_py()
+        ids = table[_ranges(at[index], sizes[index])]
+        upto = np.append(0, np.cumsum(sizes[index]))[edges]
+        counts = np.diff(upto)
+        if special.any():
+            pieces = [ids[a:b] for a, b in zip(upto[:-1], upto[1:])]
+            for i in np.flatnonzero(special):
+                pieces[i] = np.asarray(tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, dtype="<u4")
+            ids, counts = np.concatenate(pieces), np.array([len(x) for x in pieces], dtype=np.int64)
+        return ids, counts
 
     return encode
 
 
-class _Either(dict):
-    """Looks in one table, then in another."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(second)
-        self.first = first
-
-    def __getitem__(self, key):
-        return self.first[key] if key in self.first else super().__getitem__(key)
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... of size[0] numbers, then those of the next."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
 def encode_queues(docs: DataFrame, queue: Column, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -91,32 +153,29 @@ def encode_queues(docs: DataFrame, queue: Column, tokenizer_path: str, end_id: i
     kind = docs.schema["doc_id"].dataType.simpleString()
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary, whatever the table
-    tail = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode, part = word_encoder(shared.value), TaskContext.get().partitionId()
         given: dict[int, int] = {}
-        for batch in batches:
-            texts = batch.column("text")
-            sizes = pc.binary_length(texts).to_pylist()
-            start = 0
-            while start < len(sizes):
-                end, total = start, 0
-                while end < len(sizes) and (end == start or total + sizes[end] <= BATCH_BYTES // 4):
-                    total += sizes[end]
-                    end += 1
-                ids = [x + tail for x in encode([t or "" for t in texts.slice(start, end - start).to_pylist()])]
-                queues, n, before = batch.column("queue").slice(start, end - start).to_pylist(), [len(x) // 4 for x in ids], []
-                for k, m in zip(queues, n):
-                    before.append(given.get(k, 0))
-                    given[k] = before[-1] + m
+        for whole in batches:
+            for batch in _cut(whole, pc.binary_length(whole.column("text")).to_numpy(), TEXT_BYTES):
+                ids, counts = encode(batch.column("text"))
+                n = counts + 1
+                ended = np.full(n.sum(), end_id, dtype="<u4")
+                ended[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+                before, queues = np.zeros(len(n), dtype=np.int64), batch.column("queue").to_numpy()
+                for k in np.unique(queues):
+                    own = np.flatnonzero(queues == k)
+                    upto = np.cumsum(n[own]) + given.get(int(k), 0)
+                    before[own], given[int(k)] = upto - n[own], int(upto[-1])
+                edges = pa.py_buffer(np.append(0, np.cumsum(4 * n)).astype(np.int32))
+                column = pa.Array.from_buffers(pa.binary(), len(n), [None, edges, pa.py_buffer(ended)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(start, end - start), pa.array(queues, pa.int32()), pa.array(n, pa.int64()), pa.array([part] * len(ids), pa.int32()), pa.array(before, pa.int64()), pa.array(ids, pa.binary())],
+                    [batch.column("doc_id"), batch.column("queue"), pa.array(n), pa.array(np.full(len(n), part, dtype=np.int32)), pa.array(before), column],
                     names=["doc_id", "queue", "n", "part", "before", "ids"],
                 )
-                start = end
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), queue.alias("queue"))
     return rows.mapInArrow(run, f"doc_id {kind}, queue int, n long, part int, before long, ids binary")
@@ -156,38 +215,40 @@ class Service:
         whole, rest = np.divmod(token + 1, q)
         return whole * (1 << self.bits) + _ceil_shifted(rest, q, self.bits)
 
-    def pieces(self, queue: int, before: int, n: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Cuts of a document of ``n`` tokens that stands behind ``before`` others of its queue: start, length, place in the stream.
+    def pieces(self, queue: int, before: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Cuts of documents of ``n`` tokens that stand behind ``before`` others of their queue: document, start, length, place in the stream.
 
         A piece ends where the queue's turn ends, and at a window's end; turns
         that follow each other without another queue's between are one piece.
         """
-        first, last = (int(x) for x in self.round_of(queue, np.array([before, before + n - 1])))
-        starts, lengths, places = [], [], []
-        q = int(self.quanta[queue])
-        step = max(1, 200_000 // max(1, len(self.tokens)))
-        if q >> self.bits:  # a token or more in every round: all rounds from first to last
-            batches = (np.arange(a, min(a + step, last + 1)) for a in range(first, last + 1, step))
-        else:  # at most a token in a round: the rounds of the tokens
-            batches = (self.round_of(queue, np.arange(a, min(a + step, before + n))) for a in range(before, before + n, step))
-        for rounds in batches:
+        often = self.quanta[queue] >> self.bits > 0  # a token or more in every round: go by rounds, else by tokens
+        first = self.round_of(queue, before) if often else before
+        count = self.round_of(queue, before + n - 1) - first + 1 if often else n
+        upto = np.cumsum(count)
+        found = []
+        step = max(1, 400_000 // len(self.tokens))
+        for a in range(0, int(upto[-1]), step):
+            row = np.arange(a, min(a + step, int(upto[-1])))
+            doc = np.searchsorted(upto, row, side="right")
+            at = first[doc] + row - (upto[doc] - count[doc])
+            rounds = at if often else self.round_of(queue, at)
             old, new = self.given(rounds - 1), self.given(rounds)
-            lo, hi = np.maximum(old[:, queue], before), np.minimum(new[:, queue], before + n)
+            lo, hi = np.maximum(old[:, queue], before[doc]), np.minimum(new[:, queue], (before + n)[doc])
+            if not often:
+                lo, hi = at, at + 1
             place = old.sum(axis=1) + (new - old)[:, :queue].sum(axis=1) + lo - old[:, queue]
             keep = hi > lo
-            starts.append((lo - before)[keep])
-            lengths.append((hi - lo)[keep])
-            places.append(place[keep])
-        start, length, place = map(np.concatenate, (starts, lengths, places))
+            found.append((doc[keep], (lo - before[doc])[keep], (hi - lo)[keep], place[keep]))
+        doc, start, length, place = map(np.concatenate, zip(*found))
         # join turns that touch, then cut at the windows' ends
-        head = np.flatnonzero(np.append(True, place[1:] != place[:-1] + length[:-1]))
-        start, place, length = start[head], place[head], np.add.reduceat(length, head)
+        head = np.flatnonzero(np.append(True, (place[1:] != place[:-1] + length[:-1]) | (doc[1:] != doc[:-1])))
+        doc, start, place, length = doc[head], start[head], place[head], np.add.reduceat(length, head)
         cuts = (place + length - 1) // window - place // window  # ends of windows inside
         which = np.repeat(np.arange(len(place)), cuts + 1)
         nth = np.arange(len(which)) - np.repeat(np.cumsum(cuts + 1) - cuts - 1, cuts + 1)
         begin = np.where(nth == 0, place[which], (place[which] // window + nth) * window)
         end = np.minimum((place + length)[which], (begin // window + 1) * window)
-        return start[which] + begin - place[which], end - begin, begin
+        return doc[which], start[which] + begin - place[which], end - begin, begin
 
 
 def _ceil_shifted(rest: np.ndarray, q: int, bits: int) -> np.ndarray:
@@ -247,27 +308,34 @@ def pack(docs: DataFrame, tokenizer_path: str, weights: Mapping[str | None, floa
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, sources, held = [], [], 0
-            columns = [batch.column(c).to_pylist() for c in ("queue", "doc_tokens", "before")]
-            for i, (queue, n, before) in enumerate(zip(*columns)):
-                ids = batch.column("ids")[i].as_buffer()
-                start, size, place = service.pieces(queue, before, n, length)
-                found.append((np.full(len(start), i), start, size, place))
-                sources.extend(ids.slice(4 * a, 4 * m).to_pybytes() for a, m in zip(start.tolist(), size.tolist()))
-                held += 4 * n
-                if held > BATCH_BYTES:
-                    yield _piece_batch(batch, found, sources, length)
-                    found, sources, held = [], [], 0
-            if found:
-                yield _piece_batch(batch, found, sources, length)
+        for whole in batches:
+            for batch in _cut(whole, 4 * whole.column("doc_tokens").to_numpy(), ID_BYTES):
+                yield _piece_batch(batch, service, length)
 
     out = f"doc_id {kind}, source_queue int, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     return placed.mapInArrow(cut, out)
 
 
-def _piece_batch(batch: pa.RecordBatch, found: list[tuple], ids: list[bytes], length: int) -> pa.RecordBatch:
-    row, start, size, place = (np.concatenate(x) for x in zip(*found))
+def _cut(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch's rows in order, about ``limit`` of ``sizes`` at a time and one row at least."""
+    edges = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // limit)) + 1
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(sizes)]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def _piece_batch(batch: pa.RecordBatch, service: Service, length: int) -> pa.RecordBatch:
+    """The pieces of a batch of documents."""
+    queue, n, before = (batch.column(c).to_numpy() for c in ("queue", "doc_tokens", "before"))
+    found = []
+    for k in np.unique(queue):
+        own = np.flatnonzero(queue == k)
+        doc, *rest = service.pieces(int(k), before[own], n[own], length)
+        found.append((own[doc], *rest))
+    row, start, size, place = map(np.concatenate, zip(*found))
+    column = batch.column("ids")
+    texts = [memoryview(x.as_buffer()) for x in column]
+    ids = [bytes(texts[i][4 * a : 4 * (a + m)]) for i, a, m in zip(row.tolist(), start.tolist(), size.tolist())]
     take = pa.array(row)
     names = ["doc_id", "source_queue", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
     return pa.RecordBatch.from_arrays(

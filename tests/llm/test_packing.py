@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -40,8 +41,11 @@ def test_pieces_are_those_of_the_round_robin():
         for s, total in enumerate(tokens):
             before = 0
             while before < total:
-                n = min(total - before, rng.choice([1, 2, 9, 70]))
-                start, length, place = service.pieces(s, before, n, window)
+                m = min(total - before, rng.choice([1, 2, 30]))  # of two documents, one after the other
+                cut = rng.randint(1, m)
+                sizes = np.array([cut, m - cut] if m > cut else [m])
+                doc, start, length, place = service.pieces(s, before + np.cumsum(sizes) - sizes, sizes, window)
+                n, start = m, start + (np.cumsum(sizes) - sizes)[doc]
                 assert start[0] == 0 and (start[1:] == (start + length)[:-1]).all() and (start + length)[-1] == n
                 assert (place // window == (place + length - 1) // window).all()  # no piece crosses a window
                 for a, m, x in zip(start, length, place):
@@ -70,7 +74,7 @@ def test_every_window_holds_the_mixture():
     held = defaultdict(int)
     for s, n in enumerate(tokens):
         if n:
-            for a, m, x in zip(*service.pieces(s, 0, n, 512)):
+            for _, a, m, x in zip(*service.pieces(s, np.array([0]), np.array([n]), 512)):
                 held[x // 512, s] += m
     total, windows = sum(tokens), -(-sum(tokens) // 512)
     for w in range(windows - 1):
@@ -82,7 +86,7 @@ def test_weights_hold_until_a_queue_is_empty():
     service = packing.Service.of([1_000, 8_000, 8_000], [2.0, 1.0, 1.0], 200)
     held = defaultdict(int)
     for s, n in enumerate(service.tokens.tolist()):
-        for a, m, x in zip(*service.pieces(s, 0, n, 200)):
+        for _, a, m, x in zip(*service.pieces(s, np.array([0]), np.array([n]), 200)):
             held[x // 200, s] += m
     assert all(abs(held[w, 0] - 100) <= 4 for w in range(9))  # 100 a window until 1,000 are gone
     assert all(abs(held[w, 1] - 100) <= 4 and held[w, 0] == 0 for w in range(12, 80))  # the others share its room
@@ -163,3 +167,22 @@ def test_empty_table_and_bad_arguments(spark):
         packing.pack(one, WORDS, length=0)
     with pytest.raises(ValueError):
         packing.pack(one, WORDS, {"s": -1.0})
+
+
+def test_remembered_words_give_the_tokenizers_ids(monkeypatch):
+    tokenizer = Tokenizer.from_file(WORDS)
+    rng = random.Random(21)
+    letters = ["a", "B", "é", "É", "İ", "Σ", "ß", "Ǆ", "K", "ﬁ", "日", "ل", "́", "̈", "1", "２", "Ⅷ", "'s", "'", "’", ".", "…", "!", "-", "_", "#", "​", "\xa0", " ", "\x1c", "\x85", "😀", "<|startoftext|>"]
+    texts = ["".join(rng.choice(letters[: rng.randint(2, len(letters))]) + rng.choice(["", "", " ", "\n"]) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
+    texts += ["", " ", "x" * 500 + ". y", "Don't. won't! ça, va?"]
+    texts = [t for t in texts for _ in range(2)]
+    texts[100:150] = [t.replace("<|startoftext|>", "") for t in texts[100:150]]
+    with open(WORDS, encoding="utf-8") as f:
+        encode = packing.word_encoder(f.read())
+    monkeypatch.setattr(packing, "REMEMBERED", 300)  # so that it forgets now and then
+    for i in range(0, len(texts), 50):
+        part = texts[i : i + 50]
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+        ids, counts = encode(pa.array(part))
+        assert counts.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [x for w in want for x in w]
