@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at a time; a longer text is worked on alone.
-TEXT_BYTES = 2_000_000
+TEXT_BYTES = 1_000_000
 #: Candidates that are tried at a time.
-CANDIDATES = 1_000_000
+CANDIDATES = 250_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -112,7 +112,7 @@ class Grammar:
         """The same levels read from the end: its extensions are those to the left."""
         if self._mirror is None:
             m = object.__new__(Grammar)
-            m.n, m._mirror = self.n, self
+            m.n, m._mirror = self.n, None  # no way back: a cycle would keep the levels until a collection
             m.sym = [s[::-1] for s in self.sym]
             m.up, m.down, m.rest = [], [], []
             for level, head in enumerate(self.down):
