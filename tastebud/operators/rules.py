@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..functions import present
+from ..session import cut_lineage
 from .topn import ranked_top_n
 
 
@@ -64,24 +65,74 @@ def association_rules(model: FPGrowthModel) -> DataFrame:
     )
 
 
-def contained_sets(sets: DataFrame, history: DataFrame, *, set_col: str = "ITEMS", max_size: int | None = 3) -> DataFrame:
-    """(user, set) for every set whose items all occur in the user's history.
+def set_paths(sets: DataFrame, owned: DataFrame, *, set_col: str, max_size: int | None) -> DataFrame:
+    """Every distinct set with its items from the rarest to the most frequent: set, ``_path``.
 
-    One containment join instead of enumerating each user's subsets: every
-    set is exploded to (set, item, size), joined with the distinct (user,
-    item) history on the item, and counted per (user, set); the set is
-    contained when the count equals its size.  The exploded sets are the
-    small side of the join (AQE broadcasts them when small, and splits hot
-    items otherwise); the per-(user, set) count combines map-side.
+    An item's frequency is the number of its rows in ``owned`` (distinct user,
+    item).  Sets that hold an item which nobody owns have no path, nor has the
+    empty set; an item that a set repeats counts once.
     """
     chosen = sets.select(set_col).distinct()
     if max_size is not None:
         chosen = chosen.filter(F.size(set_col) <= max_size)
-    members = chosen.select(set_col, F.size(set_col).alias("_size"), F.explode(set_col).alias(C.PRODUCT_CODE))
+    members = chosen.select(set_col, F.size(F.array_distinct(set_col)).alias("_size"), F.explode(F.array_distinct(set_col)).alias(C.PRODUCT_CODE))
+    often = owned.groupBy(C.PRODUCT_CODE).agg(F.count(F.lit(1)).alias("_users"))
+    ordered = members.join(often, C.PRODUCT_CODE).groupBy(set_col, "_size").agg(F.sort_array(F.collect_list(F.struct("_users", C.PRODUCT_CODE))).alias("_line"))
+    return ordered.filter(F.size("_line") == F.col("_size")).select(set_col, F.col("_line")[C.PRODUCT_CODE].alias("_path"))
+
+
+def containment_levels(paths: DataFrame, owned: DataFrame, *, set_col: str, depth: int) -> list[DataFrame]:
+    """The steps down the prefix tree of the sets' paths, one frame a level.
+
+    Level 0 holds (user, first item) for every user who owns an item that is
+    some set's rarest.  Level k takes each prefix of k items that a user owns
+    one item further: to all items that follow it in some path (those that the
+    user owns stay) and to the sets that end there.  A row has USER_ID and
+    ``_prefix``, the items owned so far, and is ``_open`` until a set is
+    complete; then it has the set.
+    """
+    kind, item = paths.schema[set_col].dataType, paths.schema["_path"].dataType.elementType
+    node = paths.select(F.slice("_path", 1, 1).alias("_prefix"), F.col("_path")[0].alias(C.PRODUCT_CODE)).distinct()
+    state = owned.join(node, C.PRODUCT_CODE).select(C.USER_ID, "_prefix", F.lit(True).alias("_open"), F.lit(None).cast(kind).alias(set_col))
+    levels = [state]
+    has = owned.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_next"), F.lit(True).alias("_has"))
+    for k in range(1, depth + 1):
+        at, shut = F.slice("_path", 1, k).alias("_prefix"), F.lit(True).alias("_open")
+        step = paths.filter(F.size("_path") == k).select(at, shut, F.lit(None).cast(item).alias("_next"), F.col(set_col).alias("_done"))
+        if k < depth:
+            further = paths.filter(F.size("_path") > k).select(at, shut, F.col("_path")[k].alias("_next")).distinct()
+            step = step.unionByName(further.withColumn("_done", F.lit(None).cast(kind)))
+        # complete sets pass both joins as they are, still spread by the prefix they came with
+        met = state.join(step, ["_prefix", "_open"], "left").filter(~F.col("_open") | F.col("_next").isNotNull() | F.col("_done").isNotNull())
+        if k < depth:
+            met = met.join(has, [C.USER_ID, "_next"], "left").filter(F.col("_next").isNull() | F.col("_has"))
+        state = met.select(
+            C.USER_ID,
+            F.when(F.col("_next").isNotNull(), F.concat("_prefix", F.array("_next"))).otherwise(F.col("_prefix")).alias("_prefix"),
+            F.col("_next").isNotNull().alias("_open"),
+            F.coalesce(set_col, "_done").alias(set_col),
+        )
+        levels.append(state)
+    return levels
+
+
+def contained_sets(sets: DataFrame, history: DataFrame, *, set_col: str = "ITEMS", max_size: int | None = 3) -> DataFrame:
+    """(user, set) for every set whose items all occur in the user's history.
+
+    Each set waits at its rarest item, and only that item's owners look at it;
+    they go on along the set's items, from rare to frequent, as long as they
+    own the next one, and sets with equal beginnings are followed once.  So an
+    item that most users own meets only those who own the rarer items before
+    it, and no user's items are collected.  Joins on prefixes meet the sets
+    (AQE broadcasts them when small); joins on (user, item) spread a hot item's
+    owners.  Tasks: one pass over the history a level, at most the largest
+    set's items.
+    """
     # the empty item is none: a set that holds it is contained by nobody
     owned = history.select(C.USER_ID, C.PRODUCT_CODE).filter(present(C.PRODUCT_CODE)).distinct()
-    hits = owned.join(members, C.PRODUCT_CODE).groupBy(C.USER_ID, set_col, "_size").agg(F.count(F.lit(1)).alias("_n"))
-    return hits.filter(F.col("_n") == F.col("_size")).select(C.USER_ID, set_col)
+    paths = cut_lineage(set_paths(sets, owned, set_col=set_col, max_size=max_size), "paths")
+    depth = paths.agg(F.max(F.size("_path"))).first()[0] or 0
+    return containment_levels(paths, owned, set_col=set_col, depth=depth)[-1].filter(F.col(set_col).isNotNull()).select(C.USER_ID, set_col)
 
 
 def rule_matches(rules: DataFrame, history: DataFrame, *, max_antecedent: int | None = 3) -> DataFrame:

@@ -1,15 +1,19 @@
+import random
 from itertools import combinations
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tastebud import columns as C
 from tastebud.operators.behavior import behavior_union, bucket_baskets, positive_preferences, user_baskets
 from tastebud.operators.rules import (
     association_rules,
     contained_sets,
+    containment_levels,
     fit_itemsets,
     frequent_itemsets,
     rule_recommendations,
+    set_paths,
 )
 
 
@@ -104,3 +108,44 @@ def test_behaviour_union_fills_items_from_resource_map(spark):
     rmap = spark.createDataFrame([("r1", "a"), ("r1", "c"), ("r2", "z")], "RES_ID string, PRODUCT_CODE string")
     # r1 fans out to a and c; u1/r2 keeps its own item b; u2/r9 has no item and is dropped
     assert rows(behavior_union([log], rmap)) == [("u1", "a"), ("u1", "b"), ("u1", "c")]
+
+
+def _contained_brute(sets, history):
+    owned = {}
+    for u, i in history:
+        if i:
+            owned.setdefault(u, set()).add(i)
+    return {(u, tuple(x)) for u, items in owned.items() for x in sets if x and set(x) <= items}
+
+
+def test_prefix_tree_matches_enumeration_for_sets_of_any_size(spark):
+    rng = random.Random(4)
+    for trial in range(3):
+        pool = [f"i{k}" for k in range(9)] + ["", None]
+        history = [(f"u{min(int(rng.expovariate(0.3)), 12)}", rng.choice(pool)) for _ in range(150)]
+        sets = [[rng.choice(pool[:-1]) for _ in range(rng.randint(0, 5))] for _ in range(60)] + [["i1", "i1"], ["none"], ["i0", None]]
+        h = spark.createDataFrame(history, "USER_ID string, PRODUCT_CODE string")
+        s = spark.createDataFrame([(x,) for x in sets * 2], "ITEMS array<string>")
+        found = contained_sets(s, h, max_size=None).collect()
+        got = {(r[C.USER_ID], tuple(r["ITEMS"])) for r in found}
+        assert len(found) == len(got)
+        assert got == _contained_brute([x for x in sets if None not in x], history)
+    empty = s.limit(0)
+    assert contained_sets(empty, h).count() == 0 and contained_sets(s, h.limit(0)).count() == 0
+
+
+def test_a_hot_item_meets_only_owners_of_the_rarer_ones(spark):
+    """Every set holds the item that all users own; each other item has a few owners."""
+    history = [(u, 0) for u in range(2000)] + [(u, 1 + u % 200) for u in range(2000)]
+    sets = [[0, k] for k in range(1, 201)] + [[0, k, k + 1] for k in range(1, 200)]
+    h = spark.createDataFrame(history, "USER_ID int, PRODUCT_CODE int")
+    s = spark.createDataFrame([(x,) for x in sets], "ITEMS array<int>")
+    members = s.select("ITEMS", F.explode("ITEMS").alias(C.PRODUCT_CODE))
+    before = h.join(members, C.PRODUCT_CODE).count()  # each member of each set meets its owners
+    paths = set_paths(s, h, set_col="ITEMS", max_size=3)
+    assert paths.filter(F.col("_path")[F.size("_path") - 1] == 0).count() == len(sets)  # the hot item comes last
+    levels = containment_levels(paths, h, set_col="ITEMS", depth=3)
+    after = sum(x.count() for x in levels)
+    assert (before, after) == (803_980, 8_000)
+    got = {(r[C.USER_ID], tuple(r["ITEMS"])) for r in contained_sets(s, h).collect()}
+    assert got == {(u, (0, 1 + u % 200)) for u in range(2000)}
