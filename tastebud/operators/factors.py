@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from .evaluate import rating_rmse
+from .retrieval import pairs_above, top_pairs
 from .topn import ranked_top_n
 
 USER_IDX = "u"
@@ -67,51 +68,36 @@ def als_predictions(model: ALSModel, pairs: DataFrame, *, min_score: float | Non
     return scored
 
 
-def _tier_bounds(max_rated: int, first: int = 16, growth: int = 4) -> list[int]:
-    bounds = [first]
-    while bounds[-1] < max_rated:
-        bounds.append(bounds[-1] * growth)
-    return bounds
-
-
-def als_candidates(model: ALSModel, ratings: DataFrame, *, top_n: int, first_tier: int = 16) -> DataFrame:
-    """Exact top-N candidate retrieval of unrated items, without a users x items product.
-
-    A user who rated n items has its N best unrated items among its N + n
-    best items overall.  Users are grouped into geometric tiers of n
-    (<= 16, <= 64, <= 256, ...); each tier is served by one blocked
-    ``recommendForUserSubset(N + tier bound)``, so a user receives fewer than
-    4 n + N + 16 candidates and a heavy user costs only its own tier.  Rated
-    items are then removed with an anti join and the rest is cut to exactly the
-    N best per user (prediction desc, item index asc), so the tiers' bounds
-    decide the cost and not the result.  Only the per-tier user counts (a
-    handful of rows) reach the driver.  The retrieval itself is the library's
-    blocked product of user and item factors: |users| x |items| x rank
-    operations, of which each user keeps the bounded list above.
-    -> u, i, prediction, RANK (unrated only).
+def _as_float(x: F.Column) -> F.Column:
+    """Predictions as the model gives them: single precision."""
+    return x.cast("float").cast("double")
+
+
+def _factor_tables(model: ALSModel) -> tuple[DataFrame, DataFrame]:
+    return model.userFactors.withColumnRenamed("id", USER_IDX), model.itemFactors.withColumnRenamed("id", ITEM_IDX)
+
+
+def als_candidates(model: ALSModel, ratings: DataFrame, *, top_n: int) -> DataFrame:
+    """Exact top-N retrieval of unrated items, without a users x items product.
+
+    ``retrieval.top_pairs`` on the model's factors: a user meets the blocks of
+    items whose norm and box allow a score as high as the N-th best known.
+    -> u, i, prediction, RANK (unrated only; prediction desc, item index asc).
     """
-    rated = ratings.groupBy(USER_IDX).agg(F.count(F.lit(1)).alias("_n"))
-    max_rated = rated.agg(F.max("_n")).first()[0]
-    if max_rated is None:
-        return ratings.sparkSession.createDataFrame([], f"{USER_IDX} int, {ITEM_IDX} int, {C.PREDICTION} double, {C.RANK} int")
-    bounds = _tier_bounds(int(max_rated), first=first_tier)
-    tier = F.lit(len(bounds) - 1)
-    for k in reversed(range(len(bounds))):
-        tier = F.when(F.col("_n") <= bounds[k], F.lit(k)).otherwise(tier)
-    tiered = rated.withColumn("_tier", tier)
-    present = [r["_tier"] for r in tiered.groupBy("_tier").count().collect()]
-    parts = [
-        model.recommendForUserSubset(tiered.filter(F.col("_tier") == k).select(USER_IDX), top_n + bounds[k])
-        for k in sorted(present)
-    ]
-    recs = parts[0]
-    for p in parts[1:]:
-        recs = recs.unionByName(p)
-    flat = recs.select(USER_IDX, F.explode("recommendations").alias("_r")).select(
-        USER_IDX, F.col(f"_r.{ITEM_IDX}").alias(ITEM_IDX), F.col("_r.rating").cast("double").alias(C.PREDICTION)
-    )
-    unrated = flat.join(ratings.select(USER_IDX, ITEM_IDX), [USER_IDX, ITEM_IDX], "left_anti")
-    return ranked_top_n(unrated, by=USER_IDX, score=C.PREDICTION, tie=ITEM_IDX, n=top_n)
+    users, items = _factor_tables(model)
+    found = top_pairs(users, items, ratings.select(USER_IDX, ITEM_IDX), top_n, rounding=_as_float)
+    return found.withColumns({USER_IDX: F.col(USER_IDX).cast("int"), ITEM_IDX: F.col(ITEM_IDX).cast("int")})
+
+
+def als_predictions_above(model: ALSModel, ratings: DataFrame, *, min_score: float) -> DataFrame:
+    """Every unrated (u, i) that the model predicts above ``min_score``: u, i, prediction.
+
+    The rows are the answer; pairs below the score are passed over by block
+    bounds where these allow it, and never become rows.
+    """
+    users, items = _factor_tables(model)
+    found = pairs_above(users, items, ratings.select(USER_IDX, ITEM_IDX), min_score, rounding=_as_float)
+    return found.withColumns({USER_IDX: F.col(USER_IDX).cast("int"), ITEM_IDX: F.col(ITEM_IDX).cast("int")})
 
 
 def als_recommendations(

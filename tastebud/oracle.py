@@ -513,3 +513,27 @@ stats AS (
     ("NUM_POSSIBLE_ITEMS", _txt("n_reco_items")),
     ("COVERAGE", _ratio("n_reco_items", "n_items")),
 ])
+
+PROFILE_FACTORS = with_(
+    PURCHASE_RATINGS,
+    """
+rated_classes AS (
+  SELECT r.USER_ID AS u, r.PRODUCT_CODE AS i, r.SCORE AS s, CAST(p.p_size % 5 + 1 AS INTEGER) AS m
+  FROM purchase_ratings r JOIN part p ON p.p_partkey = r.PRODUCT_CODE
+),
+uf AS (
+  SELECT u, """
+    + ", ".join(f"COALESCE(ROUND(AVG(s) FILTER (m = {k}), 6), 0) AS f{k}" for k in range(1, 6))
+    + """ FROM rated_classes GROUP BY u
+),
+mf AS (SELECT i, m, ROUND(AVG(s) / 5, 6) AS r FROM rated_classes GROUP BY i, m),
+itf AS (
+  SELECT i, """
+    + ", ".join(f"CASE WHEN m = {k} THEN r ELSE ROUND(r / 4, 6) END AS g{k}" for k in range(1, 6))
+    + """ FROM mf
+),
+scored AS (
+  SELECT uf.u, itf.i, ROUND(f1 * g1 + f2 * g2 + f3 * g3 + f4 * g4 + f5 * g5, 9) AS prediction FROM uf, itf
+  WHERE NOT EXISTS (SELECT 1 FROM rated_classes r WHERE r.u = uf.u AND r.i = itf.i)
+)""",
+)

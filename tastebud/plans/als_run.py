@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..operators.evaluate import metrics_table, number_text, one_row, ratio_text
-from ..operators.factors import ITEM_IDX, USER_IDX, als_cross_validation, als_factors, als_fit, als_predictions, als_recommendations
+from ..operators.factors import ITEM_IDX, USER_IDX, als_cross_validation, als_factors, als_fit, als_predictions, als_predictions_above, als_recommendations
 from ..operators.ratings import id_index
 from ..session import cut_lineage
 from .params import AlsParams
@@ -21,13 +21,14 @@ def index_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return users, items, cut_lineage(indexed)
 
 
-def run_als(ratings: DataFrame, params: AlsParams = AlsParams(), *, folds: int | None = None) -> dict[str, DataFrame]:
+def run_als(ratings: DataFrame, params: AlsParams = AlsParams(), *, folds: int | None = None, all_predictions: bool = False) -> dict[str, DataFrame]:
     """Products: User-factors, Product-factors, Rating-predictions, User-recommendations, metrics.
 
     With ``folds`` also cvResult (fold, train_rmse, test_rmse) of that many fits.
 
     Rating-predictions holds the ``top_n`` best unrated items of each user that
-    score above ``min_score`` (not the full users x items product).
+    score above ``min_score``, or with ``all_predictions`` every unrated pair
+    above it.
     """
     users, items, indexed = index_ratings(ratings)
     model = als_fit(
@@ -35,6 +36,9 @@ def run_als(ratings: DataFrame, params: AlsParams = AlsParams(), *, folds: int |
     )
     user_factors, item_factors = als_factors(model, users, items)
     predictions, top = als_recommendations(model, indexed, users, items, top_n=params.top_n, min_score=params.min_score)
+    if all_predictions:
+        every = als_predictions_above(model, indexed, min_score=params.min_score)
+        predictions = every.join(users, USER_IDX).join(items, ITEM_IDX).select(C.USER_ID, C.PRODUCT_CODE, C.PREDICTION)
     fitted = als_predictions(model, indexed)
     stats = one_row(
         counts={

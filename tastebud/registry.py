@@ -31,6 +31,7 @@ from .operators.evaluate import rating_rmse
 from .operators.factors import als_candidates, als_cross_validation, als_fit
 from .operators.ratings import dense_index, preference_scores, user_vectors
 from .operators.segments import segment_item_scores
+from .operators.retrieval import pairs_above, top_pairs
 from .plans.als_run import index_ratings, run_als
 from .plans.compare_run import run_compare
 from .plans.params import AlsParams, CosineParams, RulesParams, SegmentParams
@@ -521,6 +522,39 @@ def q_als_candidates(spark: SparkSession, d: str) -> DataFrame:
     return cand.join(users, "u").join(items, "i").select(C.USER_ID, C.PRODUCT_CODE, C.PREDICTION)
 
 
+@register("als_all_predictions")
+def q_als_all_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Every unrated (user, item) that the ALS run predicts above the least score."""
+    return run_als(_event_ratings(spark, d), ALS_PARAMS, all_predictions=True)["Rating-predictions"]
+
+
+def _profile_factors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Given factors on the purchase ratings: a customer's mean rating of the parts of each size class (0: none) and a part's mean rating, whole for its class and a quarter for the others."""
+    ratings = purchase_ratings(spark, d)
+    classes = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias(C.PRODUCT_CODE), (F.col("p_size") % 5 + 1).cast("int").alias("m"))
+    rated = ratings.join(classes, C.PRODUCT_CODE)
+    mean = lambda k: F.coalesce(F.round(F.avg(F.when(F.col("m") == k, F.col(C.SCORE))), 6), F.lit(0.0))
+    users = rated.groupBy(F.col(C.USER_ID).alias("u")).agg(F.array(*[mean(k) for k in range(1, 6)]).alias("features"))
+    means = rated.groupBy(F.col(C.PRODUCT_CODE).alias("i"), "m").agg(F.round(F.avg(C.SCORE) / 5, 6).alias("r"))
+    items = means.select("i", F.array(*[F.when(F.col("m") == k, F.col("r")).otherwise(F.round(F.col("r") / 4, 6)) for k in range(1, 6)]).alias("features"))
+    return users, items, ratings.select(F.col(C.USER_ID).alias("u"), F.col(C.PRODUCT_CODE).alias("i"))
+
+
+@register("factor_pairs_above", SQL.PROFILE_FACTORS + " SELECT u, i, prediction FROM scored WHERE prediction > 5.5")
+def q_factor_pairs_above(spark: SparkSession, d: str) -> DataFrame:
+    """All unrated (customer, part) pairs whose factors' product is above 5.5."""
+    return pairs_above(*_profile_factors(spark, d), 5.5)
+
+
+@register(
+    "factor_top_n",
+    SQL.PROFILE_FACTORS + " SELECT u, i, prediction, CAST(rn AS INTEGER) AS RANK FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY prediction DESC, i) AS rn FROM scored) WHERE rn <= 10",
+)
+def q_factor_top_n(spark: SparkSession, d: str) -> DataFrame:
+    """Every customer's ten unrated parts of greatest product of factors."""
+    return top_pairs(*_profile_factors(spark, d), 10)
+
+
 @register("als_run")
 def q_als_run(spark: SparkSession, d: str) -> DataFrame:
     return run_als(_event_ratings(spark, d), ALS_PARAMS)["Recommendation-metrics"]

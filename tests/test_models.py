@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tastebud import columns as C
 from tastebud.operators.evaluate import catalog_coverage, metrics_table, one_row, precision_recall
-from tastebud.operators.factors import als_candidates, als_cross_validation, als_fit
+from tastebud.operators import retrieval
+from tastebud.operators.factors import als_candidates, als_cross_validation, als_fit, als_predictions, als_predictions_above
 from tastebud.operators.ratings import avg_ratings, dense_index, preference_scores, user_vectors
 from tastebud.operators.segments import segment_item_scores, segment_recommendations, segment_topn
 from tastebud.operators.topn import ranked_top_n
@@ -87,7 +88,7 @@ def _als_ratings(spark):
     return spark.createDataFrame(data, "u int, i int, SCORE double")
 
 
-def test_als_candidates_are_exact_top_n(spark):
+def test_als_candidates_are_exact_top_n(spark, monkeypatch):
     ratings = _als_ratings(spark)
     model = als_fit(ratings, rank=4, reg=0.1, max_iter=5, blocks=2, seed=7)
     uf = {r["id"]: np.array(r["features"]) for r in model.userFactors.collect()}
@@ -96,8 +97,10 @@ def test_als_candidates_are_exact_top_n(spark):
     for r in ratings.collect():
         rated.setdefault(r["u"], set()).add(r["i"])
     top_n = 3
-    for first in (2, 1000):  # 2 spreads users over several tiers
-        cand = als_candidates(model, ratings, top_n=top_n, first_tier=first)
+    for first in (2, 1000):  # 2 spreads users and items over several blocks
+        monkeypatch.setattr(retrieval, "USER_ROWS", first)
+        monkeypatch.setattr(retrieval, "ITEM_ROWS", first)
+        cand = als_candidates(model, ratings, top_n=top_n)
         got = {}
         for r in cand.collect():
             got.setdefault(r["u"], []).append((r[C.PREDICTION], r["i"]))
@@ -108,6 +111,16 @@ def test_als_candidates_are_exact_top_n(spark):
             assert mine == best
 
 
+def test_als_predictions_above_are_every_pair_above(spark):
+    ratings = _als_ratings(spark)
+    model = als_fit(ratings, rank=4, reg=0.1, max_iter=5, blocks=2, seed=7)
+    got = {(r["u"], r["i"]): r[C.PREDICTION] for r in als_predictions_above(model, ratings, min_score=2.5).collect()}
+    pairs = ratings.select("u").distinct().crossJoin(ratings.select("i").distinct()).join(ratings, ["u", "i"], "left_anti")
+    want = {(r["u"], r["i"]): r[C.PREDICTION] for r in als_predictions(model, pairs, min_score=2.5).collect()}
+    assert len(want) > 100 and set(got) == set(want)
+    assert all(math.isclose(got[k], want[k], rel_tol=1e-5) for k in want)
+
+
 def test_als_cross_validation_shape(spark):
     cv = als_cross_validation(_als_ratings(spark), folds=3, rank=3, reg=0.1, max_iter=3, blocks=2, seed=1).collect()
     assert [r["fold"] for r in cv] == [0, 1, 2]
