@@ -88,14 +88,44 @@ def seasonal_window_predicate(season: Season, *, ts: str = C.EVENT_TIME, year_ca
     return pred
 
 
-def seasonal_window(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME, year_cap: int | None = None) -> DataFrame:
-    """Seasonal window (D1).  A redundant upper bound on the raw time column
-    lets the scan skip row groups / partitions after the window."""
+#: The window is spelled out as time ranges for this many years; older rows go by their day of the year.
+RANGE_YEARS = 30
+
+
+def season_ranges(season: Season, *, year_cap: int | None = None, years: int = RANGE_YEARS) -> list[tuple[datetime, datetime]]:
+    """The seasonal window of the last ``years`` years up to the cap as time ranges [from, to), in order; ranges that touch are one."""
+    y, (s, n, e) = season.year, season.bounds()
+    cap = y if year_cap is None else year_cap
+    ranges: list[tuple[datetime, datetime]] = []
+    for year in range(cap - years + 1, cap + 1):
+        start, after = datetime(year, 1, 1), datetime(year + 1, 1, 1)
+        current = year == y and n < e  # nothing at or after day E of the current year
+        if s < e:
+            parts = [(_day_start(year, s), _day_start(year, e if current else e + 1))]
+        else:
+            parts = [(start, _day_start(year, e))] + ([] if current else [(_day_start(year, s + 1), after)])
+        for first, last in parts:
+            first, last = max(first, start), min(last, after)
+            if first < last:
+                if ranges and ranges[-1][1] == first:
+                    first = ranges.pop()[0]
+                ranges.append((first, last))
+    return ranges
+
+
+def seasonal_window(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME, year_cap: int | None = None, years: int = RANGE_YEARS) -> DataFrame:
+    """Seasonal window (D1): [S, E] of every year, as one plain time range a year.
+
+    The ranges reach the scan as predicates on the raw time column, so row
+    groups and files between the seasons are skipped.  Rows older than
+    ``years`` years, if any, are held against their day of the year.
+    """
     cap = season.year if year_cap is None else year_cap
-    upper = datetime(cap + 1, 1, 1)
-    if season.now < season.end and cap == season.year:
-        upper = datetime(season.year, 1, 1) + timedelta(days=season.end - 1)
-    return df.filter((F.col(ts) < _ntz(upper)) & seasonal_window_predicate(season, ts=ts, year_cap=year_cap))
+    floor = datetime(cap - years + 1, 1, 1)
+    inside = F.col(ts) < _ntz(floor)
+    for first, last in season_ranges(season, year_cap=year_cap, years=years):
+        inside = inside | _between(ts, first, last)
+    return df.filter(inside & ((F.col(ts) >= _ntz(floor)) | seasonal_window_predicate(season, ts=ts, year_cap=year_cap)))
 
 
 def seasonal_history(df: DataFrame, season: Season, *, ts: str = C.EVENT_TIME, half_open: bool = False) -> DataFrame:
