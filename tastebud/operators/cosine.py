@@ -10,12 +10,13 @@ ratings (USER_ID, PRODUCT_CODE, SCORE), one row per (user, item)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
 from .. import columns as C
 from ..functions import fixed
+from ..session import cut_lineage
 from .ratings import dense_index
 from .skew import salted_join
 from .topn import ranked_top_n
@@ -24,6 +25,8 @@ from .topn import ranked_top_n
 # with n ratings is cut into ceil(n / BLOCK_ROWS) blocks per side, so one
 # task never emits more than BLOCK_ROWS^2 pairs, whatever a hot user holds.
 BLOCK_ROWS = 2048
+# A user of more than this many times the mean number of ratings is heavy.
+HEAVY_TIMES = 4.0
 
 
 def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
@@ -43,41 +46,33 @@ def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
-def corated_pairs(
-    ratings: DataFrame,
-    *,
-    min_commons: int = 1,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Per unordered item pair (i < j): sums over the users who rated both.
+def _keyed(ratings: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Ratings with long item keys, and the table of keys (none where the ids are integers themselves)."""
+    if isinstance(ratings.schema[C.PRODUCT_CODE].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        # Integer ids already are fixed-width keys: no surrogate, no mapping back.
+        keyed, keys = ratings.withColumn("_k", F.col(C.PRODUCT_CODE).cast("long")), None
+    else:
+        keys = dense_index(ratings, C.PRODUCT_CODE, "_k")
+        keyed = ratings.join(keys, C.PRODUCT_CODE)
+    return keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE), keys
 
-    -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
-       j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
 
-    Integer item ids are used as they are; ids of other types are replaced by
-    their dense index for the pair stage and mapped back at the end.  A user of
-    n ratings has blocks = ceil(n / block_rows) and joins on (user, a, b): the
+def _pair_sums(dev: DataFrame) -> DataFrame:
+    """_i < _j with the sums over the users who hold both: cross, _isq, _jsq, n_commons.
+
+    A user of n ratings has blocks = ceil(n / block_rows) and joins on (user, a, b): the
     left copy of a rating sits in block a = hash(i) mod blocks and is repeated
     for every b, the right copy sits in block b = hash(j) mod blocks and is
     repeated for every a, so a user's pairs spread over blocks^2 joins of about
     block_rows^2 pairs each (one join for an ordinary user).  Each pair is
-    emitted once and the four sums combine map-side before the shuffle on
-    (i, j); only pairs that reach ``min_commons`` are mapped back to item ids.
+    emitted once and the four sums combine map-side before the shuffle on (i, j).
     """
-    integral = isinstance(ratings.schema[C.PRODUCT_CODE].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    if integral:
-        # Integer ids already are fixed-width keys: no surrogate, no mapping back.
-        keyed, keys = ratings.withColumn("_k", F.col(C.PRODUCT_CODE).cast("long")), None
-    else:
-        keys = dense_index(ratings, C.PRODUCT_CODE, "_k")
-        keyed = ratings.join(keys, C.PRODUCT_CODE)
-    dev = _deviations(keyed.select(C.USER_ID, F.col("_k").alias(C.PRODUCT_CODE), C.SCORE), block_rows)
     home = F.pmod(F.xxhash64(C.PRODUCT_CODE), F.col("_blocks")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     # The pair emission multiplies rows after this shuffle, so its input size
     # says nothing about the work: an explicit partition count keeps AQE from
     # coalescing it into a few tasks.
-    parts = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(dev.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = [C.USER_ID, "_a", "_b"]
     left = dev.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_i"), F.col("_d").alias("_di"), home.alias("_a"), every.alias("_b")).repartition(parts, *key)
     right = dev.select(C.USER_ID, F.col(C.PRODUCT_CODE).alias("_j"), F.col("_d").alias("_dj"), every.alias("_a"), home.alias("_b")).repartition(parts, *key)
@@ -85,13 +80,17 @@ def corated_pairs(
     # i < j is part of the join condition, so rejected pairs are never built as rows.
     same = [F.col(c) == F.col(f"r{c}") for c in key]
     pairs = left.join(right, same[0] & same[1] & same[2] & (F.col("_i") < F.col("_j")))
-    sums = pairs.groupBy("_i", "_j").agg(
+    return pairs.groupBy("_i", "_j").agg(
         F.sum(F.col("_di") * F.col("_dj")).alias("cross"),
         F.sum(F.col("_di") * F.col("_di")).alias("_isq"),
         F.sum(F.col("_dj") * F.col("_dj")).alias("_jsq"),
         F.count(F.lit(1)).alias("n_commons"),
-    ).filter(F.col("n_commons") >= min_commons)
-    if integral:
+    )
+
+
+def _named_pairs(sums: DataFrame, keys: DataFrame | None, ratings: DataFrame) -> DataFrame:
+    """Item ids for keys, each pair with PRODUCT_CODE < j_PRODUCT_CODE."""
+    if keys is None:
         item_type = ratings.schema[C.PRODUCT_CODE].dataType
         return sums.select(
             F.col("_i").cast(item_type).alias(C.PRODUCT_CODE),
@@ -116,14 +115,123 @@ def corated_pairs(
     )
 
 
-def adjusted_cosine(ratings: DataFrame, *, min_commons: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def corated_pairs(
+    ratings: DataFrame,
+    *,
+    min_commons: int = 1,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Per unordered item pair (i < j): sums over the users who rated both.
+
+    -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
+       j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
+
+    Every co-rated pair is built (see ``_pair_sums``); ``similar_pairs`` builds
+    fewer.  Integer item ids are used as they are; ids of other types are
+    replaced by their dense index for the pair stage, and only pairs that reach
+    ``min_commons`` are mapped back.
+    """
+    keyed, keys = _keyed(ratings)
+    sums = _pair_sums(_deviations(keyed, block_rows)).filter(F.col("n_commons") >= min_commons)
+    return _named_pairs(sums, keys, ratings)
+
+
+def split_raters(keyed: DataFrame, *, heavy: float, min_commons: int, at_least: int, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The ratings of items with ``min_commons`` raters or more, parted in head and tail, and the items' spare squares; both written.
+
+    Users are ordered by the number of their ratings, then by id.  An item's
+    tail is its last raters in that order, ``min_commons - at_least`` at most
+    and only users of more than ``heavy`` ratings; the rest is its head.  The
+    ratings get the deviation ``_d`` and ``_head``.  An item's ``_spare`` bounds
+    what its tail, and as many others, add to its sum of squares.
+    """
+    k = min_commons - at_least
+    users = keyed.groupBy(C.USER_ID).agg(F.avg(C.SCORE).alias("_mean"), F.count(F.lit(1)).alias("_n"))
+    dev = cut_lineage(
+        salted_join(keyed, users, [C.USER_ID], [C.PRODUCT_CODE]).select(
+            C.USER_ID, C.PRODUCT_CODE, F.round(F.col(C.SCORE) - F.col("_mean"), 9).alias("_d"), "_n", F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias("_blocks")
+        ),
+        "deviations",
+    )
+    place = F.struct("_n", C.USER_ID)
+    order = Window.partitionBy(C.PRODUCT_CODE).orderBy(F.desc("_n"), F.desc(C.USER_ID))
+    last = dev.filter(F.col("_n") > heavy).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= k)
+    tails = last.groupBy(C.PRODUCT_CODE).agg(F.min(place).alias("_cut"), F.sum(F.col("_d") * F.col("_d")).alias("_tail"))
+    raters = dev.groupBy(C.PRODUCT_CODE).agg(F.count(F.lit(1)).alias("_raters"), F.max(F.col("_d") * F.col("_d")).alias("_most")).filter(F.col("_raters") >= min_commons)
+    spare = F.coalesce("_tail", F.lit(0.0)) + k * F.col("_most")
+    known = cut_lineage(raters.join(tails, C.PRODUCT_CODE, "left").select(C.PRODUCT_CODE, "_cut", spare.alias("_spare")), "item-tails")
+    parted = salted_join(dev, known, [C.PRODUCT_CODE], [C.USER_ID])
+    head = F.col("_cut").isNull() | (place < F.col("_cut"))
+    return cut_lineage(parted.select(C.USER_ID, C.PRODUCT_CODE, "_d", "_blocks", head.alias("_head")), "raters"), known.select(C.PRODUCT_CODE, "_spare")
+
+
+def similar_pairs(
+    ratings: DataFrame, *, min_commons: int, min_sim: float | None = None, at_least: int = 2, heavy_times: float = HEAVY_TIMES, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """The pairs of ``corated_pairs`` with ``min_commons`` common raters, fewer pairs built on the way.
+
+    Let i's head (see ``split_raters``) end before j's.  Common raters beyond
+    the end of i's head are in i's tail, ``min_commons - at_least`` at most; all
+    others are in both heads.  So a pair with enough common raters shares
+    ``at_least`` in the heads, and only heads meet: the most active raters of
+    an item, whose pairs are the most, build none with it.  Pairs that share
+    enough take the rest of their sums from the tails, a few rows each.
+
+    With ``min_sim`` (above 0) a pair is dropped before that when no rest can
+    lift it: with s and sums of squares I, J over the heads and at most A, B
+    more, Cauchy-Schwarz gives at most (s + t) / (1 + t), t = sqrt(AB / IJ).
+    Pairs below ``min_sim`` may still come out.
+
+    Only users of more than ``heavy_times`` the mean number of ratings go into
+    tails.  Where nobody has, all pairs are built at once: without heavy users
+    the parting costs more than the pairs it saves.
+    """
+    at_least = min(at_least, min_commons)
+    counts = ratings.groupBy(C.USER_ID).agg(F.count(F.lit(1)).alias("n")).agg(F.avg("n").alias("mean"), F.max("n").alias("most")).first()
+    if at_least == min_commons or counts.most is None or counts.most <= heavy_times * counts.mean:
+        return corated_pairs(ratings, min_commons=min_commons, block_rows=block_rows)
+    keyed, keys = _keyed(ratings)
+    parted, spare = split_raters(keyed, heavy=heavy_times * counts.mean, min_commons=min_commons, at_least=at_least, block_rows=block_rows)
+    near = _pair_sums(parted.filter("_head")).filter(F.col("n_commons") >= at_least)
+    if min_sim is not None and min_sim > 0:
+        near = near.join(spare.select(F.col(C.PRODUCT_CODE).alias("_i"), F.col("_spare").alias("_a")), "_i").join(
+            spare.select(F.col(C.PRODUCT_CODE).alias("_j"), F.col("_spare").alias("_b")), "_j"
+        )
+        squares = F.col("_isq") * F.col("_jsq")
+        t = F.sqrt(F.col("_a") * F.col("_b") / squares)
+        near = near.filter((squares == 0) | ((F.col("cross") / F.sqrt(squares) + t) / (1 + t) >= min_sim - 1e-9)).drop("_a", "_b")
+    near = cut_lineage(near, "near-pairs")
+    tail = parted.filter("not _head").select(F.col(C.PRODUCT_CODE).alias("_t"), C.USER_ID, F.col("_d").alias("_dt"))
+    pair = near.select("_i", "_j")
+    # a common rater in i's tail (wherever in j), or in j's tail and i's head
+    asked = pair.join(tail.withColumnRenamed("_t", "_i"), "_i").select("_i", "_j", C.USER_ID, "_dt", F.col("_j").alias(C.PRODUCT_CODE), F.lit(True).alias("_first"))
+    asked = asked.unionByName(pair.join(tail.withColumnRenamed("_t", "_j"), "_j").select("_i", "_j", C.USER_ID, "_dt", F.col("_i").alias(C.PRODUCT_CODE), F.lit(False).alias("_first")))
+    both = asked.join(parted.select(C.USER_ID, C.PRODUCT_CODE, "_d", "_head"), [C.USER_ID, C.PRODUCT_CODE]).filter(F.col("_first") | F.col("_head"))
+    own, other = F.col("_dt") * F.col("_dt"), F.col("_d") * F.col("_d")
+    rest = both.select(
+        "_i",
+        "_j",
+        (F.col("_dt") * F.col("_d")).alias("cross"),
+        F.when(F.col("_first"), own).otherwise(other).alias("_isq"),
+        F.when(F.col("_first"), other).otherwise(own).alias("_jsq"),
+        F.lit(1).cast("long").alias("n_commons"),
+    )
+    names = ["cross", "_isq", "_jsq", "n_commons"]
+    sums = near.select("_i", "_j", *names).unionByName(rest).groupBy("_i", "_j").agg(*[F.sum(c).alias(c) for c in names])
+    return _named_pairs(sums.filter(F.col("n_commons") >= min_commons), keys, ratings)
+
+
+def adjusted_cosine(ratings: DataFrame, *, min_commons: int = 5, min_sim: float | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Directed similarities (both i->j and j->i) for pairs with enough co-raters.
 
+    With ``min_sim`` above 0, pairs that cannot reach it may be left out early;
+    those that come out still have to be filtered (``top_similar_items``).
+
     sim = sum(di*dj) / (sqrt(sum di^2) * sqrt(sum dj^2)), 0 when either sum is
     0; rounded to 12 decimals, below anything a threshold or ranking should see.  Mirroring
     happens after aggregation and filtering, so only half the pairs shuffle.
     """
-    pairs = corated_pairs(ratings, min_commons=min_commons, block_rows=block_rows)
+    pairs = similar_pairs(ratings, min_commons=min_commons, min_sim=min_sim, block_rows=block_rows)
     denom = F.sqrt("i_sq") * F.sqrt("j_sq")
     sim = fixed(F.when((F.col("i_sq") * F.col("j_sq")) == 0, F.lit(0.0)).otherwise(F.col("cross") / denom), 12)
     both = F.array(

@@ -23,7 +23,7 @@ def similar_items(ratings: DataFrame, params: CosineParams, *, materialize: bool
     if materialize:
         ratings = cut_lineage(ratings)
     sims = top_similar_items(
-        adjusted_cosine(ratings, min_commons=params.min_commons), min_sim=params.min_sim, top_sim=params.top_sim
+        adjusted_cosine(ratings, min_commons=params.min_commons, min_sim=params.min_sim), min_sim=params.min_sim, top_sim=params.top_sim
     )
     if materialize:
         sims = cut_lineage(sims)

@@ -1,7 +1,9 @@
+import random
+
 from conftest import rows
 
 from tastebud import columns as C
-from tastebud.operators.cosine import adjusted_cosine, corated_pairs, cosine_recommendations, predict_ratings, top_similar_items
+from tastebud.operators.cosine import adjusted_cosine, corated_pairs, cosine_recommendations, predict_ratings, similar_pairs, split_raters, top_similar_items
 from tastebud.operators.evaluate import rating_rmse
 
 RATINGS = [
@@ -69,3 +71,40 @@ def test_top_similar_ranks_and_limits(spark):
     )
     got = rows(top_similar_items(sims, min_sim=0.7, top_sim=2))
     assert got == [("a", "b", 0.9), ("a", "c", 0.9)]
+
+
+def _skewed(rng, users, items, heavy):
+    """Most users rate a few items, the heavy ones nearly all."""
+    out = {(u, i): rng.randint(1, 5) for u in range(users) for i in rng.sample(range(items), rng.randint(1, 6))}
+    out |= {(1000 + u, i): rng.randint(1, 5) for u in range(heavy) for i in range(items) if rng.random() < 0.9}
+    return [(u, i, float(s)) for (u, i), s in out.items()]
+
+
+def test_pruned_pairs_equal_the_full_join(spark):
+    rng = random.Random(12)
+    for heavy, heavy_times in ((4, 4.0), (9, 1.0), (3, 0.0)):
+        data = _skewed(rng, 120, 25, heavy)
+        for kind, name in (("int", int), ("string", lambda i: f"p{i}")):
+            r = spark.createDataFrame([(u, name(i), s) for u, i, s in data], f"USER_ID int, PRODUCT_CODE {kind}, SCORE double")
+            for commons in (2, 5):
+                near = lambda df: {(x[0], x[1]): tuple(round(v, 9) for v in x[2:]) for x in df.collect()}
+                full = near(corated_pairs(r, min_commons=commons))
+                assert full and near(similar_pairs(r, min_commons=commons, heavy_times=heavy_times, block_rows=8)) == full
+            if kind == "int":
+                sims = {(a, b) for a, b, x in rows(adjusted_cosine(r, min_commons=5)) if x >= 0.4}
+                pruned = similar_pairs(r, min_commons=5, min_sim=0.4, heavy_times=heavy_times)
+                kept = {(x.PRODUCT_CODE, x.j_PRODUCT_CODE) for x in pruned.collect() if x.i_sq * x.j_sq > 0 and round(x.cross / (x.i_sq * x.j_sq) ** 0.5, 12) >= 0.4}
+                assert kept == {(a, b) for a, b in sims if a < b}
+
+
+def test_heavy_users_build_few_pairs(spark):
+    """Three users who rate all of 400 items, 600 who rate five: pairs built from heads against all pairs."""
+    rng = random.Random(5)
+    data = [(u, i, float(rng.randint(1, 5))) for u in range(600) for i in rng.sample(range(400), 5)]
+    data += [(1000 + u, i, float(rng.randint(1, 5))) for u in range(3) for i in range(400)]
+    r = spark.createDataFrame(data, "USER_ID int, PRODUCT_CODE long, SCORE double")
+    parted, _ = split_raters(r, heavy=20, min_commons=5, at_least=2)
+    built = lambda df: df.groupBy("USER_ID").count().selectExpr("sum(count * (count - 1) / 2) as n").first().n
+    assert built(r) == 245_400 and built(parted.filter("_head")) <= 6_000
+    nine = lambda df: [tuple(round(v, 9) for v in x) for x in rows(df)]
+    assert nine(similar_pairs(r, min_commons=5)) == nine(corated_pairs(r, min_commons=5))
