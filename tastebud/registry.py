@@ -38,8 +38,9 @@ from .plans.params import AlsParams, CosineParams, RulesParams, SegmentParams
 from .plans.rules_run import run_rules, time_window_parts
 from .plans.segments_run import run_clusters, run_given_segments
 from .session import cut_lineage, shared_path
-from .sinks import run_folder, write_product
-from .sources import latest_snapshot, read_results, scan_log
+from .sinks import run_folder, write_delimited, write_product
+from .sinks.publish import publish_run, read_published
+from .sources import latest_snapshot, read_newest, read_results, scan_log, write_snapshot
 from .sources import bindings as B
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,6 +336,41 @@ def q_latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return latest_snapshot(orders, snapshot_col="o_orderdate", as_of="1998-08-02 00:00:00")
 
 
+@register("latest_snapshot_folder", "SELECT c_custkey, c_name, c_mktsegment, DATE '2000-06-15' AS DAY, 5 AS HOUR FROM customer")
+def q_latest_snapshot_folder(spark: SparkSession, d: str) -> DataFrame:
+    """Three dumps of the customers; the newest one by a given hour is read, and only that."""
+    customers = B.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    root = shared_path(spark, "tastebud-snapshots", uuid.uuid4().hex)
+    write_snapshot(customers.filter("c_custkey % 2 = 0"), root, {"DAY": "2000-06-14", "HOUR": "23"})
+    write_snapshot(customers, root, {"DAY": "2000-06-15", "HOUR": "05"})
+    write_snapshot(customers.filter("c_custkey % 3 = 0"), root, {"DAY": "2000-06-15", "HOUR": "11"})
+    return read_newest(spark, root, ["DAY", "HOUR"], as_of=["2000-06-15", "10"])
+
+
+@register("published_recommendations", SQL.COSINE + " SELECT USER_ID, PRODUCT_CODE, RANK FROM cs_recs")
+def q_published_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    """The recommendations of the last committed run."""
+    products = run_cosine(purchase_ratings(spark, d), COSINE)
+    root = shared_path(spark, "tastebud-published", uuid.uuid4().hex)
+    names = ("User-recommendations", "Recommendation-metrics")
+    publish_run({n: products[n] for n in names}, root, model="CosSim", sub_type=None, op_time=COSINE.op_time)
+    return read_published(spark, root, "User-recommendations", model="CosSim", sub_type=None)
+
+
+@register(
+    "text_round_trip",
+    "SELECT doc_id, text, CAST(coalesce(len(string_split(text, ' ')), 0) AS BIGINT) AS n FROM documents",
+)
+def q_text_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts and the arrays of their parts through the '#' format and back; n counts the parts read."""
+    docs = B.table(spark, d, "documents").select("doc_id", "text", F.split("text", " ").alias("parts"))
+    path = shared_path(spark, "tastebud-text", uuid.uuid4().hex)
+    write_delimited(docs, path)
+    back = read_results(spark, path, ["doc_id", "text", "parts"], types={"doc_id": "bigint", "parts": "array<string>"})
+    whole = F.concat_ws(" ", "parts").eqNullSafe(F.coalesce("text", F.lit("")))
+    return back.select("doc_id", "text", F.when(whole, F.coalesce(F.size("parts"), F.lit(0))).otherwise(-1).cast("long").alias("n"))
+
+
 def _written_cosine_recs(spark: SparkSession, d: str) -> str:
     products = run_cosine(purchase_ratings(spark, d), COSINE)
     root = shared_path(spark, "tastebud-results", uuid.uuid4().hex)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,20 +27,50 @@ def run_folder(root: str, model: str, sub_type: str | None, op_time: str) -> str
     return os.path.join(*parts)
 
 
-def _flat(df: DataFrame) -> DataFrame:
-    """Text formats hold no arrays: join array columns with ','."""
+#: What stands for the characters that would part or quote fields, the escape's own first: fixed values of the text format.
+ESCAPES = (("%", "%25"), ("\\", "%5C"), ('"', "%22"), ("\n", "%0A"), ("\r", "%0D"))
+_EMPTY, _NULL, NO_ELEMENTS = "%00", "%FF", "%E0"
+
+
+def escaped(c: Column, sep: str, *, element: bool = False) -> Column:
+    """Text without the separator, quotes, backslashes and line ends, and never empty; in elements of an array also without ','."""
+    for plain, code in (*ESCAPES, (sep, f"%{ord(sep):02X}")) + (((",", "%2C"),) if element else ()):
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    c = F.when(c == "", F.lit(_EMPTY)).otherwise(c)
+    return F.coalesce(c, F.lit(_NULL)) if element else c
+
+
+def unescaped(c: Column, sep: str, *, element: bool = False) -> Column:
+    """The text again."""
+    out = c
+    for plain, code in reversed((*ESCAPES, (sep, f"%{ord(sep):02X}"), (",", "%2C"))):
+        out = F.replace(out, F.lit(code), F.lit(plain))
+    out = F.when(c == _EMPTY, F.lit("")).otherwise(out)
+    return F.when(c != _NULL, out) if element else out
+
+
+def _flat(df: DataFrame, sep: str) -> DataFrame:
+    """Text formats hold no arrays: their elements are joined with ','; what would part fields or elements is escaped."""
     cols = []
     for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.ArrayType):
-            cols.append(F.array_join(F.transform(F.col(f.name), lambda x: x.cast("string")), ",").alias(f.name))
-        else:
-            cols.append(F.col(f.name))
+            joined = F.array_join(F.transform(c, lambda x: escaped(x.cast("string"), sep, element=True)), ",")
+            c = F.when(F.size(c) == 0, F.lit(NO_ELEMENTS)).otherwise(joined)
+        elif isinstance(f.dataType, T.StringType):
+            c = escaped(c, sep)
+        cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
 def write_delimited(df: DataFrame, path: str, *, sep: str = "#") -> None:
-    """Header-less delimited text (the reference's default product format)."""
-    _flat(df).write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
+    """Header-less delimited text (the reference's default product format).
+
+    Every value is read back as it was (``sources.read_results``), blanks at
+    either end included; a null is an empty field.
+    """
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    _flat(df, sep).write.mode("overwrite").options(**keep).option("sep", sep).option("header", "false").csv(path)
 
 
 def write_text(df: DataFrame, path: str) -> None:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks import NO_ELEMENTS, unescaped
+
 
 def scan_log(
     spark: SparkSession,
@@ -88,9 +90,19 @@ def read_results(spark: SparkSession, path: str, names: Sequence[str], *, sep: s
     """Read back a header-less delimited product written by ``sinks.write_delimited``.
 
     Columns are positional, as in the written files; ``names`` labels them.
+    ``types`` may name arrays (``array<string>``): their elements come back
+    apart, whatever characters they hold.
     """
     types = types or {}
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = spark.read.schema(schema).option("sep", sep).option("header", "false").csv(path)
-    return df.select(*[F.col(n).cast(types[n]).alias(n) if n in types else F.col(n) for n in names])
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df = spark.read.schema(schema).options(**keep).option("sep", sep).option("header", "false").csv(path)
+
+    def value(n: str) -> Column:
+        kind = types.get(n, "string")
+        if not kind.startswith("array"):
+            return unescaped(F.col(n), sep).cast(kind).alias(n)
+        parts = F.when(F.col(n) == NO_ELEMENTS, F.array().cast("array<string>")).otherwise(F.split(n, ","))
+        return F.transform(parts, lambda x: unescaped(x, sep, element=True)).cast(kind).alias(n)
 
+    return df.select(*[value(n) for n in names])
