@@ -14,6 +14,11 @@ def row_key(*cols: str) -> Column:
     return F.concat_ws(":", F.hex(F.xxhash64(*values)), F.hex(F.xxhash64(F.lit("second"), *values)))
 
 
+def packed(df: DataFrame, key: Column) -> DataFrame:
+    """``row``, the whole row as a struct, and its ``key``: no name of the table meets a helper's."""
+    return df.select(F.struct("*").alias("row"), key.alias("key"))
+
+
 def without(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     """The rows of ``df`` whose ``key`` is not in ``keys`` (column ``key``); repeated rows stay repeated.
 
@@ -21,10 +26,10 @@ def without(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     they are, and only the others meet the exact anti join.
     """
     marks = keys.select(F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int").alias("_mark")).distinct()
-    own = df.withColumn("_key", key).withColumn("_mark", F.pmod(F.xxhash64("_key"), F.lit(MARKS)).cast("int"))
+    own = packed(df, key).withColumn("_mark", F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int"))
     clear = own.join(F.broadcast(marks), "_mark", "left_anti")
-    rest = own.join(F.broadcast(marks), "_mark", "left_semi").join(keys.select(F.col("key").alias("_key")), "_key", "left_anti")
-    return clear.select(df.columns).unionByName(rest.select(df.columns))
+    rest = own.join(F.broadcast(marks), "_mark", "left_semi").join(keys.select("key"), "key", "left_anti")
+    return clear.select("row.*").unionByName(rest.select("row.*"))
 
 
 def among(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
@@ -34,6 +39,13 @@ def among(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
     return own.join(F.broadcast(marks), "_mark", "left_semi").drop("_mark").join(keys, "key")
 
 
+def packed_among(df: DataFrame, keys: DataFrame, key: Column) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``keys`` (column ``key``, each once), packed as ``row``, with the columns of ``keys``."""
+    marks = keys.select(F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int").alias("_mark")).distinct()
+    own = packed(df, key).withColumn("_mark", F.pmod(F.xxhash64("key"), F.lit(MARKS)).cast("int"))
+    return own.join(F.broadcast(marks), "_mark", "left_semi").drop("_mark").join(keys, "key")
+
+
 def bounded_sample(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
     """At most ``n`` rows of each ``group``, those of the smallest hashes of ``key``; adds their rank ``r`` and the group's count ``n``.
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from tastebud.llm.components import components
 from tastebud.llm.jaccard import forest
 from tastebud.llm.scratch import written
+from tastebud.operators.skew import salted_join
 
 #: Vectors that centres and codewords are fitted on at most: the fit's documented bound.
 SAMPLE = 20_000
@@ -169,10 +170,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     )
     rows = rows.withColumn("fine", fine & F.col("id").isNotNull())
     rows = rows.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit("second"), "v")})
-    entries = written(
-        rows.filter("fine").groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"), F.first("v").alias("v")), "entries"
-    )
-    sample = entries.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toPandas()
+    # an entry is a vector, whichever ids hold it; its number stands for it until the end
+    alike = rows.filter("fine").groupBy("k1", "k2").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("weight"), F.first("v").alias("v"))
+    entries = written(alike.withColumn("id", F.monotonically_increasing_id()), "entries")
+    sample = entries.orderBy("k1", "k2").limit(SAMPLE).select("v").toPandas()
     whole = rows.select("id", "k1", "k2", "fine")
     if not len(sample):
         return whole.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.col("id").isNotNull().alias("kept"))
@@ -231,11 +232,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     out = written(entry_rows.unionByName(seek_rows).groupBy("list", "i", "j").applyInPandas(search, "id long, links long, up long"), "links")
     counts = out.groupBy("id").agg(F.sum("links").alias("links"))
     found = components(out.filter("id <> up").select(F.col("id").alias("a"), F.col("up").alias("b"))).select(F.col("node").alias("id"), "component")
-    of_entry = (
-        entries.select("k1", "k2", "id", "weight")
-        .join(counts, "id", "left")
-        .join(found, "id", "left")
-        .select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("component", "id").alias("c"), F.lit(True).alias("fine"))
+    known = written(
+        entries.select("k1", "k2", "id", "low", "weight").join(counts, "id", "left").join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "labelled"
+    )
+    # the smallest id of a component, where it has several entries
+    lowest = known.groupBy("component").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("entries")).filter("entries > 1").drop("entries")
+    of_entry = salted_join(known, lowest, ["component"], ["id"], how="left").select(
+        "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n"), F.coalesce("least", "low").alias("c"), F.lit(True).alias("fine")
     )
     return whole.join(of_entry, ["k1", "k2", "fine"], "left").select(
         F.col("id").alias(id_col),

@@ -290,3 +290,26 @@ def test_bounded_sample(spark):
     assert sorted(r.r for r in got.filter("g = 'few'").collect()) == list(range(1, 401))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, bounded_sample(rows, "g", "id", 400).collect()))
     assert bounded_sample(rows.limit(30), "g", "id", 400).count() == 30
+
+
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    rng = random.Random(37)
+    text = lambda n: " ".join(rng.choice(CLEAN) + rng.choice("abcdefgh") for _ in range(n))
+    names = ["key", "group", "each", "over", "_copy", "_mark", "best", "row", "_key", "n", "times"]
+    base = [(i, text(60), "en", f"s{i % 2}", 1) for i in range(8)]
+    base += [(20, base[0][1] + " x", "en", "s0", 1), (21, None, "en", "s1", 1), (22, text(3000), "en", "s1", 1), base[3]]
+    plain = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(1, base[1][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = [(*r, *[f"{c}{r[0]}" for c in names]) for r in base]
+    wide = spark.createDataFrame(more, plain + "".join(f", {c} string" for c in names))
+    own = {r[0]: r[5:] for r in more}
+    for stage in (cp.drop_near_duplicates, cp.drop_contaminated, cp.mix_sources):
+        want = sorted((tuple(r) for r in stage(spark, spark.createDataFrame(base, plain), str(tmp_path)).collect()), key=str)
+        out = stage(spark, wide, str(tmp_path))
+        assert out.columns == wide.columns
+        got = [tuple(r) for r in out.collect()]
+        assert sorted((r[:5] for r in got), key=str) == want and all(r[5:] == own[r[0]] for r in got)
+    placed = cp.shard(spark, wide, str(tmp_path)).collect()
+    assert len(placed) == len(base)

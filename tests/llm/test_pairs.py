@@ -216,3 +216,21 @@ def test_contamination_matches_brute_force(spark):
     none = contamination(docs, bench.limit(0))
     assert none.filter("contaminated").count() == 0 and none.count() == len(rows)
     assert contamination(docs.limit(0), bench).count() == 0
+
+
+def test_near_vectors_of_repeated_ids(spark):
+    """Rows of one id and different vectors are vectors of their own."""
+    rng = np.random.default_rng(8)
+    rows = [(5, [0, 1, 0]), (5, [0, 0.999, 0.01]), (5, [0, 0, 0.98]), (7, [0, 1, 0.02]), (9, [0, 0, 1]), (1, [1, 0, 0]), (3, [1, 0.01, 0]), (5, [0, 0, 0.98])]
+    base = rng.normal(size=(6, 3))
+    rows += [(int(rng.integers(20, 30)), (base[k % 6] + rng.normal(size=3) * 0.1).tolist()) for k in range(60)]
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    unit = [np.array(v) / np.linalg.norm(v) for _, v in rows]
+    links = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if unit[a] @ unit[b] >= 0.95]
+    root = reach(list(range(len(rows))), links)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[root.get(k, k)] = min(i, least.get(root.get(k, k), i))
+    want = [(i, sum(k in p for p in links), least[root.get(k, k)], i == least[root.get(k, k)]) for k, (i, _) in enumerate(rows)]
+    assert got == sorted(want)
