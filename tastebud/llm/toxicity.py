@@ -306,13 +306,19 @@ def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(score, f"doc_id {kind}, score double, predicted int")
 
 
+#: Rows whose texts a task takes out of a batch at a time.
+KEEP_ROWS = 500
+
+
 def keep_clean(docs: DataFrame, machine: Machine) -> DataFrame:
     """The rows of ``docs``, all columns, that score below ``THRESHOLD``."""
     state = docs.sparkSession.sparkContext.broadcast(vars(machine))
 
     def keep(batches):
         m = Machine(**state.value)
-        for b in batches:
-            yield b.filter(m.scores(b.column("text").to_pylist()) < THRESHOLD)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, KEEP_ROWS):
+                b = whole.slice(lo, KEEP_ROWS)
+                yield b.filter(m.scores(b.column("text").to_pylist()) < THRESHOLD)
 
     return docs.mapInArrow(keep, docs.schema)
