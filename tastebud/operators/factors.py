@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import columns as C
-from .evaluate import rating_rmse
+from ..functions import fixed
+from ..session import cut_lineage
+from .evaluate import squared_error
 from .retrieval import pairs_above, top_pairs
 from .topn import ranked_top_n
 
@@ -49,7 +56,7 @@ def als_fit(
     return als.fit(ratings.select(user_col, item_col, rating_col))
 
 
-def _factor_text() -> F.Column:
+def _factor_text() -> Column:
     return F.array_join(F.transform("features", lambda x: x.cast("string")), ",")
 
 
@@ -68,7 +75,7 @@ def als_predictions(model: ALSModel, pairs: DataFrame, *, min_score: float | Non
     return scored
 
 
-def _as_float(x: F.Column) -> F.Column:
+def _as_float(x: Column) -> Column:
     """Predictions as the model gives them: single precision."""
     return x.cast("float").cast("double")
 
@@ -116,20 +123,45 @@ def als_recommendations(
     return named, top
 
 
-def als_cross_validation(ratings: DataFrame, *, folds: int = 5, **als_params) -> DataFrame:
-    """k-fold validation: fold = hash(u, i) mod k; fit on the other folds, test on the fold.
+def fold_errors(scored: Sequence[DataFrame]) -> DataFrame:
+    """Errors of k-fold validation: fold, n_train, n_test, train_rmse, test_rmse.
+
+    ``scored[f]`` holds SCORE, the row's own ``fold`` and the prediction by the
+    model that did not see fold f.  One aggregate over all of them; an RMSE of
+    no rows is null.
+    """
+    rows = None
+    for f, df in enumerate(scored):
+        part = df.select(F.lit(f).alias("_f"), (F.col("fold") == f).alias("_test"), squared_error().alias("_e"))
+        rows = part if rows is None else rows.unionByName(part)
+    test = F.col("_test")
+    return rows.groupBy(F.col("_f").alias("fold")).agg(
+        F.count(F.when(~test, F.lit(1))).alias("n_train"),
+        F.count(F.when(test, F.lit(1))).alias("n_test"),
+        fixed(F.sqrt(F.avg(F.when(~test, F.col("_e")))), 9).alias("train_rmse"),
+        fixed(F.sqrt(F.avg(F.when(test, F.col("_e")))), 9).alias("test_rmse"),
+    )
+
+
+def als_cross_validation(ratings: DataFrame, *, folds: int = 5, fold: Column | None = None, parallel: int = 3, **als_params) -> DataFrame:
+    """k-fold validation: fit on the other folds, test on the fold.
 
-    -> fold, train_rmse, test_rmse.  The k fits run one after another, each
-    distributed; only the 2k RMSE scalars reach the driver.
+    ``fold`` numbers the rows from 0 (default: hash of u and i, mod k).  The
+    tagged ratings are written once, a folder per fold, so a fit reads the
+    other folds' files alone.  ``parallel`` fits run side by side, which fills
+    the tasks that the small half-steps of one fit leave idle; all errors are
+    one aggregate.  -> fold, n_train, n_test, train_rmse, test_rmse, by fold
+    (rows that a model cannot score, of users or items it has not seen, are
+    left out of its counts).
     """
     spark: SparkSession = ratings.sparkSession
-    tagged = ratings.withColumn("_fold", F.pmod(F.xxhash64(USER_IDX, ITEM_IDX), F.lit(folds)))
-    rows = []
-    for f in range(folds):
-        train = tagged.filter(F.col("_fold") != f).drop("_fold")
-        test = tagged.filter(F.col("_fold") == f).drop("_fold")
-        model = als_fit(train, **als_params)
-        tr = rating_rmse(als_predictions(model, train)).first()[0]
-        te = rating_rmse(als_predictions(model, test)).first()[0]
-        rows.append((f, tr, te))
-    return spark.createDataFrame(rows, "fold int, train_rmse double, test_rmse double")
+    number = F.pmod(F.xxhash64(USER_IDX, ITEM_IDX), F.lit(folds)) if fold is None else fold
+    tagged = cut_lineage(ratings.select(USER_IDX, ITEM_IDX, C.SCORE, number.cast("int").alias("fold")), "folds", by=("fold",))
+
+    def fit(f: int) -> ALSModel:
+        return als_fit(tagged.filter(F.col("fold") != f), **als_params)
+
+    tasks = [inheritable_thread_target(spark)(partial(fit, f)) for f in range(folds)]
+    with ThreadPool(min(parallel, folds)) as pool:
+        models = pool.map(lambda task: task(), tasks)
+    return fold_errors([als_predictions(m, tagged) for m in models]).orderBy("fold")

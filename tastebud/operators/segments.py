@@ -24,6 +24,57 @@ def cluster_users(vectors: DataFrame, *, k: int, max_iter: int = 10, seed: int =
     return model, model.transform(vectors).select("label", C.PREDICTION)
 
 
+def model_centres(model: KMeansModel, items: DataFrame, *, index: str = "i") -> DataFrame:
+    """The fitted centres as rows: prediction, PRODUCT_CODE, value (zeros left out).
+
+    ``items`` is PRODUCT_CODE with its vector position ``index``.  The model
+    holds its k centres on the driver; they go out as k rows.
+    """
+    packed = items.sparkSession.createDataFrame([(c, [float(x) for x in v]) for c, v in enumerate(model.clusterCenters())], "prediction int, v array<double>")
+    cells = packed.select(C.PREDICTION, F.posexplode("v").alias("_at", "value")).filter("value <> 0")
+    return cells.join(items.select(C.PRODUCT_CODE, F.col(index).alias("_at")), "_at").select(C.PREDICTION, C.PRODUCT_CODE, "value")
+
+
+def mean_centres(scores: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Centre of each segment, the mean of its members' vectors: prediction, PRODUCT_CODE, value.
+
+    Members without a score have a zero vector and count too.
+    """
+    sizes = assignments.groupBy(C.PREDICTION).agg(F.count(F.lit(1)).alias("_n"))
+    sums = segment_item_scores(scores, assignments)
+    return salted_join(sums, sizes, [C.PREDICTION], [C.PRODUCT_CODE]).select(
+        C.PREDICTION, C.PRODUCT_CODE, fixed(F.col(C.SCORE_SUM) / F.col("_n"), 9).alias("value")
+    )
+
+
+def assign_to_centres(scores: DataFrame, centres: DataFrame, *, k: int) -> DataFrame:
+    """Nearest of ``k`` given centres for every user of ``scores``: USER_ID, prediction, distance.
+
+    ``distance`` is squared, |u|^2 + |c|^2 - 2 u.c, of which only the products
+    need rows: a score meets its item's values in all centres (one row an item,
+    repeated per part, so a hot item is spread), and a user's k sums combine
+    map-side.  A centre that shares no item with a user is |u|^2 + |c|^2 away;
+    an item in no centre adds to |u|^2 alone.  Ties go to the smallest number;
+    null scores count as 0.  The k norms are all that the driver sees.
+    """
+    norms = dict.fromkeys(range(k), 0.0)
+    for r in centres.groupBy(C.PREDICTION).agg(F.sum(F.col("value") * F.col("value")).alias("n")).collect():
+        norms[r[C.PREDICTION]] = r["n"]
+    value = lambda c: F.coalesce(F.sum(F.when(F.col(C.PREDICTION) == c, F.col("value"))), F.lit(0.0))
+    by_item = centres.groupBy(C.PRODUCT_CODE).agg(F.array(*[value(c) for c in range(k)]).alias("_values"))
+    rows = scores.select(C.USER_ID, C.PRODUCT_CODE, F.coalesce(F.col(C.SCORE), F.lit(0.0)).alias("_s"))
+    met = salted_join(rows, by_item, [C.PRODUCT_CODE], [C.USER_ID], "left")
+    product = lambda c: F.sum(F.col("_s") * F.coalesce(F.get("_values", F.lit(c)), F.lit(0.0)))
+    sums = met.groupBy(C.USER_ID).agg(F.sum(F.col("_s") * F.col("_s")).alias("_u"), *[product(c).alias(f"_d{c}") for c in range(k)])
+    away = [F.struct(F.greatest(F.lit(0.0), fixed(F.col("_u") + norms[c] - 2 * F.col(f"_d{c}"), 9)).alias("distance"), F.lit(c).alias(C.PREDICTION)) for c in range(k)]
+    return sums.select(C.USER_ID, F.array_min(F.array(*away)).alias("_best")).select(C.USER_ID, f"_best.{C.PREDICTION}", "_best.distance")
+
+
+def within_cluster_sums(assigned: DataFrame) -> DataFrame:
+    """Per centre: prediction, n_members, within (sum of squared distances); their total is the WSSSE."""
+    return assigned.groupBy(C.PREDICTION).agg(F.count(F.lit(1)).alias("n_members"), fixed(F.sum("distance"), 6).alias("within"))
+
+
 def segment_item_scores(scores: DataFrame, assignments: DataFrame, *, segment: str = C.PREDICTION) -> DataFrame:
     """Sum of member scores per (segment, item) -> segment, PRODUCT_CODE, score_sum.
 

@@ -445,6 +445,29 @@ pref AS (
   FROM centered c FULL OUTER JOIN implicit i ON c.USER_ID = i.USER_ID AND c.PRODUCT_CODE = i.PRODUCT_CODE
 )"""
 
+# five centres: mean preferences of the users of one remainder of the id
+GIVEN_CENTRES = PREFERENCE + """,
+members AS (SELECT USER_ID, CAST(USER_ID % 5 AS INTEGER) AS g FROM (SELECT DISTINCT USER_ID FROM pref)),
+sizes AS (SELECT g, COUNT(*) AS n FROM members GROUP BY g),
+centres AS (
+  SELECT s.g, p.PRODUCT_CODE, ROUND(ROUND(SUM(p.SCORE), 12) / s.n, 9) AS v
+  FROM pref p JOIN members m ON m.USER_ID = p.USER_ID JOIN sizes s ON s.g = m.g GROUP BY s.g, s.n, p.PRODUCT_CODE
+),
+away AS (
+  SELECT u.USER_ID, c.g,
+         GREATEST(0, ROUND(u.n + c.n - 2 * COALESCE(d.x, 0), 9)) AS distance
+  FROM (SELECT USER_ID, SUM(SCORE * SCORE) AS n FROM pref GROUP BY 1) u
+  CROSS JOIN (SELECT g, SUM(v * v) AS n FROM centres GROUP BY 1) c
+  LEFT JOIN (
+    SELECT p.USER_ID, k.g, SUM(p.SCORE * k.v) AS x FROM pref p JOIN centres k ON k.PRODUCT_CODE = p.PRODUCT_CODE GROUP BY 1, 2
+  ) d ON d.USER_ID = u.USER_ID AND d.g = c.g
+),
+nearest AS (
+  SELECT USER_ID, g AS prediction, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY USER_ID ORDER BY distance, g) AS rn FROM away
+  ) WHERE rn = 1
+)"""
+
 LOOKUP_USER = "Customer#000000124"
 
 PEOPLE = f"""
@@ -537,3 +560,19 @@ scored AS (
   WHERE NOT EXISTS (SELECT 1 FROM rated_classes r WHERE r.u = uf.u AND r.i = itf.i)
 )""",
 )
+
+FOLD_ERRORS = (
+    PROFILE_FACTORS
+    + """,
+rated AS (
+  SELECT (r.u * 31 + r.i) % 5 AS row_fold, r.s,
+         ROUND(f1 * g1 + f2 * g2 + f3 * g3 + f4 * g4 + f5 * g5, 9) AS p
+  FROM rated_classes r JOIN uf ON uf.u = r.u JOIN itf ON itf.i = r.i
+)
+SELECT CAST(f AS INTEGER) AS fold,
+       COUNT(*) FILTER (row_fold <> f) AS n_train,
+       COUNT(*) FILTER (row_fold = f) AS n_test,
+       ROUND(SQRT(AVG((p - s) * (p - s)) FILTER (row_fold <> f)), 6) AS train_rmse,
+       ROUND(SQRT(AVG((p - s) * (p - s)) FILTER (row_fold = f)), 6) AS test_rmse
+FROM rated, range(5) t(f) GROUP BY f"""
+)

@@ -28,9 +28,9 @@ from .functions import fixed, time_to_epoch_ms
 from .operators.cleansing import cast_columns, column_profile, fill_item_from_resource
 from .operators.compare import attach_names, find_user, model_history
 from .operators.evaluate import rating_rmse
-from .operators.factors import als_candidates, als_cross_validation, als_fit
+from .operators.factors import als_candidates, als_cross_validation, als_fit, fold_errors
 from .operators.ratings import dense_index, preference_scores, user_vectors
-from .operators.segments import segment_item_scores
+from .operators.segments import assign_to_centres, mean_centres, segment_item_scores, within_cluster_sums
 from .operators.retrieval import pairs_above, top_pairs
 from .plans.als_run import index_ratings, run_als
 from .plans.compare_run import run_compare
@@ -526,6 +526,27 @@ def q_cluster_run(spark: SparkSession, d: str) -> DataFrame:
     return run_clusters(_event_preferences(spark, d), SEGMENT)["Recommendation-metrics"]
 
 
+def _assigned_to_given(spark: SparkSession, d: str) -> DataFrame:
+    """Event users at the nearest of five given centres: the mean preferences of users of one remainder of the id."""
+    scores = cut_lineage(_event_preferences(spark, d))
+    groups = scores.select(C.USER_ID).distinct().withColumn(C.PREDICTION, F.pmod(C.USER_ID, F.lit(5)).cast("int"))
+    return assign_to_centres(scores, cut_lineage(mean_centres(scores, groups)), k=5)
+
+
+@register("centre_assignments", SQL.GIVEN_CENTRES + " SELECT USER_ID, prediction, distance FROM nearest")
+def q_centre_assignments(spark: SparkSession, d: str) -> DataFrame:
+    return _assigned_to_given(spark, d)
+
+
+@register(
+    "centre_wssse",
+    SQL.GIVEN_CENTRES + " SELECT prediction, COUNT(*) AS n_members, ROUND(SUM(distance), 6) AS within FROM nearest GROUP BY 1",
+)
+def q_centre_wssse(spark: SparkSession, d: str) -> DataFrame:
+    """Members and summed squared distances of every given centre."""
+    return within_cluster_sums(_assigned_to_given(spark, d))
+
+
 # ---------------------------------------------------------------------- ALS
 
 
@@ -591,6 +612,21 @@ def q_factor_top_n(spark: SparkSession, d: str) -> DataFrame:
     return top_pairs(*_profile_factors(spark, d), 10)
 
 
+@register("fold_rating_errors", SQL.FOLD_ERRORS)
+def q_fold_rating_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Sizes and errors of five folds of the purchase ratings, predicted by the given factors.
+
+    To six decimals: the engines round ties of the factors' sixth decimal apart.
+    """
+    users, items, _ = _profile_factors(spark, d)
+    ratings = purchase_ratings(spark, d).withColumnsRenamed({C.USER_ID: "u", C.PRODUCT_CODE: "i"})
+    known = ratings.join(users.withColumnRenamed("features", "fu"), "u").join(items.withColumnRenamed("features", "fi"), "i")
+    product = F.aggregate(F.zip_with("fu", "fi", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
+    scored = known.select((F.pmod(F.col("u") * 31 + F.col("i"), F.lit(5))).cast("int").alias("fold"), C.SCORE, fixed(product, 9).alias(C.PREDICTION))
+    errors = fold_errors([cut_lineage(scored)] * 5)
+    return errors.withColumns({c: fixed(c, 6) for c in ("train_rmse", "test_rmse")})
+
+
 @register("als_run")
 def q_als_run(spark: SparkSession, d: str) -> DataFrame:
     return run_als(_event_ratings(spark, d), ALS_PARAMS)["Recommendation-metrics"]

@@ -63,15 +63,15 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), *parts)
 
 
-def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "table", by: tuple[str, ...] = ()) -> DataFrame:
     """Write as Parquet into the shared checkpoint folder and read back.
 
     Survives executor loss, and later reads take only the columns and rows
-    they need.
+    they need; of a table with a folder per value of ``by``, only the folders.
     """
     spark = df.sparkSession
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     _SCRATCH.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

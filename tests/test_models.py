@@ -9,7 +9,7 @@ from tastebud.operators.evaluate import catalog_coverage, metrics_table, one_row
 from tastebud.operators import retrieval
 from tastebud.operators.factors import als_candidates, als_cross_validation, als_fit, als_predictions, als_predictions_above
 from tastebud.operators.ratings import avg_ratings, dense_index, preference_scores, user_vectors
-from tastebud.operators.segments import segment_item_scores, segment_recommendations, segment_topn
+from tastebud.operators.segments import assign_to_centres, cluster_users, model_centres, segment_item_scores, segment_recommendations, segment_topn
 from tastebud.operators.topn import ranked_top_n
 from tastebud.plans.params import SegmentParams
 from tastebud.plans.segments_run import run_clusters
@@ -127,6 +127,41 @@ def test_als_cross_validation_shape(spark):
     assert all(r["train_rmse"] >= 0 and r["test_rmse"] >= 0 for r in cv)
 
 
+def test_folds_side_by_side_equal_fits_one_by_one(spark):
+    ratings = _als_ratings(spark)
+    kw = dict(rank=3, reg=0.1, max_iter=3, blocks=2, seed=1)
+    fold = F.pmod(F.col("u") * 7 + F.col("i"), F.lit(3))
+    got = als_cross_validation(ratings, folds=3, fold=fold, **kw).collect()
+    for f, r in enumerate(got):
+        model = als_fit(ratings.filter(fold != f), **kw)
+        for part, n, rmse in ((fold != f, r["n_train"], r["train_rmse"]), (fold == f, r["n_test"], r["test_rmse"])):
+            errors = [(x[C.PREDICTION] - x[C.SCORE]) ** 2 for x in als_predictions(model, ratings.filter(part)).collect()]
+            assert n == len(errors) and math.isclose(rmse, math.sqrt(sum(errors) / n), abs_tol=1e-4)
+
+
+def test_given_centres_agree_with_the_model(spark):
+    data = [(f"u{u}", f"i{i}", float((u * i) % 5 - 1 + (u // 10) * 3)) for u in range(30) for i in range(8) if (u + i) % 2 == 0]
+    scores = spark.createDataFrame(data, "USER_ID string, PRODUCT_CODE string, SCORE double")
+    items = dense_index(scores, C.PRODUCT_CODE, "i")
+    idx = scores.join(dense_index(scores, C.USER_ID, "u"), C.USER_ID).join(items, C.PRODUCT_CODE)
+    vectors = user_vectors(idx, n_items=8)
+    model, labelled = cluster_users(vectors, k=3, seed=1)
+    want = dict(labelled.join(idx.select(C.USER_ID, F.col("u").alias("label")).distinct(), "label").select(C.USER_ID, C.PREDICTION).collect())
+    got = assign_to_centres(scores, model_centres(model, items), k=3).collect()
+    assert {r[C.USER_ID]: r[C.PREDICTION] for r in got} == want
+    assert math.isclose(sum(r["distance"] for r in got), model.summary.trainingCost, rel_tol=1e-6)
+
+
+def test_given_centres_corner_cases(spark):
+    centres = spark.createDataFrame([(0, "a", 3.0), (1, "b", 1.0)], "prediction int, PRODUCT_CODE string, value double")
+    scores = spark.createDataFrame([("x", "a", 3.0), ("y", "z", 2.0), ("n", "b", None), ("m", "a", -1.0)], "USER_ID string, PRODUCT_CODE string, SCORE double")
+    got = {r[C.USER_ID]: (r[C.PREDICTION], r["distance"]) for r in assign_to_centres(scores, centres, k=3).collect()}
+    # centre 2 has no values: it lies at the origin
+    assert got == {"x": (0, 0.0), "y": (2, 4.0), "n": (2, 0.0), "m": (2, 1.0)}
+    assert assign_to_centres(scores.limit(0), centres, k=3).count() == 0
+    assert {r["distance"] for r in assign_to_centres(scores.limit(1), centres.limit(0), k=2).collect()} == {9.0}
+
+
 def test_precision_recall_and_coverage(spark):
     recs = _log(spark, [("u1", "a"), ("u1", "b"), ("u2", "a")])
     hold = _log(spark, [("u1", "a"), ("u1", "a"), ("u2", "c"), ("u3", "d")])
