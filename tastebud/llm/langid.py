@@ -22,17 +22,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastebud.llm.rows import bounded_sample
+from tastebud.llm.rows import bounded_sample, row_key
 from tastebud.llm.words import chunks, code_points, mixed
 
 ORDER = 4
 #: Training texts of each language at most: the fit's documented bound.
 TRAIN_TEXTS = 2_000
-#: N-grams of each language that the model keeps at most, the most frequent.
-MAX_GRAMS = 100_000
 #: One training text in so many is kept back for the calibration.
 KEPT_BACK = 5
 _DISCOUNT_FLOOR = 0.1
@@ -197,23 +195,36 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def training_texts(labelled: DataFrame) -> DataFrame:
+    """``(lang, text, r)``: the sample that is learned from, ``TRAIN_TEXTS`` different texts of each language at most.
+
+    Those of the smallest text hashes: ids play no part, so rows that share
+    one, or have none, are told apart, and a text that a language repeats is
+    learned from once.
+    """
+    usable = labelled.filter("text is not null and lang is not null").filter(F.col("text").rlike(r"\p{L}")).select("lang", "text", row_key("text").alias("key"))
+    few = bounded_sample(usable.select("lang", "key").distinct(), "lang", "key", TRAIN_TEXTS).select("lang", "key", "r")
+    # at most TRAIN_TEXTS rows a language; copies of a text fold into one map-side
+    return usable.join(F.broadcast(few), ["lang", "key"]).groupBy("lang", "key", "r").agg(F.min("text").alias("text")).select("lang", "text", "r")
+
+
 def train(labelled: DataFrame, order: int = ORDER) -> Model:
-    """Fit on labelled rows (doc_id, text, lang): at most ``TRAIN_TEXTS`` of each language, those of the smallest id hashes."""
+    """Fit on labelled rows (text, lang): ``training_texts`` says which.
+
+    All n-grams of the sample enter the discounts and continuation counts and
+    stay in the model, whose size the sample bounds.  Without a labelled text
+    that has a letter the model knows no language, and ``identify`` answers
+    ``und``.
+    """
     spark = labelled.sparkSession
-    usable = labelled.filter("text is not null and lang is not null").filter(F.col("text").rlike(r"\p{L}"))
-    ids = bounded_sample(usable.select("doc_id", "lang"), "lang", "doc_id", TRAIN_TEXTS).select("doc_id", "lang", "r")
-    # at most TRAIN_TEXTS rows a language
-    few = labelled.select("doc_id", "lang", "text").join(F.broadcast(ids), ["doc_id", "lang"])
-    few = few.persist()
+    few = training_texts(labelled).persist()
     try:
-        grams = gram_counts(few.filter(F.col("r") % KEPT_BACK != 0), order)
-        best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-        rows = grams.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= MAX_GRAMS).select("lang", "gram", "n").toPandas()
-        kept = few.filter(F.col("r") % KEPT_BACK == 0).select("lang", "text")
+        rows = gram_counts(few.filter(F.col("r") % KEPT_BACK != 0), order).toPandas()
         counts = {lang: dict(zip(p["gram"], p["n"])) for lang, p in rows.groupby("lang")}
         if not counts:
-            raise ValueError("no labelled text with a letter to learn from")
+            return Model([], [], [], [], [], 0.0)
         model = fit_kneser_ney(counts, order)
+        kept = few.filter(F.col("r") % KEPT_BACK == 0).select("lang", "text")
         calibrate(model, entropies(kept, spark.sparkContext.broadcast(vars(model)), "lang").toPandas())
     finally:
         few.unpersist()
@@ -260,7 +271,8 @@ def calibrate(model: Model, kept: pd.DataFrame) -> None:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, lang_pred, score, xent, rejected.
 
-    A null text, or one without a letter, is ``und`` with score 0 and rejected.
+    A null text, or one without a letter, is ``und`` with score 0 and rejected;
+    so is every text under a model that knows no language.
     Whole texts are scored; repeated rows are scored each; ties go to the
     language first in order.  Columns other than the two are not read.
     """
@@ -270,6 +282,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         model = Model(**shared.value)
         for b in batches:
             texts = [t or "" for t in b["text"]]
+            if not model.languages:
+                yield pd.DataFrame({"doc_id": b["doc_id"], "lang_pred": "und", "score": 0.0, "xent": np.nan, "rejected": True})
+                continue
             x, _ = model.cross_entropies(texts)
             z = -x * model.sharpness
             z = np.exp(z - z.max(axis=1, keepdims=True))

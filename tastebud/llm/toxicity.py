@@ -248,11 +248,13 @@ def training_texts(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFr
 
     Those of the smallest id hashes.  ``share`` is how many labelled texts each
     stands for.  A null label is none; of several labels of a text the largest holds.
+    Of rows that share a doc_id the smallest text is learned from.
     """
     marked = labels.filter("toxic is not null and doc_id is not null").filter(usable).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     few = bounded_sample(marked, "toxic", "doc_id", TRAIN_TEXTS).withColumn("share", F.col("n") / F.least(F.col("n"), F.lit(TRAIN_TEXTS)))
-    # at most 2 * TRAIN_TEXTS rows
-    return docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic", "r", "share")
+    # at most 2 * TRAIN_TEXTS rows; rows that share an id fold into one map-side
+    met = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")
+    return met.groupBy("doc_id", "toxic", "r", "share").agg(F.min("text").alias("text")).select("text", "toxic", "r", "share")
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Machine:

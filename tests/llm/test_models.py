@@ -155,8 +155,55 @@ def test_language_id(spark):
     strange = langid.identify(spark.createDataFrame([(1, "qqx wjq xxq " * 5), (2, "漢字")], "doc_id long, text string"), model).collect()
     assert all(r.rejected for r in strange)
     assert langid.identify(docs.limit(0), model).count() == 0
-    with pytest.raises(ValueError):
-        langid.train(docs.limit(0))
+    nothing = langid.train(docs.limit(0))
+    assert {(r.lang_pred, r.score, r.rejected) for r in langid.identify(docs, nothing).collect()} == {("und", 0.0, True)}
+
+
+def brute_language(counts, texts):
+    """Languages by the definition of the model: lowest cross-entropy, ties to the first."""
+    alphabets = {lang: len({g[-1] for g in c}) for lang, c in counts.items()}
+    assert len(set(alphabets.values())) == 1  # so that no text meets a character that one language lacks
+    out = []
+    for t in texts:
+        x = [(-np.log(brute_kneser_ney(counts[lang], 4, f" {t} ", 0)).mean(), lang) for lang in sorted(counts)]
+        out.append(min(x)[1])
+    return out
+
+
+def test_language_query_matches_its_definition(spark):
+    """Whole sample, model and decision against plain Python; ids repeat, or are null, throughout."""
+    rng = random.Random(21)
+    pool = {"aa": "abba cadda beeda dace".split(), "bb": "deca bedd ccab eabe".split()}
+    rows = [(7 if lang == "aa" else None, " ".join(rng.choice(pool[lang]) for _ in range(rng.randint(3, 9))), lang) for _ in range(60) for lang in pool]
+    rows += rows[:20]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.training_texts(docs).collect()
+    assert sorted((r.lang, r.text) for r in sample) == sorted({(lang, t) for _, t, lang in rows})
+    counts = {}
+    for r in sample:
+        if r.r % langid.KEPT_BACK:
+            own, t = counts.setdefault(r.lang, {}), f" {r.text} "
+            for i in range(len(t) - 3):
+                own[t[i : i + 4]] = own.get(t[i : i + 4], 0) + 1
+    got = langid.identify(docs, langid.train(docs)).collect()
+    predicted = {t: lang for t, lang in zip((r[1] for r in rows), brute_language(counts, [r[1] for r in rows]))}
+    # the order of rows is kept by a narrow map
+    assert [r.lang_pred for r in got] == [predicted[t] for _, t, _ in rows]
+
+
+def test_one_id_for_a_whole_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_TEXTS", 50)
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("mot "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 3 == 0, "xx").otherwise("yy").alias("lang"))
+    n = langid.training_texts(docs).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in n} == {"xx": 50, "yy": 50}
+    copies = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("le même mot").alias("text"), F.lit("fr").alias("lang"))
+    assert langid.training_texts(copies).count() == 1
+
+
+def test_toxicity_sample_of_a_repeated_id(spark):
+    docs = spark.range(2000).select(F.lit(1).cast("long").alias("doc_id"), F.format_string("text %04d", "id").alias("text"))
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0)], "doc_id long, toxic int")
+    assert [(r.text, r.toxic) for r in toxicity.training_texts(docs, labels, F.lit(True)).collect()] == [("text 0000", 1)]
 
 
 def test_attribution_rules():
