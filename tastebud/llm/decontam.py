@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastebud.llm.scratch import written
-from tastebud.llm.urls import lower_ascii
+from tastebud.llm.urls import bloom_blocks, filter_blocks, lower_ascii, probe
 
 SHINGLE = 3
-#: Benchmark shingles that are broadcast at most; beyond it they are joined by a shuffle.
+#: Benchmark shingles that are broadcast at most; beyond it a blocked Bloom filter of
+#: them is, and the shingles that pass it are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: What parts words: ASCII other than letters and digits.  Fixed value.
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -30,10 +31,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(lower_ascii(text), F.lit("")), _GAP), "")
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
     """``(win, m, q, item_id)``: distinct windows as their words joined by spaces, their words and shingle size."""
     w = benchmark.select("item_id", words(F.col("text")).alias("w")).filter(F.size("w") > 0)
@@ -56,11 +53,16 @@ def window_shingles(windows: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, grams: DataFrame, sizes: list[int], n_grams: int) -> DataFrame:
     """``(row, doc_id, n_words, pos, gram)``: where benchmark shingles occur, and one row with a null gram per document."""
+    base = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
+    return few_grams(base, grams, sizes) if n_grams <= BROADCAST_ROWS else many_grams(base, grams, sizes, n_grams)
+
+
+def few_grams(base: DataFrame, grams: DataFrame, sizes: list[int]) -> DataFrame:
+    """Occurrences of shingles that may be broadcast: by hash, then by their words."""
 
     def hashes(q: int) -> Column:
         return F.transform("w", lambda x, i: F.xxhash64(x, *[F.get("w", i + k) for k in range(1, q)]))
 
-    base = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", words(F.col("text")).alias("w"))
     # place 0 stands for the document itself, then one place a word for each shingle size
     places = base.select("row", "doc_id", "w", F.posexplode(F.concat(F.array(F.lit(0).cast("long")), *[hashes(q) for q in sizes])).alias("p", "h"))
     known = grams.sparkSession.range(1).select(F.lit(0).cast("long").alias("h"), F.lit(None).cast("string").alias("gram"), F.lit(0).alias("q"))
@@ -72,10 +74,34 @@ def occurrences(docs: DataFrame, grams: DataFrame, sizes: list[int], n_grams: in
     size = F.get(F.array(*[F.lit(q) for q in sizes]), F.floor((F.col("p") - 1) / F.size("w")).cast("int"))
     text = F.array_join(F.slice("w", pos + 1, F.col("q")), " ")
     same = F.when(F.col("p") == 0, F.col("gram").isNull()).otherwise((size == F.col("q")) & (text == F.col("gram")))
-    met = places.join(_small(known, n_grams).withColumnRenamed("h", "gh"), (F.col("h") == F.col("gh")) & same)
+    met = places.join(F.broadcast(known.withColumnRenamed("h", "gh")), (F.col("h") == F.col("gh")) & same)
     return met.select("row", "doc_id", F.size("w").alias("n_words"), F.when(F.col("p") > 0, pos).alias("pos"), "gram")
 
 
+def many_grams(base: DataFrame, grams: DataFrame, sizes: list[int], n_grams: int) -> DataFrame:
+    """Occurrences of any number of shingles.
+
+    A place carries its own shingle and no other word of the document.  Places
+    that a Bloom filter of the shingles (32 MiB at most) lets pass are written,
+    and shuffled by their shingle to meet the exact list; the documents' own
+    rows, written beside them, stay out of the join.
+    """
+
+    def shingles(q: int) -> Column:
+        last = F.size("w") - q
+        cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("w", i + 1, F.lit(q)), " ").alias("gram")))
+        return F.when(last >= 0, cut).otherwise(F.array().cast("array<struct<pos:int,gram:string>>"))
+
+    itself = F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("gram")))
+    places = base.select("row", "doc_id", F.size("w").alias("n_words"), F.explode(F.concat(itself, *[shingles(q) for q in sizes])).alias("x"))
+    places = places.select("row", "doc_id", "n_words", "x.pos", "x.gram")
+    n_blocks = filter_blocks(n_grams)
+    known = grams.select("gram")
+    probed = probe(places, bloom_blocks(known, n_blocks, "gram"), n_blocks, "gram", "maybe").filter(F.col("maybe") | F.col("gram").isNull())
+    kept = written(probed.drop("maybe"), "places")
+    return kept.filter("gram is null").unionByName(kept.filter("gram is not null").join(known, "gram", "left_semi"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 

@@ -6,10 +6,11 @@ Native: DataFrame and SQL expressions only.
   subdomain of it and whose path starts with the rule's; the longest rule
   (host plus path) wins, equal lengths go to block, then to the smaller text.
 * A URL that no rule fits is blocked when its canonical form is on the list.
-  The list becomes a blocked Bloom filter: ``N_BLOCKS`` blocks of 256 bits, one
-  row each, so its size is fixed (2 MiB) however long the list, and it may be
-  broadcast.  URLs that pass it go on to an exact join with the list, which
-  removes the false positives; a longer list only sends more rows there.
+  The list becomes a blocked Bloom filter of 256-bit blocks, one row each, sized
+  from the list's distinct count to 16 bits an entry, within ``MIN_BLOCKS`` and
+  ``MAX_BLOCKS`` (32 MiB), so it may be broadcast.  URLs that pass it go on to an
+  exact join with the list, which removes the false positives; a list beyond 16
+  million entries only sends more rows there.
 """
 
 from __future__ import annotations
@@ -19,7 +20,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-N_BLOCKS = 1 << 16
+from tastebud.llm.scratch import written
+
+#: Bounds of the filter's number of blocks.
+MIN_BLOCKS, MAX_BLOCKS = 1 << 10, 1 << 20
+#: Entries a block is meant for.
+_LOAD = 16
 _WORDS = 4  # 64-bit words a block
 _SETS = 2  # bits set in each word
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -68,8 +74,13 @@ def canonical_url(url: Column) -> Column:
     return F.when(url.isNotNull(), text)
 
 
-def _block(h: Column) -> Column:
-    return F.pmod(h, F.lit(N_BLOCKS)).cast("int")
+def filter_blocks(entries: int) -> int:
+    """Blocks of a filter of so many entries: a power of two."""
+    return min(MAX_BLOCKS, max(MIN_BLOCKS, 1 << (max(entries, 1) // _LOAD).bit_length()))
+
+
+def _block(h: Column, n_blocks: int) -> Column:
+    return F.pmod(h, F.lit(n_blocks)).cast("int")
 
 
 def _bits(text: Column, word: int) -> Column:
@@ -82,16 +93,26 @@ def _bits(text: Column, word: int) -> Column:
     return mask
 
 
-def bloom_blocks(listed: DataFrame, url: str = "canonical") -> DataFrame:
-    """Blocked Bloom filter of a URL list: one row per non-empty block, ``N_BLOCKS`` at most."""
-    c = F.col(url)
+def bloom_blocks(listed: DataFrame, n_blocks: int, entry: str = "canonical") -> DataFrame:
+    """Blocked Bloom filter of a list's texts: one row per non-empty block, ``n_blocks`` at most."""
+    c = F.col(entry)
     return (
         listed.filter(c.isNotNull())
-        .groupBy(_block(F.xxhash64(c)).alias("block"))
+        .groupBy(_block(F.xxhash64(c), n_blocks).alias("block"))
         .agg(*[F.bit_or(_bits(c, w)).alias(f"w{w}") for w in range(_WORDS)])
     )
 
 
+def probe(rows: DataFrame, blocks: DataFrame, n_blocks: int, entry: str, flag: str) -> DataFrame:
+    """``rows`` with ``flag``: whether the text in ``entry`` may be in the filter; false for null."""
+    c, hit = F.col(entry), F.lit(True)
+    for w in range(_WORDS):
+        bits = _bits(c, w)
+        hit = hit & (F.col(f"w{w}").bitwiseAND(bits) == bits)
+    met = rows.withColumn("block", _block(F.xxhash64(c), n_blocks)).join(F.broadcast(blocks), "block", "left")
+    return met.select(*rows.columns, F.coalesce(hit & c.isNotNull(), F.lit(False)).alias(flag))
+
+
 def rule_column(rules: list[Rule], host: Column, path: Column, value: str) -> Column:
     """``value`` (``text`` or ``verdict``) of the winning rule, else null."""
     ranked = sorted(rules, key=lambda r: (-len(r.text), r.verdict != "block", r.text))
@@ -111,20 +132,15 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], id_col: s
     repeated.  Only the two named columns of ``pages`` are read, so its other
     columns may have any names.
     """
-    wanted = listed.select("canonical").filter("canonical is not null").distinct()
+    wanted = written(listed.select("canonical").filter("canonical is not null").distinct(), "listed")
+    n_blocks = filter_blocks(wanted.count())
     host, path = host_and_path(F.col("_url"))
     base = (
         pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
         .select("_id", host.alias("host"), path.alias("path"), canonical_url(F.col("_url")).alias("canonical"))
         .withColumns({"rule": rule_column(rules, F.col("host"), F.col("path"), "text"), "_ruled": rule_column(rules, F.col("host"), F.col("path"), "verdict")})
-        .withColumn("block", _block(F.xxhash64(F.col("canonical"))))
     )
-    blocks = bloom_blocks(wanted)
-    hit = F.lit(True)
-    for w in range(_WORDS):
-        bits = _bits(F.col("canonical"), w)
-        hit = hit & (F.col(f"w{w}").bitwiseAND(bits) == bits)
-    probed = base.join(F.broadcast(blocks), "block", "left").withColumn("maybe_listed", F.coalesce(hit & F.col("canonical").isNotNull(), F.lit(False)))
+    probed = probe(base, bloom_blocks(wanted, n_blocks), n_blocks, "canonical", "maybe_listed")
     exact = wanted.select(F.col("canonical").alias("_hit"))
     # only possible hits meet the list; the others are done
     clear = probed.filter(~F.col("maybe_listed")).withColumn("_hit", F.lit(None).cast("string"))

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tastebud.llm import jaccard, vectors
+from tastebud.llm import decontam, jaccard, vectors
 from tastebud.llm.components import components
 from tastebud.llm.decontam import contamination
 
@@ -183,7 +183,9 @@ GAP = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def test_contamination_matches_brute_force(spark):
+@pytest.mark.parametrize("broadcast_rows", [decontam.BROADCAST_ROWS, 0])
+def test_contamination_matches_brute_force(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(2)
     items = [" ".join(words(rng, n, 30)) for n in (14, 25, 40, 9, 3, 2, 1)] + ["", None, "Émile's ÉTÉ a-b"]
     items.append(items[1])
@@ -218,6 +220,25 @@ def test_contamination_matches_brute_force(spark):
     assert contamination(docs.limit(0), bench).count() == 0
 
 
+def test_many_benchmark_shingles_shuffle_places_only(spark):
+    """The exact join's exchanges are keyed by the shingle and hold no array of words."""
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("one two three four"), F.col("id").cast("string")).alias("text"))
+    grams = spark.createDataFrame([("one two three", 3), ("two three", 2), ("not there at", 3)], "gram string, q int")
+    base = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", decontam.words(F.col("text")).alias("w"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = decontam.many_grams(base, grams, [2, 3], 3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.filter("gram is null").count() == 50
+        assert {(r.gram, r.pos, r.n) for r in found.filter("gram is not null").groupBy("gram", "pos").agg(F.count("*").alias("n")).collect()} == {("one two three", 0, 50), ("two three", 1, 50)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and all("hashpartitioning(gram#" in line for line in exchanges)
+    assert set(found.columns) == {"row", "doc_id", "n_words", "pos", "gram"}
+
+
 def test_near_vectors_of_repeated_ids(spark):
     """Rows of one id and different vectors are vectors of their own."""
     rng = np.random.default_rng(8)
