@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import columns as C
 from ..functions import fixed
 from ..session import cut_lineage
+from .often import often_met, place_code
 from .ratings import dense_index
 from .skew import salted_join
 from .topn import ranked_top_n
@@ -27,6 +28,10 @@ from .topn import ranked_top_n
 BLOCK_ROWS = 2048
 # A user of more than this many times the mean number of ratings is heavy.
 HEAVY_TIMES = 4.0
+# From this many co-ratings on, pairs are counted by short codes before they become rows ...
+MANY_PAIRS = 2_000_000
+# ... in tasks of about this many co-ratings.
+TASK_PAIRS = 8_000_000
 
 
 def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
@@ -42,6 +47,7 @@ def _deviations(ratings: DataFrame, block_rows: int) -> DataFrame:
         C.USER_ID,
         C.PRODUCT_CODE,
         F.round(F.col(C.SCORE) - F.col("_mean"), 9).alias("_d"),
+        "_n",
         F.ceil(F.col("_n") / F.lit(block_rows)).cast("int").alias("_blocks"),
     )
 
@@ -80,6 +86,10 @@ def _pair_sums(dev: DataFrame) -> DataFrame:
     # i < j is part of the join condition, so rejected pairs are never built as rows.
     same = [F.col(c) == F.col(f"r{c}") for c in key]
     pairs = left.join(right, same[0] & same[1] & same[2] & (F.col("_i") < F.col("_j")))
+    return _summed(pairs)
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("_i", "_j").agg(
         F.sum(F.col("_di") * F.col("_dj")).alias("cross"),
         F.sum(F.col("_di") * F.col("_di")).alias("_isq"),
@@ -88,6 +98,35 @@ def _pair_sums(dev: DataFrame) -> DataFrame:
     )
 
 
+def _frequent_pair_sums(dev: DataFrame, at_least: int) -> DataFrame:
+    """``_pair_sums`` of the pairs with ``at_least`` common raters, and maybe some others; ``dev`` is written.
+
+    Where a pair of items has few common raters on average, nearly every
+    co-rating would be a row of its own in the shuffle on (i, j).  There the
+    co-ratings are counted first (``often.often_met``), and only those counted often
+    enough become pairs.
+    """
+    total = dev.agg(F.sum((F.col("_n") - 1) / 2)).first()[0] or 0
+    if at_least < 2 or total < MANY_PAIRS:
+        return _pair_sums(dev)
+    raters = dev.groupBy(C.PRODUCT_CODE).agg(F.count(F.lit(1)).alias("_raters"))
+    order = dense_index(raters.select(F.struct((-F.col("_raters")).alias("_r"), F.col(C.PRODUCT_CODE).alias("_k")).alias("_o")), "_o", "_place")
+    places = order.select(F.col("_o._k").alias(C.PRODUCT_CODE), "_place")
+    n = places.count()
+    if total >= at_least * n * (n - 1) / 2:
+        return _pair_sums(dev)
+    placed = cut_lineage(dev.join(places, C.PRODUCT_CODE).select(C.USER_ID, C.PRODUCT_CODE, "_d", "_place", "_blocks"), "placed")
+    parts = max(int(dev.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // TASK_PAIRS))
+    met = often_met(placed.select(C.USER_ID, "_place", "_blocks"), at_least, parts)
+    own = placed.select(C.USER_ID, F.col("_place").alias("_i"), F.col(C.PRODUCT_CODE).alias("_k"), F.col("_d").alias("_e"))
+    other = placed.select(C.USER_ID, place_code(F.col("_place")).alias("_code"), "_place", F.col(C.PRODUCT_CODE).alias("_l"), F.col("_d").alias("_f"))
+    pairs = met.join(own, [C.USER_ID, "_i"]).join(other, [C.USER_ID, "_code"]).filter(F.col("_place") < F.col("_i"))
+    first = F.col("_k") < F.col("_l")
+    d = {"_i": F.when(first, F.col("_e")).otherwise(F.col("_f")), "_j": F.when(first, F.col("_f")).otherwise(F.col("_e"))}
+    pairs = pairs.select(F.least("_k", "_l").alias("_i"), F.greatest("_k", "_l").alias("_j"), d["_i"].alias("_di"), d["_j"].alias("_dj"))
+    return _summed(pairs)
+
+
 def _named_pairs(sums: DataFrame, keys: DataFrame | None, ratings: DataFrame) -> DataFrame:
     """Item ids for keys, each pair with PRODUCT_CODE < j_PRODUCT_CODE."""
     if keys is None:
@@ -126,13 +165,15 @@ def corated_pairs(
     -> PRODUCT_CODE, j_PRODUCT_CODE, cross = sum(di*dj), i_sq = sum(di^2),
        j_sq = sum(dj^2), n_commons; pairs with n_commons >= min_commons.
 
-    Every co-rated pair is built (see ``_pair_sums``); ``similar_pairs`` builds
-    fewer.  Integer item ids are used as they are; ids of other types are
-    replaced by their dense index for the pair stage, and only pairs that reach
-    ``min_commons`` are mapped back.
+    Co-rated pairs are built (see ``_pair_sums``), in large sparse tables only
+    those counted often enough (``_frequent_pair_sums``).  Integer item ids are
+    used as they are; ids of other types are replaced by their dense index for
+    the pair stage, and only pairs that reach ``min_commons`` are mapped back.
     """
     keyed, keys = _keyed(ratings)
-    sums = _pair_sums(_deviations(keyed, block_rows)).filter(F.col("n_commons") >= min_commons)
+    dev = _deviations(keyed, block_rows)
+    sums = _frequent_pair_sums(cut_lineage(dev, "deviations"), min_commons) if min_commons > 1 else _pair_sums(dev)
+    sums = sums.filter(F.col("n_commons") >= min_commons)
     return _named_pairs(sums, keys, ratings)
 
 
@@ -162,7 +203,7 @@ def split_raters(keyed: DataFrame, *, heavy: float, min_commons: int, at_least:
     known = cut_lineage(raters.join(tails, C.PRODUCT_CODE, "left").select(C.PRODUCT_CODE, "_cut", spare.alias("_spare")), "item-tails")
     parted = salted_join(dev, known, [C.PRODUCT_CODE], [C.USER_ID])
     head = F.col("_cut").isNull() | (place < F.col("_cut"))
-    return cut_lineage(parted.select(C.USER_ID, C.PRODUCT_CODE, "_d", "_blocks", head.alias("_head")), "raters"), known.select(C.PRODUCT_CODE, "_spare")
+    return cut_lineage(parted.select(C.USER_ID, C.PRODUCT_CODE, "_d", "_n", "_blocks", head.alias("_head")), "raters"), known.select(C.PRODUCT_CODE, "_spare")
 
 
 def similar_pairs(
@@ -187,12 +228,13 @@ def similar_pairs(
     the parting costs more than the pairs it saves.
     """
     at_least = min(at_least, min_commons)
+    ratings = cut_lineage(ratings.select(C.USER_ID, C.PRODUCT_CODE, C.SCORE), "ratings")  # read by every step
     counts = ratings.groupBy(C.USER_ID).agg(F.count(F.lit(1)).alias("n")).agg(F.avg("n").alias("mean"), F.max("n").alias("most")).first()
     if at_least == min_commons or counts.most is None or counts.most <= heavy_times * counts.mean:
         return corated_pairs(ratings, min_commons=min_commons, block_rows=block_rows)
     keyed, keys = _keyed(ratings)
     parted, spare = split_raters(keyed, heavy=heavy_times * counts.mean, min_commons=min_commons, at_least=at_least, block_rows=block_rows)
-    near = _pair_sums(parted.filter("_head")).filter(F.col("n_commons") >= at_least)
+    near = _frequent_pair_sums(parted.filter("_head"), at_least).filter(F.col("n_commons") >= at_least)
     if min_sim is not None and min_sim > 0:
         near = near.join(spare.select(F.col(C.PRODUCT_CODE).alias("_i"), F.col("_spare").alias("_a")), "_i").join(
             spare.select(F.col(C.PRODUCT_CODE).alias("_j"), F.col("_spare").alias("_b")), "_j"
