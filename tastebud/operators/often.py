@@ -17,10 +17,12 @@ from ..session import cut_lineage
 # functions that run inside tasks travel with the job
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Read inside tasks: a name, as the module that holds it need not be there.
+USER = C.USER_ID
 #: Values of a code: two bytes.
 CODES = 65_536
 #: Codes that a task counts at a time, and codes of one item beyond which all of it passes uncounted: so many on so few values are frequent anyway.
-COUNTED, PASSED = 2_000_000, 32_000_000
+COUNTED, PASSED = 2_000_000, 8_000_000
 
 
 def place_code(place: Column) -> Column:
@@ -44,16 +46,16 @@ def frequent_codes(batches: Iterator[pa.RecordBatch], at_least: int) -> Iterator
             kept = often[np.minimum(np.searchsorted(often, key), len(often) - 1)] == key
             row, codes, key = row[kept], codes[kept], key[kept]
         # a rating that the table repeats meets once
-        user = rows.column(C.USER_ID).combine_chunks().dictionary_encode()
+        user = rows.column(USER).combine_chunks().dictionary_encode()
         user = (user.chunk(0) if isinstance(user, pa.ChunkedArray) else user).indices.to_numpy(zero_copy_only=False)[row]
         order = np.lexsort((user, key))
         first = np.r_[True, (key[order][1:] != key[order][:-1]) | (user[order][1:] != user[order][:-1])]
         taken = order[first]
         for a in range(0, len(taken), 1_000_000):
             t = taken[a : a + 1_000_000]
-            users = rows.column(C.USER_ID).take(pa.array(row[t])).combine_chunks()
+            users = rows.column(USER).take(pa.array(row[t])).combine_chunks()
             users = users.chunk(0) if isinstance(users, pa.ChunkedArray) else users
-            yield pa.RecordBatch.from_arrays([users, pa.array(item[row[t]]), pa.array(codes[t].astype(np.int16))], [C.USER_ID, "_i", "_code"])
+            yield pa.RecordBatch.from_arrays([users, pa.array(item[row[t]]), pa.array(codes[t].astype(np.int16))], [USER, "_i", "_code"])
 
     held, n, most, passing = [], 0, COUNTED, None
     for batch in batches:

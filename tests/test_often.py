@@ -35,7 +35,7 @@ def _brute(data, commons):
     return {k: tuple(round(v, 6) for v in s) for k, s in out.items() if s[3] >= commons}
 
 
-@pytest.mark.parametrize("kind, codes, counted, passed, block_rows", [("int", 65_536, 2_000_000, 32_000_000, 2048), ("string", 16, 40, 60, 8)])
+@pytest.mark.parametrize("kind, codes, counted, passed, block_rows", [("int", 65_536, 2_000_000, 8_000_000, 2048), ("string", 16, 40, 60, 8)])
 def test_counted_pairs_equal_the_full_join(spark, monkeypatch, kind, codes, counted, passed, block_rows):
     name = int if kind == "int" else lambda i: f"p{i}"
     data = [(u, name(i), s) for u, i, s in _sparse(random.Random(4), 200, 120, heavy=2)]
