@@ -2,16 +2,50 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import columns as C
 from ..functions import present
 from ..session import cut_lineage
 from .topn import ranked_top_n
 
+#: Pairs of frequent items that are counted before mining.
+MAX_PAIRS = 2_000_000
+
+
+@dataclass(frozen=True)
+class Itemsets:
+    """Mined sets and rules, as ``FPGrowthModel`` has them; ``mined`` is the library's model."""
+
+    mined: FPGrowthModel
+    freqItemsets: DataFrame
+
+    @property
+    def associationRules(self) -> DataFrame:
+        return self.mined.associationRules
+
+
+def _frequent_pairs(often: DataFrame, baskets: DataFrame, items_col: str, least: int) -> DataFrame:
+    """(a, b) of all pairs of ``often`` items that share ``least`` baskets or more, every pair one way round.
+
+    Items and then pairs are met inside the row by two broadcast joins, so what
+    is shuffled are the counts of the pairs alone, one a task and pair.
+    """
+    at = F.broadcast(often.select(F.col("_item").alias("_a")))
+    beside = F.broadcast(often.select(F.col("_item").alias("_b")))
+    firsts = baskets.select(F.col(items_col).alias("_all"), F.posexplode(items_col).alias("_at", "_a")).join(at, "_a")
+    rest = F.slice("_all", F.col("_at") + 2, F.size("_all"))
+    pairs = firsts.select("_a", F.explode(rest).alias("_b")).join(beside, "_b")
+    ordered = pairs.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+    return ordered.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= least).select("a", "b")
+
 
 def fit_itemsets(
     baskets: DataFrame,
@@ -20,31 +54,55 @@ def fit_itemsets(
     min_confidence: float,
     items_col: str = "ITEMS",
     num_partitions: int | None = None,
-) -> FPGrowthModel:
+) -> Itemsets:
     """Parallel FP-growth on baskets (unique items per basket).
 
     The support threshold is ceil(min_support * baskets); ``num_partitions``
-    sets how many groups the conditional trees are split into.  The model's
-    itemsets are a lazy lineage over the whole mining job; they are persisted
-    (memory and disk, recomputed from lineage if an executor is lost) so
-    itemsets, rules and every product derived from them mine once.
+    sets how many groups the conditional trees are split into.  Trees are
+    built from the items of frequent pairs alone: a larger set is frequent
+    only if all its pairs are, so any other frequent item is a set by itself,
+    with the count that is known already.  Where the frequent items allow more
+    than ``MAX_PAIRS`` pairs, these are not counted and the baskets go to the
+    library whole.
+
+    The model's itemsets are a lazy lineage over the whole mining job; they are
+    persisted (memory and disk, recomputed from lineage if an executor is lost)
+    so itemsets, rules and every product derived from them mine once.
     """
+    kind = baskets.schema[items_col].dataType.elementType
+    known = baskets.select(items_col).filter(F.col(items_col).isNotNull())
+    single = None
+    if isinstance(kind, (T.StringType, T.IntegralType)):
+        twice = F.raise_error(F.lit("items of a basket must be unique"))
+        known = known.select(F.when(F.size(F.array_distinct(items_col)) == F.size(items_col), F.col(items_col)).otherwise(twice).alias(items_col))
+        # read by the counts and by the mining
+        known = cut_lineage(known, "baskets")
+        least = math.ceil(min_support * known.count())
+        counts = known.select(F.explode(items_col).alias("_item")).groupBy("_item").agg(F.count(F.lit(1)).alias("freq"))
+        # at most a basket's size / min_support items, which FP-growth collects too
+        often = cut_lineage(counts.filter(F.col("freq") >= least), "often")
+        names = {r[0] for r in often.select("_item").collect()}
+        if None not in names and len(names) * (len(names) - 1) // 2 <= MAX_PAIRS:
+            kept = list({x for r in _frequent_pairs(often, known, items_col, least).collect() for x in r}) if len(names) > 1 else []
+            single = often.filter(~F.col("_item").isin(kept)).select(F.array("_item").alias("items"), "freq")
+            known = known.select((F.filter(items_col, lambda x: x.isin(kept)) if kept else F.array().cast(T.ArrayType(kind))).alias(items_col))
     fp = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=min_confidence)
     if num_partitions:
         fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(baskets.select(items_col))
+    model = fp.fit(known)
     model.freqItemsets.persist(StorageLevel.MEMORY_AND_DISK)
     model.associationRules.persist(StorageLevel.MEMORY_AND_DISK)
-    return model
+    sets = model.freqItemsets
+    return Itemsets(model, sets if single is None else sets.unionByName(single))
 
 
-def release(model: FPGrowthModel) -> None:
+def release(model: Itemsets) -> None:
     """Give back what ``fit_itemsets`` keeps; itemsets and rules already written stay readable."""
-    model.freqItemsets.unpersist()
-    model.associationRules.unpersist()
+    model.mined.freqItemsets.unpersist()
+    model.mined.associationRules.unpersist()
 
 
-def frequent_itemsets(model: FPGrowthModel, *, max_len: int | None = None) -> DataFrame:
+def frequent_itemsets(model: Itemsets, *, max_len: int | None = None) -> DataFrame:
     """-> ITEMS (sorted array), LENGTH, FREQ; optionally only sets shorter than ``max_len``."""
     sets = model.freqItemsets.select(
         F.array_sort("items").alias("ITEMS"), F.size("items").alias("LENGTH"), F.col("freq").alias("FREQ")
@@ -54,7 +112,7 @@ def frequent_itemsets(model: FPGrowthModel, *, max_len: int | None = None) -> Da
     return sets
 
 
-def association_rules(model: FPGrowthModel) -> DataFrame:
+def association_rules(model: Itemsets) -> DataFrame:
     """-> ANTECEDENT (sorted array), CONSEQUENT (item), CONFIDENCE, LIFT, SUPPORT."""
     return model.associationRules.select(
         F.array_sort("antecedent").alias(C.ANTECEDENT),

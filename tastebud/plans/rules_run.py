@@ -117,6 +117,8 @@ def run_rules(
         if time_window:
             _require(history, "history slice")
             _require(parts["future"], "hold-out slice")
+    # read by the fit and by the metrics
+    baskets = cut_lineage(baskets, "baskets")
     model = fit_itemsets(
         baskets, min_support=params.min_support, min_confidence=params.min_confidence, num_partitions=params.num_partitions
     )

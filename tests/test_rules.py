@@ -149,3 +149,25 @@ def test_a_hot_item_meets_only_owners_of_the_rarer_ones(spark):
     assert (before, after) == (803_980, 8_000)
     got = {(r[C.USER_ID], tuple(r["ITEMS"])) for r in contained_sets(s, h).collect()}
     assert got == {(u, (0, 1 + u % 200)) for u in range(2000)}
+
+
+def test_items_without_a_frequent_pair_build_no_trees(spark, monkeypatch):
+    """Only the items of frequent pairs go to FP-growth; the others are counted, with the same sets and rules."""
+    from tastebud.operators import rules as R
+
+    rng = random.Random(5)
+    baskets = [rng.sample("abcdefgh", 3) + (["x", "y"] if k % 2 else []) for k in range(60)] + [[], ["x"]]
+    df = _baskets(spark, baskets)
+    model = R.fit_itemsets(df, min_support=0.3, min_confidence=0.5)
+    mined = {x for r in model.mined.freqItemsets.collect() for x in r["items"]}
+    assert mined == {"x", "y"}
+    sets = lambda m: {(tuple(r["ITEMS"]), r["FREQ"]) for r in frequent_itemsets(m).collect()}
+    got = sets(model)
+    want = {((x,), n) for x in "abcdefghxy" if (n := sum(x in b for b in baskets)) >= 0.3 * 62} | {(("x", "y"), 30)}
+    assert got == want and len(got) > 4
+    monkeypatch.setattr(R, "MAX_PAIRS", 0)
+    plain = R.fit_itemsets(df, min_support=0.3, min_confidence=0.5)
+    assert sets(plain) == got
+    assert sorted(map(str, association_rules(plain).collect())) == sorted(map(str, association_rules(model).collect()))
+    alone = R.fit_itemsets(df, min_support=0.99, min_confidence=0.5)
+    assert sets(alone) == set() and association_rules(alone).count() == 0
