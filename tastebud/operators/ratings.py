@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import columns as C
 from ..functions import fixed, present
@@ -116,23 +117,30 @@ def preference_scores(
     return merged.select(C.USER_ID, C.PRODUCT_CODE, fixed(score, 9).alias(C.SCORE))
 
 
-def _sparse_vector(size, entries):
-    return SparseVector(size, [e[0] for e in entries], [float(e[1]) for e in entries])
+def _sparse(size: int, entries: str) -> Column:
+    """Sparse vector of the sorted (item, score) structs in column ``entries``.
 
-
-# Spark SQL has no constructor of sparse vectors and pandas UDFs cannot return
-# one, so this is a plain function per user over Arrow-batched transfer.
-_sparse = F.udf(_sparse_vector, VectorUDT(), useArrow=True)
+    Spark SQL has no constructor of sparse vectors, but its JSON reader fills
+    the fields of their type; doubles come back as they were and no row goes
+    through Python.  Repeated, missing or too large items and null scores are
+    an error, as they are for the vector's own class.
+    """
+    items = F.transform(entries, lambda e: e["item"].cast("int"))
+    scores = F.transform(entries, lambda e: e["score"].cast("double"))
+    fields = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"), items.alias("indices"), scores.alias("values"))
+    bad = F.exists(entries, lambda e: e["item"].isNull() | e["score"].isNull() | (e["item"] < 0) | (e["item"] >= size))
+    sound = (F.size(F.array_distinct(items)) == F.size(entries)) & ~bad
+    checked = F.when(sound, F.to_json(F.struct(fields.alias("v")))).otherwise(F.raise_error(F.lit("items of a user must be unique and within the catalogue, scores present")))
+    return F.from_json(checked, T.StructType([T.StructField("v", VectorUDT())]), {"mode": "FAILFAST"})["v"]
 
 
 def user_vectors(indexed: DataFrame, *, n_items: int, user_col: str = "u", item_col: str = "i", score_col: str = C.SCORE) -> DataFrame:
     """One sparse rating vector per user: (label, features).
 
     Entries are gathered per user with ``collect_list`` (a user has at most one
-    entry per item, so a row is bounded by the catalogue size); only the final
-    array -> vector conversion is a small (Arrow-batched) Python helper.
-    Explicit zeros stay.
+    entry per item, so a row is bounded by the catalogue size); the conversion
+    array -> vector stays in Spark's engine.  Explicit zeros stay.
     """
-    entries = F.sort_array(F.collect_list(F.struct(F.col(item_col), F.col(score_col))))
+    entries = F.sort_array(F.collect_list(F.struct(F.col(item_col).alias("item"), F.col(score_col).alias("score"))))
     grouped = indexed.groupBy(user_col).agg(entries.alias("_e"))
-    return grouped.select(F.col(user_col).alias("label"), _sparse(F.lit(n_items), F.col("_e")).alias("features"))
+    return grouped.select(F.col(user_col).alias("label"), _sparse(n_items, "_e").alias("features"))

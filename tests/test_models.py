@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -186,3 +187,16 @@ def test_metrics_as_text_lines(spark):
     stats = one_row(counts={"n": _log(spark, [("a", "b")] * 2)})
     lines = metrics_lines(metrics_table(stats, [("OP_TIME", "2017032000"), ("N", F.col("n"))])).collect()
     assert [r.value for r in lines] == ["OP_TIME : 2017032000", "N : 2"]
+
+
+def test_user_vectors_are_built_without_python(spark):
+    """Exact doubles in sparse vectors, no Python step in the plan, and an error for repeated items or null scores."""
+    data = {0: [(0, 0.1), (2, 1 / 3), (7, -1e-300)], 1: [(3, 0.0), (6, 1.7976931348623157e308)], 2: [(5, 123456789.12345679)]}
+    frame = lambda rows: spark.createDataFrame(rows, "u int, i long, SCORE double")
+    vectors = user_vectors(frame([(u, i, x) for u, e in data.items() for i, x in e]), n_items=8)
+    assert "Python" not in vectors._jdf.queryExecution().executedPlan().toString()
+    got = {r["label"]: (r["features"].size, list(zip(r["features"].indices.tolist(), r["features"].values.tolist()))) for r in vectors.collect()}
+    assert got == {u: (8, e) for u, e in data.items()}
+    for wrong in ([(0, 1, 1.0), (0, 1, 2.0)], [(0, 1, None)], [(0, 8, 1.0)]):
+        with pytest.raises(Exception, match="items of a user"):
+            user_vectors(frame(wrong), n_items=8).collect()
