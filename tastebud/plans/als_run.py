@@ -21,14 +21,13 @@ def index_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return users, items, cut_lineage(indexed)
 
 
-def run_als(ratings: DataFrame, params: AlsParams = AlsParams(), *, folds: int | None = None, all_predictions: bool = False) -> dict[str, DataFrame]:
+def run_als(ratings: DataFrame, params: AlsParams = AlsParams(), *, folds: int | None = None, all_predictions: bool = True) -> dict[str, DataFrame]:
     """Products: User-factors, Product-factors, Rating-predictions, User-recommendations, metrics.
 
     With ``folds`` also cvResult (fold, train_rmse, test_rmse) of that many fits.
 
-    Rating-predictions holds the ``top_n`` best unrated items of each user that
-    score above ``min_score``, or with ``all_predictions`` every unrated pair
-    above it.
+    Rating-predictions holds every unrated pair that scores above ``min_score``,
+    or without ``all_predictions`` the ``top_n`` best of them of each user.
     """
     users, items, indexed = index_ratings(ratings)
     model = als_fit(

@@ -561,6 +561,7 @@ def q_als_factors(spark: SparkSession, d: str) -> DataFrame:
 
 @register("als_predictions")
 def q_als_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """The run's Rating-predictions: every unrated (user, item) above the least score, not a user's best alone."""
     return run_als(_event_ratings(spark, d), ALS_PARAMS)["Rating-predictions"]
 
 

@@ -122,6 +122,25 @@ def test_als_predictions_above_are_every_pair_above(spark):
     assert all(math.isclose(got[k], want[k], rel_tol=1e-5) for k in want)
 
 
+def test_als_predictions_query_keeps_more_than_the_best(spark, monkeypatch):
+    """The registered query gives every unrated pair above the least score, however many a user has."""
+    from tastebud import registry
+    from tastebud.plans.params import AlsParams
+
+    rng = np.random.default_rng(3)
+    data = [(f"user{u}", f"item{i}", float(rng.integers(3, 6))) for u in range(40) for i in range(25) if rng.random() < 0.4]
+    ratings = spark.createDataFrame(data, [C.USER_ID, C.PRODUCT_CODE, C.SCORE])
+    params = AlsParams(rank=4, reg=0.1, max_iter=5, blocks=2, top_n=2, min_score=2.5, seed=7)
+    monkeypatch.setattr(registry, "_event_ratings", lambda spark, d: ratings)
+    monkeypatch.setattr(registry, "ALS_PARAMS", params)
+    got = {(r[C.USER_ID], r[C.PRODUCT_CODE]) for r in registry.QUERIES["als_predictions"](spark, "").collect()}
+    users, items, indexed = registry.index_ratings(ratings)
+    model = als_fit(indexed, rank=4, reg=0.1, max_iter=5, blocks=2, seed=7)
+    pairs = users.crossJoin(items).join(ratings, [C.USER_ID, C.PRODUCT_CODE], "left_anti")
+    want = {(r[C.USER_ID], r[C.PRODUCT_CODE]) for r in als_predictions(model, pairs, min_score=2.5).collect()}
+    assert len(want) > 2 * 40 and got == want
+
+
 def test_als_cross_validation_shape(spark):
     cv = als_cross_validation(_als_ratings(spark), folds=3, rank=3, reg=0.1, max_iter=3, blocks=2, seed=1).collect()
     assert [r["fold"] for r in cv] == [0, 1, 2]
