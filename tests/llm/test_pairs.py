@@ -255,3 +255,22 @@ def test_near_vectors_of_repeated_ids(spark):
         least[root.get(k, k)] = min(i, least.get(root.get(k, k), i))
     want = [(i, sum(k in p for p in links), least[root.get(k, k)], i == least[root.get(k, k)]) for k, (i, _) in enumerate(rows)]
     assert got == sorted(want)
+
+
+def test_filter_of_keys_is_bounded_and_misses_none(spark):
+    """What the driver holds of the keys does not grow with them: 120,000 keys are 32,768 rows at most; the rows found are exact."""
+    from tastebud.llm import rows as R
+
+    table = spark.range(200_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 1000).alias("text"))
+    table = table.unionByName(spark.createDataFrame([(None, None), (5, "text 5")], "doc_id long, text string"))
+    key = R.row_key("doc_id", "text")
+    keys = table.filter("doc_id is null or doc_id % 5 < 3").select(key.alias("key")).distinct().withColumn("mark", F.lit(1))
+    assert keys.count() == 120_001
+    assert R.key_filter(keys).count() <= 1 << 15
+    own = R.packed(table, key)
+    sure = R.maybe(own, keys, "left_anti")
+    assert sure.join(keys, "key").count() == 0 and sure.count() > 70_000
+    assert R.among(table, keys, key).agg(F.count("*"), F.sum("doc_id"), F.sum("mark")).first()[0:3] == (120_002, sum(i for i in range(200_000) if i % 5 < 3) + 5, 120_002)
+    assert R.packed_among(table, keys, key).filter("row.doc_id % 5 >= 3").count() == 0
+    rest = R.without(table, keys, key)
+    assert rest.columns == table.columns and rest.count() == 80_000 and rest.filter("doc_id % 5 < 3 or doc_id is null").count() == 0
