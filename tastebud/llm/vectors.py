@@ -20,8 +20,13 @@ at most ``reach = sqrt(2 - 2 t)``.
   are no links.
 * The rest is settled by the cosine of the vectors in double precision.
 
-Equal vectors are one entry with a weight.  Lists are searched in blocks, and
-a block returns counts and a spanning forest of its links, never pairs.
+Equal vectors are one entry with a weight.  Lists are dealt into ``groups`` of
+about equal many entries, and a vector goes once to each group that holds a
+list it searches, whichever lists these are, packed with the others of its
+batch.  A group's entries meet the seeking vectors part by part, as many parts
+as groups; such a meeting returns counts and a spanning forest of its links,
+never pairs.  So a vector is shuffled about twice as often as there are groups,
+and not once for each of the lists it searches.
 """
 
 from __future__ import annotations
@@ -45,7 +50,12 @@ LIST_SIZE = 200  # vectors a list, as far as MAX_LISTS goes
 MAX_LISTS = 4_096
 PARTS = 8
 CODES = 256
+#: Vectors that a task compares at once from either side.
 BLOCK = 1_024
+#: Entries of a group; groups at least, so that their square fills the tasks.
+GROUP, MIN_GROUPS = 1 << 17, 6
+#: Vectors of a packed row.
+PACK = 500
 _SLACK = 1e-6  # for rounding, in distances
 
 
@@ -53,8 +63,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Centres by Lloyd's iterations from evenly spaced rows of ``x``; an empty centre moves to a far row."""
     centres = x[np.linspace(0, len(x) - 1, k).astype(np.int64)].copy()
     for _ in range(rounds):
-        d = squared(x, centres)
-        near = d.argmin(axis=1)
+        near, least = nearest(x, centres)
         n = np.bincount(near, minlength=k)
         order = np.argsort(near, kind="stable")
         filled = np.flatnonzero(n)
@@ -62,10 +71,21 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         centres[filled] = sums / n[filled, None]
         empty = np.flatnonzero(n == 0)
         if len(empty):
-            centres[empty] = x[np.argsort(-d[np.arange(len(x)), near], kind="stable")[: len(empty)]]
+            centres[empty] = x[np.argsort(-least, kind="stable")[: len(empty)]]
     return centres
 
 
+def nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of every row and the squared distance to it, some rows at a time."""
+    near, least = np.empty(len(x), np.int64), np.empty(len(x))
+    step = max(1, 2_000_000 // len(centres))
+    for lo in range(0, len(x), step):
+        d = squared(x[lo : lo + step], centres)
+        near[lo : lo + step] = own = d.argmin(axis=1)
+        least[lo : lo + step] = d[np.arange(len(d)), own]
+    return near, least
+
+
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * x @ y.T, 0.0)
 
@@ -81,12 +101,16 @@ class Quantiser:
     def fit(cls, unit: np.ndarray, total: int, threshold: float) -> Quantiser:
         lists = int(min(MAX_LISTS, max(1, total // LIST_SIZE), len(unit)))
         centres = kmeans(unit, lists)
-        rest = unit - centres[squared(unit, centres).argmin(axis=1)]
+        rest = unit - centres[nearest(unit, centres)[0]]
         cuts = [round(unit.shape[1] * i / PARTS) for i in range(PARTS + 1)]
         books = [kmeans(np.ascontiguousarray(rest[:, a:b]), min(CODES, len(unit)), 8) for a, b in zip(cuts, cuts[1:]) if b > a]
         return cls(float(np.sqrt(2 - 2 * threshold)), sorted(set(cuts)), centres, books)
 
-    def encode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    def apart(self) -> np.ndarray:
+        """Distances between the centres."""
+        return np.sqrt(squared(self.centres, self.centres))
+
+    def encode(self, unit: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """List, codes, what the codes miss, and the lists to search, of each vector."""
         d = squared(unit, self.centres)
         near = d.argmin(axis=1)
@@ -97,7 +121,6 @@ class Quantiser:
             part = squared(rest[:, a:b], book)
             codes[:, p] = part.argmin(axis=1)
             miss += ((rest[:, a:b] - book[codes[:, p]]) ** 2).sum(axis=1)
-        apart = np.sqrt(squared(self.centres, self.centres))
         plane = (d - d[np.arange(len(unit)), near][:, None]) / np.maximum(2 * apart[near], 1e-12)
         probes = [np.flatnonzero(row <= self.reach / 2 + _SLACK) for row in plane]
         return near, codes, np.sqrt(miss), probes
@@ -125,31 +148,116 @@ def units(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def link_counts(q: Quantiser, threshold: float, centre: int, own: pd.DataFrame, ask: pd.DataFrame):
-    """Links between one list's entries and the vectors that search it, as weights to count, and a spanning forest.
+#: Columns of a packed row of entries; a seeking vector has all but codes and miss, and of its probes those of the group.
+_FIELDS = ("ids", "weight", "data", "home", "codes", "miss", "n_probes", "probes")
+_PACKED = "n int, " + ", ".join(f"{c} binary" for c in _FIELDS)
+_TYPES = {"ids": np.int64, "weight": np.int64, "home": np.int32, "miss": np.float64, "n_probes": np.int32, "probes": np.uint16}
+
+
+@dataclass
+class Side:
+    """Vectors of one side of a meeting; ``probes`` of vector i are those from ``first[i]`` to ``first[i + 1]``, ascending."""
+
+    ids: np.ndarray
+    weight: np.ndarray
+    data: np.ndarray
+    home: np.ndarray
+    codes: np.ndarray
+    miss: np.ndarray
+    n_probes: np.ndarray
+    probes: np.ndarray
+
+    @classmethod
+    def unpacked(cls, rows: pd.DataFrame, dim: int, real: str) -> Side:
+        flat = {c: np.frombuffer(b"".join(rows[c]), _TYPES.get(c, np.uint8)) for c in _FIELDS if c != "data"}
+        data = np.frombuffer(b"".join(rows["data"]), real).reshape(-1, dim)
+        return cls(**flat | {"data": data, "codes": flat["codes"].reshape(len(flat["miss"]), -1) if len(flat["miss"]) else flat["codes"].reshape(0, 1)})
+
+    @property
+    def first(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(self.n_probes)])
+
+    def packed(self, at: np.ndarray, probes: np.ndarray, n_probes: np.ndarray, entry: bool) -> dict:
+        """The vectors ``at`` as one row, with the given probes."""
+        row = {"n": len(at), "ids": self.ids[at], "weight": self.weight[at], "data": self.data[at], "home": self.home[at], "n_probes": n_probes.astype(np.int32), "probes": probes}
+        row |= {"codes": self.codes[at], "miss": self.miss[at]} if entry else {"codes": np.zeros(0, np.uint8), "miss": np.zeros(0)}
+        return {k: v if k == "n" else v.tobytes() for k, v in row.items()}
+
+
+def groups_of_lists(counts: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each list the first group that holds its entries, and how many do; a list longer than a group is in several."""
+    size = max(1, -(-int(counts.sum()) // groups))
+    before = np.cumsum(counts) - counts
+    first = np.minimum(before // size, groups - 1)
+    last = np.minimum(np.maximum(before + counts - 1, 0) // size, groups - 1)
+    # a list of less than a group stays whole
+    last = np.where(counts <= size, first, np.maximum(first, last))
+    return first, last - first + 1
+
+
+def deal(side: Side, first: np.ndarray, span: np.ndarray, groups: int) -> Iterator[tuple[int, bool, dict]]:
+    """Packed rows by group: its own entries, and the vectors that search a list of it with their probes there."""
+    turn = (side.ids * 2_654_435_761 >> 7) % span[side.home]  # any fixed spread over the groups of one list
+    own = first[side.home] + turn
+    starts = side.first
+    owner = np.repeat(np.arange(len(side.ids)), side.n_probes)
+    low, high = first[side.probes], first[side.probes] + span[side.probes] - 1
+    for g in range(groups):
+        at = np.flatnonzero(own == g)
+        if len(at):
+            marks = np.zeros(len(side.ids), dtype=bool)
+            marks[at] = True
+            yield g, False, side.packed(at, side.probes[marks[owner]], side.n_probes[at], True)
+        there = np.flatnonzero((low <= g) & (g <= high))
+        if len(there):
+            n = np.bincount(owner[there], minlength=len(starts) - 1)
+            at = np.flatnonzero(n)
+            yield g, True, side.packed(at, side.probes[there], n[at], False)
+
+
+def link_counts(q: Quantiser, threshold: float, own: Side, ask: Side) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """Links between a group's entries and the vectors that search its lists, as weights to count, and a spanning forest.
 
     Of each seeking vector, the weight of the entries linked to it; of each entry,
     the weight of the seeking vectors linked to it whose lists it does not search.
     """
-    ids, unit, weight = own["id"].to_numpy(), np.stack(own["unit"].tolist()), own["weight"].to_numpy()
-    seek_ids, seek, seek_weight, seek_list = ask["id"].to_numpy(), np.stack(ask["unit"].tolist()), ask["weight"].to_numpy(), ask["home"].to_numpy()
-    codes = np.frombuffer(b"".join(own["codes"]), dtype=np.uint8).reshape(len(own), -1)
-    maybe = q.lookups(seek, centre, codes) <= q.reach + own["miss"].to_numpy()[None, :] + _SLACK
-    s, e = np.nonzero(maybe & (seek_ids[:, None] != ids[None, :]))
-    keep = np.zeros(len(s), dtype=bool)
-    for lo in range(0, len(s), 1 << 16):
-        x, y = seek[s[lo : lo + (1 << 16)]], unit[e[lo : lo + (1 << 16)]]
-        keep[lo : lo + (1 << 16)] = np.einsum("ij,ij->i", x, y) >= threshold
-    s, e = s[keep], e[keep]
-    found = np.bincount(s, weights=weight[e], minlength=len(seek_ids)).astype(np.int64)
-    # pairs (entry, list that it searches) as sorted numbers; an entry always searches its own list
-    n, probes = len(q.centres), own["probes"].tolist()
-    searched = np.repeat(np.arange(len(ids)), [len(p) for p in probes]) * n + np.concatenate(probes)
-    pair = e * n + seek_list[s]
-    one_way = searched[np.minimum(np.searchsorted(searched, pair), len(searched) - 1)] != pair
-    back = np.bincount(e[one_way], weights=seek_weight[s[one_way]], minlength=len(ids)).astype(np.int64)
-    nodes, place = np.unique(np.concatenate([seek_ids, ids]), return_inverse=True)
-    return found, back, forest(nodes, place[s], place[len(seek_ids) + e])
+    n = len(q.centres)
+    by_list = np.argsort(own.home, kind="stable")
+    lists, starts = np.unique(own.home[by_list], return_index=True)
+    asked = np.argsort(ask.probes, kind="stable")
+    askers, wanted = np.repeat(np.arange(len(ask.ids)), ask.n_probes)[asked], ask.probes[asked]
+    first = own.first
+    found, back = np.zeros(len(ask.ids), np.int64), np.zeros(len(own.ids), np.int64)
+    nodes, ups = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for centre, start, end in zip(lists, starts, [*starts[1:], len(by_list)]):
+        seekers = askers[np.searchsorted(wanted, centre, "left") : np.searchsorted(wanted, centre, "right")]
+        for a in range(start, end if len(seekers) else start, BLOCK):
+            held = by_list[a : min(a + BLOCK, end)]
+            codes, miss, ids, weight, vectors = own.codes[held], own.miss[held], own.ids[held], own.weight[held], units(own.data[held].astype(np.float64))
+            # pairs (entry, list that it searches) as sorted numbers; an entry always searches its own list
+            searched = np.concatenate([k * n + own.probes[first[h] : first[h + 1]].astype(np.int64) for k, h in enumerate(held)])
+            for b in range(0, len(seekers), BLOCK):
+                who = seekers[b : b + BLOCK]
+                x = units(ask.data[who].astype(np.float64))
+                maybe = q.lookups(x, int(centre), codes) <= q.reach + miss[None, :] + _SLACK
+                s, e = np.nonzero(maybe & (ask.ids[who][:, None] != ids[None, :]))
+                keep = np.zeros(len(s), dtype=bool)
+                for lo in range(0, len(s), 1 << 16):
+                    keep[lo : lo + (1 << 16)] = np.einsum("ij,ij->i", x[s[lo : lo + (1 << 16)]], vectors[e[lo : lo + (1 << 16)]]) >= threshold
+                s, e = s[keep], e[keep]
+                if not len(s):
+                    continue
+                found[who] += np.bincount(s, weights=weight[e], minlength=len(who)).astype(np.int64)
+                pair = e * n + ask.home[who][s]
+                one_way = searched[np.minimum(np.searchsorted(searched, pair), len(searched) - 1)] != pair
+                back[held] += np.bincount(e[one_way], weights=ask.weight[who][s[one_way]], minlength=len(held)).astype(np.int64)
+                names, place = np.unique(np.concatenate([ask.ids[who], ids]), return_inverse=True)
+                node, up = forest(names, place[s], place[len(who) + e])
+                nodes.append(node)
+                ups.append(up)
+    node, up = np.concatenate(nodes), np.concatenate(ups)
+    names, place = np.unique(np.concatenate([node, up]), return_inverse=True)
+    return found, back, forest(names, place[: len(node)], place[len(node) :])
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -164,12 +272,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     """
     spark = vectors.sparkSession
     v = F.col("v")
+    # single precision travels as such
+    real = "float" if dict(vectors.dtypes)[vec_col] == "array<float>" else "double"
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     fine = F.coalesce(
         (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0), F.lit(False)
     )
     rows = rows.withColumn("fine", fine & F.col("id").isNotNull())
-    rows = rows.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit("second"), "v")})
+    rows = rows.withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit("second"), "v"), "v": v.cast(f"array<{real}>")})
     # an entry is a vector, whichever ids hold it; its number stands for it until the end
     alike = rows.filter("fine").groupBy("k1", "k2").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("weight"), F.first("v").alias("v"))
     entries = written(alike.withColumn("id", F.monotonically_increasing_id()), "entries")
@@ -184,43 +294,50 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q = Quantiser(**state.value)
+        apart, step = q.apart(), max(64, min(PACK, 1_000_000 // len(q.centres)))
         for b in batches:
-            for lo in range(0, len(b), 2_000):
-                part = b.iloc[lo : lo + 2_000]
-                unit = units(stacked(part["v"], dim))
-                near, codes, miss, probes = q.encode(unit)
-                yield pd.DataFrame(
-                    {"id": part["id"].to_numpy(), "weight": part["weight"].to_numpy(), "unit": list(unit), "list": near, "codes": [c.tobytes() for c in codes], "miss": miss, "probes": probes}
-                )
-
-    coded = written(
-        entries.select("id", "weight", "v").mapInPandas(encode, "id long, weight long, unit array<double>, list int, codes binary, miss double, probes array<int>"), "coded"
-    )
-    seeks = coded.select("id", "weight", "unit", F.col("list").alias("home"), F.explode("probes").alias("list"))
-    held = coded.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("entry_blocks"))
-    sought = seeks.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("seek_blocks"))
-    blocks = held.join(sought, "list")
-    turn = F.xxhash64("id", "list")
-    entry_rows = coded.join(blocks, "list").select(
-        "list",
-        F.pmod(turn, "entry_blocks").cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("seek_blocks") - 1)).alias("j"),
-        "id", "weight", "unit", F.col("list").alias("home"), "codes", "miss", "probes", F.lit(False).alias("seeks"),
-    )
-    seek_rows = seeks.join(blocks, "list").select(
-        "list",
-        F.explode(F.sequence(F.lit(0), F.col("entry_blocks") - 1)).alias("i"),
-        F.pmod(turn, "seek_blocks").cast("int").alias("j"),
-        "id", "weight", "unit", "home", F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("miss"), F.lit(None).cast("array<int>").alias("probes"), F.lit(True).alias("seeks"),
-    )
+            for lo in range(0, len(b), step):
+                part = b.iloc[lo : lo + step]
+                x = stacked(part["v"], dim)
+                near, codes, miss, probes = q.encode(units(x), apart)
+                n_probes = np.array([len(p) for p in probes], dtype=np.int32)
+                side = Side(part["id"].to_numpy(np.int64), part["weight"].to_numpy(np.int64), x.astype(real), near.astype(np.int32), codes, miss, n_probes, np.concatenate(probes).astype(np.uint16))
+                yield pd.DataFrame([side.packed(np.arange(len(part)), side.probes, n_probes, True)])
+
+    coded = written(entries.select("id", "weight", "v").mapInPandas(encode, _PACKED), "coded")
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(MAX_LISTS, np.int64)
+        for b in batches:
+            for home in b["home"]:
+                n += np.bincount(np.frombuffer(home, np.int32), minlength=MAX_LISTS)
+        yield pd.DataFrame({"list": np.flatnonzero(n), "n": n[n > 0]})
+
+    in_list = np.zeros(len(quantiser.centres), np.int64)
+    for r in coded.select("home").mapInPandas(tally, "list long, n long").groupBy("list").agg(F.sum("n").alias("n")).collect():
+        in_list[r["list"]] = r["n"]
+    groups = max(MIN_GROUPS, -(-size["n"] // GROUP))
+    first, span = groups_of_lists(in_list, groups)
+
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in range(len(b)):
+                for g, seeks, row in deal(Side.unpacked(b.iloc[r : r + 1], dim, real), first, span, groups):
+                    yield pd.DataFrame([row | {"g": g, "seeks": seeks}])
+
+    sides = coded.mapInPandas(dealt, f"g int, seeks boolean, {_PACKED}")
+    # a group's entries meet every part of the vectors that search it
+    part = F.when(F.col("seeks"), F.array(F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))).otherwise(F.array(*[F.lit(j) for j in range(groups)]))
+    met = sides.withColumn("j", F.explode(part))
 
     def search(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         q = Quantiser(**state.value)
-        own, ask = b[~b["seeks"]], b[b["seeks"]]
-        if not len(own) or not len(ask):
+        seeks = b["seeks"].to_numpy(bool)
+        if seeks.all() or not seeks.any():
             return pd.DataFrame({"id": [], "links": [], "up": []}).astype({"id": "int64", "links": "int64", "up": "int64"})
-        found, back, (node, up) = link_counts(q, threshold, int(key[0]), own, ask)
-        seek_ids, ids = ask["id"].to_numpy()[found > 0], own["id"].to_numpy()[back > 0]
+        own, ask = Side.unpacked(b[~seeks], dim, real), Side.unpacked(b[seeks], dim, real)
+        found, back, (node, up) = link_counts(q, threshold, own, ask)
+        seek_ids, ids = ask.ids[found > 0], own.ids[back > 0]
         return pd.DataFrame(
             {
                 "id": np.concatenate([seek_ids, ids, node]),
@@ -229,7 +346,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
             }
         )
 
-    out = written(entry_rows.unionByName(seek_rows).groupBy("list", "i", "j").applyInPandas(search, "id long, links long, up long"), "links")
+    out = written(met.groupBy("g", "j").applyInPandas(search, "id long, links long, up long"), "links")
     counts = out.groupBy("id").agg(F.sum("links").alias("links"))
     found = components(out.filter("id <> up").select(F.col("id").alias("a"), F.col("up").alias("b"))).select(F.col("node").alias("id"), "component")
     known = written(

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,3 +275,37 @@ def test_filter_of_keys_is_bounded_and_misses_none(spark):
     assert R.packed_among(table, keys, key).filter("row.doc_id % 5 >= 3").count() == 0
     rest = R.without(table, keys, key)
     assert rest.columns == table.columns and rest.count() == 80_000 and rest.filter("doc_id % 5 < 3 or doc_id is null").count() == 0
+
+
+def test_a_vector_goes_once_to_a_group_of_lists(spark, monkeypatch):
+    """However many lists a vector searches, it is dealt to each group once, with its probes there; a list longer than a group is shared."""
+    rng = np.random.default_rng(4)
+    lists, n, groups = 60, 500, 5
+    probes = [np.unique(rng.integers(0, lists, 30)).astype(np.uint16) for _ in range(n)]
+    home = np.array([p[0] for p in probes], np.int32)
+    counts = np.bincount(home, minlength=lists)
+    side = vectors.Side(np.arange(n), np.ones(n, np.int64), rng.normal(size=(n, 4)), home, np.zeros((n, 2), np.uint8), np.zeros(n), np.array([len(p) for p in probes], np.int32), np.concatenate(probes))
+    first, span = vectors.groups_of_lists(counts, groups)
+    rows = list(vectors.deal(side, first, span, groups))
+    assert sum(r["n"] for _, seeks, r in rows if not seeks) == n
+    seeking = [(g, vectors.Side.unpacked(pd.DataFrame([r]), 4, "double")) for g, seeks, r in rows if seeks]
+    assert len(seeking) == groups and sum(len(s.ids) for _, s in seeking) <= n * groups < sum(map(len, probes)) / 4
+    got = {i: set() for i in range(n)}
+    for g, s in seeking:
+        for i, a, b in zip(s.ids, s.first, s.first[1:]):
+            assert all(first[p] <= g < first[p] + span[p] for p in s.probes[a:b])
+            got[int(i)] |= set(s.probes[a:b].tolist())
+    assert got == {i: set(p.tolist()) for i, p in enumerate(probes)}
+    assert vectors.groups_of_lists(np.array([10, 400, 0, 90]), 5)[1].tolist() == [1, 5, 1, 1]
+
+    # a clump that one list holds, of more vectors than a group and than a tile
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    x = rng.normal(size=(700, 16))
+    x[200:] = x[0] + rng.normal(size=(500, 16)) * 0.08
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for kind in ("double", "float"):
+        rows = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+        found = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(rows, 0.95).collect()}
+        exact = unit if kind == "double" else x.astype(np.float32).astype(float) / np.linalg.norm(x.astype(np.float32).astype(float), axis=1, keepdims=True)
+        near = exact @ exact.T >= 0.95
+        assert [found[i][0] for i in range(len(x))] == (near.sum(axis=1) - 1).tolist()
